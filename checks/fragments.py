@@ -39,7 +39,7 @@ def _daily(company: str) -> str:
       GROUP BY c.{company}, d.date"""
 
 
-def _series_features() -> str:
+def _series_features(source: str) -> str:
     rolled, derived = [], []
     for c in SERIES_COLUMNS:
         for w in (7, 30):
@@ -58,10 +58,10 @@ def _series_features() -> str:
       SELECT *, {', '.join(derived)}, (isodow(date) - 1)::INT AS day_of_week,
         revenue / nullif(active_users, 0) AS revenue_per_active_user,
         signups / nullif(active_users, 0) AS signup_rate
-      FROM (SELECT *, {', '.join(rolled)} FROM daily) r"""
+      FROM (SELECT *, {', '.join(rolled)} FROM {source}) r"""
 
 
-def _zeroed_features() -> str:
+def _zeroed_features(source: str) -> str:
     names = []
     for c in SERIES_COLUMNS:
         for w in (7, 30):
@@ -71,7 +71,7 @@ def _zeroed_features() -> str:
     return (
         "SELECT company_id, date, revenue, active_users, signups, day_of_week, "
         + ", ".join(f"coalesce({n}, 0) AS {n}" for n in names)
-        + " FROM raw_features"
+        + f" FROM {source}"
     )
 
 
@@ -121,8 +121,11 @@ FRAGMENTS: dict[str, str] = {
         CASE sentiment_label WHEN 'negative' THEN 0.1::DOUBLE WHEN 'neutral' THEN 0.5::DOUBLE
           ELSE 0.9::DOUBLE END AS score
       FROM reviews""",
-    "raw_features": _series_features(),
-    "series_features": _zeroed_features(),
+    "raw_features": _series_features("daily"),
+    "daily_cents": "SELECT * REPLACE (round(revenue * 100) AS revenue) FROM daily",
+    "cent_features": _series_features("daily_cents"),
+    "zeroed_cents": _zeroed_features("cent_features"),
+    "series_features": _zeroed_features("raw_features"),
     "flagged_days": """
       SELECT *, abs(revenue_zscore_30) > 3 AS is_anomaly, -abs(revenue_zscore_30) AS anomaly_score
       FROM series_features""",

@@ -5,6 +5,8 @@ as the exports are, so collecting one export's columns into an array is bounded.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -82,83 +84,79 @@ def unique_columns(catalog: DataFrame) -> DataFrame:
     )
 
 
-def _match_rank(norm: Column, field: str) -> Column:
-    """How well a column suits a field as (tier, alias rank); NULL if it does not."""
-    aliases = COLUMN_ALIASES.get(field, [])
-    contained = [a for a in sorted(aliases, key=len, reverse=True) if len(a) >= MIN_CONTAINED_ALIAS]
-    best = F.when(norm == field.replace("_", ""), F.struct(F.lit(1).alias("tier"), F.lit(0).alias("alias")))
-    for i, alias in enumerate(aliases):
-        best = best.when(norm == alias, F.struct(F.lit(2).alias("tier"), F.lit(i).alias("alias")))
-    for i, alias in enumerate(contained):
-        best = best.when(
-            norm.contains(alias), F.struct(F.lit(3).alias("tier"), F.lit(i).alias("alias"))
-        )
-    return best
+def _alias_table(targets: list[str]) -> Column:
+    """All (field, tier, place, alias) options as one constant: 1 the field's own name, 2 an
+    alias equal to the column, 3 an alias inside the column name, longer ones first."""
+    rows = []
+    for field_no, field in enumerate(targets):
+        aliases = COLUMN_ALIASES.get(field, [])
+        inside = [a for a in sorted(aliases, key=len, reverse=True) if len(a) >= MIN_CONTAINED_ALIAS]
+        options = [[field.replace("_", "")], aliases, inside]
+        rows += [
+            {"field_no": field_no, "tier": tier, "place": place, "alias": alias}
+            for tier, names in enumerate(options, start=1)
+            for place, alias in enumerate(names)
+        ]
+    return F.from_json(
+        F.lit(json.dumps(rows)), "array<struct<field_no:int,tier:int,place:int,alias:string>>"
+    )
 
 
-def _best_free_column(match: str) -> Column:
-    """The best-ranked column of `cols` by its field `match` that is not in `taken`."""
-    free = F.filter(
-        "cols",
-        lambda c: c[match].isNotNull() & ~F.array_contains(F.col("taken"), c["column_name"]),
+def _hits(norm: Column, targets: list[str]) -> Column:
+    """The options a normalised column name fulfils."""
+    return F.filter(
+        _alias_table(targets),
+        lambda o: F.when(o["tier"] == 3, norm.contains(o["alias"])).otherwise(norm == o["alias"]),
     )
-    return F.array_min(F.transform(
-        free,
-        lambda c: F.struct(
-            c[match]["tier"].alias("tier"), c[match]["alias"].alias("alias"),
-            c["position"].alias("position"), c["column_name"].alias("column_name"),
-        ),
-    ))
 
 
 def detect_column_mapping(catalog: DataFrame, targets: list[str] | None = None) -> DataFrame:
     """`(company_id, field_no, field, column_name, confidence)`, one row per target field.
 
     Fields pick in target order and a column is taken once. One shuffle brings an export's
-    columns together; the picking is a chain of array expressions."""
+    columns together; the picking is a fold over the field numbers inside the row."""
     targets = targets or list(COLUMN_ALIASES)
-    columns = unique_columns(catalog)
-    entry = F.struct(
-        "position", "column_name",
-        *[_match_rank(F.col("norm"), f).alias(f"m{i}") for i, f in enumerate(targets)],
+    columns = unique_columns(catalog).withColumn("hits", _hits(F.col("norm"), targets))
+    offers = F.transform("hits", lambda h: F.struct(
+        h["field_no"].alias("field_no"), h["tier"].alias("tier"), h["place"].alias("place"),
+        F.col("position").cast("bigint").alias("position"), F.col("column_name").alias("column_name"),
+    ))
+    grouped = columns.groupBy("company_id").agg(F.flatten(F.collect_list(offers)).alias("offers"))
+
+    def pick(state: Column, i: Column) -> Column:
+        best = F.array_min(F.filter(
+            "offers",
+            lambda o: (o["field_no"] == i) & ~F.array_contains(state["taken"], o["column_name"]),
+        ))
+        return F.struct(
+            F.array_append(state["taken"], F.coalesce(best["column_name"], F.lit(""))).alias("taken"),
+            F.array_append(state["picks"], best).alias("picks"),
+        )
+
+    start = F.expr(
+        "struct(cast(array() as array<string>) as taken, cast(array() as array<struct<field_no:int,"
+        "tier:int,place:int,position:bigint,column_name:string>>) as picks)"
     )
-    state = columns.groupBy("company_id").agg(F.collect_list(entry).alias("cols")).withColumn(
-        "taken", F.expr("cast(array() as array<string>)")
+    fields = F.sequence(F.lit(0), F.lit(len(targets) - 1))
+    names = F.array(*[F.lit(f) for f in targets])
+    levels = F.array(F.lit("exact"), F.lit("likely"), F.lit("guess"))
+    folded = grouped.select("company_id", F.aggregate(fields, start, pick)["picks"].alias("picks"))
+    return folded.select("company_id", F.posexplode("picks").alias("field_no", "pick")).select(
+        "company_id", "field_no", F.get(names, F.col("field_no")).alias("field"),
+        F.col("pick.column_name").alias("column_name"),
+        F.get(levels, F.col("pick.tier") - 1).alias("confidence"),
     )
-    for i in range(len(targets)):
-        state = state.withColumn(f"pick{i}", _best_free_column(f"m{i}")).withColumn(
-            "taken",
-            F.when(F.col(f"pick{i}").isNull(), F.col("taken")).otherwise(
-                F.array_append("taken", F.col(f"pick{i}.column_name"))
-            ),
-        )
-    picks = F.array(*[
-        F.struct(
-            F.lit(i).alias("field_no"), F.lit(field).alias("field"),
-            F.col(f"pick{i}.column_name").alias("column_name"),
-            F.get(
-                F.array(F.lit("exact"), F.lit("likely"), F.lit("guess")),
-                F.col(f"pick{i}.tier") - 1,
-            ).alias("confidence"),
-        )
-        for i, field in enumerate(targets)
-    ])
-    return state.select("company_id", F.inline(picks))
 
 
 def best_match_per_field(catalog: DataFrame, targets: list[str] | None = None) -> DataFrame:
     """Every field's best column when columns may be shared between fields."""
     targets = targets or list(COLUMN_ALIASES)
-    columns = unique_columns(catalog)
-    options = columns.select(
-        "company_id", "column_name", "position",
-        F.explode(F.array(*[
-            F.struct(F.lit(f).alias("field"), _match_rank(F.col("norm"), f).alias("m"))
-            for f in targets
-        ])).alias("o"),
-    ).where("o.m is not null")
-    return options.groupBy("company_id", F.col("o.field").alias("field")).agg(
-        F.min_by("column_name", F.struct("o.m.tier", "o.m.alias", "position")).alias("column_name")
+    names = F.array(*[F.lit(f) for f in targets])
+    options = unique_columns(catalog).select(
+        "company_id", "column_name", "position", F.explode(_hits(F.col("norm"), targets)).alias("h")
+    )
+    return options.groupBy("company_id", F.get(names, F.col("h.field_no")).alias("field")).agg(
+        F.min_by("column_name", F.struct("h.tier", "h.place", "position")).alias("column_name")
     )
 
 
