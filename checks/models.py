@@ -218,7 +218,7 @@ def q_score_anomalies(spark, d):
 
 @check("company_id date is_anomaly anomaly_score:f")
 def q_score_company_anomalies(spark, d):
-    return scoring.flag_days(warehouse.daily_metrics(spark, d), None, CONFIG, per_company=True)
+    return scoring.flag_own_days(build_features(warehouse.daily_metrics(spark, d)), CONFIG)
 
 
 # ---------------------------------------------------------------- flows

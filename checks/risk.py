@@ -244,7 +244,7 @@ _SOURCES = ["shap", "shap_failed:feature_importances", "shap_not_installed:coeff
   SELECT c_custkey::VARCHAR AS company_id, s.source AS explanation_source, s.heading, s.shown FROM customer
   JOIN (VALUES (0, 'shap', 'SHAP', 62), (1, 'shap_failed:feature_importances', 'model feature importances', 135),
     (2, 'shap_not_installed:coefficients', 'model coefficients', 131),
-    (3, 'shap_failed:permutation', 'permutation sensitivity', 136), (4, 'none', '', 0)) s(n, source, heading, shown)
+    (3, 'shap_failed:permutation', 'permutation sensitivity', 131), (4, 'none', '', 0)) s(n, source, heading, shown)
     ON s.n = c_custkey % 5""")
 def q_explanation_method(spark, d):
     rows = warehouse.table(spark, d, "customer").select(

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.config import DETECTOR_FEATURES
+from riskloom.operators.layout import spread
 from riskloom.operators.ordering import exact_quantiles
 
 TREES_PER_BLOCK = 25
@@ -30,44 +31,80 @@ def expected_depth(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, big, np.where(n == 2, 1.0, 0.0))
 
 
-def grow_tree(points: np.ndarray, rng: np.random.Generator) -> tuple[list, list, list, list, list]:
-    """Random axis-parallel splits down to the depth limit; leaves hold their path length."""
-    limit = int(np.ceil(np.log2(max(len(points), 2))))
-    feature, threshold, left, right, path = [], [], [], [], []
-    pending = [(np.arange(len(points)), 0, -1, False)]
-    while pending:
-        rows, depth, parent, is_right = pending.pop()
-        node = len(feature)
-        if parent >= 0:
-            (right if is_right else left)[parent] = node
-        block = points[rows]
-        low, high = (block.min(axis=0), block.max(axis=0)) if len(rows) else (None, None)
-        usable = np.flatnonzero(high > low) if len(rows) else np.array([], dtype=int)
-        split = depth < limit and len(rows) > 1 and len(usable) > 0
-        axis = int(rng.choice(usable)) if split else -1
-        cut = float(rng.uniform(low[axis], high[axis])) if split else 0.0
-        feature.append(axis)
-        threshold.append(cut)
-        left.append(-1)
-        right.append(-1)
-        path.append(float(depth + expected_depth(np.array([len(rows)]))[0]))
-        if split:
-            goes_left = block[:, axis] <= cut
-            pending.append((rows[goes_left], depth + 1, node, False))
-            pending.append((rows[~goes_left], depth + 1, node, True))
-    return feature, threshold, left, right, path
+def grow_trees(points: np.ndarray, tree: np.ndarray, n_trees: int, rng: np.random.Generator) -> list[tuple]:
+    """Random axis-parallel splits for several trees at once, one level after the other.
+
+    `tree` numbers each point's tree from 0. Returns per tree the arrays feature (-1 at a
+    leaf), threshold, left, right and path; a leaf's path counts its unsplit points."""
+    sizes = np.bincount(tree, minlength=n_trees)
+    limits = np.ceil(np.log2(np.maximum(sizes, 2))).astype(int)
+    owner, feature, threshold, left, right, path = (
+        [np.arange(n_trees)], [np.full(n_trees, -1)], [np.zeros(n_trees)], [np.full(n_trees, -1)],
+        [np.full(n_trees, -1)], [np.zeros(n_trees)],
+    )
+    total, depth, first = n_trees, 0, 0
+    alive, node = np.arange(len(points)), tree.copy()
+    while len(alive):
+        by_node = alive[np.argsort(node[alive], kind="stable")]
+        starts = np.flatnonzero(np.r_[True, np.diff(node[by_node]) != 0])
+        ids = node[by_node][starts]
+        counts = np.diff(np.r_[starts, len(by_node)])
+        block = points[by_node]
+        low = np.minimum.reduceat(block, starts, axis=0)
+        high = np.maximum.reduceat(block, starts, axis=0)
+        usable = high > low
+        local = ids - first
+        split = (counts > 1) & usable.any(axis=1) & (depth < limits[owner[-1][local]])
+        path[-1][local] = depth + expected_depth(counts)
+        axis = np.argmax(np.where(usable, rng.random(usable.shape), -1.0), axis=1)
+        pick = np.arange(len(ids))
+        cut = low[pick, axis] + rng.random(len(ids)) * (high[pick, axis] - low[pick, axis])
+        n_split = int(split.sum())
+        child = np.full(len(ids), -1)
+        child[split] = total + 2 * np.arange(n_split)
+        feature[-1][local] = np.where(split, axis, -1)
+        threshold[-1][local] = np.where(split, cut, 0.0)
+        left[-1][local] = child
+        right[-1][local] = np.where(split, child + 1, -1)
+        position = np.repeat(pick, counts)
+        goes_on = split[position]
+        alive, position = by_node[goes_on], position[goes_on]
+        is_right = points[alive, axis[position]] > cut[position]
+        node[alive] = child[position] + is_right
+        heirs = np.repeat(owner[-1][local][split], 2)
+        owner.append(heirs)
+        feature.append(np.full(len(heirs), -1))
+        threshold.append(np.zeros(len(heirs)))
+        left.append(np.full(len(heirs), -1))
+        right.append(np.full(len(heirs), -1))
+        path.append(np.full(len(heirs), depth + 1.0))
+        first, total, depth = total, total + len(heirs), depth + 1
+    owners = np.concatenate(owner)
+    columns = [np.concatenate(c) for c in (feature, threshold, left, right, path)]
+    out = []
+    for t in range(n_trees):
+        mine = np.flatnonzero(owners == t)
+        renumber = np.full(total, -1)
+        renumber[mine] = np.arange(len(mine))
+        f, c, l, r, p = (column[mine] for column in columns)
+        inner = f >= 0
+        out.append((f, c, np.where(inner, renumber[l], -1), np.where(inner, renumber[r], -1), p))
+    return out
 
 
 def _grow_block(columns: list[str], seed: int, sample: int):
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for tree, rows in pdf.sort_values(["tree", "draw"]).groupby("tree", sort=True):
-            points = rows[columns].to_numpy(dtype=float)[:sample]
-            rng = np.random.default_rng([seed, int(tree)])
-            out.append((key[0], int(tree), len(points), *grow_tree(points, rng)))
-        return pd.DataFrame(out, columns=[
-            "group_id", "tree", "sample_size", "feature", "threshold", "left", "right", "path",
-        ])
+        pdf = pdf.sort_values(["tree", "draw"])
+        pdf = pdf[pdf.groupby("tree").cumcount() < sample]
+        numbers, codes = np.unique(pdf["tree"].to_numpy(), return_inverse=True)
+        points = pdf[columns].to_numpy(dtype=float)
+        rng = np.random.default_rng([seed, int(key[1])])
+        sizes = np.bincount(codes)
+        trees = grow_trees(points, codes, len(numbers), rng)
+        return pd.DataFrame(
+            [(key[0], int(n), int(s), *t) for n, s, t in zip(numbers, sizes, trees)],
+            columns=["group_id", "tree", "sample_size", "feature", "threshold", "left", "right", "path"],
+        )
 
     return grow
 
@@ -106,7 +143,7 @@ def train_isolation_forest(features: DataFrame, id_columns: list[str], contamina
         "group_id", F.col("s.tree").alias("tree"), F.col("s.draw").alias("draw"), *columns,
         F.floor(F.col("s.tree") / TREES_PER_BLOCK).alias("block"),
     )
-    return placed.groupBy("group_id", "block").applyInPandas(
+    return spread(placed, "group_id", "block").groupBy("group_id", "block").applyInPandas(
         _grow_block(columns, seed, sample), FOREST_SCHEMA
     )
 
@@ -169,9 +206,8 @@ def score_per_group(features: DataFrame, forest: DataFrame, group: str = "compan
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in features.schema.fields)
     schema = fields + ", raw_score double"
-    return features.groupBy(group).cogroup(
-        forest.withColumnRenamed("group_id", group).groupBy(group)
-    ).applyInPandas(score, schema)
+    trees = spread(forest.withColumnRenamed("group_id", group), group)
+    return spread(features, group).groupBy(group).cogroup(trees.groupBy(group)).applyInPandas(score, schema)
 
 
 def contamination_threshold(scored: DataFrame, contamination: float = 0.03, group: str | None = None,

@@ -23,7 +23,6 @@ from riskloom.functions.scalars import clip01, seeded_key
 from riskloom.operators.joins import alias_lookup
 from riskloom.operators.ordering import running_totals
 from riskloom.operators.preparation import class_weights
-from riskloom.operators.ranking import top_factors
 
 NUMERIC_FEATURES = CHURN_NUMERIC_COLUMNS + [
     "spend_per_login", "tickets_per_tenure", "usage_per_tenure", "low_usage_flag",
@@ -35,6 +34,7 @@ FAMILY_ALIASES = {"logistic": "logistic_regression", "baseline": "logistic_regre
                   "rf": "random_forest", "lgbm": "lightgbm"}
 MAX_SENSITIVITY_ROWS = 400
 SCORE_BUCKETS = 65_536
+TOP_FACTORS = 3
 
 # Settings of the four families.
 FOREST = dict(numTrees=300, maxDepth=8, minInstancesPerNode=5)
@@ -110,7 +110,8 @@ def _estimator(family: str, n: int, settings: dict, seed: int):
     common = dict(featuresCol="features", labelCol="churn_label", weightCol="class_weight")
     if family == "logistic_regression":
         return LogisticRegression(**{**common, "regParam": 1.0 / max(n, 1), "elasticNetParam": 0.0,
-                                     "standardization": False, "maxIter": 1000, **settings})
+                                     "standardization": False, "maxIter": 1000, "tol": 1e-5,
+                                     **settings})
     if family == "random_forest":
         return RandomForestClassifier(**{**common, "seed": seed, **FOREST, **settings})
     base = BOOST_A if family == "xgboost" else BOOST_B
@@ -278,26 +279,40 @@ def linear_attribution(rows: DataFrame, coefficients: dict[str, float], by: str
     return means.crossJoin(F.broadcast(overall)).select(by, F.inline(cells))
 
 
-def _named(values: Column, names: list[str]) -> Column:
-    return F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), values.alias("value"))
+def company_churn(features: DataFrame, model: ChurnModel | None, by: str = "company_id") -> DataFrame:
+    """`(company_id, churn_prob, top_factors, explanation_source)` from one pass over the rows.
 
-
-def explain_factors(features: DataFrame, model: ChurnModel, by: str = "company_id") -> DataFrame:
-    """`(company_id, top_factors, explanation_source)`: exact attributions for the linear
-    family, otherwise the fallback chain with a tag that says so."""
+    Linear family: exact attributions, which only need each company's mean vector. Other
+    families: the model's own importances, with a tag that says so."""
+    if model is None:
+        return features.groupBy(by).agg(F.lit(0.0).alias("churn_prob"))
+    scored = model.pipeline.transform(features)
+    aggs = [F.avg(clip01(F.get(vector_to_array("probability"), F.lit(1)))).alias("churn_prob")]
     if model.family != "logistic_regression":
-        return importance_fallback(features, model, by)
-    prepared = PipelineModel(model.pipeline.stages[:-1]).transform(features)
-    means = prepared.groupBy(by).agg(
-        vector_to_array(Summarizer.mean(F.col("features"))).alias("m")
-    )
+        tag, entries = _own_importances(model, "shap_not_installed")
+        return scored.groupBy(by).agg(*aggs).withColumns(
+            {"top_factors": entries, "explanation_source": F.lit(tag)}
+        )
+    aggs.append(vector_to_array(Summarizer.mean(F.col("features"))).alias("__mean"))
     weights = [float(x) for x in model.classifier.coefficients]
-    attribution = F.array(*[
-        F.lit(w) * (F.get("m", F.lit(i)) - F.lit(b))
-        for i, (w, b) in enumerate(zip(weights, model.background))
+    cells = F.array(*[
+        F.struct(F.lit(n).alias("feature"), (F.lit(w) * (F.get("__mean", F.lit(i)) - F.lit(b))).alias("value"))
+        for i, (n, w, b) in enumerate(zip(model.feature_names, weights, model.background))
     ])
-    rows = means.select(by, F.inline(_named(attribution, model.feature_names)).alias("feature", "value"))
-    return top_factors(rows, by=by).withColumn("explanation_source", F.lit("shap"))
+    largest = F.array_sort(F.transform(
+        cells, lambda c: F.struct((-F.abs(c["value"])).alias("k"), c["feature"].alias("feature"),
+                                  c["value"].alias("value"))
+    ))
+    top = F.transform(F.slice(largest, 1, TOP_FACTORS), lambda c: F.struct(
+        c["feature"].alias("feature"), c["value"].alias("value")))
+    return scored.groupBy(by).agg(*aggs).withColumns(
+        {"top_factors": top, "explanation_source": F.lit("shap")}
+    ).drop("__mean")
+
+
+def explain_factors(features: DataFrame, model: ChurnModel, by: str = "company_id") -> DataFrame:
+    """`(company_id, top_factors, explanation_source)`."""
+    return company_churn(features, model, by).drop("churn_prob")
 
 
 def importance_table(model: ChurnModel, sensitivity: DataFrame | None = None) -> tuple[str, list[tuple[str, float]]]:
@@ -314,16 +329,20 @@ def importance_table(model: ChurnModel, sensitivity: DataFrame | None = None) ->
     return "none", []
 
 
-def importance_fallback(features: DataFrame, model: ChurnModel, by: str = "company_id",
-                        reason: str = "shap_not_installed") -> DataFrame:
-    """The model's own importances as every company's factors, tagged `reason:method`."""
+def _own_importances(model: ChurnModel, reason: str) -> tuple[str, Column]:
     method, values = importance_table(model)
-    ranked = sorted(values, key=lambda v: (-abs(v[1]), v[0]))[:3]
+    ranked = sorted(values, key=lambda v: (-abs(v[1]), v[0]))[:TOP_FACTORS]
     entries = [F.struct(F.lit(n).alias("feature"), F.lit(v).alias("value")) for n, v in ranked]
     empty = F.expr("array()").cast("array<struct<feature:string,value:double>>")
-    return features.select(by).distinct().select(
-        by, (F.array(*entries) if entries else empty).alias("top_factors"),
-        F.lit(f"{reason}:{method}").alias("explanation_source"),
+    return f"{reason}:{method}", F.array(*entries) if entries else empty
+
+
+def importance_fallback(features: DataFrame, model: ChurnModel, by: str = "company_id",
+                        reason: str = "shap_not_installed") -> DataFrame:
+    """The model's own importances as every company's factors, tagged `reason:method`."""
+    tag, entries = _own_importances(model, reason)
+    return features.select(by).distinct().withColumns(
+        {"top_factors": entries, "explanation_source": F.lit(tag)}
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from riskloom.config import INTERVAL_Z, SEASON_DAYS
 from riskloom.operators.joins import align_backtest
+from riskloom.operators.layout import spread
 from riskloom.operators.preparation import split_by_holdout
 
 MODEL_SCHEMA = (
@@ -235,7 +236,7 @@ def train_forecast(train: DataFrame, model_type: str = "prophet", value: str = "
     rows = train.select("company_id", "date", F.col(value).cast("double").alias(value)).where(
         F.col(value).isNotNull()
     )
-    return rows.groupBy("company_id").applyInPandas(_fit_company(chain, value), MODEL_SCHEMA)
+    return spread(rows, "company_id").groupBy("company_id").applyInPandas(_fit_company(chain, value), MODEL_SCHEMA)
 
 
 def future_dates(models: DataFrame, horizon: int | Column) -> DataFrame:

@@ -102,8 +102,11 @@ def assess_companies(signals: DataFrame, factors: DataFrame | None = None,
                      weights: RiskWeights = RiskWeights()) -> DataFrame:
     """Score, band, points, factors and sentence for the output of `combine_signals`.
 
-    `factors(company_id, top_factors, explanation_source)` is optional."""
-    if factors is None:
+    The factors come as columns of `signals`, or as `factors(company_id, top_factors,
+    explanation_source)`, or not at all."""
+    if factors is None and "top_factors" in signals.columns:
+        joined = signals
+    elif factors is None:
         joined = signals.withColumn("top_factors", F.lit(None).cast(FACTORS_TYPE)).withColumn(
             "explanation_source", F.lit(None).cast("string")
         )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,9 @@ class Models:
 
 @dataclass
 class Bundle:
-    """Everything a scoring run gives, as DataFrames keyed by company."""
+    """Everything a scoring run gives, as DataFrames keyed by company.
+
+    `release` frees the daily tables that several parts of the run share."""
 
     assessments: DataFrame
     customers: DataFrame
@@ -33,54 +35,62 @@ class Bundle:
     anomalies: DataFrame
     forecast: DataFrame
     blocked: DataFrame | None = None
+    shared: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        for frame in self.shared:
+            frame.unpersist()
 
 
-def combine(companies: DataFrame, customers: DataFrame, reviews: DataFrame, anomalies: DataFrame,
-            projected: DataFrame, factors: DataFrame | None, config: EngineConfig) -> DataFrame:
+def combine(companies: DataFrame, churn_table: DataFrame, reviews: DataFrame, anomalies: DataFrame,
+            projected: DataFrame, config: EngineConfig) -> DataFrame:
     """Scored tables to assessments with recommendations: one aggregation per table, then
     joins of one row per company."""
     merged = risk.combine_signals(
         companies,
-        signals.signal_churn(customers),
+        churn_table,
         signals.review_signals(reviews),
         signals.anomaly_signals(anomalies),
         signals.forecast_signals(projected),
     )
-    return recommend.recommendations(risk.assess_companies(merged, factors, config.weights))
+    return recommend.recommendations(risk.assess_companies(merged, None, config.weights))
 
 
-def flag_days(daily: DataFrame, forest: DataFrame | None, config: EngineConfig,
-              per_company: bool) -> DataFrame:
-    """Daily features with anomaly flags from one forest, or one per company."""
-    features = build_features(daily)
-    if per_company:
-        forest = anomaly.train_isolation_forest(
-            features, ["company_id", "date"], config.contamination, config.n_trees,
-            config.tree_sample, config.seed, group="company_id",
-        )
-        raw = anomaly.score_per_group(features, forest)
-        return anomaly.contamination_threshold(raw, config.contamination, "company_id")
+def flag_days(features: DataFrame, forest: DataFrame | None, config: EngineConfig) -> DataFrame:
+    """Daily features with flags from one forest for all companies."""
     if forest is None:
         return anomaly.without_detector(features)
     return anomaly.contamination_threshold(anomaly.score_global(features, forest), config.contamination)
 
 
+def flag_own_days(features: DataFrame, config: EngineConfig) -> DataFrame:
+    """Daily features with flags from a forest fitted on each company's own days."""
+    forest = anomaly.train_isolation_forest(
+        features, ["company_id", "date"], config.contamination, config.n_trees,
+        config.tree_sample, config.seed, group="company_id",
+    )
+    raw = anomaly.score_per_group(features, forest)
+    return anomaly.contamination_threshold(raw, config.contamination, "company_id")
+
+
 def score_companies(companies: DataFrame, customers: DataFrame, reviews: DataFrame, daily: DataFrame,
                     models: Models, config: EngineConfig = EngineConfig()) -> Bundle:
     """Known companies: trained churn, sentiment and global anomaly models, and the saved
     forecast table (or a fit on all but the held-out days)."""
-    scored_customers = churn.score_churn(engineer_features(customers), models.churn)
+    features = engineer_features(customers)
+    days = build_features(daily).persist()
     scored_reviews = text.score_sentiment(reviews, models.sentiment)
-    flagged = flag_days(daily, models.forest, config, per_company=False)
+    flagged = flag_days(days, models.forest, config)
     if models.forecast is None:
-        projected = forecast.backtest_and_project(daily, config.forecast_model, config.horizon_days)
+        projected = forecast.backtest_and_project(days, config.forecast_model, config.horizon_days)
     else:
-        projected = forecast.project_saved(daily, models.forecast, config.horizon_days)
-    factors = churn.explain_factors(scored_customers, models.churn) if models.churn else None
+        projected = forecast.project_saved(days, models.forecast, config.horizon_days)
     assessments = combine(
-        companies, scored_customers, scored_reviews, flagged, projected, factors, config
+        companies, churn.company_churn(features, models.churn), scored_reviews, flagged, projected,
+        config,
     )
-    return Bundle(assessments, scored_customers, scored_reviews, flagged, projected)
+    return Bundle(assessments, churn.score_churn(features, models.churn), scored_reviews, flagged,
+                  projected, shared=[days])
 
 
 def score_uploaded(customers: DataFrame, reviews: DataFrame | None, daily: DataFrame | None,
@@ -103,24 +113,26 @@ def score_uploaded(customers: DataFrame, reviews: DataFrame | None, daily: DataF
         daily = spark.createDataFrame(
             [], "company_id string, date date, revenue double, active_users bigint, signups bigint"
         )
-    reviews = reviews.join(companies, "company_id", "left_semi")
-    daily = daily.join(companies, "company_id", "left_semi").withColumn("date", F.col("date").cast("date"))
+    reviews = validation.accepted(reviews, blocked)
+    daily = validation.accepted(daily, blocked).withColumn("date", F.col("date").cast("date"))
 
-    scored_customers = churn.score_churn(engineer_features(usable), models.churn)
+    features = engineer_features(usable)
     if models.sentiment is None:
         scored_reviews = text.score_sentiment(reviews.drop("sentiment_label"), None)
     else:
         scored_reviews = text.score_sentiment(reviews, models.sentiment)
-    flagged = flag_days(daily, None, config, per_company=True)
-    ready = validation.forecast_readiness(daily).select("company_id", "holdout_days")
-    projected = forecast.backtest_by_holdout(daily.join(ready, "company_id"), config.forecast_model)
-    factors = churn.explain_factors(scored_customers, models.churn) if models.churn else None
+    days = build_features(daily).persist()
+    flagged = flag_own_days(days, config)
+    ready = validation.forecast_readiness(days).select("company_id", "holdout_days")
+    projected = forecast.backtest_by_holdout(days.join(ready, "company_id"), config.forecast_model)
     assessments = combine(
-        companies, scored_customers, scored_reviews, flagged, projected, factors, config
+        companies, churn.company_churn(features, models.churn), scored_reviews, flagged, projected,
+        config,
     )
-    quality = validation.data_quality(companies, usable, reviews, daily)
+    quality = validation.data_quality(companies, usable, reviews, days)
     facts = F.struct("customers", "reviews", "timeseries_days", "forecast_note").alias("data_quality")
     assessments = assessments.join(quality.select("company_id", facts), "company_id").withColumn(
         "profile", F.lit("Uploaded")
     )
-    return Bundle(assessments, scored_customers, scored_reviews, flagged, projected, blocked)
+    return Bundle(assessments, churn.score_churn(features, models.churn), scored_reviews, flagged,
+                  projected, blocked, [days])

@@ -29,12 +29,13 @@ def train_churn_models(customers: DataFrame, config: EngineConfig, families=None
     """Candidates on the training split; the best by ROC-AUC on the held-out rows."""
     split = split_stratified(
         engineer_features(customers), "customer_id", "churn_label", config.test_size, config.seed
-    )
+    ).persist()
     candidates = churn.train_candidates(
         split.where("not is_test"), config.seed, families or churn.FAMILIES, settings
     )
     metrics = churn.candidate_metrics(candidates, split.where("is_test")).persist()
     best = churn.select_best(metrics).first().best_model
+    split.unpersist()
     return candidates[best], candidates, metrics, best
 
 
@@ -52,7 +53,7 @@ def train_all(customers: DataFrame, reviews: DataFrame, daily: DataFrame,
         text.score_sentiment(split.where("is_test"), sentiment)
     )
 
-    features = build_features(daily)
+    features = build_features(daily).persist()
     forest = anomaly.train_isolation_forest(
         features, ["company_id", "date"], config.contamination, config.n_trees,
         config.tree_sample, config.seed,
@@ -64,7 +65,7 @@ def train_all(customers: DataFrame, reviews: DataFrame, daily: DataFrame,
         )
         anomaly_metrics = anomaly.evaluate_anomalies(flagged, truth)
 
-    days = split_by_holdout(daily.withColumn("holdout_days", F.lit(config.horizon_days))).where(
+    days = split_by_holdout(features.withColumn("holdout_days", F.lit(config.horizon_days))).where(
         "skipped_reason is null"
     )
     fitted = forecast.train_forecast(days.where("not is_test"), config.forecast_model).persist()
