@@ -10,6 +10,7 @@ from checks.registry import check
 from riskloom.config import EngineConfig
 from riskloom.functions import scalars
 from riskloom.operators import anomaly, churn, preparation, text
+from riskloom.operators.layout import widen
 from riskloom.operators.series import build_features
 from riskloom.plans import scoring, training
 from riskloom.sources import warehouse
@@ -38,7 +39,7 @@ FRAGMENTS["doc_weights"] = """
 
 
 def documents(spark, d):
-    return warehouse.table(spark, d, "documents").select("doc_id", "text")
+    return widen(warehouse.documents(spark, d).select("doc_id", "text"))
 
 
 @check("doc_id:i cleaned", "SELECT doc_id, md5(cleaned) AS cleaned FROM clean_docs")

@@ -78,7 +78,7 @@ def parse_date(value: Column) -> Column:
 
 def finite_or(value: Column, default: float) -> Column:
     """A number, or `default` where it is missing, text, NaN or infinite."""
-    number = parse_number(value)
+    number = value.try_cast("double")
     usable = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
     return F.when(usable, number).otherwise(F.lit(float(default)))
 

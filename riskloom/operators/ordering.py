@@ -147,13 +147,13 @@ def exact_quantiles(rows: DataFrame, by: list[str], value: str, probs: list[floa
     return placed.groupBy(*by).agg(F.first("n").alias("n"), *picks)
 
 
-def average_percent_rank(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+def average_percent_rank(rows: DataFrame, by: list[str], value: str, weight: Column | None = None) -> DataFrame:
     """Per distinct value the average-tie percent rank, with its exact integer parts.
 
     Output `(by…, value, peers, before, total, pct_rank)`: join it back on the value. The
-    sort runs inside log-scaled value buckets."""
+    sort runs inside log-scaled value buckets. `weight` counts a row several times."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
-        F.count(F.lit(1)).alias("peers")
+        F.sum(F.lit(1) if weight is None else weight).alias("peers")
     )
     number = F.col(value).cast("double")
     bucket = F.floor(F.signum(number) * F.log1p(F.abs(number)) * 64).cast("bigint")

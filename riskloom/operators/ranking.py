@@ -12,6 +12,7 @@ from riskloom.functions.scalars import mask_id, seeded_key
 from riskloom.operators.ordering import (
     average_percent_rank, digest_cutoffs, hash_bucket, running_totals,
 )
+from riskloom.sources.scratch import written
 
 
 def top_n(rows: DataFrame, by: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
@@ -66,16 +67,20 @@ def preview(rows: DataFrame, key: str, n: int = 10) -> DataFrame:
 def engagement(customers: DataFrame) -> DataFrame:
     """Per (usage, tickets) pair: its customers and 4·n times its engagement, an exact integer.
 
-    Engagement is the usage percent rank minus half the ticket percent rank."""
-    usage = average_percent_rank(customers, [], "usage_frequency").select(
+    Engagement is the usage percent rank minus half the ticket percent rank. The pair table is
+    written once; the ranks come from it and not from the customers."""
+    pairs = written(
+        customers.groupBy("usage_frequency", "support_tickets").agg(
+            F.count(F.lit(1)).alias("members")
+        ),
+        "engagement-pairs",
+    )
+    usage = average_percent_rank(pairs, [], "usage_frequency", F.col("members")).select(
         "usage_frequency", (2 * F.col("before") + F.col("peers") + 1).alias("usage_x2")
     )
-    ticket = average_percent_rank(customers, [], "support_tickets").select(
+    ticket = average_percent_rank(pairs, [], "support_tickets", F.col("members")).select(
         "support_tickets", (2 * F.col("before") + F.col("peers") + 1).alias("ticket_x2")
     )
-    pairs = customers.groupBy("usage_frequency", "support_tickets").agg(
-        F.count(F.lit(1)).alias("members")
-    )
     return (
         pairs.join(usage, "usage_frequency")
         .join(ticket, "support_tickets")
@@ -83,19 +88,14 @@ def engagement(customers: DataFrame) -> DataFrame:
     )
 
 
-def portfolio_slice(customers: DataFrame, portfolios: DataFrame, seed: int = 42,
-                    id_column: str = "customer_id") -> DataFrame:
-    """Customers at the head, middle or tail of the engagement order.
-
-    `portfolios(portfolio, customer_filter, n_customers)`. Equal engagement is ordered by the
-    seeded digest of the id. Only pairs that overlap a slice touch the customer table, and
-    inside them rows are ranked per digest bucket."""
-    pairs = engagement(customers)
-    ties = pairs.groupBy("engagement_x4n").agg(F.sum("members").alias("members"))
-    total = ties.agg(F.sum("members").alias("total"))
-    bucketed = ties.crossJoin(F.broadcast(total)).withColumn("place", -F.col("engagement_x4n"))
+def slice_pairs(customers: DataFrame, portfolios: DataFrame) -> DataFrame:
+    """The pairs that overlap a portfolio's slice, with where their tie group starts."""
+    pairs = written(engagement(customers), "engagement")
+    ties = pairs.groupBy("engagement_x4n").agg(F.sum("members").alias("tie_members"))
+    total = pairs.agg(F.sum("members").alias("total"))
+    places = ties.crossJoin(F.broadcast(total)).withColumn("place", -F.col("engagement_x4n"))
     bucket = F.floor(F.col("place") / F.col("total") * 256).cast("bigint")
-    placed = running_totals(bucketed, [], bucket, [F.col("place")], ["members"])
+    placed = running_totals(places, [], bucket, [F.col("place")], ["tie_members"])
 
     n = F.least("n_customers", "total")
     start = (
@@ -106,39 +106,45 @@ def portfolio_slice(customers: DataFrame, portfolios: DataFrame, seed: int = 42,
     wanted = portfolios.crossJoin(F.broadcast(total)).select(
         "portfolio", start.alias("first_pos"), (start + n).alias("end_pos")
     )
-    overlap = (F.col("members_before") < F.col("end_pos")) & (
-        F.col("members_before") + F.col("members") > F.col("first_pos")
+    overlap = (F.col("tie_members_before") < F.col("end_pos")) & (
+        F.col("tie_members_before") + F.col("tie_members") > F.col("first_pos")
     )
     hits = placed.join(F.broadcast(wanted), overlap).select(
         "portfolio", "first_pos", "end_pos", "engagement_x4n",
-        F.col("members_before").alias("tie_start"),
+        F.col("tie_members_before").alias("tie_start"),
     )
-    hit_pairs = pairs.select("usage_frequency", "support_tickets", "engagement_x4n").join(
-        hits, "engagement_x4n"
+    return written(
+        pairs.select("usage_frequency", "support_tickets", "engagement_x4n").join(hits, "engagement_x4n"),
+        "slice-pairs",
     )
-    pair_keys = ["usage_frequency", "support_tickets"]
-    members = customers.join(hit_pairs, pair_keys).withColumn(
+
+
+def portfolio_slice(customers: DataFrame, portfolios: DataFrame, seed: int = 42,
+                    id_column: str = "customer_id") -> DataFrame:
+    """Customers at the head, middle or tail of the engagement order.
+
+    `portfolios(portfolio, customer_filter, n_customers)` is a setting. Equal engagement is
+    ordered by the seeded digest of the id. Only pairs that overlap a slice touch the customer
+    table, and inside them rows are ranked per digest bucket."""
+    hits = slice_pairs(customers, portfolios)
+    members = customers.join(hits, ["usage_frequency", "support_tickets"]).withColumn(
         "__digest", seeded_key(seed, F.col(id_column))
     ).withColumn("__slot", hash_bucket(F.col("__digest")))
     tie = ["portfolio", "engagement_x4n"]
-    slots = members.groupBy(*tie, "__slot").agg(F.count(F.lit(1)).alias("__m"))
+    slots = members.groupBy(*tie, "__slot").agg(
+        F.count(F.lit(1)).alias("__m"), F.first("tie_start").alias("__start"),
+        F.first("first_pos").alias("__first"), F.first("end_pos").alias("__end"),
+    )
     offsets = running_totals(
         slots, tie, F.substring("__slot", 1, 1), [F.col("__slot")], ["__m"]
-    )
-    useful = offsets.join(hits, tie).where(
-        (F.col("tie_start") + F.col("__m_before") < F.col("end_pos"))
-        & (F.col("tie_start") + F.col("__m_before") + F.col("__m") > F.col("first_pos"))
-    ).select(*tie, "__slot", "__m_before")
+    ).withColumn("__from", F.col("__start") + F.col("__m_before"))
+    useful = offsets.where("__from < __end and __from + __m > __first").select(*tie, "__slot", "__from")
     inside = Window.partitionBy(*tie, "__slot").orderBy("__digest")
     return (
         members.join(useful, [*tie, "__slot"])
-        .withColumn(
-            "position",
-            F.col("tie_start") + F.col("__m_before") + F.row_number().over(inside) - 1,
-        )
+        .withColumn("position", F.col("__from") + F.row_number().over(inside) - 1)
         .where("position >= first_pos and position < end_pos")
-        .drop("__digest", "__slot", "__m_before", "tie_start", "first_pos", "end_pos",
-              "engagement_x4n")
+        .drop("__digest", "__slot", "__from", "tie_start", "first_pos", "end_pos", "engagement_x4n")
     )
 
 

@@ -52,14 +52,8 @@ def _metric_items(present: Column, dropped: Column) -> list[Column]:
     ]
 
 
-def recommendation_items(signals: Column, dropped: Column) -> Column:
-    """Ordered array of `{action, reason, priority}`, never empty."""
-    churn = finite_or(signals["churn_prob"], 0.0)
-    mood = finite_or(signals["sentiment_positivity"], 1.0)
-    ratio = finite_or(signals["anomaly_flag_ratio"], 0.0)
-    gap = finite_or(signals["forecast_deviation"], 0.0)
-    dropped = F.coalesce(dropped, F.expr("array()").cast("array<string>"))
-
+def _fired_rules(churn: Column, mood: Column, ratio: Column, gap: Column, dropped: Column) -> Column:
+    """All rules that fire, with their urgency and number."""
     unhappy_leavers = (churn > HIGH_CHURN) & (mood < NEGATIVE_SENTIMENT)
     falling_and_leaving = (gap > FORECAST_GAP) & (churn > MODERATE_CHURN)
     critical = unhappy_leavers | falling_and_leaving
@@ -103,22 +97,32 @@ def recommendation_items(signals: Column, dropped: Column) -> Column:
             F.concat(F.lit("Actual revenue is deviating "), percent_text(gap),
                      F.lit(" from forecast.")))),
     ]
-    found = F.array_compact(F.array(*items))
+    return F.array_compact(F.array(*items))
+
+
+def recommendations(assessments: DataFrame) -> DataFrame:
+    """Add the ordered array `recommendations` of `{action, reason, priority}`, never empty.
+
+    Expects `signals` and `dropped_metrics`. Inputs and fired rules are columns of their own,
+    so each is worked out once per row."""
     calm = F.array(_item(
         10, "info", "Healthy -- no immediate action required. Continue monitoring.",
         F.lit("All four risk signals are within normal ranges.")))
-    ordered = F.array_sort(F.when(F.size(found) > 0, found).otherwise(calm))
-    return F.transform(
+    inputs = assessments.withColumns({
+        "__churn": finite_or(F.col("signals.churn_prob"), 0.0),
+        "__mood": finite_or(F.col("signals.sentiment_positivity"), 1.0),
+        "__ratio": finite_or(F.col("signals.anomaly_flag_ratio"), 0.0),
+        "__gap": finite_or(F.col("signals.forecast_deviation"), 0.0),
+        "__fell": F.coalesce("dropped_metrics", F.expr("array()").cast("array<string>")),
+    })
+    fired = inputs.withColumn("__fired", _fired_rules(
+        F.col("__churn"), F.col("__mood"), F.col("__ratio"), F.col("__gap"), F.col("__fell")
+    ))
+    ordered = F.array_sort(F.when(F.size("__fired") > 0, F.col("__fired")).otherwise(calm))
+    return fired.withColumn("recommendations", F.transform(
         ordered, lambda x: F.struct(x["action"].alias("action"), x["reason"].alias("reason"),
                                     x["priority"].alias("priority"))
-    )
-
-
-def recommendations(assessments: DataFrame) -> DataFrame:
-    """Add the ordered `recommendations` to assessments that carry `dropped_metrics`."""
-    return assessments.withColumn(
-        "recommendations", recommendation_items(F.col("signals"), F.col("dropped_metrics"))
-    )
+    )).drop("__churn", "__mood", "__ratio", "__gap", "__fell", "__fired")
 
 
 def recommendation_rows(recommended: DataFrame) -> DataFrame:

@@ -13,26 +13,30 @@ IN_LINE = "in line with forecast"
 TINY = 1e-9
 
 
-def _number(name: str):
-    return nan_to_null(parse_number(F.col(name)))
+def _number(df: DataFrame, name: str):
+    """A column as a double, NULL where it is no number; only text needs parsing."""
+    column = F.col(name)
+    if dict(df.dtypes).get(name) == "string":
+        column = parse_number(column)
+    return nan_to_null(column.cast("double"))
 
 
 def signal_churn(scored: DataFrame) -> DataFrame:
     return scored.groupBy("company_id").agg(
-        F.coalesce(F.avg(_number("churn_prob")), F.lit(0.0)).alias("churn_prob")
+        F.coalesce(F.avg(_number(scored, "churn_prob")), F.lit(0.0)).alias("churn_prob")
     )
 
 
 def signal_sentiment(scored: DataFrame) -> DataFrame:
     return scored.groupBy("company_id").agg(
-        F.coalesce(F.avg(_number("score")), F.lit(1.0)).alias("sentiment_positivity")
+        F.coalesce(F.avg(_number(scored, "score")), F.lit(1.0)).alias("sentiment_positivity")
     )
 
 
 def dominant_sentiment(scored: DataFrame) -> DataFrame:
     """Verdict by mean positivity, by the most frequent label where no score exists."""
     stats = scored.groupBy("company_id").agg(
-        F.avg(_number("score")).alias("m"), F.mode("label", True).alias("top_label")
+        F.avg(_number(scored, "score")).alias("m"), F.mode("label", True).alias("top_label")
     )
     verdict = (
         F.when(F.col("m") < 0.45, "negative")
@@ -46,7 +50,7 @@ def dominant_sentiment(scored: DataFrame) -> DataFrame:
 def review_signals(scored: DataFrame) -> DataFrame:
     """Positivity and verdict in one pass."""
     stats = scored.groupBy("company_id").agg(
-        F.avg(_number("score")).alias("m"), F.mode("label", True).alias("top_label")
+        F.avg(_number(scored, "score")).alias("m"), F.mode("label", True).alias("top_label")
     )
     verdict = (
         F.when(F.col("m") < 0.45, "negative")
@@ -68,8 +72,8 @@ def _recent_stats(flagged: DataFrame, n: int) -> DataFrame:
         F.count_if(flag).alias("recent_anomalies"),
     ]
     for c in [c for c in SERIES_COLUMNS if c in flagged.columns]:
-        aggs.append(F.avg(_number(c)).alias(f"__all_{c}"))
-        aggs.append(F.avg(F.when(flag, _number(c))).alias(f"__flag_{c}"))
+        aggs.append(F.avg(_number(flagged, c)).alias(f"__all_{c}"))
+        aggs.append(F.avg(F.when(flag, _number(flagged, c))).alias(f"__flag_{c}"))
     return recent.groupBy("company_id").agg(*aggs)
 
 
@@ -106,7 +110,7 @@ def forecast_signals(forecast: DataFrame) -> DataFrame:
     """Downside deviation and the trend phrase from one conditional aggregation.
 
     Rows with both values are the backtest; rows with a forecast only are the projection."""
-    actual, predicted = _number("actual"), _number("forecast")
+    actual, predicted = _number(forecast, "actual"), _number(forecast, "forecast")
     paired = actual.isNotNull() & predicted.isNotNull()
     ahead = actual.isNull() & predicted.isNotNull()
     means = forecast.groupBy("company_id").agg(

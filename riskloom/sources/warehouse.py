@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.operators.joins import event_counts, join_counts
+from riskloom.operators.layout import widen
 
 LABEL_WINDOW_DAYS = 180
 FIRST_REVIEW_DATE = "2024-01-01"
@@ -20,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+
+
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company dimension: one row per region."""
     region = table(spark, sf_dir, "region")
@@ -126,7 +131,7 @@ def daily_metrics(spark: SparkSession, sf_dir: str, grain: str = "region") -> Da
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents as reviews. Text is only read by plans that select it."""
     labels = table(spark, sf_dir, "labels")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = widen(documents(spark, sf_dir))
     label = (
         F.when(F.col("toxic") == 1, "negative")
         .when(F.col("quality") == 0, "neutral")
@@ -139,7 +144,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(parity + 4)
     )
     return (
-        documents.join(labels, "doc_id")
+        docs.join(labels, "doc_id")
         .withColumn("company_no", F.substring("source", 4, 9).cast("bigint") % 5)
         .join(companies(spark, sf_dir), "company_no")
         .select(
