@@ -110,7 +110,7 @@ def _estimator(family: str, n: int, settings: dict, seed: int):
     common = dict(featuresCol="features", labelCol="churn_label", weightCol="class_weight")
     if family == "logistic_regression":
         return LogisticRegression(**{**common, "regParam": 1.0 / max(n, 1), "elasticNetParam": 0.0,
-                                     "standardization": False, "maxIter": 1000, "tol": 1e-4,
+                                     "standardization": False, "maxIter": 100, "tol": 1e-4,
                                      **settings})
     if family == "random_forest":
         return RandomForestClassifier(**{**common, "seed": seed, **FOREST, **settings})

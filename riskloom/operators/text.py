@@ -5,7 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, Normalizer, VectorAssembler
+from pyspark.ml.feature import (
+    CountVectorizerModel, Normalizer, VectorAssembler, VectorSizeHint,
+)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,7 +180,9 @@ def _vectors(docs: DataFrame, text: str, terms: list[str], vocabulary: DataFrame
             lambda tf, w: F.when(tf > 0, (1 + F.log(tf)) * w).otherwise(0.0),
         )),
     )
-    packed = VectorAssembler(inputCols=["__dense"], outputCol="__sparse").transform(weighted)
+    # the known length spares the assembler a look at the first row
+    sized = VectorSizeHint(inputCol="__dense", size=len(terms), handleInvalid="optimistic").transform(weighted)
+    packed = VectorAssembler(inputCols=["__dense"], outputCol="__sparse").transform(sized)
     out = Normalizer(inputCol="__sparse", outputCol="__features", p=2.0).transform(packed)
     return out.drop("__terms", "__tf", "__idf", "__dense", "__sparse")
 
@@ -208,7 +212,7 @@ def train_sentiment(reviews: DataFrame, text: str = "review_text", label: str =
     classifier = LogisticRegression(
         featuresCol="__features", labelCol="__label", weightCol="__weight",
         family="multinomial", regParam=1.0 / n_docs, elasticNetParam=0.0,
-        standardization=False, maxIter=1000, tol=1e-4, probabilityCol="__probability",
+        standardization=False, maxIter=100, tol=1e-4, probabilityCol="__probability",
         rawPredictionCol="__raw", predictionCol="__prediction",
     )
     return SentimentModel(vocabulary, terms, classifier.fit(rows))
