@@ -212,7 +212,7 @@ def train_sentiment(reviews: DataFrame, text: str = "review_text", label: str =
     classifier = LogisticRegression(
         featuresCol="__features", labelCol="__label", weightCol="__weight",
         family="multinomial", regParam=1.0 / n_docs, elasticNetParam=0.0,
-        standardization=False, maxIter=100, tol=1e-4, probabilityCol="__probability",
+        standardization=False, maxIter=25, tol=1e-4, probabilityCol="__probability",
         rawPredictionCol="__raw", predictionCol="__prediction",
     )
     return SentimentModel(vocabulary, terms, classifier.fit(rows))
