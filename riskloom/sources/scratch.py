@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import gc
+import shutil
 import tempfile
 import uuid
 
@@ -9,13 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; a folder of our own only where it is unset,
-    which is the single-machine case."""
+    """`spark.checkpoint.dir` of the session. On one machine (a `local` master) an unset
+    name gets a folder that goes with the process; a cluster has to name a shared one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         path = tempfile.mkdtemp(prefix="riskloom-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return path.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -27,3 +33,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of queries that have been written and forgotten."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
