@@ -125,7 +125,7 @@ def judge(docs: DataFrame) -> DataFrame:
     from riskloom.sources.scratch import written
 
     rows = written(rows, "quality-measures")
-    parts = {name: F.expr(f"{top} * 1000000 div {bottom}") for name, (top, bottom, _) in MEASURES.items()}
+    parts = {name: F.expr(f"{top} * 1000000 div nullif({bottom}, 0)") for name, (top, bottom, _) in MEASURES.items()}
     long = rows.filter("n_words > 0 and not base_failed").select("lang", "source", F.explode(F.create_map(
         *[x for name, value in parts.items() for x in (F.lit(name), value)])).alias("measure", "value"))
     fine = sketches(long.withColumn("edge", bucket(F.col("value"))).withColumn("n", F.lit(1)), ["lang", "source"])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import mixing, quality, token_counts, token_files
+from riskloom.llm import mixing, ngram_join, quality, token_counts, token_files
 from riskloom.llm.oracles import SQL
 
 
@@ -25,6 +25,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(_table(spark, sf_dir, "documents"), width=3, percent=90).drop("class")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
@@ -34,5 +38,5 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op4_quality_rules, op5_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts)}
 ORACLES = {name: sql for name, sql in SQL.items() if name in QUERIES}
