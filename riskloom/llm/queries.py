@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import mixing, ngram_join, quality, token_counts, token_files
+from riskloom.llm import mixing, ngram_join, quality, suffix_dedup, token_counts, token_files
 from riskloom.llm.oracles import SQL
 
 
@@ -38,5 +38,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts)}
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"), window=100).select(
+        F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts, op9_suffix_dedup)}
 ORACLES = {name: sql for name, sql in SQL.items() if name in QUERIES}
