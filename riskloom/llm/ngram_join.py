@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
 from riskloom.llm.whole_groups import group_starts, whole_groups
-from riskloom.llm.words import WordHashes, mixed, shingles, signed, text_bytes
+from riskloom.llm.words import WordHashes, mixed, shingles, signed, text_bytes, word_hashes
 from riskloom.shipping import ship
 from riskloom.sources.scratch import release, written
 
@@ -115,7 +115,7 @@ def _scan(docs: DataFrame, width: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             names, sizes, distinct = [], [], {}
             for text in text_bytes(batch.column(1)):
@@ -141,7 +141,7 @@ def _ties(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> Da
     """(a, b): classes that share a key, each tied to the least class of the key."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bands = WordHashes(), Bands(percent)
+        hashes, bands = word_hashes(), Bands(percent)
         for batch in batches:
             found: dict[int, np.ndarray] = {}
             for text in text_bytes(batch.column(0)):
@@ -229,7 +229,7 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
     """(a, b): a spanning forest of each tile's links. members: (doc_id, class, n_grams, cluster)."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             names, sets = batch.column(1).to_pylist(), []
             for text in text_bytes(batch.column(0)):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.words import WordHashes, shingles
+from riskloom.llm.words import WordHashes, shingles, word_hashes
 from riskloom.shipping import ship
 
 #: Fixed values of the base rules.
@@ -70,7 +70,7 @@ def base_measures(docs: DataFrame) -> DataFrame:
     """One row per document: id, lang, source and the whole-text counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             rows = np.array([measured((t or "").encode(), hashes) for t in batch.column(1).to_pylist()], np.int64)
             rows = rows.reshape(-1, 5)

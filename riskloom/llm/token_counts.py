@@ -8,6 +8,7 @@ bytes, and only their lengths are kept."""
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -68,6 +69,12 @@ class PieceCounter:
         return totals
 
 
+@functools.lru_cache(maxsize=1)
+def counter_of(model: str) -> PieceCounter:
+    """A worker reads the model once and remembers cuts from task to task."""
+    return PieceCounter(model)
+
+
 def count_tokens(docs: DataFrame, model: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit), one row for each input row, ids as given.
 
@@ -76,7 +83,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int, id_col: str = "doc_id"
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(model)
+        counter = counter_of(model)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             counts = counter.count(texts)

@@ -12,7 +12,9 @@ files of lost or repeated attempts are never listed."""
 
 from __future__ import annotations
 
+import functools
 import io
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -28,6 +30,10 @@ from riskloom.llm.words import REMEMBERED, text_bytes
 from riskloom.shipping import ship
 from riskloom.sources.scratch import scratch_path, written
 
+#: A character that is a word and a token of its own; words in a call; texts whose words are learnt at once.
+_MARK, _GROUP, _LEARN = b"\x7f", 20_000, 1024
+#: Signs that may end a word; "<" may begin a special token.
+_STOPS = b"!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
 _MANIFEST = "shard int, path string, width int, n_docs bigint, n_ids bigint"
 _FOUND = "shard int, doc_id bigint, local_start bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -42,45 +48,108 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
-        special = [(i, t.content) for i, t in self.library.get_added_tokens_decoder().items() if t.special]
-        self.mark, self.mark_text = special[0] if special else (None, "")
-        self.by_word = bool(special) and self._ids(" a \n b\t") == self._ids("a") + self._ids("b")
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)
+        for token, i in self.library.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+        mark = self._ids(_MARK.decode())
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.by_word = self.mark is not None and self._ids(" a \n b\t") == self._ids("a") + self._ids("b")
+
+        #: ASCII letters go to the model itself if that gives the same ids as the whole way.
+        self.direct = self.by_word and all(self._word(w) == self._ids(w) for w in ("Worthily", "a", "xqz", "lettersofaword"))
+
+    def _word(self, word: str) -> list[int]:
+        return [token.id for token in self.library.model.tokenize(word.lower())]
 
     def _ids(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
+        return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, self.dtype).tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<" not in w]
+    def _split(self, group: list[bytes], ids: np.ndarray, start: np.ndarray, end: np.ndarray) -> bool:
+        """Share the ids out to the words; False if they are not as many stretches as words."""
+        if len(start) != len(group):
+            return False
+        whole, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
+        self.known.update(zip(group, [whole[s:e] for s, e in zip((start * width).tolist(), (end * width).tolist())]))
+        return True
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Many words in one call: words of letters are one token run each, and its last id is a
+        word end; between other words stands a mark. Letters and the signs that end them never
+        merge, so those are put together from their parts."""
+        plain: list[bytes] = []
+        tails: set[bytes] = set()
+        cores: set[bytes] = set()
+        ended, marked, odd = [], [], []
         for word in words:
-            if b"<" in word:  # may hold a special token
-                self.known[word] = self._bytes(self._ids(word.decode()))
-        for at in range(0, len(plain), 20_000):
-            group = plain[at : at + 20_000]
-            ids = np.array(self._ids(self.mark_text.join(w.decode() for w in group)), np.int64)
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
-            if len(ends) != len(group):
-                raise ValueError("the tokenizer lost a word boundary")
-            start = 0
-            for word, end in zip(group, ends.tolist()):
-                self.known[word] = self._bytes(ids[start:end])
-                start = end + 1
+            core = word.rstrip(_STOPS)
+            if core.isalpha() or (not core.isascii() and core.decode().lower().isalpha()):
+                if len(core) == len(word):
+                    plain.append(word)
+                else:
+                    ended.append((word, core, word[len(core) :]))
+                    cores.add(core)
+                    tails.add(ended[-1][2])
+            else:
+                (odd if _MARK in word or b"<" in word else marked).append(word)
+        plain += [c for c in cores if c not in words and c not in self.known]
+        marked += [t for t in tails if t not in words and t not in self.known]
+        if self.direct:
+            tokenize, pack = self.library.model.tokenize, struct.Struct
+            kind = self.dtype.char
+            for word in filter(bytes.isascii, plain):
+                ids = [token.id for token in tokenize(word.lower().decode())]
+                self.known[word] = pack(f"<{len(ids)}{kind}").pack(*ids)
+            plain = [w for w in plain if not w.isascii()]
+        for at in range(0, len(plain), _GROUP):
+            group = plain[at : at + _GROUP]
+            ids = np.array(self._ids(b" ".join(group).decode()), np.int64)
+            end = np.flatnonzero(self.ends[ids]) + 1
+            if not self._split(group, ids, np.concatenate([[0], end[:-1]]), end):
+                marked += group
+        for at in range(0, len(marked), _GROUP):
+            group = marked[at : at + _GROUP]
+            ids = np.array(self._ids((b" " + _MARK + b" ").join(group).decode()), np.int64)
+            stop = np.flatnonzero(ids == self.mark)
+            if not self._split(group, ids, np.concatenate([[0], stop + 1]), np.append(stop, len(ids))):
+                odd += group
+        for word in odd:  # may hold a special token
+            self.known[word] = self._bytes(self._ids(word.decode()))
+        known = self.known
+        for word, core, tail in ended:
+            known[word] = known[core] + known[tail]
 
     def encode(self, text: bytes) -> bytes:
         if not self.by_word:
             return self._bytes(self._ids(text.decode()))
-        words = text.split()
-        if text.isascii():
-            words = text.lower().split()  # as the tokenizer does; other letters are left to it
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        # as the tokenizer does; letters beyond ASCII are left to it
+        words = text.lower().split() if text.isascii() else text.split()
         known = self.known
-        new = {w for w in words if w not in known}
-        if new:
-            self._learn(list(new))
-        return b"".join(map(known.__getitem__, words))
+        try:
+            return b"".join(map(known.__getitem__, words))
+        except KeyError:
+            if len(known) > REMEMBERED:
+                known.clear()
+            self._learn({w for w in words if w not in known})
+            return b"".join(map(known.__getitem__, words))
+
+    def learn(self, texts: list[bytes]) -> None:
+        """Look up the new words of many texts at once."""
+        if self.by_word:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            new: set[bytes] = set()
+            for text in texts:
+                new.update(text.lower().split() if text.isascii() else text.split())
+            self._learn(new.difference(self.known))
+
+
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """A worker reads the tokenizer once and remembers words from task to task."""
+    return Encoder(path)
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None) -> DataFrame:
@@ -101,7 +170,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
             if not batch.num_rows:
                 continue
             if encoder is None:
-                encoder = Encoder(tokenizer)
+                encoder = encoder_of(tokenizer)
                 end = encoder._bytes([end_id])
                 width = encoder.dtype.itemsize
                 fs, base = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
@@ -111,10 +180,13 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
             column = batch.column(0)
             absent.append(np.asarray(column.is_null()))
             ids.append(np.asarray(column.fill_null(0).cast(pa.int64())))
-            for text in text_bytes(batch.column(1)):
-                payload = encoder.encode(text) + end
-                out.write(payload)
-                lengths.append(len(payload) // width)
+            texts = text_bytes(batch.column(1))
+            for at in range(0, len(texts), _LEARN):
+                encoder.learn(texts[at : at + _LEARN])
+                for text in texts[at : at + _LEARN]:
+                    payload = encoder.encode(text) + end
+                    out.write(payload)
+                    lengths.append(len(payload) // width)
         if encoder is None:
             return
         out.close()
@@ -192,7 +264,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
 
     # one row a shard: the running total runs over the manifest alone
     starts = manifest.select("shard", (F.sum("n_ids").over(Window.orderBy("shard")) - F.col("n_ids")).alias("base"))
-    spread = manifest.repartition("shard")
+    spread = manifest.repartition(max(1, manifest.count()), "shard")
     found = spread.mapInArrow(run, _FOUND)
     return found.join(F.broadcast(starts), "shard").select(
         "doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")

@@ -5,6 +5,8 @@ A word is a run of bytes other than ASCII white space (`[^\\x20\\x09-\\x0D]+`),
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,6 +29,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+@functools.lru_cache(maxsize=1)
+def word_hashes() -> WordHashes:
+    """A worker's own, kept from task to task."""
+    return WordHashes()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A finaliser that spreads every input bit over the 64 output bits."""
     x = x.astype(np.uint64, copy=True)
