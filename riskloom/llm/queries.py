@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import mixing, ngram_join, quality, suffix_dedup, token_counts, token_files
+from riskloom.llm import mixing, ngram_join, quality, suffix_dedup, token_counts, token_files, toxicity
 from riskloom.llm.oracles import SQL
 
 
@@ -43,5 +43,11 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts, op9_suffix_dedup)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts, op9_suffix_dedup, op10_toxicity)}
 ORACLES = {name: sql for name, sql in SQL.items() if name in QUERIES}
