@@ -1,6 +1,8 @@
 """DuckDB twins of the queries that SQL can follow."""
 
+from riskloom.llm.chat import CHAT_SQL
 from riskloom.llm.mixing import MIX_SQL
+from riskloom.llm.topk import TOPK_SQL
 
 QUALITY_SQL = r"""
 WITH words AS (
@@ -65,4 +67,4 @@ LEFT JOIN wide l ON l.level = 'language' AND l.lang IS NOT DISTINCT FROM b.lang
 LEFT JOIN wide a ON a.level = 'all'
 """
 
-SQL = {"op1_mix_sources": MIX_SQL, "op4_quality_rules": QUALITY_SQL}
+SQL = {"op1_mix_sources": MIX_SQL, "op4_quality_rules": QUALITY_SQL, "op6_top_k": TOPK_SQL, "op8_chat_calls": CHAT_SQL}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import mixing, ngram_join, quality, suffix_dedup, token_counts, token_files, toxicity
+from riskloom.llm import chat, mixing, ngram_join, quality, suffix_dedup, token_counts, token_files, topk, toxicity
 from riskloom.llm.oracles import SQL
 
 
@@ -38,6 +38,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op8_chat_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat.conversation_calls(_table(spark, sf_dir, "conversations"))
+    return chat.link_calls(calls, results, chat.REPLY).withColumnRenamed("conv", "conv_id")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"), window=100).select(
         F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -49,5 +58,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts, op9_suffix_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts, op6_top_k, op8_chat_calls, op9_suffix_dedup, op10_toxicity)}
 ORACLES = {name: sql for name, sql in SQL.items() if name in QUERIES}
