@@ -273,7 +273,8 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
         F.col("doc_id").alias("member_id"), "class", "cluster",
         F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     tiled = tiled.groupBy("member_id", "class", "cluster").agg(F.collect_set(F.struct("x", "y")).alias("tiles"))
-    rows = docs.select("doc_id", "text").join(tiled, F.col("doc_id").eqNullSafe(F.col("member_id")))
+    # a merge join at every size: the plan does not turn on how many members there are
+    rows = docs.select("doc_id", "text").join(tiled.hint("merge"), F.col("doc_id").eqNullSafe(F.col("member_id")))
     sets = rows.select("text", "class", "cluster", "tiles").mapInArrow(
         fetch, "class bigint, cluster bigint, tiles array<struct<x: bigint, y: bigint>>, grams binary")
     fetched = sets.select("class", "cluster", F.inline("tiles"), "grams")
