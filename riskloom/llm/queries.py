@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, mixing, ngram_join, quality, suffix_dedup, token_counts, token_files, topk, toxicity
+from riskloom.llm import chat, mixing, ngram_join, quality, suffix_dedup, token_counts, token_files, topk, toxicity, unigram
 from riskloom.llm.oracles import SQL
 
 
@@ -42,6 +42,11 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return unigram.digests(unigram.encode(_table(spark, sf_dir, "documents"), model), model)
+
+
 def op8_chat_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = chat.conversation_calls(_table(spark, sf_dir, "conversations"))
     return chat.link_calls(calls, results, chat.REPLY).withColumnRenamed("conv", "conv_id")
@@ -58,5 +63,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts, op6_top_k, op8_chat_calls, op9_suffix_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts, op6_top_k, op7_sentence_pieces, op8_chat_calls, op9_suffix_dedup, op10_toxicity)}
 ORACLES = {name: sql for name, sql in SQL.items() if name in QUERIES}
