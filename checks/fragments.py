@@ -166,7 +166,7 @@ FRAGMENTS: dict[str, str] = {
       SELECT company_id, sentiment_positivity,
         CASE WHEN sentiment_positivity < 0.45 THEN 'negative' WHEN sentiment_positivity < 0.6 THEN 'neutral'
           ELSE 'positive' END AS dominant_sentiment
-      FROM (SELECT company_id, avg(score) AS sentiment_positivity FROM scored_reviews GROUP BY company_id) x""",
+      FROM (SELECT company_id, sum(score::DECIMAL(20,15))::DOUBLE / count(score) AS sentiment_positivity FROM scored_reviews GROUP BY company_id) x""",
     "anomaly_signal": """
       SELECT company_id, anomaly_flag_ratio, recent_anomalies, list_filter([
           CASE WHEN (r_f - r_a) / nullif(abs(r_a), 0) < -0.10 THEN 'revenue' END,

@@ -10,7 +10,6 @@ from checks.registry import check
 from riskloom.config import EngineConfig
 from riskloom.functions import scalars
 from riskloom.operators import anomaly, churn, preparation, text
-from riskloom.operators.layout import widen
 from riskloom.operators.series import build_features
 from riskloom.plans import scoring, training
 from riskloom.sources import warehouse
@@ -39,7 +38,7 @@ FRAGMENTS["doc_weights"] = """
 
 
 def documents(spark, d):
-    return widen(warehouse.documents(spark, d).select("doc_id", "text"))
+    return warehouse.documents(spark, d).select("doc_id", "text")
 
 
 @check("doc_id:i cleaned", "SELECT doc_id, md5(cleaned) AS cleaned FROM clean_docs")
@@ -137,7 +136,7 @@ def q_train_sentiment(spark, d):
 def q_score_sentiment(spark, d):
     rows = preparation.split_stratified(warehouse.reviews(spark, d), "review_id", "sentiment_label")
     model = text.train_sentiment(rows.where("not is_test"))
-    return text.score_sentiment(rows.where("is_test"), model)
+    return text.score_sentiment(rows, model)
 
 
 @check("customer_id:i plan_type slots:i")
@@ -166,10 +165,7 @@ def q_score_churn(spark, d):
 @check("model roc_auc:f pr_auc:f f1:f")
 def q_train_candidates(spark, d):
     rows = preparation.split_stratified(inputs.features(spark, d), "customer_id", "churn_label")
-    candidates = churn.train_candidates(
-        rows.where("not is_test"), families=["logistic_regression", "lightgbm"],
-        settings={"lightgbm": {"maxIter": 20}},
-    )
+    candidates = churn.train_candidates(rows.where("not is_test"))
     return churn.candidate_metrics(candidates, rows.where("is_test"))
 
 
@@ -184,7 +180,7 @@ def q_explain_model_factors(spark, d):
 @check("company_id features:a explanation_source")
 def q_importance_fallback(spark, d):
     rows = inputs.features(spark, d)
-    model = churn.train_churn(rows, "random_forest", numTrees=40)
+    model = churn.train_churn(rows, "random_forest")
     return churn.explain_factors(rows, model).select(
         "company_id", F.col("top_factors.feature").alias("features"), "explanation_source"
     )
@@ -226,10 +222,10 @@ def q_score_company_anomalies(spark, d):
 
 
 def trained(spark, d):
-    """All models with the linear churn family and the default forecast backend."""
+    """All models: the best of the four churn families, and the default forecast backend."""
     return training.train_all(
         warehouse.customers(spark, d), warehouse.reviews(spark, d), warehouse.daily_metrics(spark, d),
-        CONFIG, families=["logistic_regression"],
+        CONFIG,
     )
 
 
@@ -252,7 +248,7 @@ def q_score_companies(spark, d):
 @check(ASSESSED + " forecast_note")
 def q_score_uploaded(spark, d):
     rows = inputs.features(spark, d)
-    models = scoring.Models(churn.train_churn(rows, "logistic_regression"))
+    models = scoring.Models(churn.train_churn(rows, "logistic_regression"), text.train_sentiment(warehouse.reviews(spark, d)))
     bundle = scoring.score_uploaded(
         warehouse.customers(spark, d), warehouse.reviews(spark, d), warehouse.daily_metrics(spark, d), models, CONFIG
     )

@@ -54,8 +54,8 @@ def join_readable(items: Column) -> Column:
 
 
 def normalize_na(value: Column) -> Column:
-    """Placeholder cells become NULL."""
-    return F.when(F.trim(value).isin(NA_TOKENS), None).otherwise(value)
+    """Placeholder cells become NULL; a cell with blanks around the placeholder is kept."""
+    return F.when(value.isin(NA_TOKENS), None).otherwise(value)
 
 
 def nan_to_null(value: Column) -> Column:
@@ -78,7 +78,7 @@ def parse_date(value: Column) -> Column:
 
 def finite_or(value: Column, default: float) -> Column:
     """A number, or `default` where it is missing, text, NaN or infinite."""
-    number = value.try_cast("double")
+    number = parse_number(value)
     usable = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
     return F.when(usable, number).otherwise(F.lit(float(default)))
 
@@ -91,6 +91,12 @@ def safe_signal(value: Column, default: float) -> Column:
     return clip01(finite_or(value, default))
 
 
+def half_even(value: Column, digits: int) -> Column:
+    """Rounded as a binary fraction is: scaled, to the nearest whole number, ties to even."""
+    scale = F.lit(10.0**digits)
+    return F.rint(value * scale) / scale
+
+
 def half_even_int(value: Column) -> Column:
     return F.bround(value, 0).cast("bigint")
 

@@ -38,8 +38,13 @@ TOP_FACTORS = 3
 
 # Settings of the four families.
 FOREST = dict(numTrees=300, maxDepth=8, minInstancesPerNode=5)
-BOOST_A = dict(maxIter=250, maxDepth=3, stepSize=0.05, subsamplingRate=0.9)
-BOOST_B = dict(maxIter=150, maxDepth=3, stepSize=0.03, minInstancesPerNode=40, subsamplingRate=0.85)
+BOOST_A = dict(maxIter=250, maxDepth=3, stepSize=0.05, subsamplingRate=0.9, featureSubsetStrategy="0.9")
+BOOST_B = dict(maxIter=150, maxDepth=3, stepSize=0.03, minInstancesPerNode=40, subsamplingRate=0.85,
+               featureSubsetStrategy="0.85")
+
+
+# The boosters' search: learning rate, depth, rounds and row sample.
+TUNING = {"stepSize": [0.03, 0.05], "maxDepth": [2, 3], "maxIter": [150, 250], "subsamplingRate": [0.85, 0.9]}
 
 
 @dataclass
@@ -110,7 +115,7 @@ def _estimator(family: str, n: int, settings: dict, seed: int):
     common = dict(featuresCol="features", labelCol="churn_label", weightCol="class_weight")
     if family == "logistic_regression":
         return LogisticRegression(**{**common, "regParam": 1.0 / max(n, 1), "elasticNetParam": 0.0,
-                                     "standardization": False, "maxIter": 100, "tol": 1e-4,
+                                     "standardization": False, "maxIter": 1000, "tol": 1e-4,
                                      **settings})
     if family == "random_forest":
         return RandomForestClassifier(**{**common, "seed": seed, **FOREST, **settings})
@@ -240,7 +245,7 @@ def tune_churn(features: DataFrame, model_type: str = "lightgbm", grid: dict[str
     preprocessing, _ = feature_preprocessor(rows)
     prepared = preprocessing.transform(rows).select("features", "churn_label", "class_weight").persist()
     estimator = _estimator(family, total, {}, seed)
-    grid = grid or {"stepSize": [0.03, 0.05], "maxDepth": [2, 3]}
+    grid = grid or TUNING
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), values)

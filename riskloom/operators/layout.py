@@ -12,10 +12,3 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     compute are not merged into a few tasks."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)
-
-
-def widen(scan: DataFrame) -> DataFrame:
-    """Spread a plain scan with fewer splits than cores; a table with enough files is left
-    alone. For text, where the work per byte is high."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

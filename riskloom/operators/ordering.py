@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 QUANTILE_ACCURACY = 100_000
-SMALL_GROUP = 100_000
+# How far a bracket may reach from its rank, as a share of the group: the narrowest that
+# holds four rows on each side.
+BRACKETS = (1.0, 1e-1, 1e-2, 1e-3, 1e-4)
 
 
 def hash_bucket(key: Column) -> Column:
@@ -75,14 +77,14 @@ def exact_quantiles(rows: DataFrame, by: list[str], value: str, probs: list[floa
                     few_groups: bool = False) -> DataFrame:
     """Linear-interpolated quantiles per group as `q0, q1, …`, plus the non-null count `n`.
 
-    A mergeable sketch brackets each wanted rank, the whole range in small groups; the exact
-    values are then picked among the distinct values inside the bracket. `few_groups`
+    A mergeable sketch brackets each wanted rank, by a share that shrinks as the group grows; the
+    exact values are then picked among the distinct values inside the bracket. `few_groups`
     says that the groups are settings (columns, classes), so one row each may broadcast."""
     side = F.broadcast if few_groups or not by else (lambda df: df)
-    slack = 2.0 / QUANTILE_ACCURACY + 2.0 / SMALL_GROUP
     data = rows.select(*by, F.col(value).cast("double").alias("__v")).where("__v is not null")
-    lows = [max(p - slack, 0.0) for p in probs]
-    highs = [min(p + slack, 1.0) for p in probs]
+    lows = [max(p - w, 0.0) for p in probs for w in BRACKETS]
+    highs = [min(p + w, 1.0) for p in probs for w in BRACKETS]
+    chosen = sum((F.when(F.col("n") * w >= 4, 1).otherwise(0) for w in BRACKETS[1:]), F.lit(0))
     sketch = data.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("__v").alias("__min"),
@@ -92,9 +94,9 @@ def exact_quantiles(rows: DataFrame, by: list[str], value: str, probs: list[floa
     )
     marks = []
     for i, p in enumerate(probs):
-        small = F.col("n") <= SMALL_GROUP
-        low = F.when(small | F.lit(lows[i] <= slack), F.col("__min")).otherwise(F.get("__lows", F.lit(i)))
-        high = F.when(small | F.lit(highs[i] >= 1 - slack), F.col("__max")).otherwise(F.get("__highs", F.lit(i)))
+        at = F.lit(i * len(BRACKETS)) + chosen
+        low = F.when(F.get(F.array(*map(F.lit, lows)), at) == 0.0, F.col("__min")).otherwise(F.get("__lows", at))
+        high = F.when(F.get(F.array(*map(F.lit, highs)), at) == 1.0, F.col("__max")).otherwise(F.get("__highs", at))
         rank = F.lit(p) * (F.col("n") - 1)
         marks.append(F.struct(
             F.lit(i).alias("i"), low.alias("low"), high.alias("high"),

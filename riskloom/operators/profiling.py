@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.config import RECENT_ROWS, SENTIMENT_LABELS
-from riskloom.functions.scalars import nan_to_null, parse_number
+from riskloom.functions.scalars import half_even, nan_to_null, parse_number
 from riskloom.operators.ordering import exact_quantiles
 
 # Risk bins (above, up to, shown as); the first includes its lower edge.
@@ -167,7 +167,7 @@ def label_correlation(df: DataFrame, columns: list[str], label: str) -> DataFram
 
 
 def means_by_label(df: DataFrame, columns: list[str], label: str) -> DataFrame:
-    return df.groupBy(label).agg(*[F.round(F.avg(c), 2).alias(c) for c in columns])
+    return df.groupBy(label).agg(*[half_even(F.avg(c), 2).alias(c) for c in columns])
 
 
 def churn_rate_by_plan(df: DataFrame, plan: str = "plan_type", label: str = "churn_label") -> DataFrame:
@@ -209,7 +209,7 @@ def review_length_stats(reviews: DataFrame, label: str = "sentiment_label") -> D
     words = F.when(text == "", 0).otherwise(F.size(F.split(text, " ")))
     sized = reviews.where(F.col("review_text").isNotNull()).select(label, words.alias("words"))
     stats = sized.groupBy(label).agg(
-        _rows().alias("count"), F.round(F.avg("words"), 2).alias("mean"),
+        _rows().alias("count"), half_even(F.avg("words"), 2).alias("mean"),
         F.min("words").alias("min"), F.max("words").alias("max"),
     )
     middle = exact_quantiles(sized, [label], "words", [0.5], few_groups=True)
@@ -219,7 +219,7 @@ def review_length_stats(reviews: DataFrame, label: str = "sentiment_label") -> D
 def rating_by_sentiment(reviews: DataFrame, label: str = "sentiment_label") -> DataFrame:
     stars = F.col("star_rating")
     return reviews.groupBy(label).agg(
-        F.round(F.avg(stars), 2).alias("mean"), F.min(stars).alias("min"), F.max(stars).alias("max")
+        half_even(F.avg(stars), 2).alias("mean"), F.min(stars).alias("min"), F.max(stars).alias("max")
     )
 
 
@@ -228,11 +228,11 @@ def company_summary(daily: DataFrame, truth: str | None = None) -> DataFrame:
     aggs = [
         F.min("date").alias("first_date"), F.max("date").alias("last_date"),
         _rows().alias("days"),
-        F.round(F.avg("revenue"), 2).alias("mean_revenue"),
-        F.round(F.min("revenue"), 2).alias("min_revenue"),
-        F.round(F.max("revenue"), 2).alias("max_revenue"),
-        F.round(F.avg("active_users"), 2).alias("mean_active_users"),
-        F.round(F.avg("signups"), 2).alias("mean_signups"),
+        half_even(F.avg("revenue"), 2).alias("mean_revenue"),
+        half_even(F.min("revenue"), 2).alias("min_revenue"),
+        half_even(F.max("revenue"), 2).alias("max_revenue"),
+        half_even(F.avg("active_users"), 2).alias("mean_active_users"),
+        half_even(F.avg("signups"), 2).alias("mean_signups"),
     ]
     if truth:
         aggs.append(F.count_if(F.col(truth)).alias("injected_anomalies"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.config import METRIC_DROP, RECENT_ROWS, SERIES_COLUMNS
@@ -27,16 +27,22 @@ def signal_churn(scored: DataFrame) -> DataFrame:
     )
 
 
+def _mean_score(scored: DataFrame) -> Column:
+    """The mean of the scores, summed as exact decimals so that no order of rows changes it."""
+    score = _number(scored, "score").cast("decimal(20,15)")
+    return F.try_divide(F.sum(score).cast("double"), F.count(score))
+
+
 def signal_sentiment(scored: DataFrame) -> DataFrame:
     return scored.groupBy("company_id").agg(
-        F.coalesce(F.avg(_number(scored, "score")), F.lit(1.0)).alias("sentiment_positivity")
+        F.coalesce(_mean_score(scored), F.lit(1.0)).alias("sentiment_positivity")
     )
 
 
 def dominant_sentiment(scored: DataFrame) -> DataFrame:
     """Verdict by mean positivity, by the most frequent label where no score exists."""
     stats = scored.groupBy("company_id").agg(
-        F.avg(_number(scored, "score")).alias("m"), F.mode("label", True).alias("top_label")
+        _mean_score(scored).alias("m"), F.mode("label", True).alias("top_label")
     )
     verdict = (
         F.when(F.col("m") < 0.45, "negative")
@@ -50,7 +56,7 @@ def dominant_sentiment(scored: DataFrame) -> DataFrame:
 def review_signals(scored: DataFrame) -> DataFrame:
     """Positivity and verdict in one pass."""
     stats = scored.groupBy("company_id").agg(
-        F.avg(_number(scored, "score")).alias("m"), F.mode("label", True).alias("top_label")
+        _mean_score(scored).alias("m"), F.mode("label", True).alias("top_label")
     )
     verdict = (
         F.when(F.col("m") < 0.45, "negative")

@@ -19,6 +19,7 @@ from riskloom.operators.joins import alias_lookup
 from riskloom.operators.preparation import class_weights
 
 WORD = "[a-z0-9]{2,}"
+MAX_ITERATIONS = 1000
 ANY_WORD = r"[\p{L}\p{N}_]{2,}"
 # A small default; callers with a fuller list pass their own.
 STOP_WORDS = [
@@ -64,15 +65,12 @@ def _term_counts(terms: DataFrame, by: list[str]) -> DataFrame:
 
     Both are counted from one pass and combined before the shuffle, so a word in every
     document costs one row per task."""
-    seen = F.concat(
-        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-        F.transform(
-            F.array_distinct("terms"),
-            lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
-        ),
-    )
-    return terms.select(*by, F.explode(seen).alias("s")).groupBy(*by, F.col("s.term").alias("term")).agg(
-        F.sum("s.tf").alias("total"), F.sum("s.df").alias("df")
+    # sorted inside the row, so that a document's first use of a term is marked
+    ordered = terms.select(*by, F.array_sort("terms").alias("o"))
+    seen = F.transform("o", lambda t, i: F.struct(
+        t.alias("term"), F.when((i > 0) & (F.get("o", i - 1) == t), 0).otherwise(1).alias("first")))
+    return ordered.select(*by, F.explode(seen).alias("s")).groupBy(*by, F.col("s.term").alias("term")).agg(
+        F.count(F.lit(1)).alias("total"), F.sum("s.first").alias("df")
     )
 
 
@@ -87,13 +85,14 @@ def build_vocabulary(docs: DataFrame, text: str, max_features: int = 5000, min_d
 def tfidf(docs: DataFrame, vocabulary: DataFrame, id_column: str, text: str) -> DataFrame:
     """Long form `(id, term, tf, weight)`, L2-normalised per document.
 
-    The vocabulary is bounded by `max_features`, so it broadcasts."""
+    The vocabulary is bounded by `max_features`, so it broadcasts. Texts are dealt out by id
+    once; counts and norms need no further shuffle."""
     n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     weights = vocabulary.crossJoin(F.broadcast(n_docs)).select(
         "term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf")
     )
     tf = (
-        tokenize_ngrams(docs, id_column, text)
+        tokenize_ngrams(docs.select(id_column, text).repartition(id_column), id_column, text)
         .join(F.broadcast(weights), "term")
         .groupBy(id_column, "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"))
@@ -124,7 +123,7 @@ def top_terms_by_class(docs: DataFrame, id_column: str, text: str, label: str, f
         (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf"),
     )
     tf = (
-        prepared.select(id_column, label, F.explode("terms").alias("term"))
+        prepared.repartition(id_column).select(id_column, label, F.explode("terms").alias("term"))
         .join(F.broadcast(weights), [label, "term"])
         .groupBy(id_column, label, "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"),
@@ -212,7 +211,7 @@ def train_sentiment(reviews: DataFrame, text: str = "review_text", label: str =
     classifier = LogisticRegression(
         featuresCol="__features", labelCol="__label", weightCol="__weight",
         family="multinomial", regParam=1.0 / n_docs, elasticNetParam=0.0,
-        standardization=False, maxIter=25, tol=1e-4, probabilityCol="__probability",
+        standardization=False, maxIter=MAX_ITERATIONS, tol=1e-4, probabilityCol="__probability",
         rawPredictionCol="__raw", predictionCol="__prediction",
     )
     return SentimentModel(vocabulary, terms, classifier.fit(rows))

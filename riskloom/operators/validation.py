@@ -198,6 +198,24 @@ def gate_scoring(issues: DataFrame) -> DataFrame:
     )
 
 
+def gate_upload(customers: DataFrame, reviews: DataFrame | None, daily: DataFrame | None) -> DataFrame:
+    """Companies whose customers, reviews or daily rows have issues, with all of them in one
+    message; a table that was not uploaded has none."""
+    tables = [("customer", 0, validate_customers(customers))]
+    if reviews is not None:
+        tables.append(("review", 1, validate_reviews(reviews)))
+    if daily is not None:
+        tables.append(("time-series", 2, validate_timeseries(daily)))
+    every = None
+    for name, place, issues in tables:
+        said = issues.where(F.size("issues") > 0).select("company_id", F.lit(place).alias("place"), F.concat(
+            F.lit(f"Invalid {name} data: "), F.concat_ws("; ", "issues")).alias("said"))
+        every = said if every is None else every.unionByName(said)
+    # three rows a company at most
+    return every.groupBy("company_id").agg(F.concat_ws(
+        " ", F.transform(F.sort_array(F.collect_list(F.struct("place", "said"))), lambda r: r["said"])).alias("error"))
+
+
 def accepted(rows: DataFrame, blocked: DataFrame) -> DataFrame:
     return rows.join(blocked.select("company_id"), "company_id", "left_anti")
 

@@ -11,6 +11,8 @@ from riskloom.config import EngineConfig
 from riskloom.operators import anomaly, churn, forecast, recommend, risk, signals, text, validation
 from riskloom.operators.preparation import engineer_features
 from riskloom.operators.series import build_features
+from riskloom.shipping import ship
+from riskloom.sources.scratch import written
 
 
 @dataclass
@@ -77,6 +79,7 @@ def score_companies(companies: DataFrame, customers: DataFrame, reviews: DataFra
                     models: Models, config: EngineConfig = EngineConfig()) -> Bundle:
     """Known companies: trained churn, sentiment and global anomaly models, and the saved
     forecast table (or a fit on all but the held-out days)."""
+    ship(customers.sparkSession)
     features = engineer_features(customers)
     days = build_features(daily).persist()
     scored_reviews = text.score_sentiment(reviews, models.sentiment)
@@ -96,15 +99,15 @@ def score_companies(companies: DataFrame, customers: DataFrame, reviews: DataFra
 def score_uploaded(customers: DataFrame, reviews: DataFrame | None, daily: DataFrame | None,
                    models: Models, config: EngineConfig = EngineConfig(),
                    strict: bool = False) -> Bundle:
-    """New companies: customers are checked first and companies with issues are set aside
-    (`strict` raises instead); churn and sentiment reuse the trained models; anomaly and
+    """New companies: all tables are checked first and companies with issues are set aside
+    (`strict` raises instead), so a scored company has one row a day; churn and sentiment reuse the trained models; anomaly and
     forecast models are fitted on each company's own days."""
-    blocked = validation.gate_scoring(validation.validate_customers(customers))
+    blocked = written(validation.gate_upload(customers, reviews, daily), "blocked")
     if strict:
         first = blocked.first()
         if first is not None:
             raise ValueError(first.error)
-    spark = customers.sparkSession
+    spark = ship(customers.sparkSession)
     usable = validation.accepted(customers, blocked)
     companies = usable.select("company_id").distinct()
     if reviews is None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ class Trained:
     sentiment_metrics: DataFrame | None = None
     anomaly_metrics: DataFrame | None = None
     forecast_metrics: DataFrame | None = None
+    candidates: dict[str, churn.ChurnModel] = field(default_factory=dict)
 
 
 def train_churn_models(customers: DataFrame, config: EngineConfig, families=None, settings=None):
@@ -43,7 +44,7 @@ def train_all(customers: DataFrame, reviews: DataFrame, daily: DataFrame,
               config: EngineConfig = EngineConfig(), truth: str | None = None, families=None,
               settings=None) -> Trained:
     """Fit churn, sentiment, anomaly and forecast models; metrics come as DataFrames."""
-    best_model, _, churn_metrics, best = train_churn_models(customers, config, families, settings)
+    best_model, candidates, churn_metrics, best = train_churn_models(customers, config, families, settings)
 
     split = split_stratified(reviews, "review_id", "sentiment_label", config.test_size, config.seed)
     sentiment = text.train_sentiment(
@@ -73,7 +74,13 @@ def train_all(customers: DataFrame, reviews: DataFrame, daily: DataFrame,
         forecast.predict(fitted, config.horizon_days), forecast.holdout_steps(days), fitted
     )
     return Trained(Models(best_model, sentiment, forest, fitted), churn_metrics, best,
-                   sentiment_metrics, anomaly_metrics, forecast_metrics)
+                   sentiment_metrics, anomaly_metrics, forecast_metrics, candidates)
+
+
+def save_candidates(trained: Trained, path: str) -> None:
+    """Every churn family below its name."""
+    for name, model in trained.candidates.items():
+        model.save(f"{path}/candidates/{name}")
 
 
 def save_models(models: Models, path: str) -> None:
@@ -93,8 +100,10 @@ def load_models(spark: SparkSession, path: str) -> Models:
     def attempt(load):
         try:
             return load()
-        except Exception:  # absent path, or a format this version cannot read
-            return None
+        except Exception as error:  # only an absent path means that there is no model
+            if any(sign in str(error) for sign in ("PATH_NOT_FOUND", "Input path does not exist")):
+                return None
+            raise
 
     return Models(
         attempt(lambda: churn.ChurnModel.load(spark, f"{path}/churn")),

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from riskloom.functions.scalars import normalize_na, parse_number
+from riskloom.functions.scalars import half_even, normalize_na, parse_number
 
 CUSTOMER_SCHEMA = {
     "company_id": "string", "customer_id": "string", "tenure": "int", "monthly_spend": "double",
@@ -23,22 +22,48 @@ DAILY_SCHEMA = {
 }
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """An upload as text columns, placeholders as NULL; quoted cells may hold newlines."""
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False)
-    return raw.select([normalize_na(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Uploads as text columns, placeholders as NULL; files are matched by column name, and a
+    column that a file lacks is NULL there.
+
+    `multi_line` allows newlines in quoted cells; such a file is read by one task, others are
+    split. Files with the same header are read in one scan."""
+    paths = [path] if isinstance(path, str) else list(path)
+    first_lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"),
+                                                F.col("_metadata.file_block_start").alias("at"))
+    # one row per file: the line that its first split begins with
+    first_lines = first_lines.withColumn("no", F.monotonically_increasing_id()).where("at = 0")
+    headers = first_lines.groupBy("file").agg(F.min_by("value", "no").alias("header")).groupBy("header").agg(
+        F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    frames = []
+    for row in headers:
+        raw = spark.read.csv(row["files"], header=True, multiLine=multi_line, escape='"', inferSchema=False)
+        frames.append(raw.select([normalize_na(F.col(f"`{c}`")).alias(c) for c in raw.columns]))
+    if not frames:
+        raise ValueError(f"no file with a header at {path}")
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out
 
 
 def typed(raw: DataFrame, schema: dict[str, str]) -> DataFrame:
-    """Cast the known columns, keep the others; a cell that does not parse becomes NULL.
+    """Cast the known columns, keep the others; a cell that does not parse becomes NULL. A column
+    of whole numbers that holds fractions stays a double.
 
     Run the validators on the raw frame first: they report such cells."""
+    whole = [c for c in raw.columns if schema.get(c) in ("int", "bigint")]
+    fractions = {}
+    if whole:
+        number = {c: parse_number(F.col(f"`{c}`")) for c in whole}
+        found = raw.agg(*[F.max(number[c] != F.floor(number[c])).alias(f"f{i}") for i, c in enumerate(whole)]).first()
+        fractions = {c: found[f"f{i}"] for i, c in enumerate(whole)}
     out = []
     for name in raw.columns:
         column = F.col(f"`{name}`")
         kind = schema.get(name)
         if kind in ("int", "bigint"):
-            column = F.round(parse_number(column), 0).try_cast(kind)
+            column = parse_number(column) if fractions[name] else parse_number(column).try_cast(kind)
         elif kind == "double":
             column = parse_number(column)
         elif kind is not None:
@@ -52,7 +77,8 @@ def read_customers(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_reviews(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return typed(read_raw_csv(spark, path), REVIEW_SCHEMA)
+    """Review texts may hold newlines."""
+    return typed(read_raw_csv(spark, path, multi_line=True), REVIEW_SCHEMA)
 
 
 def read_daily_metrics(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -84,23 +110,23 @@ def assessment_summary(assessments: DataFrame) -> DataFrame:
     Expects the columns of `operators.risk.assess_companies` plus `recommendations`;
     `profile` and `data_counts` are carried along where present."""
     signals = F.struct(*[
-        F.round(F.col(f"signals.{c}"), 4).alias(c)
+        half_even(F.col(f"signals.{c}"), 4).alias(c)
         for c in ("churn_prob", "sentiment_positivity", "anomaly_flag_ratio", "forecast_deviation")
     ])
     points = F.struct(*[
-        F.round(F.col(f"contributions.{c}"), 2).alias(c)
+        half_even(F.col(f"contributions.{c}"), 2).alias(c)
         for c in ("Churn", "Sentiment", "Anomalies", "Forecast")
     ])
     factors = F.transform(
         "top_factors",
         lambda f: F.struct(
-            f["feature"].alias("feature"), F.round(f["value"], 4).alias("shap_value")
+            f["feature"].alias("feature"), half_even(f["value"], 4).alias("shap_value")
         ),
     )
     extra = [c for c in ("profile", "recommendations", "data_counts") if c in assessments.columns]
     return assessments.select(
         "company_id",
-        F.round("risk_score", 2).alias("risk_score"),
+        half_even(F.col("risk_score"), 2).alias("risk_score"),
         "risk_label",
         signals.alias("signals"),
         points.alias("contributions"),
@@ -136,7 +162,3 @@ def write_report(assessments: DataFrame, path: str) -> None:
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
     write_table(metrics, path, "json")
-
-
-def struct_schema(schema: dict[str, str]) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{k} {v}" for k, v in schema.items()))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.operators.joins import event_counts, join_counts
-from riskloom.operators.layout import widen
 
 LABEL_WINDOW_DAYS = 180
 FIRST_REVIEW_DATE = "2024-01-01"
@@ -131,7 +130,7 @@ def daily_metrics(spark: SparkSession, sf_dir: str, grain: str = "region") -> Da
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents as reviews. Text is only read by plans that select it."""
     labels = table(spark, sf_dir, "labels")
-    docs = widen(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
     label = (
         F.when(F.col("toxic") == 1, "negative")
         .when(F.col("quality") == 0, "neutral")

@@ -107,8 +107,16 @@ def test_quantiles_match_numpy(spark, kind):
     assert np.allclose([got[f"q{i}"] for i in range(len(probs))], np.quantile(values, probs))
 
 
-def test_quantiles_of_large_group_use_the_bracket(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "SMALL_GROUP", 2000)
+@pytest.mark.parametrize("n", [2, 3, 7, 10, 39, 41, 399, 401, 4001])
+def test_quantiles_of_any_group_size(spark, n):
+    values = np.random.default_rng(n).normal(size=n)
+    rows = spark.createDataFrame([(float(v),) for v in values], "x double")
+    probs = [0.05, 0.5, 0.95, 0.999]
+    got = ordering.exact_quantiles(rows, [], "x", probs).first()
+    assert np.allclose([got[f"q{i}"] for i in range(4)], np.quantile(values, probs))
+
+
+def test_quantiles_of_large_group_use_the_bracket(spark):
     rows = spark.range(50_000).select((F.xxhash64("id") % 1_000_003).cast("double").alias("x"))
     values = np.array([r.x for r in rows.collect()])
     probs = [0.001, 0.03, 0.5, 0.97]
