@@ -6,6 +6,7 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of queries that have been written and forgotten."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop the shuffle files of queries that have been written and forgotten.
+
+    Spark's cleaner learns of them when the driver's garbage is collected; the second round
+    takes what the first has only unlinked."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
