@@ -109,13 +109,32 @@ def _grow_block(columns: list[str], seed: int, sample: int):
     return grow
 
 
+def _grow_calendar(columns: list[str], seed: int, sample: int, n_trees: int):
+    """A block of trees from one company's calendar: the samples are drawn inside the group."""
+
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        points = pdf.sort_values("row_hash")[columns].to_numpy(dtype=float)
+        numbers = np.arange(key[1] * TREES_PER_BLOCK, min(n_trees, (key[1] + 1) * TREES_PER_BLOCK))
+        rng = np.random.default_rng([seed, int(key[1]), int(pdf["group_hash"].iloc[0]) & (2**63 - 1)])
+        size = min(sample, len(points))
+        drawn = np.concatenate([rng.permutation(len(points))[:size] for _ in numbers])
+        trees = grow_trees(points[drawn], np.repeat(np.arange(len(numbers)), size), len(numbers), rng)
+        return pd.DataFrame(
+            [(key[0], int(n), size, *t) for n, t in zip(numbers, trees)],
+            columns=["group_id", "tree", "sample_size", "feature", "threshold", "left", "right", "path"],
+        )
+
+    return grow
+
+
 def train_isolation_forest(features: DataFrame, id_columns: list[str], contamination: float = 0.03,
                            n_trees: int = 500, sample: int = 256, seed: int = 42,
                            columns: list[str] = DETECTOR_FEATURES, group: str | None = None) -> DataFrame:
     """Forest table, one row per (group, tree); `group=None` grows one global forest.
 
-    Every row draws a seeded number per tree and goes to the trees where it is low. The rate
-    aims above the sample size, and each tree keeps exactly its lowest draws, so a tree sees
+    With a group (one company's calendar, one row a day) each block of trees gets the calendar and
+    draws from it. For the global forest every row draws a seeded number per tree and goes to the
+    trees where it is low. The rate aims above the sample size, and each tree keeps exactly its lowest draws, so a tree sees
     `sample` rows or the whole group if that is smaller."""
     if not 0 < contamination < 0.5:
         raise ValueError("contamination must be between 0 and 0.5")
@@ -125,8 +144,14 @@ def train_isolation_forest(features: DataFrame, id_columns: list[str], contamina
         F.xxhash64(F.lit(seed), *[F.col(c) for c in id_columns]).alias("row_hash"),
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns],
     )
+    if group is not None:
+        blocks = F.sequence(F.lit(0), F.lit((n_trees - 1) // TREES_PER_BLOCK))
+        placed = data.withColumn("group_hash", F.xxhash64("group_id")).withColumn("block", F.explode(blocks))
+        return spread(placed, "group_id", "block").groupBy("group_id", "block").applyInPandas(
+            _grow_calendar(columns, seed, sample, n_trees), FOREST_SCHEMA
+        )
     sizes = data.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    rated = data.join(F.broadcast(sizes) if group is None else sizes, "group_id").withColumn(
+    rated = data.join(F.broadcast(sizes), "group_id").withColumn(
         "rate", F.least(F.lit(1.0), F.lit(sample * OVERSAMPLE + 64.0) / F.col("n_rows"))
     )
     uniform = lambda h: F.pmod(h, F.lit(1 << 30)) / float(1 << 30)

@@ -46,22 +46,30 @@ def most_frequent(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _long(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """(keys, column_name, value): the columns under each other, for one pass over all."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
+    return df.select(*keys, F.inline(cells))
+
+
 def fill_values(df: DataFrame, columns: list[str], strategy: str) -> DataFrame:
     """One row holding the fill value of every column."""
     one = None
     means = [c for c in columns if _is_numeric(df, c) and strategy == "mean"]
     if means:
         one = df.agg(*[F.avg(c).alias(c) for c in means])
+    medians = [c for c in columns if _is_numeric(df, c) and strategy == "median"]
+    if medians:
+        middle = exact_quantiles(_long(df, [], medians), ["column_name"], "value", [0.5], few_groups=True)
+        value = middle.agg(*[F.max(F.when(F.col("column_name") == c, F.col("q0"))).alias(c) for c in medians])
+        one = value if one is None else one.crossJoin(F.broadcast(value))
     for column in columns:
-        if column in means:
+        if column in means or column in medians:
             continue
-        if _is_numeric(df, column) and strategy == "median":
-            value = exact_quantiles(df, [], column, [0.5]).agg(F.max("q0").alias(column))
-        else:
-            default = F.lit(0) if _is_numeric(df, column) else F.lit("unknown")
-            value = most_frequent(df, column).select(
-                F.coalesce(F.col("fill"), default.cast(df.schema[column].dataType)).alias(column)
-            )
+        default = F.lit(0) if _is_numeric(df, column) else F.lit("unknown")
+        value = most_frequent(df, column).select(
+            F.coalesce(F.col("fill"), default.cast(df.schema[column].dataType)).alias(column)
+        )
         one = value if one is None else one.crossJoin(F.broadcast(value))
     return one
 
@@ -134,18 +142,14 @@ def scale_numeric(df: DataFrame, columns: list[str], method: str = "standard") -
 
 def robust_scale(df: DataFrame, columns: list[str], by: str = "company_id") -> DataFrame:
     """(x - median) / interquartile range per company; a zero range only centres."""
-    out = df
-    for column in columns:
-        quarts = exact_quantiles(df, [by], column, [0.25, 0.5, 0.75]).select(
-            by, F.col("q1").alias("__median"), (F.col("q2") - F.col("q0")).alias("__iqr")
-        )
-        unit = F.when(F.col("__iqr") == 0, F.lit(1.0)).otherwise(F.col("__iqr"))
-        out = (
-            out.join(quarts, by, "left")
-            .withColumn(f"{column}_scaled", (F.col(column) - F.col("__median")) / unit)
-            .drop("__median", "__iqr")
-        )
-    return out
+    quarts = exact_quantiles(_long(df, [by], columns), [by, "column_name"], "value", [0.25, 0.5, 0.75])
+    iqr = F.col("q2") - F.col("q0")
+    wide = quarts.groupBy(by).agg(*[x for c in columns for x in (
+        F.max(F.when(F.col("column_name") == c, F.col("q1"))).alias(f"__median_{c}"),
+        F.max(F.when(F.col("column_name") == c, F.when(iqr == 0, F.lit(1.0)).otherwise(iqr))).alias(f"__unit_{c}"))])
+    out = df.join(wide, by, "left")
+    scaled = {f"{c}_scaled": (F.col(c) - F.col(f"__median_{c}")) / F.col(f"__unit_{c}") for c in columns}
+    return out.withColumns(scaled).drop(*[f"__{k}_{c}" for c in columns for k in ("median", "unit")])
 
 
 def split_stratified(df: DataFrame, id_column: str, label: str, test_size: float = 0.2,

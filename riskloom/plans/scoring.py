@@ -62,16 +62,19 @@ def flag_days(features: DataFrame, forest: DataFrame | None, config: EngineConfi
     """Daily features with flags from one forest for all companies."""
     if forest is None:
         return anomaly.without_detector(features)
-    return anomaly.contamination_threshold(anomaly.score_global(features, forest), config.contamination)
+    # the scores are read by the quantile and by the join: written once
+    raw = written(anomaly.score_global(features, forest), "day-scores")
+    return anomaly.contamination_threshold(raw, config.contamination)
 
 
 def flag_own_days(features: DataFrame, config: EngineConfig) -> DataFrame:
     """Daily features with flags from a forest fitted on each company's own days."""
-    forest = anomaly.train_isolation_forest(
+    ship(features.sparkSession)
+    forest = written(anomaly.train_isolation_forest(
         features, ["company_id", "date"], config.contamination, config.n_trees,
         config.tree_sample, config.seed, group="company_id",
-    )
-    raw = anomaly.score_per_group(features, forest)
+    ), "forest")
+    raw = written(anomaly.score_per_group(features, forest), "day-scores")
     return anomaly.contamination_threshold(raw, config.contamination, "company_id")
 
 

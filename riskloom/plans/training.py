@@ -12,7 +12,9 @@ from riskloom.operators import anomaly, churn, forecast, text
 from riskloom.operators.preparation import engineer_features, split_by_holdout, split_stratified
 from riskloom.operators.series import build_features
 from riskloom.plans.scoring import Models
+from riskloom.shipping import ship
 from riskloom.sources.files import write_metrics, write_table
+from riskloom.sources.scratch import written
 
 
 @dataclass
@@ -34,7 +36,7 @@ def train_churn_models(customers: DataFrame, config: EngineConfig, families=None
     candidates = churn.train_candidates(
         split.where("not is_test"), config.seed, families or churn.FAMILIES, settings
     )
-    metrics = churn.candidate_metrics(candidates, split.where("is_test")).persist()
+    metrics = written(churn.candidate_metrics(candidates, split.where("is_test")), "churn-metrics")
     best = churn.select_best(metrics).first().best_model
     split.unpersist()
     return candidates[best], candidates, metrics, best
@@ -43,7 +45,9 @@ def train_churn_models(customers: DataFrame, config: EngineConfig, families=None
 def train_all(customers: DataFrame, reviews: DataFrame, daily: DataFrame,
               config: EngineConfig = EngineConfig(), truth: str | None = None, families=None,
               settings=None) -> Trained:
-    """Fit churn, sentiment, anomaly and forecast models; metrics come as DataFrames."""
+    """Fit churn, sentiment, anomaly and forecast models; metrics come as DataFrames. Fitted
+    tables are written to the shared folder."""
+    ship(customers.sparkSession)
     best_model, candidates, churn_metrics, best = train_churn_models(customers, config, families, settings)
 
     split = split_stratified(reviews, "review_id", "sentiment_label", config.test_size, config.seed)
@@ -55,10 +59,10 @@ def train_all(customers: DataFrame, reviews: DataFrame, daily: DataFrame,
     )
 
     features = build_features(daily).persist()
-    forest = anomaly.train_isolation_forest(
+    forest = written(anomaly.train_isolation_forest(
         features, ["company_id", "date"], config.contamination, config.n_trees,
         config.tree_sample, config.seed,
-    ).persist()
+    ), "forest")
     anomaly_metrics = None
     if truth:
         flagged = anomaly.contamination_threshold(
@@ -69,7 +73,7 @@ def train_all(customers: DataFrame, reviews: DataFrame, daily: DataFrame,
     days = split_by_holdout(features.withColumn("holdout_days", F.lit(config.horizon_days))).where(
         "skipped_reason is null"
     )
-    fitted = forecast.train_forecast(days.where("not is_test"), config.forecast_model).persist()
+    fitted = written(forecast.train_forecast(days.where("not is_test"), config.forecast_model), "forecasts")
     forecast_metrics = forecast.evaluate_forecast(
         forecast.predict(fitted, config.horizon_days), forecast.holdout_steps(days), fitted
     )
