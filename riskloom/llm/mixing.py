@@ -60,8 +60,9 @@ def source_targets(sized: DataFrame) -> DataFrame:
         / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(so_far), F.lit(0))))
     # a source is full if the level that the sources from here on would share reaches its room;
     # the first that is not full sets the level of all that follow
-    levels = ranked.withColumn("level", level).withColumn(
-        "shared", F.min(F.when(F.col("level") * F.col("weight") < F.col("room"), F.col("level"))).over(every))
+    levels = ranked.withColumn("level", level).withColumn("step", F.row_number().over(walk))
+    open_ = F.when(F.col("level") * F.col("weight") < F.col("room"), F.struct("step", "level"))
+    levels = levels.withColumn("shared", F.min(open_).over(every)["level"])
     return levels.select("source", "n_rows", "source_size", F.coalesce(
         F.least(F.col("room").cast("double"), F.col("shared") * F.col("weight")), F.col("room").cast("double")).alias("target"))
 
@@ -123,11 +124,12 @@ ranked AS (
   FROM totals),
 walked AS (
   SELECT *, ((sum(source_size) OVER () * 150 / 100.0::DOUBLE) - coalesce(sum(room) OVER before, 0))::DOUBLE
-    / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level,
+    row_number() OVER (ORDER BY room / weight::DOUBLE, source NULLS LAST) AS step
   FROM ranked
   WINDOW before AS (ORDER BY room / weight::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 targets AS (
-  SELECT *, coalesce(least(room::DOUBLE, min(level) FILTER (WHERE level * weight < room) OVER () * weight), room::DOUBLE) AS target
+  SELECT *, coalesce(least(room::DOUBLE, arg_min(level, step) FILTER (WHERE level * weight < room) OVER () * weight), room::DOUBLE) AS target
   FROM walked),
 placed AS (
   SELECT s.doc_id, s.size, s.key, t.source_size, t.target,
