@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
 from riskloom.llm.whole_groups import group_starts, whole_groups
-from riskloom.llm.words import WordHashes, mixed, shingles, signed, text_bytes, word_hashes
+from riskloom.llm.words import WordHashes, mixed, parts, shingles, signed, text_bytes, word_hashes
 from riskloom.shipping import ship
 from riskloom.sources.scratch import release, written
 
@@ -116,7 +116,7 @@ def _scan(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
-        for batch in batches:
+        for batch in parts(batches):
             names, sizes, distinct = [], [], {}
             for text in text_bytes(batch.column(1)):
                 grams = gram_set(text, width, hashes)
@@ -142,7 +142,7 @@ def _ties(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> Da
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bands = word_hashes(), Bands(percent)
-        for batch in batches:
+        for batch in parts(batches):
             found: dict[int, np.ndarray] = {}
             for text in text_bytes(batch.column(0)):
                 grams = gram_set(text, width, hashes)
@@ -230,7 +230,7 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
-        for batch in batches:
+        for batch in parts(batches):
             names, sets = batch.column(1).to_pylist(), []
             for text in text_bytes(batch.column(0)):
                 sets.append(gram_set(text, width, hashes))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.words import WordHashes, shingles, word_hashes
+from riskloom.llm.words import WordHashes, parts, shingles, word_hashes
 from riskloom.shipping import ship
 
 #: Fixed values of the base rules.
@@ -71,7 +71,7 @@ def base_measures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
-        for batch in batches:
+        for batch in parts(batches):
             rows = np.array([measured((t or "").encode(), hashes) for t in batch.column(1).to_pylist()], np.int64)
             rows = rows.reshape(-1, 5)
             yield pa.RecordBatch.from_arrays(

@@ -43,8 +43,7 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    return unigram.digests(unigram.encode(_table(spark, sf_dir, "documents"), model), model)
+    return unigram.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op8_chat_calls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.suffix_sort import PrefixHashes, _agree, sorted_suffixes
 from riskloom.llm.whole_groups import whole_groups
-from riskloom.llm.words import mixed, signed, text_bytes
+from riskloom.llm.words import mixed, parts, signed, text_bytes
 from riskloom.shipping import ship
 from riskloom.sources.scratch import release, written
 
@@ -110,7 +110,7 @@ def _earliest(keys: tuple[np.ndarray, ...], ids: np.ndarray, at: np.ndarray) ->
 
 
 def _find_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches):
         texts = text_bytes(batch.column(2))
         data, begin = _flat(texts)
         ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -205,7 +205,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut_blocks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """(key, id, at, upto, block): blocks of anchors; single windows of hot ones, by their digest."""
-    for batch in batches:
+    for batch in parts(batches):
         keys, ids, places, blocks = [], [], [], []
         hot: dict[bytes, tuple[int, int]] = {}
         gone = []
@@ -326,7 +326,7 @@ def _sort_blocks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches):
         out = []
         for text, runs in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist()):
             kept, at, spans, end = [], 0, 0, -1

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.words import REMEMBERED
+from riskloom.llm.words import REMEMBERED, parts
 from riskloom.shipping import ship
 
 #: Cut texts are handed to the library in groups of so many characters.
@@ -84,7 +84,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = counter_of(model)
-        for batch in batches:
+        for batch in parts(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             counts = counter.count(texts)
             yield pa.RecordBatch.from_arrays(

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.words import REMEMBERED
+from riskloom.llm.words import REMEMBERED, parts
 from riskloom.shipping import ship
 from riskloom.sources.scratch import written
 
@@ -232,7 +232,7 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TermCounter(index.terms)
-        for batch in batches:
+        for batch in parts(batches):
             results = [index.score(counter.count(t or "")) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in results], pa.float64()),
@@ -251,7 +251,7 @@ def without_toxic(docs: DataFrame, index: Index) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TermCounter(index.terms)
-        for batch in batches:
+        for batch in parts(batches):
             stays = [index.score(counter.count(t or ""))[0] < 0.5 for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(stays, pa.bool_()))
 

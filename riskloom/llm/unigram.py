@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import functools
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.whole_groups import group_starts, whole_groups
-from riskloom.llm.words import REMEMBERED
+from riskloom.llm.words import REMEMBERED, parts
 from riskloom.shipping import ship
 from riskloom.sources.scratch import written
 
@@ -35,6 +34,10 @@ CHUNK, STEP, NONE = 32_768, 1 << 16, -(1 << 60)
 _WORD = re.compile(" +[^ ]*|^[^ ]+")
 
 
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
 class Pieces:
     """The pieces of a model with whole-number scores, the space mark written as a space."""
 
@@ -59,7 +62,7 @@ class Pieces:
         self.longest = max(map(len, self.pieces))
         # a byte costs more than any plain piece
         self.byte_score = (min(round(s / STEP) for _, s in self.pieces.values() if s > -(10**8) * STEP) - 10) * STEP - 1
-        self.words: dict[str, tuple[int, list[int]]] = {}
+        self.words: dict[str, tuple[int, bytes]] = {}
 
     def arcs(self, text: str, at: int) -> list[tuple[int, int, list[int]]]:
         """(length, score, ids) of what can begin at a place, the longest first."""
@@ -92,12 +95,14 @@ class Pieces:
             at += size
         return best[start], ids
 
-    def word(self, text: str) -> tuple[int, list[int]]:
+    def word(self, text: str) -> tuple[int, bytes]:
+        """A word's best score and its ids in bytes."""
         found = self.words.get(text)
         if found is None:
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
-            found = self.words[text] = self.trace(text, 0, len(text))
+            score, ids = self.trace(text, 0, len(text))
+            found = self.words[text] = score, packed(ids)
         return found
 
     def reach(self, text: str, start: int, end: int) -> np.ndarray:
@@ -133,24 +138,22 @@ class Pieces:
             out[i, i - end] = 0
         return out
 
-    def encode(self, text: str) -> list[int]:
-        return [i for w in _WORD.findall(" " + text) for i in self.word(w)[1]] if text else []
+    def encode(self, text: str) -> bytes:
+        return b"".join([self.word(w)[1] for w in _WORD.findall(" " + text)]) if text else b""
 
-    def between(self, text: str, start: int, end: int) -> list[int]:
+    def between(self, text: str, start: int, end: int) -> bytes:
         """Ids of the best way between two cuts, word by word where it can be."""
         cuts = [m.start() + start + 1 for m in re.finditer("(?<=[^ ]) ", text[start + 1 : end])] if end > start else []
         # a space right after the start is a boundary unless the start is one too
         if end > start + 1 and text[start + 1] == " " and text[start] != " ":
             cuts = [start + 1, *cuts]
         if not cuts:
-            return self.trace(text, start, end)[1] if end > start else []
-        out = self.trace(text, start, cuts[0])[1]
-        for word in _WORD.findall(text[cuts[0] : cuts[-1]]):
-            out = out + self.word(word)[1]
-        return out + self.trace(text, cuts[-1], end)[1]
+            return packed(self.trace(text, start, end)[1]) if end > start else b""
+        middle = [self.word(w)[1] for w in _WORD.findall(text[cuts[0] : cuts[-1]])]
+        return b"".join([packed(self.trace(text, start, cuts[0])[1]), *middle, packed(self.trace(text, cuts[-1], end)[1])])
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.content.__getitem__, ids)).decode()[1:]
+    def decode(self, ids: bytes) -> str:
+        return b"".join(map(self.content.__getitem__, np.frombuffer(ids, "<i4").tolist())).decode()[1:]
 
 
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -182,12 +185,9 @@ def pieces_of(model: str) -> Pieces:
     return Pieces(model)
 
 
-def _ids(rows: list[list[int]]) -> pa.Array:
-    return pa.array([np.array(r, "<i4").tobytes() for r in rows], pa.binary())
-
-
-def encode(docs: DataFrame, model: str) -> DataFrame:
-    """(doc_id, text, ids) of every row; ids are little-endian 32-bit whole numbers.
+def encode(docs: DataFrame, model: str, check: bool = False) -> DataFrame:
+    """(doc_id, ids) of every row; ids are little-endian 32-bit whole numbers. With `check` also
+    `decoded`, whether decoding them gives the text back.
 
     Uses doc_id and text, whatever else there is. Null and empty texts have no ids. Repeated rows
     are encoded each, no rows give no rows."""
@@ -199,9 +199,17 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), _ids([pieces.encode(t) for t in batch.column(1).to_pylist()])], names=["doc_id", "text", "ids"])
+        for batch in parts(batches):
+            texts = batch.column(1).to_pylist()
+            ids = [pieces.encode(t) for t in texts]
+            same = [pieces.decode(i) == t for t, i in zip(texts, ids)] if check else [None] * len(ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(same, pa.bool_())], names=["doc_id", "ids", "decoded"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pieces_of(model)
+        for batch in parts(batches, 256):
+            same = [pieces.decode(i) == t for t, i in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(same, pa.bool_())], names=["doc_id", "ids", "decoded"])
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model)
@@ -225,37 +233,46 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         pieces = pieces_of(model)
         for batch in batches:
             found = [pieces.between(t, b, min(len(t), CHUNK) + e) for t, b, e in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _ids(found)], names=["h", "k", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["h", "k", "ids"])
 
     longest = pieces_of(model).longest
     giants = rows.filter(long).select("doc_id", "text", F.xxhash64("text").alias("h"))
     marked = F.concat(F.lit(" "), F.col("text"))
     last = F.floor((F.length(marked) - 1) / CHUNK)
-    parts = giants.select("h", "text").dropDuplicates(["h"]).select(
+    split = giants.select("h", "text").dropDuplicates(["h"]).select(
         "h", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("k"), marked.alias("text"))
-    parts = parts.select("h", "k", F.substring("text", (F.col("k") * CHUNK + 1).cast("int"), F.lit(CHUNK + longest)).alias("part"))
-    parts = written(parts.repartition("h", "k"), "unigram-chunks")
-    matrices = parts.mapInArrow(transfer, "h bigint, k bigint, matrix binary")
+    split = split.select("h", "k", F.substring("text", (F.col("k") * CHUNK + 1).cast("int"), F.lit(CHUNK + longest)).alias("part"))
+    chunks = written(split.repartition("h", "k"), "unigram-chunks")
+    matrices = chunks.mapInArrow(transfer, "h bigint, k bigint, matrix binary")
     cuts = matrices.repartition("h").sortWithinPartitions("h", "k").mapInArrow(scan, "h bigint, k bigint, begin int, end int")
-    traced = parts.join(cuts, ["h", "k"]).select("h", "k", "part", "begin", "end").mapInArrow(trace, "h bigint, k bigint, ids binary")
+    traced = chunks.join(cuts, ["h", "k"]).select("h", "k", "part", "begin", "end").mapInArrow(trace, "h bigint, k bigint, ids binary")
     whole = traced.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts")).select(
         "h", F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["ids"])).alias("ids"))
-    plain = rows.filter(~long).mapInArrow(short, f"doc_id {kind}, text string, ids binary")
-    return plain.union(giants.join(whole, "h").select("doc_id", "text", "ids"))
-
-
-def digests(encoded: DataFrame, model: str) -> DataFrame:
-    """(doc_id, n_pieces, ids_crc32, decoded): the ids' number and checksum, and whether decoding
-    them gives the text back."""
+    done = f"doc_id {kind}, ids binary, decoded boolean"
+    plain = rows.filter(~long).mapInArrow(short, done)
+    pairs = giants.join(whole, "h")
+    rest = pairs.select("doc_id", "text", "ids").mapInArrow(compare, done) if check else pairs.select(
+        "doc_id", "ids", F.lit(None).cast("boolean").alias("decoded"))
+    out = plain.union(rest)
+    return out if check else out.drop("decoded")
+
+
+def decode(encoded: DataFrame, model: str) -> DataFrame:
+    """(doc_id, text) of encoded rows; null ids are an empty text."""
+    ship(encoded.sparkSession)
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model)
-        for batch in batches:
-            texts, raw = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            same = [pieces.decode(np.frombuffer(r, "<i4").tolist()) == t for t, r in zip(texts, raw)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(r) // 4 for r in raw], pa.int64()), pa.array([zlib.crc32(r) for r in raw], pa.int64()), pa.array(same, pa.bool_())],
-                names=["doc_id", "n_pieces", "ids_crc32", "decoded"])
+        for batch in parts(batches):
+            texts = [pieces.decode(i or b"") for i in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+
 
-    return encoded.select("doc_id", "text", "ids").mapInArrow(run, f"doc_id {kind}, n_pieces bigint, ids_crc32 bigint, decoded boolean")
+def digests(docs: DataFrame, model: str) -> DataFrame:
+    """(doc_id, n_pieces, ids_crc32, decoded) of every row: the number and checksum of its ids, and
+    whether decoding them gives the text back."""
+    return encode(docs, model, check=True).select(
+        "doc_id", (F.length("ids") / 4).cast("bigint").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "decoded")

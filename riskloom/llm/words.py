@@ -6,6 +6,7 @@ A word is a run of bytes other than ASCII white space (`[^\\x20\\x09-\\x0D]+`),
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: How many distinct words a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 class WordHashes(dict):
@@ -57,6 +58,13 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     return total
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what a task builds for one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; a null text is empty."""
     return pc.fill_null(column, "").cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()

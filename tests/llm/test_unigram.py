@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -35,7 +36,7 @@ def whole(pieces, text):
 
 def scored(pieces, ids):
     score = {i: s for i, s in pieces.pieces.values()}
-    return sum(score.get(i, pieces.byte_score) for i in ids)
+    return sum(score.get(i, pieces.byte_score) for i in np.frombuffer(ids, "<i4").tolist())
 
 
 def texts(n, size):
@@ -60,7 +61,7 @@ def test_chunks(pieces, chunk):
         if chunk < pieces.longest:
             # a piece may reach over several short chunks: states only, no chunk holds its trace
             continue
-        ids = [i for p, e, b, f in zip(parts, ends, at, at[1:]) for i in pieces.between(p, b, e + f)]
+        ids = b"".join(pieces.between(p, b, e + f) for p, e, b, f in zip(parts, ends, at, at[1:]))
         if text:
             assert pieces.decode(ids) == text and scored(pieces, ids) == whole(pieces, text)
 
@@ -75,11 +76,12 @@ def test_products_are_associative():
 def test_documents(spark, odd_docs, no_docs, pieces, monkeypatch, chunk):
     monkeypatch.setattr(unigram, "CHUNK", chunk)
     for docs in (odd_docs, spark.read.parquet(f"{SF}/documents.parquet")):
-        rows = unigram.encode(docs, MODEL).collect()
-        assert len(rows) == docs.count()
-        for r in rows:
-            ids = np.frombuffer(r.ids, "<i4").tolist()
-            assert pieces.decode(ids) == r.text and scored(pieces, ids) == whole(pieces, r.text)
+        encoded = unigram.encode(docs, MODEL)
+        rows = encoded.collect()
+        score = Counter((r.doc_id, pieces.decode(bytes(r.ids)), scored(pieces, bytes(r.ids))) for r in rows)
+        assert score == Counter((r["doc_id"], r["text"] or "", whole(pieces, r["text"] or "")) for r in docs.collect())
+        assert Counter(map(tuple, unigram.decode(encoded, MODEL).collect())) == Counter((r["doc_id"], r["text"] or "") for r in docs.collect())
+        assert all(r.decoded for r in unigram.digests(docs, MODEL).collect())
     assert unigram.encode(no_docs, MODEL).count() == 0
 
 
@@ -90,4 +92,4 @@ def test_query(spark, pieces):
     for r in rows:
         if len(docs[r.doc_id]) < unigram.CHUNK:
             ids = pieces.encode(docs[r.doc_id])
-            assert (r.n_pieces, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<i4").tobytes()))
+            assert (r.n_pieces, r.ids_crc32) == (len(ids) // 4, zlib.crc32(ids))
