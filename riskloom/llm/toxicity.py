@@ -32,7 +32,7 @@ from riskloom.sources.scratch import written
 
 #: Bounds of the fit, and its settings.
 EXAMPLES, TERMS, LEAST_DOCUMENTS, LEAST_PERMILLE, LEAST_CHI2, LEAST_LIFT = 4000, 2048, 6, 15, 20.0, 8.0
-NEIGHBOURS, BLOCK, PREFIXES, BINS = 15, 64, (4, 5, 6), 50
+NEIGHBOURS, BLOCK, TOGETHER, PREFIXES, BINS = 15, 64, 16, (4, 5, 6), 50
 FOLDS = 5
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -81,21 +81,28 @@ class Index:
         return terms, weights / (np.linalg.norm(weights) or 1.0)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The k examples of the highest positive cosine, ties to the earlier example."""
-        best: list[tuple[float, int]] = []
+        """The k examples of the highest positive cosine, ties to the earlier example. Blocks are
+        read some at a time."""
+        best_rows, best = np.empty(0, np.int64), np.empty(0)
         bounds = weights @ self.greatest[terms]
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < -best[-1][0] - 1e-9):
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        for at in range(0, len(order), TOGETHER):
+            if len(best) == k and bounds[order[at]] < best[-1] - 1e-9:
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                cell = t * self.blocks + block
-                part = slice(self.starts[cell], self.starts[cell + 1])
-                scores[self.post_rows[part] - block * BLOCK] += w * self.post_weights[part]
+            blocks = order[at : at + TOGETHER]
+            cells = (terms[:, None] * self.blocks + blocks[None]).ravel()
+            begin, size = self.starts[cells], self.starts[cells + 1] - self.starts[cells]
+            entry = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            gain = np.repeat(np.repeat(weights, len(blocks)), size) * self.post_weights[entry]
+            scores = np.bincount(self.post_rows[entry], weights=gain, minlength=len(self.vectors))
+            if without >= 0:
+                scores[without] = 0
             hit = np.flatnonzero(scores > 0)
-            best += [(-round(float(scores[i]), 12), block * BLOCK + int(i)) for i in hit if block * BLOCK + i != without]
-            best = sorted(best)[:k]
-        return [(-s, i) for s, i in best]
+            rows, found = np.concatenate([best_rows, hit]), np.concatenate([best, np.round(scores[hit], 12)])
+            top = np.lexsort((rows, -found))[:k]
+            best_rows, best = rows[top], found[top]
+        return list(zip(best.tolist(), best_rows.tolist()))
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """The share of toxic neighbours, by cosine."""
@@ -135,7 +142,7 @@ class Index:
         return self
 
     def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        if not counts:
+        if not counts or not self.vectors:
             return self.alone, []
         near = self.nearest(*self.vector(counts), NEIGHBOURS)
         if not near:
@@ -218,6 +225,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Index:
 
     kind = sample.schema["doc_id"].dataType.simpleString()
     rows = sample.mapInArrow(vectors, f"doc_id {kind}, label int, terms array<int>, counts array<int>").orderBy("doc_id").collect()
+    # like examples beside each other, so that blocks differ in their greatest weights
+    rows.sort(key=lambda r: (sorted(r["terms"]), r["doc_id"]))
     index = Index(terms, idf, [r["doc_id"] for r in rows], np.array([r["label"] for r in rows], np.int64), [],
                   (totals[0] / max(n0, 1), totals[1] / max(n1, 1)))
     index.vectors = [index.vector(dict(zip(r["terms"], r["counts"]))) for r in rows]
