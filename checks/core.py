@@ -406,6 +406,17 @@ def q_gate_scoring(spark, d):
     return validation.gate_scoring(validation.validate_customers(inputs.raw_customers(spark, d)))
 
 
+@check("company_id error", """
+  SELECT company_id, string_agg('Invalid ' || name || ' data: ' || array_to_string(issues, '; '), ' ' ORDER BY place) AS error
+  FROM (SELECT company_id, 'customer' AS name, 0 AS place, issues FROM customer_issues
+    UNION ALL SELECT company_id, 'review', 1, issues FROM review_issues
+    UNION ALL SELECT company_id, 'time-series', 2, issues FROM day_issues) x
+  WHERE len(issues) > 0 GROUP BY company_id""")
+def q_gate_upload(spark, d):
+    return validation.gate_upload(
+        inputs.raw_customers(spark, d), inputs.raw_reviews(spark, d), inputs.raw_daily(spark, d))
+
+
 @check("company_id customers:i reviews:i timeseries_days:i forecast_note", f"""
   SELECT *, {_NOTE.replace('n_rows', 'timeseries_days')} AS forecast_note FROM (
     SELECT d.company_id, (SELECT count(*) FROM customers c WHERE c.company_id = d.company_id) AS customers,

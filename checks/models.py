@@ -127,7 +127,18 @@ def q_evaluate_sentiment(spark, d):
 # ---------------------------------------------------------------- trained models: rows only
 
 
-@check("term_no:i term df:i idf:f")
+for _name in ("clean_docs", "doc_words", "doc_terms", "doc_tf", "vocab"):
+    _sql = FRAGMENTS[_name]
+    for _a, _b in (("clean_docs", "clean_reviews"), ("doc_words", "review_words"), ("doc_terms", "review_terms"), ("doc_tf", "review_tf"),
+                   ("doc_id", "review_id"), ("FROM documents", "FROM reviews"), ("lower(text)", "lower(review_text)")):
+        _sql = _sql.replace(_a, _b)
+    FRAGMENTS[{"clean_docs": "clean_reviews", "doc_words": "review_words", "doc_terms": "review_terms",
+               "doc_tf": "review_tf", "vocab": "review_vocab"}[_name]] = _sql
+
+
+@check("term_no:i term df:i idf:f", """
+  SELECT row_number() OVER (ORDER BY total DESC, term) - 1 AS term_no, term, df,
+    ln((1 + (SELECT count(*) FROM reviews))::DOUBLE / (1 + df)) + 1 AS idf FROM review_vocab""")
 def q_train_sentiment(spark, d):
     return text.train_sentiment(warehouse.reviews(spark, d)).vocabulary
 
@@ -139,7 +150,8 @@ def q_score_sentiment(spark, d):
     return text.score_sentiment(rows, model)
 
 
-@check("customer_id:i plan_type slots:i")
+@check("customer_id:i plan_type slots:i", f"""
+  SELECT customer_id, plan_type, (SELECT count(DISTINCT plan_type) FROM customers) + {len(churn.NUMERIC_FEATURES)} AS slots FROM customers""")
 def q_feature_preprocessor(spark, d):
     rows = inputs.features(spark, d)
     stages, names = churn.feature_preprocessor(rows)
@@ -206,6 +218,24 @@ def q_train_isolation_forest(spark, d):
     return forest.withColumn("nodes", F.size("feature"))
 
 
+@check("group_id trees:i least_sample:i most_sample:i", """
+  SELECT 'all' AS group_id, 500 AS trees, least(256, (SELECT count(*) FROM daily)) AS least_sample,
+    least(256, (SELECT count(*) FROM daily)) AS most_sample""")
+def q_forest_shape(spark, d):
+    forest = anomaly.train_isolation_forest(build_features(warehouse.daily_metrics(spark, d)), ["company_id", "date"])
+    return forest.groupBy("group_id").agg(
+        F.countDistinct("tree").alias("trees"), F.min("sample_size").alias("least_sample"), F.max("sample_size").alias("most_sample"))
+
+
+@check("company_id days:i share_holds", """
+  SELECT company_id, count(*) AS days, true AS share_holds FROM daily GROUP BY company_id""")
+def q_company_flag_share(spark, d):
+    """Per company the flagged days are the contamination's share, give or take one."""
+    flagged = scoring.flag_own_days(build_features(warehouse.daily_metrics(spark, d)), CONFIG)
+    n, hits = F.count(F.lit(1)), F.count_if("is_anomaly")
+    return flagged.groupBy("company_id").agg(n.alias("days"), (F.abs(hits - n * CONFIG.contamination) <= 1.0 + n * 0.005).alias("share_holds"))
+
+
 @check("company_id date is_anomaly anomaly_score:f")
 def q_score_anomalies(spark, d):
     features = build_features(warehouse.daily_metrics(spark, d))
@@ -275,3 +305,9 @@ def q_save_load_model(spark, d):
     again = churn.ChurnModel.load(spark, path)
     first = churn.score_churn(rows, model).withColumnRenamed("churn_prob", "before")
     return churn.score_churn(first, again).withColumnRenamed("churn_prob", "after")
+
+
+@check("rows:i largest_difference:f", "SELECT count(*) AS rows, 0.0::DOUBLE AS largest_difference FROM customers")
+def q_same_after_load(spark, d):
+    scored = q_save_load_model(spark, d)
+    return scored.agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("before") - F.col("after"))).alias("largest_difference"))

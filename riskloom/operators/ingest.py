@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from riskloom.functions.scalars import anonymize_id, normalize_name, parse_date
 from riskloom.operators.joins import alias_lookup
 
-# Canonical field and the names it goes by in exports, most specific first.
+# Header names that stand for a field; where two fit, the earlier one wins.
 COLUMN_ALIASES = {
     "customer_id": [
         "customerid", "custid", "userid", "accountid", "subscriberid", "clientid", "id",

@@ -5,17 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after checking the row count; beyond the bound Spark picks the join.
-
-    The check stops at `max_rows + 1` rows. Meant for dimensions that are cheap to read."""
-    if side.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(side)
-    return side
-
 
 def event_counts(events: DataFrame, key: str, name: str = "event_count") -> DataFrame:
     """Rows per key; a missing key is not a customer and is left out."""

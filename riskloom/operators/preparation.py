@@ -28,6 +28,7 @@ def engineer_features(customers: DataFrame) -> DataFrame:
         "spend_per_login": F.try_divide(F.col("monthly_spend"), usage + 1),
         "tickets_per_tenure": F.try_divide(F.col("support_tickets"), tenure + 1),
         "usage_per_tenure": F.try_divide(usage, tenure + 1),
+        # fixed values: the three limits
         "low_usage_flag": flag(usage <= 4),
         "high_ticket_flag": flag(F.col("support_tickets") >= 1),
         "early_customer_flag": flag(tenure <= 6),

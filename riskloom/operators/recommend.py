@@ -52,6 +52,7 @@ def _metric_items(present: Column, dropped: Column) -> list[Column]:
     ]
 
 
+# The texts of actions and reasons below.
 def _fired_rules(churn: Column, mood: Column, ratio: Column, gap: Column, dropped: Column) -> Column:
     """All rules that fire, with their urgency and number."""
     unhappy_leavers = (churn > HIGH_CHURN) & (mood < NEGATIVE_SENTIMENT)

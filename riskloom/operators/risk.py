@@ -57,6 +57,7 @@ def signal_contributions(signals: list[Column], weights: RiskWeights = RiskWeigh
     return F.struct(*[p.alias(n) for p, n in zip(points, CONTRIBUTIONS)])
 
 
+# The clauses of the sentence.
 def explanation_text(factors: Column, sentiment: Column, anomalies: Column, trend: Column) -> Column:
     """One sentence: two main factors, mood, recent anomalies, revenue trend."""
     names = F.transform(F.slice(factors, 1, 2), lambda f: humanize_feature(f["feature"]))

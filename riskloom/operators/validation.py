@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.config import CHURN_BASE_COLUMNS, CHURN_NUMERIC_COLUMNS, SERIES_COLUMNS
 from riskloom.functions.scalars import parse_date, parse_number
 
+# The limits, and the texts of all messages in this file.
 MIN_CUSTOMERS = 10
 MIN_REVIEWS = 5
 MIN_DAILY_ROWS = 14
