@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,6 +61,13 @@ class Pieces:
         if any(" " in p.lstrip(" ") for p in self.pieces):
             raise ValueError("a piece has a space mark after another character")
         self.longest = max(map(len, self.pieces))
+        #: A tree of the pieces by character; under "" a piece's id and score.
+        self.tree: dict = {}
+        for piece, own in self.pieces.items():
+            node = self.tree
+            for letter in piece:
+                node = node.setdefault(letter, {})
+            node[""] = own
         # a byte costs more than any plain piece
         self.byte_score = (min(round(s / STEP) for _, s in self.pieces.values() if s > -(10**8) * STEP) - 10) * STEP - 1
         self.words: dict[str, tuple[int, bytes]] = {}
@@ -67,15 +75,17 @@ class Pieces:
     def arcs(self, text: str, at: int) -> list[tuple[int, int, list[int]]]:
         """(length, score, ids) of what can begin at a place, the longest first."""
         found = []
-        get = self.pieces.get
-        for size in range(min(self.longest, len(text) - at), 0, -1):
-            hit = get(text[at : at + size])
-            if hit:
-                found.append((size, hit[1], [hit[0]]))
-        if not found or found[-1][0] != 1:
+        if text[at] not in self.pieces:
             raw = text[at].encode()
             found.append((1, self.byte_score * len(raw), [self.bytes_[b] for b in raw]))
-        return found
+        node = self.tree
+        for end in range(at + 1, min(at + self.longest, len(text)) + 1):
+            node = node.get(text[end - 1])
+            if node is None:
+                break
+            if "" in node:
+                found.append((end - at, node[""][1], [node[""][0]]))
+        return found[::-1]
 
     def trace(self, text: str, start: int, end: int) -> tuple[int, list[int]]:
         """The best way from start to end: (score, ids); of equal ones, long pieces first."""
@@ -99,12 +109,42 @@ class Pieces:
         """A word's best score and its ids in bytes."""
         found = self.words.get(text)
         if found is None:
-            if len(self.words) >= REMEMBERED:
+            if len(self.words) >= 2 * REMEMBERED:
                 self.words.clear()
-            score, ids = self.trace(text, 0, len(text))
-            found = self.words[text] = score, packed(ids)
+            found = self.words[text] = self._word(text)
         return found
 
+    def _word(self, text: str) -> tuple[int, bytes]:
+        """What `trace` gives for the whole of a text, without its lists."""
+        n, tree = len(text), self.tree
+        best, stop, own = [0] * (n + 1), [0] * n, [-1] * n
+        for at in range(n - 1, -1, -1):
+            node = tree.get(text[at])
+            if node is None or "" not in node:
+                top, stop[at] = self.byte_score * len(text[at].encode()) + best[at + 1], at + 1
+            else:
+                top = NONE
+            end = at + 1
+            while node is not None:
+                hit = node.get("")
+                if hit is not None:
+                    total = hit[1] + best[end]
+                    if total >= top:
+                        top, stop[at], own[at] = total, end, hit[0]
+                if end == n:
+                    break
+                node = node.get(text[end])
+                end += 1
+            best[at] = top
+        ids, at = array("i"), 0
+        while at < n:
+            if own[at] >= 0:
+                ids.append(own[at])
+            else:
+                ids.extend(self.bytes_[b] for b in text[at].encode())
+            at = stop[at]
+        return best[0], ids.tobytes()
+
     def reach(self, text: str, start: int, end: int) -> np.ndarray:
         """Best scores from a cut at `start` to the first cut at `end` or up to a piece after it."""
         out = np.full(self.longest, NONE, np.int64)
