@@ -24,8 +24,15 @@ def _archive() -> str:
     return path
 
 
+#: Rows of an Arrow batch where the session leaves Spark's own number: texts are long, and a task
+#: holds a batch several times.
+_BATCH, _OWN, _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send the package to every executor, once per Spark context."""
+    """Send the package to every executor, once per Spark context, and keep Arrow batches small."""
+    if spark.conf.get(_BATCH) == _OWN:
+        spark.conf.set(_BATCH, _ROWS)
     context = spark.sparkContext
     if context not in _SHIPPED:
         context.addPyFile(_archive())
