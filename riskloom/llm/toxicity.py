@@ -1,25 +1,32 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Fit, on a bounded sample of the labelled rows that may be learnt from (EXAMPLES of each class, those
-with the least hashes): terms are words and beginnings of words; kept are those that stand in toxic
-examples far more often than in clean ones (chi-square, at most TERMS). Examples become TF-IDF
-vectors over these terms, in an inverted index cut into blocks of examples, with the greatest
-weight of each term in each block.
-
-Scoring, over all documents in Arrow tasks: a block's bound is the sum of the query's weights times
-the block's greatest; blocks are read from the highest bound down, until the bound is below the
-k-th best cosine, so the k nearest are exact. Their labels vote, weighted by cosine. Votes are turned
-into probabilities by what the same vote gives for each example without itself, weighted to the
-classes' shares among all labelled rows and made monotone. Documents with none of the terms have no
-neighbour and get the share of toxic rows among such examples."""
+with the least hashes): terms are words and beginnings of words, and all terms of the examples
+are kept. Documents with a term are counted over all documents. A term's weight is its IDF times
+`1 + SIGN * phi`, with phi the correlation of term and class over the examples' distinct texts; no term
+weighs nothing. Terms that stand in no example add nothing to any cosine with one.
+
+The examples' vectors are an inverted index cut into blocks of examples. Terms in more than one of
+COMMON examples are held as columns, with the greatest weight of each in each block; the others as
+lists of examples.
+
+Scoring, over all documents in Arrow tasks: the lists give each example's exact sum over the rare
+terms. A block's bound is its best such sum plus the query's common weights times the block's greatest.
+The blocks of the highest bounds are read first, then those whose bound reaches the k-th best sum,
+so the k nearest are exact. Their labels vote, weighted by cosine. Votes are turned into probabilities
+by what the same vote gives for each example without itself, weighted to the classes' shares among
+all labelled rows and made monotone. Documents with none of the terms have no neighbour and get the
+share of toxic rows among such examples."""
 
 from __future__ import annotations
 
-import math
+import functools
+import pickle
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +38,10 @@ from riskloom.shipping import ship
 from riskloom.sources.scratch import written
 
 #: Bounds of the fit, and its settings.
-EXAMPLES, TERMS, LEAST_DOCUMENTS, LEAST_PERMILLE, LEAST_CHI2, LEAST_LIFT = 4000, 2048, 6, 15, 20.0, 8.0
-NEIGHBOURS, BLOCK, TOGETHER, PREFIXES, BINS = 15, 64, 16, (4, 5, 6), 50
+EXAMPLES, SIGN = 4000, 10.0
+NEIGHBOURS, BLOCK, COMMON, PREFIXES, BINS = 15, 64, 8, (4, 5, 6), 50
+#: Documents searched together; blocks read at first for each.
+QUERIES, FIRST = 64, 4
 FOLDS = 5
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -48,7 +57,7 @@ def terms_of(word: str) -> list[str]:
 
 @dataclass
 class Index:
-    """Examples and what is learnt from them; its size is bounded by EXAMPLES and TERMS."""
+    """Examples and what is learnt from them; its size is bounded by EXAMPLES and their texts."""
 
     terms: dict[str, int]
     idf: np.ndarray
@@ -59,50 +68,89 @@ class Index:
     edges: np.ndarray = field(default_factory=lambda: np.zeros(1))
     rates: np.ndarray = field(default_factory=lambda: np.zeros(1))
     alone: float = 0.0
+    #: Terms and counts of the examples, as four-byte numbers; the vectors and all tables follow from them.
+    counted: list[tuple[bytes, bytes]] = field(default_factory=list)
+
+    def weigh(self) -> Index:
+        self.vectors = [self.vector(*(np.frombuffer(x, ">i4").astype(np.int64) for x in pair)) for pair in self.counted]
+        return self
+
+    def packed(self) -> bytes:
+        """Without what can be made again, so that copies on disks stay small."""
+        return zlib.compress(pickle.dumps(replace(self, vectors=[], terms="\n".join(self.terms))), 1)
+
+    @staticmethod
+    @functools.lru_cache(maxsize=1)
+    def unpacked(data: bytes) -> Index:
+        index = pickle.loads(zlib.decompress(data))
+        index.terms = {t: i for i, t in enumerate(index.terms.split("\n") if index.terms else [])}
+        index.weigh().build().vectors = []
+        return index
 
     def build(self) -> Index:
         n, m = len(self.vectors), len(self.terms)
         self.blocks = max(1, -(-n // BLOCK))
-        rows = np.concatenate([np.full(len(t), i) for i, (t, _) in enumerate(self.vectors)] or [np.empty(0, int)]).astype(np.int64)
-        cols = np.concatenate([t for t, _ in self.vectors] or [np.empty(0, int)]).astype(np.int64)
+        rows = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in self.vectors])
+        cols = np.concatenate([t for t, _ in self.vectors] or [np.empty(0)]).astype(np.int32)
         weights = np.concatenate([w for _, w in self.vectors] or [np.empty(0)])
+        common = np.bincount(cols, minlength=m) * COMMON > n
+        self.place = np.where(common, np.cumsum(common) - 1, -1)
+        often = common[cols]
+        self.columns = np.zeros((self.blocks * BLOCK, int(common.sum())))
+        self.columns[rows[often], self.place[cols[often]]] = weights[often]
+        self.greatest = self.columns.reshape(self.blocks, BLOCK, -1).max(1).T.copy()
+        rows, cols, weights = rows[~often], cols[~often], weights[~often]
         order = np.lexsort((rows, cols))
         self.post_rows, self.post_weights = rows[order], weights[order]
-        cell = cols[order] * self.blocks + self.post_rows // BLOCK
-        self.starts = np.searchsorted(cell, np.arange(m * self.blocks + 1))
-        self.greatest = np.zeros(m * self.blocks)
-        np.maximum.at(self.greatest, cell, self.post_weights)
-        self.greatest = self.greatest.reshape(m, self.blocks)
+        self.starts = np.searchsorted(cols[order], np.arange(m + 1))
         return self
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array(sorted(counts), np.int64)
-        weights = np.array([1 + math.log(counts[t]) for t in terms.tolist()]) * self.idf[terms]
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weights = (1 + np.log(counts)) * self.idf[terms]
         return terms, weights / (np.linalg.norm(weights) or 1.0)
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The k examples of the highest positive cosine, ties to the earlier example. Blocks are
-        read some at a time."""
-        best_rows, best = np.empty(0, np.int64), np.empty(0)
-        bounds = weights @ self.greatest[terms]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        for at in range(0, len(order), TOGETHER):
-            if len(best) == k and bounds[order[at]] < best[-1] - 1e-9:
-                break
-            blocks = order[at : at + TOGETHER]
-            cells = (terms[:, None] * self.blocks + blocks[None]).ravel()
-            begin, size = self.starts[cells], self.starts[cells + 1] - self.starts[cells]
+    def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """For each query the k examples of the highest positive cosine, ties to the earlier example."""
+        n, width = len(queries), self.blocks * BLOCK
+        sums, common = np.empty((n, width)), np.zeros((n, self.columns.shape[1]))
+        for i, (terms, weights) in enumerate(queries):
+            place = self.place[terms]
+            often = place >= 0
+            common[i, place[often]] = weights[often]
+            rare = terms[~often]
+            begin, size = self.starts[rare], self.starts[rare + 1] - self.starts[rare]
             entry = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            gain = np.repeat(np.repeat(weights, len(blocks)), size) * self.post_weights[entry]
-            scores = np.bincount(self.post_rows[entry], weights=gain, minlength=len(self.vectors))
-            if without >= 0:
-                scores[without] = 0
-            hit = np.flatnonzero(scores > 0)
-            rows, found = np.concatenate([best_rows, hit]), np.concatenate([best, np.round(scores[hit], 12)])
-            top = np.lexsort((rows, -found))[:k]
-            best_rows, best = rows[top], found[top]
-        return list(zip(best.tolist(), best_rows.tolist()))
+            gain = np.repeat(weights[~often], size) * self.post_weights[entry]
+            sums[i] = np.bincount(self.post_rows[entry], weights=gain, minlength=width)
+        if without is not None:
+            sums[np.arange(n), without] = -np.inf
+        bounds = sums.reshape(n, self.blocks, BLOCK).max(2) + common @ self.greatest
+        read = np.zeros(bounds.shape, bool)
+
+        def least() -> np.ndarray:
+            """The k-th best of sums that are whole or, as no weight is negative, too low."""
+            return np.partition(sums, max(width - k, 0), axis=1)[:, max(width - k, 0), None]
+
+        def read_blocks(chosen: np.ndarray) -> None:
+            for block in np.flatnonzero(chosen.any(0)).tolist():
+                rows, part = np.flatnonzero(chosen[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                sums[rows, part] += common[rows] @ self.columns[part].T
+
+        first = min(FIRST, self.blocks)
+        np.put_along_axis(read, np.argpartition(-bounds, first - 1, axis=1)[:, :first], True, axis=1)
+        read_blocks(read)
+        read_blocks(~read & (bounds >= least() - 1e-9))
+        sums = np.round(sums, 12)
+        found = []
+        for row, low in zip(sums, least()[:, 0].tolist()):
+            hit = np.flatnonzero((row >= low) & (row > 0))
+            top = hit[np.lexsort((hit, -row[hit]))[:k]]
+            found.append(list(zip(row[top].tolist(), top.tolist())))
+        return found
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
+        """`nearest_all` of one query."""
+        return self.nearest_all([(terms, weights)], k, [without] if without >= 0 else None)[0]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """The share of toxic neighbours, by cosine."""
@@ -111,13 +159,14 @@ class Index:
     def calibrate(self) -> Index:
         weight = np.where(self.labels == 1, self.class_weights[1], self.class_weights[0])
         votes, rows, none = [], [], []
-        for i, (terms, weights) in enumerate(self.vectors):
-            near = self.nearest(terms, weights, NEIGHBOURS, without=i) if len(terms) else []
-            if near:
-                votes.append(self.vote(near))
-                rows.append(i)
-            else:
-                none.append(i)
+        for at in range(0, len(self.vectors), QUERIES):
+            own = range(at, min(at + QUERIES, len(self.vectors)))
+            for i, near in zip(own, self.nearest_all([self.vectors[i] for i in own], NEIGHBOURS, list(own))):
+                if near:
+                    votes.append(self.vote(near))
+                    rows.append(i)
+                else:
+                    none.append(i)
 
         def share(part: list[int]) -> tuple[float, float]:
             """(toxic share, weight), with half a row of each class for prior."""
@@ -141,17 +190,18 @@ class Index:
             self.rates = np.array([self.alone])
         return self
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        if not counts or not self.vectors:
-            return self.alone, []
-        near = self.nearest(*self.vector(counts), NEIGHBOURS)
-        if not near:
-            return self.alone, []
-        return float(np.interp(self.vote(near), self.edges, self.rates)), near
+    def score(self, counted: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """(score, nearest examples) of each document's terms and their counts."""
+        out = []
+        for at in range(0, len(counted), QUERIES):
+            queries = [self.vector(*c) for c in counted[at : at + QUERIES]]
+            for near in self.nearest_all(queries, NEIGHBOURS):
+                out.append((float(np.interp(self.vote(near), self.edges, self.rates)) if near else self.alone, near))
+        return out
 
 
 class TermCounter(dict):
-    """The kept terms of a word, remembered; most words have none."""
+    """The known terms of a word, remembered."""
 
     def __init__(self, terms: dict[str, int]):
         super().__init__()
@@ -163,11 +213,35 @@ class TermCounter(dict):
         self[word] = found = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
         return found
 
-    def count(self, text: str) -> Counter:
-        counts: Counter = Counter()
-        for found in filter(None, map(self.__getitem__, _WORD.findall(text.lower()))):
-            counts.update(found)
-        return counts
+    def known(self, text: str | None) -> set[int]:
+        """The terms of a text."""
+        return set(chain.from_iterable(map(self.__getitem__, set(_WORD.findall((text or "").lower())))))
+
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, how often each) of a text."""
+        words = _WORD.findall((text or "").lower())
+        return np.unique(np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64), return_counts=True)
+
+
+def document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[int, np.ndarray]:
+    """How many documents there are, and how many have each term."""
+    sent = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, n = TermCounter(sent.value), 0
+        seen = np.zeros(len(counter.terms), np.int64)
+        for batch in parts(batches, 512):
+            n += batch.num_rows
+            found = chain.from_iterable(map(counter.known, batch.column(0).to_pylist()))
+            seen += np.bincount(np.fromiter(found, np.int64), minlength=len(seen))
+        there = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(there, -1)), pa.array(np.append(seen[there], n))], names=["term", "n"])
+
+    found = docs.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = found.column("term").to_numpy(), found.column("n").to_numpy()
+    frequencies = np.zeros(len(terms) + 1, np.int64)  # the last is the number of documents
+    frequencies[term] = n
+    return int(frequencies[-1]), frequencies[:-1]
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[DataFrame, tuple[int, int]]:
@@ -202,35 +276,40 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Index:
                 names=["term", "clean", "toxic"])
 
     # a text counts once, so that words of a much copied document are no sign
-    found = sample.dropDuplicates(["text"]).select("text", "label").mapInArrow(count, "term string, clean bigint, toxic bigint")
+    distinct = sample.groupBy(F.coalesce("text", F.lit("")).alias("text")).agg((F.avg("label") >= 0.5).cast("int").alias("label"))
+    distinct = written(distinct, "toxicity-texts")
+    texts = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    t0, t1 = texts.get(0, 0), texts.get(1, 0)
+    found = distinct.mapInArrow(count, "term string, clean bigint, toxic bigint")
     found = found.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    p1, p0 = (F.col("toxic") + 0.5) / (n1 + 1.0), (F.col("clean") + 0.5) / (n0 + 1.0)
-    both = (F.col("toxic") + F.col("clean")).cast("double")
-    n = float(max(n0 + n1, 1))
-    cross = F.col("toxic").cast("double") * (n0 - F.col("clean")) - F.col("clean").cast("double") * (n1 - F.col("toxic"))
-    chi2 = n * cross * cross / (float(max(n0, 1)) * float(max(n1, 1)) * both * F.greatest(n - both, F.lit(1.0)))
-    least = max(LEAST_DOCUMENTS, n1 * LEAST_PERMILLE // 1000)
-    kept = found.filter((F.col("toxic") >= least) & (p1 >= LEAST_LIFT * p0)).withColumn("chi2", chi2)
-    kept = kept.filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS).collect()
-    terms = {r["term"]: i for i, r in enumerate(kept)}
-    idf = np.array([math.log((1 + n) / (1 + r["toxic"] + r["clean"])) + 1 for r in kept])
+    # common terms first, so that examples with the same ones come beside each other below
+    found = found.orderBy(F.desc(F.col("clean") + F.col("toxic")), "term").toArrow()
+    terms = {t: i for i, t in enumerate(found.column("term").to_pylist())}
+    n, frequencies = document_frequencies(docs, terms)
+    clean, toxic = (found.column(c).to_numpy().astype(float) for c in ("clean", "toxic"))
+    both = clean + toxic
+    spread = np.sqrt(np.maximum(float(t0) * t1 * both * (t0 + t1 - both), 1.0))
+    phi = np.abs(toxic * (t0 - clean) - clean * (t1 - toxic)) / spread
+    idf = (np.log((1 + n) / (1 + frequencies)) + 1) * (1 + SIGN * phi)
+
+    sent = docs.sparkSession.sparkContext.broadcast(terms)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TermCounter(terms)
+        counter = TermCounter(sent.value)
         for batch in batches:
-            counts = [counter.count(t or "") for t in batch.column(1).to_pylist()]
+            counted = [counter.count(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([list(c) for c in counts], pa.list_(pa.int32())),
-                 pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))], names=["doc_id", "label", "terms", "counts"])
+                [batch.column(0), batch.column(2), *(pa.array([c[k].astype(">i4").tobytes() for c in counted], pa.binary()) for k in (0, 1))],
+                names=["doc_id", "label", "terms", "counts"])
 
     kind = sample.schema["doc_id"].dataType.simpleString()
-    rows = sample.mapInArrow(vectors, f"doc_id {kind}, label int, terms array<int>, counts array<int>").orderBy("doc_id").collect()
+    rows = sample.mapInArrow(vectors, f"doc_id {kind}, label int, terms binary, counts binary").collect()
     # like examples beside each other, so that blocks differ in their greatest weights
-    rows.sort(key=lambda r: (sorted(r["terms"]), r["doc_id"]))
+    rows.sort(key=lambda r: (bytes(r["terms"]), r["doc_id"]))
     index = Index(terms, idf, [r["doc_id"] for r in rows], np.array([r["label"] for r in rows], np.int64), [],
                   (totals[0] / max(n0, 1), totals[1] / max(n1, 1)))
-    index.vectors = [index.vector(dict(zip(r["terms"], r["counts"]))) for r in rows]
-    return index.build().calibrate()
+    index.counted = [(bytes(r["terms"]), bytes(r["counts"])) for r in rows]
+    return index.weigh().build().calibrate()
 
 
 def score(docs: DataFrame, index: Index) -> DataFrame:
@@ -239,10 +318,13 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
     the base score. Other columns are ignored, repeated rows are scored each, no rows give no rows."""
     ship(docs.sparkSession)
 
+    sent = docs.sparkSession.sparkContext.broadcast(index.packed())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index.unpacked(sent.value)
         counter = TermCounter(index.terms)
-        for batch in parts(batches):
-            results = [index.score(counter.count(t or "")) for t in batch.column(1).to_pylist()]
+        for batch in parts(batches, 512):
+            results = index.score([counter.count(t) for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in results], pa.float64()),
                  pa.array([[index.ids[i] for _, i in r[1][:3]] for r in results], pa.list_(batch.column(0).type))],
@@ -258,10 +340,13 @@ def without_toxic(docs: DataFrame, index: Index) -> DataFrame:
     ship(docs.sparkSession)
     at = docs.columns.index("text")
 
+    sent = docs.sparkSession.sparkContext.broadcast(index.packed())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index.unpacked(sent.value)
         counter = TermCounter(index.terms)
-        for batch in parts(batches):
-            stays = [index.score(counter.count(t or ""))[0] < 0.5 for t in batch.column(at).to_pylist()]
+        for batch in parts(batches, 512):
+            stays = [found < 0.5 for found, _ in index.score([counter.count(t) for t in batch.column(at).to_pylist()])]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,5 +1,6 @@
 """Scores on held-out labels, and the block-max search against all cosines."""
 
+import random
 import zlib
 
 import numpy as np
@@ -61,3 +62,25 @@ def test_odd_documents(spark, odd_docs, no_docs):
     empty = toxicity.fit(odd_docs, labels.limit(0))
     assert {r.score for r in toxicity.score(odd_docs, empty).collect()} == {0.5}
     assert toxicity.fit(no_docs, labels).alone == 0.5
+
+
+def test_rare_words_and_near_copies_count(spark):
+    """Toxic examples in groups of three with words of their own; near copies of them are found."""
+    rng = random.Random(5)
+
+    def words(n, size=7):
+        return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size)) for _ in range(n)]
+
+    plain = words(300)
+    topics = [words(12) for _ in range(60)]
+    texts = [(" ".join(rng.choices(plain, k=60)), 0) for _ in range(400)]
+    texts += [(" ".join(rng.choices(plain, k=30) + rng.sample(topic, 10)), 1) for topic in topics for _ in range(3)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    index = toxicity.fit(docs, labels)
+    assert set(index.terms) >= {w + " " for i, (t, _) in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 for w in t.split()}
+    again = [(1000 + i, t.rsplit(" ", 2)[0] + " " + " ".join(words(2)), y) for i, (t, y) in enumerate(texts)]
+    rows = toxicity.score(spark.createDataFrame([r[:2] for r in again], "doc_id long, text string"), index).collect()
+    truth = {i: y for i, _, y in again}
+    hits = [(r.predicted, truth[r.doc_id]) for r in rows]
+    assert hits.count((1, 1)) > 0.9 * 180 and hits.count((1, 0)) < 0.05 * 400
