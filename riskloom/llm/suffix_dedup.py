@@ -16,7 +16,7 @@ smaller id or at an earlier place of the same one. The steps, each a Spark job o
    its windows go out one by one, keyed by a 128-bit hash of their own content.
 4. The removed runs of a document are merged and cut out of its text.
 
-Documents are told apart by (doc_id, 16 bits of a hash of the text)."""
+Documents are told apart by (doc_id, 64 bits of a hash of the text), the `tie`, in every join and group."""
 
 from __future__ import annotations
 
@@ -37,9 +37,8 @@ from riskloom.shipping import ship
 from riskloom.sources.scratch import release, written
 
 GRAM, HOT, PIECE = 32, 4096, 1 << 19
-#: A place: 16 bits of the text's hash, the position, and the least and most bytes that a window of
-#: the run has before the anchor.
-_TIE, _AT, _FIELD = 47, 14, 127
+#: A place: the position, and the least and most bytes that a window of the run has before the anchor.
+_AT, _FIELD = 14, 127
 #: Rows sorted at once; bytes hashed at once.
 _ROWS = 16_384
 _NULL_ID = (1 << 63) - 1
@@ -71,23 +70,28 @@ def anchors(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(np.concatenate([o[k] for o in out]) if out else np.empty(0, kinds[k]) for k in range(4))
 
 
-def _pack(tie, at, least, most):
-    return (np.asarray(tie, np.int64) << _TIE) | (at << _AT) | (least << 7) | most
+def _pack(at, least, most):
+    return (np.asarray(at, np.int64) << _AT) | (least << 7) | most
 
 
 def _unpack(packed: np.ndarray):
-    """(tie, position, least, most)"""
-    return packed >> _TIE, (packed >> _AT) & ((1 << (_TIE - _AT)) - 1), (packed >> 7) & _FIELD, packed & _FIELD
+    """(position, least, most)"""
+    return packed >> _AT, (packed >> 7) & _FIELD, packed & _FIELD
 
 
-def _merged(ids: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs that touch, put together; `start` holds the document's tie in its upper bits."""
-    order = np.lexsort((start, ids))
-    ids, start, end = ids[order], start[order], end[order]
+def _merged(ids: np.ndarray, ties: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of a document that touch, put together."""
+    order = np.lexsort((start, ties, ids))
+    ids, ties, start, end = ids[order], ties[order], start[order], end[order]
     new = np.ones(len(ids), bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (start[1:] >> _TIE != start[:-1] >> _TIE) | (start[1:] & ((1 << _TIE) - 1) > end[:-1])
+    new[1:] = (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]) | (start[1:] > end[:-1])
     first = np.flatnonzero(new)
-    return ids[first], start[first], np.maximum.reduceat(end, first) if len(first) else end
+    return ids[first], ties[first], start[first], np.maximum.reduceat(end, first) if len(first) else end
+
+
+def _spread(ids: np.ndarray, ties: np.ndarray) -> np.ndarray:
+    """A key that deals out runs that only pass."""
+    return signed(mixed(ids.view(np.uint64) ^ ties.view(np.uint64)))
 
 
 def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,10 +101,10 @@ def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, np.cumsum(sizes) - sizes
 
 
-def _earliest(keys: tuple[np.ndarray, ...], ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _earliest(keys: tuple[np.ndarray, ...], ids: np.ndarray, ties: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, first): rows sorted by the keys and then by document and place; for each the place in
     that order of the earliest with its keys."""
-    order = np.lexsort((at, ids, *keys))
+    order = np.lexsort((at, ties, ids, *keys))
     new = np.zeros(len(order), bool)
     new[:1] = True
     for key in keys:
@@ -120,7 +124,7 @@ def _find_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
             continue
         h, at, first, last = (np.concatenate([f[k] for f in found]) for k in range(4))
         ids, ties, base = np.repeat(ids, count), np.repeat(ties, count), np.repeat(begin, count)
-        packed = _pack(ties, at, at - last, at - first)
+        packed = _pack(at, at - last, at - first)
         start, size = base + first, last - first + window
         # hashes of whole blocks, text by text: sums of one text at a time keep the arrays short
         block, row = np.empty(len(h), np.uint64), 0
@@ -129,7 +133,7 @@ def _find_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
                 part = slice(row, row + n)
                 block[part] = _block_hashes(data[b : b + len(t)], first[part], size[part])
                 row += n
-        order, lead = _earliest((block, h), ids, packed)
+        order, lead = _earliest((block, h), ids, ties, packed)
         same = order[lead] != order
         again, source = order[same], order[lead][same]
         whole = (size[again] == size[source])
@@ -138,13 +142,14 @@ def _find_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
         keep = np.ones(len(h), bool)
         keep[gone] = False
         # a repeated row stands at its own place and is no copy
-        gone = again[whole & ((ids[again] != ids[source]) | (packed[again] != packed[source]))]
-        r_id, r_start, r_end = _merged(ids[gone], (ties[gone] << _TIE) | first[gone], last[gone] + window)
+        gone = again[whole & ((ids[again] != ids[source]) | (ties[again] != ties[source]) | (packed[again] != packed[source]))]
+        r_id, r_tie, r_start, r_end = _merged(ids[gone], ties[gone], first[gone], last[gone] + window)
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([signed(h[keep]), signed(mixed(r_id.view(np.uint64)))])),
-            pa.array(np.concatenate([ids[keep], r_id])), pa.array(np.concatenate([packed[keep], r_start])),
+            pa.array(np.concatenate([signed(h[keep]), _spread(r_id, r_tie)])),
+            pa.array(np.concatenate([ids[keep], r_id])), pa.array(np.concatenate([ties[keep], r_tie])),
+            pa.array(np.concatenate([packed[keep], r_start])),
             pa.concat_arrays([pa.nulls(int(keep.sum()), pa.int64()), pa.array(r_end, pa.int64())])],
-            names=["h", "id", "at", "upto"])
+            names=["h", "id", "tie", "at", "upto"])
 
 
 def _block_hashes(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -163,11 +168,11 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors that are not alone, marked if there are many; removed runs pass. At most HOT rows
     of an unfinished group are held."""
     held, hot = None, None
-    names = ["h", "id", "at", "upto", "hot"]
+    names = ["h", "id", "tie", "at", "upto", "hot"]
 
     def out(table: pa.Table, many) -> pa.RecordBatch:
         rows = table.combine_chunks()
-        columns = [rows.column(k).combine_chunks() if rows.num_rows else pa.array([], pa.int64()) for k in range(4)]
+        columns = [rows.column(k).combine_chunks() if rows.num_rows else pa.array([], pa.int64()) for k in range(5)]
         return pa.RecordBatch.from_arrays([*columns, pa.array(np.broadcast_to(many, rows.num_rows), pa.bool_())], names=names)
 
     for batch in batches:
@@ -204,42 +209,44 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut_blocks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """(key, id, at, upto, block): blocks of anchors; single windows of hot ones, by their digest."""
+    """(key, id, tie, at, upto, block): blocks of anchors; single windows of hot ones, by their digest."""
     for batch in parts(batches):
-        keys, ids, places, blocks = [], [], [], []
-        hot: dict[bytes, tuple[int, int]] = {}
+        keys, ids, ties, places, blocks = [], [], [], [], []
+        hot: dict[bytes, tuple[int, int, int]] = {}
         gone = []
         rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), batch.column(3).to_pylist())
         for own, tie, text, wanted in rows:
             for a in wanted:
-                _, at, least, most = (int(v) for v in _unpack(np.int64(a["at"])))
+                at, least, most = (int(v) for v in _unpack(np.int64(a["at"])))
                 if not a["hot"]:
                     keys.append(a["h"])
                     ids.append(own)
+                    ties.append(tie)
                     places.append(a["at"])
                     blocks.append(text[at - most : at - least + window])
                     continue
                 for d in range(least, most + 1):
                     digest = xxhash.xxh128_digest(text[at - d : at - d + window])
-                    here = (own, int(_pack(tie, np.int64(at), d, d)))
+                    here = (own, tie, int(_pack(at, d, d)))
                     there = hot.setdefault(digest, here)
                     if here != there:
-                        hot[digest], (late_id, late) = min(here, there), max(here, there)
-                        late_tie, late_at, _, _ = (int(v) for v in _unpack(np.int64(late)))
-                        gone.append((late_id, (late_tie << _TIE) | (late_at - d), late_at - d + window))
-        for digest, (own, place) in hot.items():
+                        hot[digest], (late_id, late_tie, late) = min(here, there), max(here, there)
+                        late_at, _, late_d = (int(v) for v in _unpack(np.int64(late)))
+                        gone.append((late_id, late_tie, late_at - late_d, late_at - late_d + window))
+        for digest, (own, tie, place) in hot.items():
             keys.append(int.from_bytes(digest[:8], "little", signed=True))
             ids.append(own)
+            ties.append(tie)
             places.append(place)
             blocks.append(digest)
-        removed = np.array(gone, np.int64).reshape(-1, 3)
-        r_id, r_start, r_end = _merged(removed[:, 0], removed[:, 1], removed[:, 2])
+        removed = np.array(gone, np.int64).reshape(-1, 4)
+        r_id, r_tie, r_start, r_end = _merged(*removed.T)
         n, m = len(keys), len(r_id)
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([np.array(keys, np.int64), signed(mixed(r_id.view(np.uint64)))])),
-            pa.array(np.concatenate([np.array(ids, np.int64), r_id])), pa.array(np.concatenate([np.array(places, np.int64), r_start])),
+            pa.array(np.concatenate([np.array(keys, np.int64), _spread(r_id, r_tie)])),
+            pa.array(np.concatenate([np.array(ids, np.int64), r_id])), pa.array(np.concatenate([np.array(ties, np.int64), r_tie])), pa.array(np.concatenate([np.array(places, np.int64), r_start])),
             pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(r_end, pa.int64())]),
-            pa.array(blocks + [None] * m, pa.binary())], names=["key", "id", "at", "upto", "block"])
+            pa.array(blocks + [None] * m, pa.binary())], names=["key", "id", "tie", "at", "upto", "block"])
 
 
 def repeated_windows(group: np.ndarray, blocks: list[bytes], least: np.ndarray, most: np.ndarray, window: int) -> np.ndarray:
@@ -283,26 +290,26 @@ def repeated_windows(group: np.ndarray, blocks: list[bytes], least: np.ndarray,
 
 
 def _sort_blocks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    names = ["id", "start", "upto"]
+    names = ["id", "tie", "start", "upto"]
 
     def passing() -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = np.asarray(batch.column(3).is_valid())
+            known = np.asarray(batch.column(4).is_valid())
             if known.any():
-                runs.append(pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(known)) for k in (1, 2, 3)], names=names))
+                runs.append(pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(known)) for k in (1, 2, 3, 4)], names=names))
             yield batch.filter(pa.array(~known))
 
     runs: list[pa.RecordBatch] = []
     for table in whole_groups(passing(), ["key"], _ROWS):
         yield from runs
         runs.clear()
-        key, ids, places = (table.column(k).to_numpy() for k in ("key", "id", "at"))
+        key, ids, tie, places = (table.column(k).to_numpy() for k in ("key", "id", "tie", "at"))
         twice = np.zeros(len(key), bool)  # from a repeated row
-        twice[1:] = (key[1:] == key[:-1]) & (ids[1:] == ids[:-1]) & (places[1:] == places[:-1])
+        twice[1:] = (key[1:] == key[:-1]) & (ids[1:] == ids[:-1]) & (tie[1:] == tie[:-1]) & (places[1:] == places[:-1])
         table = table.filter(pa.array(~twice))
-        key, ids, places = key[~twice], ids[~twice], places[~twice]
+        key, ids, tie, places = key[~twice], ids[~twice], tie[~twice], places[~twice]
         blocks = table.column("block").to_pylist()
-        tie, at, least, most = _unpack(places)
+        at, least, most = _unpack(places)
         group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) if len(key) else key
         digest = np.array([len(b) == 16 for b in blocks], bool)
         removed = np.zeros((len(key), window - GRAM + 1), bool)
@@ -320,8 +327,7 @@ def _sort_blocks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
         row, low = np.nonzero(step == 1)
         _, high = np.nonzero(step == -1)
         first, last = at[row] - (high - 1), at[row] - low
-        r_id, r_start, r_end = _merged(ids[row], (tie[row] << _TIE) | first, last + window)
-        yield pa.RecordBatch.from_arrays([pa.array(r_id), pa.array(r_start), pa.array(r_end)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _merged(ids[row], tie[row], first, last + window)], names=names)
     yield from runs
 
 
@@ -330,7 +336,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for text, runs in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist()):
             kept, at, spans, end = [], 0, 0, -1
-            for run in sorted((r["start"] & ((1 << _TIE) - 1), r["upto"]) for r in runs or []):
+            for run in sorted((r["start"], r["upto"]) for r in runs or []):
                 if run[0] > end:
                     spans += 1
                     kept.append(text[at : run[0]])
@@ -358,21 +364,21 @@ def without_repeats(docs: DataFrame, window: int = 100) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
                        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NULL_ID)).alias("id"),
-                       F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).alias("tie"), text.alias("text"))
+                       F.xxhash64(text).alias("tie"), text.alias("text"))
     slim = rows.select("id", "tie", "text")
-    found = slim.mapInArrow(lambda b: _find_anchors(b, window), "h bigint, id bigint, at bigint, upto bigint")
-    met = written(found.repartition("h").sortWithinPartitions("h", "id", "at").mapInArrow(
-        _meet, "h bigint, id bigint, at bigint, upto bigint, hot boolean"), "repeat-anchors")
+    found = slim.mapInArrow(lambda b: _find_anchors(b, window), "h bigint, id bigint, tie bigint, at bigint, upto bigint")
+    met = written(found.repartition("h").sortWithinPartitions("h", "id", "tie", "at").mapInArrow(
+        _meet, "h bigint, id bigint, tie bigint, at bigint, upto bigint, hot boolean"), "repeat-anchors")
     release(spark)
-    wanted = met.filter("upto IS NULL").groupBy("id", F.shiftright("at", _TIE).alias("tie")).agg(
+    wanted = met.filter("upto IS NULL").groupBy("id", "tie").agg(
         F.collect_list(F.struct("h", "at", "hot")).alias("wanted"))
     cut = slim.join(wanted, ["id", "tie"]).select("id", "tie", "text", "wanted").mapInArrow(
-        lambda b: _cut_blocks(b, window), "key bigint, id bigint, at bigint, upto bigint, block binary")
-    runs = written(cut.repartition("key").sortWithinPartitions("key", "id", "at").mapInArrow(
-        lambda b: _sort_blocks(b, window), "id bigint, start bigint, upto bigint"), "repeat-runs")
+        lambda b: _cut_blocks(b, window), "key bigint, id bigint, tie bigint, at bigint, upto bigint, block binary")
+    runs = written(cut.repartition("key").sortWithinPartitions("key", "id", "tie", "at").mapInArrow(
+        lambda b: _sort_blocks(b, window), "id bigint, tie bigint, start bigint, upto bigint"), "repeat-runs")
     release(spark)
-    all_runs = runs.union(met.filter("upto IS NOT NULL").select("id", F.col("at").alias("start"), "upto"))
-    per_document = all_runs.groupBy("id", F.shiftright("start", _TIE).alias("tie")).agg(
+    all_runs = runs.union(met.filter("upto IS NOT NULL").select("id", "tie", F.col("at").alias("start"), "upto"))
+    per_document = all_runs.groupBy("id", "tie").agg(
         F.collect_list(F.struct("start", "upto")).alias("runs"))
     done = rows.join(per_document, ["id", "tie"], "left").select("row", "text", "runs")
     kind = done.schema["row"].dataType.simpleString()

@@ -129,3 +129,19 @@ def test_deduplicated_keeps_what_is_left(passages):
 def test_query(spark):
     rows = queries.op9_suffix_dedup(spark, SF).collect()
     assert sorted(map(tuple, rows)) == brute_force(spark.read.parquet(f"{SF}/documents.parquet").collect(), 100)
+
+
+def test_many_texts_of_one_id(spark):
+    """2,000 different texts without an id; a removal in one is never made in another."""
+    rng = random.Random(9)
+    common = ["".join(rng.choices("abcdefgh ", k=n)) for n in (150, 220)]
+    texts = ["".join(rng.choices("abcdefgh ", k=rng.randrange(250))) + rng.choice(common)
+             + "".join(rng.choices("abcdefgh ", k=rng.randrange(120))) for _ in range(2000)]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(6)
+    hashes = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) AS h").collect()}
+    expected = brute_force([{"doc_id": hashes[t], "text": t} for t in texts], 100)
+    assert sorted(r[1:] for r in got_without_ids(suffix_dedup.without_repeats(docs))) == sorted(r[1:] for r in expected)
+
+
+def got_without_ids(frame):
+    return [(None, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in frame.collect()]
