@@ -1,44 +1,49 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Fit, on a bounded sample of the labelled rows that may be learnt from (EXAMPLES of each class, those
-with the least hashes): terms are words and beginnings of words, and all terms of the examples
-are kept. Documents with a term are counted over all documents. A term's weight is its IDF times
-`1 + SIGN * phi`, with phi the correlation of term and class over the examples' distinct texts; no term
-weighs nothing. Terms that stand in no example add nothing to any cosine with one.
-
-The examples' vectors are an inverted index cut into blocks of examples. Terms in more than one of
-COMMON examples are held as columns, with the greatest weight of each in each block; the others as
-lists of examples.
+Fit, on a bounded sample of the labelled rows that may be learnt from (EXAMPLES rows and EXAMPLE_BYTES
+of text of each class, those with the least hashes; equal texts are one example): terms are words and
+beginnings of words, known by 64-bit hashes, and all terms of the examples are kept. Documents
+with a term are counted over all documents. A term's weight is its IDF times `1 + SIGN * phi`, with phi the
+correlation of term and class over the examples; no term weighs nothing. Terms that stand in no
+example add nothing to any cosine with one.
+
+Examples, terms and frequencies are tables in the shared folder, written by tasks. Every task that
+searches reads them and builds the same inverted index, cut into blocks of examples; the driver
+holds neither terms nor vectors. Terms in more than one of COMMON examples are held as columns, with the
+greatest weight of each in each block; the others as lists of examples.
 
 Scoring, over all documents in Arrow tasks: the lists give each example's exact sum over the rare
 terms. A block's bound is its best such sum plus the query's common weights times the block's greatest.
 The blocks of the highest bounds are read first, then those whose bound reaches the k-th best sum,
-so the k nearest are exact. Their labels vote, weighted by cosine. Votes are turned into probabilities
-by what the same vote gives for each example without itself, weighted to the classes' shares among
-all labelled rows and made monotone. Documents with none of the terms have no neighbour and get the
-share of toxic rows among such examples."""
+so the k nearest are exact. Their labels vote, weighted by cosine.
+
+Calibration, in tasks too: the examples of a fold vote under the index of the other folds, whose phi
+has not seen their labels. Votes are turned into probabilities by the shares of toxic examples among equal
+votes, weighted to the classes' shares among all labelled rows and made monotone. Documents with none of
+the terms have no neighbour and get the share of toxic rows among such examples."""
 
 from __future__ import annotations
 
 import functools
-import pickle
 import re
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.fs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.words import REMEMBERED, parts
+from riskloom.llm.words import REMEMBERED, byte_parts, mixed
 from riskloom.shipping import ship
-from riskloom.sources.scratch import written
+from riskloom.sources.scratch import scratch_path, written
 
-#: Bounds of the fit, and its settings.
-EXAMPLES, SIGN = 4000, 10.0
+#: Bounds of the fit for each class: rows, and bytes of text (a row beyond a sixteenth of them is no example).
+EXAMPLES, EXAMPLE_BYTES = 4000, 32_000_000
+SIGN = 10.0
 NEIGHBOURS, BLOCK, COMMON, PREFIXES, BINS = 15, 64, 8, (4, 5, 6), 50
 #: Documents searched together; blocks read at first for each.
 QUERIES, FIRST = 64, 4
@@ -51,44 +56,94 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def terms_of(word: str) -> list[str]:
-    return [word + " ", *(word[:k] for k in PREFIXES if len(word) > k)]
+def term_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the terms, how many terms) of each word: the word itself and its beginnings of
+    PREFIXES letters. A hash is the mixed sum of a random number for each (place, letter)."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    place = (np.arange(len(codes)) - np.repeat(starts, sizes)).astype(np.uint64)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(codes + (place << np.uint64(21)) + np.uint64(1)))])
+    there = np.stack([np.ones(len(words), bool), *(sizes > k for k in PREFIXES)], axis=1)
+    upto = np.stack([sizes, *(np.minimum(sizes, k) for k in PREFIXES)], axis=1)
+    sums = total[starts[:, None] + upto] - total[starts][:, None]
+    whole = np.array([[1] + [0] * len(PREFIXES)], np.uint64)
+    return mixed(sums + (upto.astype(np.uint64) << np.uint64(1)) + whole)[there], there.sum(1)
+
+
+class TermCounter:
+    """Terms of texts by number: the place in the sorted `hashes`, or with None an own number for
+    each term that is met. Words are remembered."""
+
+    def __init__(self, hashes: np.ndarray | None = None):
+        self.hashes = hashes
+        self.own: dict[int, int] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.words: dict[str, int] = {}
+        self.pool, self.starts = np.empty(0, np.int64), np.zeros(1, np.int64)
+
+    def _learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.words]
+        if not new:
+            return
+        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
+        flat, sizes = term_hashes(new)
+        if self.hashes is None:
+            numbers = np.array([self.own.setdefault(h, len(self.own)) for h in flat.tolist()], np.int64)
+        else:
+            place = np.searchsorted(self.hashes, flat)
+            known = place < len(self.hashes)
+            known[known] = self.hashes[place[known]] == flat[known]
+            numbers = place[known]
+            sizes = np.bincount(np.repeat(np.arange(len(new)), sizes)[known], minlength=len(new))
+        self.pool = np.concatenate([self.pool, numbers])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, how often), ordered; a null text has none."""
+        if len(self.words) > REMEMBERED:
+            self.clear()
+        found = [_WORD.findall((t or "").lower()) for t in texts]
+        self._learn(set(chain.from_iterable(found)))
+        sizes = [len(f) for f in found]
+        word = np.fromiter(map(self.words.__getitem__, chain.from_iterable(found)), np.int64, sum(sizes))
+        key, times = np.unique(np.repeat(np.arange(len(texts)), sizes) * max(len(self.words), 1) + word, return_counts=True)
+        text, word = np.divmod(key, max(len(self.words), 1))
+        begin, size = self.starts[word], self.starts[word + 1] - self.starts[word]
+        entry = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        width = max(len(self.own) if self.hashes is None else len(self.hashes), 1)
+        key, times = np.repeat(text, size) * width + self.pool[entry], np.repeat(times, size)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+        text, term = np.divmod(key[first], width)
+        return text, term, np.add.reduceat(times[order], first) if len(first) else first
+
+    def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(terms, how often each) of each text."""
+        text, term, times = self.count(texts)
+        cut = np.searchsorted(text, np.arange(1, len(texts)))
+        return list(zip(np.split(term, cut), np.split(times, cut)))
 
 
 @dataclass
 class Index:
-    """Examples and what is learnt from them; its size is bounded by EXAMPLES and their texts."""
+    """Examples as an inverted index in blocks; bounded by EXAMPLES and EXAMPLE_BYTES."""
 
-    terms: dict[str, int]
+    hashes: np.ndarray
     idf: np.ndarray
     ids: list
     labels: np.ndarray
     vectors: list[tuple[np.ndarray, np.ndarray]]
-    class_weights: tuple[float, float] = (1.0, 1.0)
-    edges: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    rates: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    alone: float = 0.0
-    #: Terms and counts of the examples, as four-byte numbers; the vectors and all tables follow from them.
-    counted: list[tuple[bytes, bytes]] = field(default_factory=list)
-
-    def weigh(self) -> Index:
-        self.vectors = [self.vector(*(np.frombuffer(x, ">i4").astype(np.int64) for x in pair)) for pair in self.counted]
-        return self
-
-    def packed(self) -> bytes:
-        """Without what can be made again, so that copies on disks stay small."""
-        return zlib.compress(pickle.dumps(replace(self, vectors=[], terms="\n".join(self.terms))), 1)
-
-    @staticmethod
-    @functools.lru_cache(maxsize=1)
-    def unpacked(data: bytes) -> Index:
-        index = pickle.loads(zlib.decompress(data))
-        index.terms = {t: i for i, t in enumerate(index.terms.split("\n") if index.terms else [])}
-        index.weigh().build().vectors = []
-        return index
+    folds: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    #: Terms and counts of the examples.
+    counted: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
 
     def build(self) -> Index:
-        n, m = len(self.vectors), len(self.terms)
+        n, m = len(self.vectors), len(self.idf)
         self.blocks = max(1, -(-n // BLOCK))
         rows = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in self.vectors])
         cols = np.concatenate([t for t, _ in self.vectors] or [np.empty(0)]).astype(np.int32)
@@ -101,7 +156,7 @@ class Index:
         self.greatest = self.columns.reshape(self.blocks, BLOCK, -1).max(1).T.copy()
         rows, cols, weights = rows[~often], cols[~often], weights[~often]
         order = np.lexsort((rows, cols))
-        self.post_rows, self.post_weights = rows[order], weights[order]
+        self.post_rows, self.post_weights = rows[order].astype(np.int64), weights[order]
         self.starts = np.searchsorted(cols[order], np.arange(m + 1))
         return self
 
@@ -109,8 +164,8 @@ class Index:
         weights = (1 + np.log(counts)) * self.idf[terms]
         return terms, weights / (np.linalg.norm(weights) or 1.0)
 
-    def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
-        """For each query the k examples of the highest positive cosine, ties to the earlier example."""
+    def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: np.ndarray | None = None) -> list[list[tuple[float, int]]]:
+        """For each query the k examples of the highest positive cosine, ties to the earlier example; those of `without` take no part."""
         n, width = len(queries), self.blocks * BLOCK
         sums, common = np.empty((n, width)), np.zeros((n, self.columns.shape[1]))
         for i, (terms, weights) in enumerate(queries):
@@ -123,7 +178,7 @@ class Index:
             gain = np.repeat(weights[~often], size) * self.post_weights[entry]
             sums[i] = np.bincount(self.post_rows[entry], weights=gain, minlength=width)
         if without is not None:
-            sums[np.arange(n), without] = -np.inf
+            sums[:, without] = -np.inf
         bounds = sums.reshape(n, self.blocks, BLOCK).max(2) + common @ self.greatest
         read = np.zeros(bounds.shape, bool)
 
@@ -150,102 +205,85 @@ class Index:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
         """`nearest_all` of one query."""
-        return self.nearest_all([(terms, weights)], k, [without] if without >= 0 else None)[0]
+        return self.nearest_all([(terms, weights)], k, np.array([without]) if without >= 0 else None)[0]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """The share of toxic neighbours, by cosine."""
         return sum(s * self.labels[i] for s, i in near) / sum(s for s, _ in near)
 
-    def calibrate(self) -> Index:
-        weight = np.where(self.labels == 1, self.class_weights[1], self.class_weights[0])
-        votes, rows, none = [], [], []
-        for at in range(0, len(self.vectors), QUERIES):
-            own = range(at, min(at + QUERIES, len(self.vectors)))
-            for i, near in zip(own, self.nearest_all([self.vectors[i] for i in own], NEIGHBOURS, list(own))):
-                if near:
-                    votes.append(self.vote(near))
-                    rows.append(i)
-                else:
-                    none.append(i)
-
-        def share(part: list[int]) -> tuple[float, float]:
-            """(toxic share, weight), with half a row of each class for prior."""
-            toxic, total = float((weight[part] * self.labels[part]).sum()), float(weight[part].sum())
-            return (toxic + 0.5) / (total + 1.0), total + 1.0
-
-        self.alone = share(none)[0]
-        level = np.round(np.array(votes) * BINS).astype(int)
-        pools: list[list[float]] = []  # [share, weight, middle of the votes], votes ascending
-        for bin_ in range(BINS + 1):
-            part = np.flatnonzero(level == bin_)
-            if len(part):
-                rate, w = share([rows[i] for i in part])
-                pools.append([rate, w, bin_ / BINS])
-                while len(pools) > 1 and pools[-2][0] > pools[-1][0]:
-                    (r1, w1, m1), (r2, w2, m2) = pools[-2:]
-                    pools[-2:] = [[(r1 * w1 + r2 * w2) / (w1 + w2), w1 + w2, (m1 * w1 + m2 * w2) / (w1 + w2)]]
-        if pools:
-            self.edges, self.rates = np.array([p[2] for p in pools]), np.array([p[0] for p in pools])
-        else:
-            self.rates = np.array([self.alone])
-        return self
 
-    def score(self, counted: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[tuple[float, int]]]]:
-        """(score, nearest examples) of each document's terms and their counts."""
-        out = []
+def _read(path: str) -> pa.Table:
+    fs, base = pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    return pq.read_table(base, filesystem=fs)
+
+
+@functools.lru_cache(maxsize=1)
+def known_hashes(folder: str) -> np.ndarray:
+    """The sorted hashes of the examples' terms."""
+    return np.sort(_read(f"{folder}/terms").column("hash").to_numpy().view(np.uint64))
+
+
+@functools.lru_cache(maxsize=1)
+def counter_of(folder: str) -> TermCounter:
+    """A worker's own, kept from task to task."""
+    return TermCounter(known_hashes(folder))
+
+
+@functools.lru_cache(maxsize=1)
+def index_of(folder: str, without: int = -1) -> Index:
+    """The index of a fit; with a fold, as if its labels were not known."""
+    terms = _read(f"{folder}/terms")
+    hashes = terms.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    # documents with each term over all documents; a null hash counts the documents
+    seen = _read(f"{folder}/frequencies")
+    number, n = seen.column("hash"), seen.column("n").to_numpy()
+    there = np.asarray(number.is_valid())
+    frequencies = np.zeros(len(hashes))
+    frequencies[np.searchsorted(hashes, number.drop_null().to_numpy().view(np.uint64))] = n[there]
+    total = float(n[~there].sum())
+    examples = _read(f"{folder}/examples").to_pydict()
+    fold, label = np.array(examples["fold"], np.int64), np.array(examples["label"], np.int64)
+    known = [f for f in range(FOLDS) if f != without]
+    clean, toxic = (sum((terms.column(f"{c}{f}").to_numpy()[order].astype(float) for f in known), np.zeros(len(hashes))) for c in ("clean", "toxic"))
+    t0, t1 = (float(((label == y) & (fold != without)).sum()) for y in (0, 1))
+    both = clean + toxic
+    spread = np.sqrt(np.maximum(t0 * t1 * both * (t0 + t1 - both), 1.0))
+    phi = np.abs(toxic * (t0 - clean) - clean * (t1 - toxic)) / spread
+    idf = (np.log((1 + total) / (1 + frequencies)) + 1) * (1 + SIGN * phi)
+    counted = [(np.searchsorted(hashes, np.frombuffer(t, np.uint64)), np.frombuffer(c, np.uint32).astype(np.int64))
+               for t, c in zip(examples["terms"], examples["counts"])]
+    # like examples beside each other, so that blocks differ in their greatest weights: common terms first
+    rank = np.empty(len(hashes), np.int64)
+    rank[np.lexsort((hashes, -both))] = np.arange(len(hashes))
+    place = sorted(range(len(counted)), key=lambda i: (np.sort(rank[counted[i][0]]).astype(">i4").tobytes(), examples["doc_id"][i]))
+    index = Index(hashes, idf, [examples["doc_id"][i] for i in place], label[place], [], fold[place], [counted[i] for i in place])
+    index.vectors = [index.vector(*c) for c in index.counted]
+    return index.build()
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """Where the index lies, and how votes become probabilities."""
+
+    folder: str
+    edges: tuple[float, ...]
+    rates: tuple[float, ...]
+    alone: float
+
+    def score(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """(score, nearest examples) of each text; inside tasks."""
+        index, counted, out = index_of(self.folder), counter_of(self.folder).vectors(texts), []
         for at in range(0, len(counted), QUERIES):
-            queries = [self.vector(*c) for c in counted[at : at + QUERIES]]
-            for near in self.nearest_all(queries, NEIGHBOURS):
-                out.append((float(np.interp(self.vote(near), self.edges, self.rates)) if near else self.alone, near))
+            queries = [index.vector(*c) for c in counted[at : at + QUERIES]]
+            for near in index.nearest_all(queries, NEIGHBOURS):
+                out.append((float(np.interp(index.vote(near), self.edges, self.rates)) if near else self.alone, near))
         return out
 
 
-class TermCounter(dict):
-    """The known terms of a word, remembered."""
-
-    def __init__(self, terms: dict[str, int]):
-        super().__init__()
-        self.terms = terms
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
-        return found
-
-    def known(self, text: str | None) -> set[int]:
-        """The terms of a text."""
-        return set(chain.from_iterable(map(self.__getitem__, set(_WORD.findall((text or "").lower())))))
-
-    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """(terms, how often each) of a text."""
-        words = _WORD.findall((text or "").lower())
-        return np.unique(np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64), return_counts=True)
-
-
-def document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[int, np.ndarray]:
-    """How many documents there are, and how many have each term."""
-    sent = docs.sparkSession.sparkContext.broadcast(terms)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, n = TermCounter(sent.value), 0
-        seen = np.zeros(len(counter.terms), np.int64)
-        for batch in parts(batches, 512):
-            n += batch.num_rows
-            found = chain.from_iterable(map(counter.known, batch.column(0).to_pylist()))
-            seen += np.bincount(np.fromiter(found, np.int64), minlength=len(seen))
-        there = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(there, -1)), pa.array(np.append(seen[there], n))], names=["term", "n"])
-
-    found = docs.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    term, n = found.column("term").to_numpy(), found.column("n").to_numpy()
-    frequencies = np.zeros(len(terms) + 1, np.int64)  # the last is the number of documents
-    frequencies[term] = n
-    return int(frequencies[-1]), frequencies[:-1]
-
-
-def _sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[DataFrame, tuple[int, int]]:
-    """(doc_id, text, label) of the examples, and the rows of each class that could be learnt from."""
+def _examples(docs: DataFrame, labels: DataFrame, label: str) -> tuple[DataFrame, tuple[int, int]]:
+    """(doc_id, text, label, fold) of the distinct texts, and the rows of each class that could be learnt from."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").alias("labelled_id")).agg((F.avg(label) >= 0.5).cast("int").alias("label"))
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -253,81 +291,128 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[DataFrame,
     chosen = [known.filter(F.col("label") == c).orderBy(*order).limit(EXAMPLES) for c in (0, 1)]
     # at most EXAMPLES rows of each class
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), F.col("doc_id") == F.col("labelled_id"))
-    rows = written(rows.select("doc_id", "text", "label"), "toxicity-examples").dropDuplicates(["doc_id"])
-    return rows, (counts.get(0, 0), counts.get(1, 0))
+    rows = rows.select("labelled_id", "label", F.coalesce("text", F.lit("")).alias("text")).filter(F.octet_length("text") <= EXAMPLE_BYTES // 16)
+    # of a repeated id the text of the least hash, found before the shuffle
+    rows = rows.groupBy("labelled_id", "label").agg(F.min(F.struct(F.xxhash64("text"), F.col("text"))).alias("first"))
+    rows = written(rows.select(F.col("labelled_id").alias("doc_id"), "label", F.col("first.text").alias("text")), "toxicity-rows")
+    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")  # at most EXAMPLES rows each
+    sizes = rows.select("doc_id", F.sum(F.octet_length("text")).over(by_hash).alias("bytes"))
+    rows = rows.join(sizes.filter(F.col("bytes") <= EXAMPLE_BYTES), "doc_id")
+    # a text counts once, so that words of a much copied document are no sign and copies have one vote
+    texts = rows.groupBy("text").agg(F.min("doc_id").alias("doc_id"), (F.avg("label") >= 0.5).cast("int").alias("label"))
+    texts = texts.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
+    return written(texts, "toxicity-texts"), (counts.get(0, 0), counts.get(1, 0))
+
+
+def _write_examples(texts: DataFrame, folder: str) -> None:
+    """`examples`: one row a text with the hashes of its terms; `terms`: distinct texts with each term by class and fold."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_parts(batches, "text"):
+            counter = TermCounter()
+            vectors = counter.vectors(batch.column("text").to_pylist())
+            hashes = np.fromiter(counter.own, np.uint64, len(counter.own))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "label", "fold")), pa.array([hashes[t].tobytes() for t, _ in vectors], pa.binary()),
+                 pa.array([c.astype(np.uint32).tobytes() for _, c in vectors], pa.binary())], names=["doc_id", "label", "fold", "terms", "counts"])
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Index:
-    """Learn from labelled rows that are not held out; null ids and labels are left out, and
-    a repeated label counts by its mean. Without labelled rows every score is one half."""
-    ship(docs.sparkSession)
-    sample, totals = _sample(docs, labels, label)
-    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
+    found = texts.mapInArrow(run, f"doc_id {kind}, label int, fold int, terms binary, counts binary")
+    found.write.parquet(f"{folder}/examples")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[str, list[int]] = {}
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for term in {t for w in set(_WORD.findall((text or "").lower())) for t in terms_of(w)}:
-                    seen.setdefault(term, [0, 0])[y] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), *(pa.array([c[k] for c in seen.values()], pa.int64()) for k in (0, 1))],
-                names=["term", "clean", "toxic"])
-
-    # a text counts once, so that words of a much copied document are no sign
-    distinct = sample.groupBy(F.coalesce("text", F.lit("")).alias("text")).agg((F.avg("label") >= 0.5).cast("int").alias("label"))
-    distinct = written(distinct, "toxicity-texts")
-    texts = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    t0, t1 = texts.get(0, 0), texts.get(1, 0)
-    found = distinct.mapInArrow(count, "term string, clean bigint, toxic bigint")
-    found = found.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # common terms first, so that examples with the same ones come beside each other below
-    found = found.orderBy(F.desc(F.col("clean") + F.col("toxic")), "term").toArrow()
-    terms = {t: i for i, t in enumerate(found.column("term").to_pylist())}
-    n, frequencies = document_frequencies(docs, terms)
-    clean, toxic = (found.column(c).to_numpy().astype(float) for c in ("clean", "toxic"))
-    both = clean + toxic
-    spread = np.sqrt(np.maximum(float(t0) * t1 * both * (t0 + t1 - both), 1.0))
-    phi = np.abs(toxic * (t0 - clean) - clean * (t1 - toxic)) / spread
-    idf = (np.log((1 + n) / (1 + frequencies)) + 1) * (1 + SIGN * phi)
+            terms = [np.frombuffer(t, np.int64) for t in batch.column("terms").to_pylist()]
+            cell = np.asarray(batch.column("label")).astype(np.int64) * FOLDS + np.asarray(batch.column("fold"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(terms or [np.empty(0, np.int64)]), pa.int64()),
+                                              pa.array(np.repeat(cell, [len(t) for t in terms]), pa.int64())], names=["hash", "cell"])
 
-    sent = docs.sparkSession.sparkContext.broadcast(terms)
+    cells = texts.sparkSession.read.parquet(f"{folder}/examples").select("label", "fold", "terms").mapInArrow(spread, "hash bigint, cell bigint")
+    names = [f"{c}{f}" for c in ("clean", "toxic") for f in range(FOLDS)]
+    cells.groupBy("hash").agg(*(F.count_if(F.col("cell") == i).alias(name) for i, name in enumerate(names))).write.parquet(f"{folder}/terms")
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TermCounter(sent.value)
-        for batch in batches:
-            counted = [counter.count(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *(pa.array([c[k].astype(">i4").tobytes() for c in counted], pa.binary()) for k in (0, 1))],
-                names=["doc_id", "label", "terms", "counts"])
 
-    kind = sample.schema["doc_id"].dataType.simpleString()
-    rows = sample.mapInArrow(vectors, f"doc_id {kind}, label int, terms binary, counts binary").collect()
-    # like examples beside each other, so that blocks differ in their greatest weights
-    rows.sort(key=lambda r: (bytes(r["terms"]), r["doc_id"]))
-    index = Index(terms, idf, [r["doc_id"] for r in rows], np.array([r["label"] for r in rows], np.int64), [],
-                  (totals[0] / max(n0, 1), totals[1] / max(n1, 1)))
-    index.counted = [(bytes(r["terms"]), bytes(r["counts"])) for r in rows]
-    return index.weigh().build().calibrate()
+def _write_frequencies(docs: DataFrame, folder: str) -> None:
+    """`frequencies`: over all documents, how many have each term; the null hash counts the documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, n = counter_of(folder), 0
+        seen = np.zeros(len(counter.hashes), np.int64)
+        for batch in byte_parts(batches, "text"):
+            n += batch.num_rows
+            seen += np.bincount(counter.count(batch.column("text").to_pylist())[1], minlength=len(seen))
+        there = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(counter.hashes[there].view(np.int64)), pa.array(seen[there])], names=["hash", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64())], names=["hash", "n"])
+
+    found = docs.select("text").mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
+    found.write.parquet(f"{folder}/frequencies")
 
 
-def score(docs: DataFrame, index: Index) -> DataFrame:
+def _votes(spark: SparkSession, folder: str) -> list:
+    """(level of the vote or null without a neighbour, label, examples) over all examples, each under
+    the index of the other folds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for fold in batch.column(0).to_pylist():
+                index = index_of(folder, fold)
+                own = np.flatnonzero(index.folds == fold)
+                levels = []
+                for at in range(0, len(own), QUERIES):
+                    near = index.nearest_all([index.vectors[i] for i in own[at : at + QUERIES]], NEIGHBOURS, own)
+                    levels += [round(index.vote(found) * BINS) if found else None for found in near]
+                yield pa.RecordBatch.from_arrays([pa.array(levels, pa.int32()), pa.array(index.labels[own], pa.int32())], names=["level", "label"])
+
+    voted = spark.range(0, FOLDS, 1, FOLDS).mapInArrow(run, "level int, label int")
+    return voted.groupBy("level", "label").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 2 * (BINS + 2) rows
+
+
+def calibrated(votes: list[tuple[int | None, int, int]], class_weights: tuple[float, float]) -> tuple[list[float], list[float], float]:
+    """(votes ascending, toxic share at each, share without a neighbour), monotone, from (level, label, examples)."""
+
+    def share(level: int | None) -> tuple[float, float]:
+        """(toxic share, weight), with half a row of each class for prior."""
+        weigh = [class_weights[y] * sum(n for at, label, n in votes if at == level and label == y) for y in (0, 1)]
+        return (weigh[1] + 0.5) / (sum(weigh) + 1.0), sum(weigh) + 1.0
+
+    pools: list[list[float]] = []  # [share, weight, middle of the votes], votes ascending
+    for level in sorted({at for at, _, _ in votes if at is not None}):
+        pools.append([*share(level), level / BINS])
+        while len(pools) > 1 and pools[-2][0] > pools[-1][0]:
+            (r1, w1, m1), (r2, w2, m2) = pools[-2:]
+            pools[-2:] = [[(r1 * w1 + r2 * w2) / (w1 + w2), w1 + w2, (m1 * w1 + m2 * w2) / (w1 + w2)]]
+    alone = share(None)[0]
+    return [p[2] for p in pools] or [0.0], [p[0] for p in pools] or [alone], alone
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Fitted:
+    """Learn from labelled rows that are not held out; null ids and labels are left out, a repeated
+    label counts by its mean, and of a repeated id the text of the least hash is learnt. Without
+    labelled rows every score is one half."""
+    spark = ship(docs.sparkSession)
+    texts, totals = _examples(docs, labels, label)
+    folder = scratch_path(spark, "toxicity-index")
+    _write_examples(texts, folder)
+    _write_frequencies(docs, folder)
+    votes = [(r["level"], r["label"], r["n"]) for r in _votes(spark, folder)]
+    sizes = [sum(n for _, label, n in votes if label == y) for y in (0, 1)]
+    edges, rates, alone = calibrated(votes, (totals[0] / max(sizes[0], 1), totals[1] / max(sizes[1], 1)))
+    return Fitted(folder, tuple(edges), tuple(rates), alone)
+
+
+def score(docs: DataFrame, fitted: Fitted) -> DataFrame:
     """(doc_id, score, predicted, evidence) of every row; the evidence lists the ids of the nearest
     examples, nearest first. Only the text is scored: null and empty texts have no neighbour and get
     the base score. Other columns are ignored, repeated rows are scored each, no rows give no rows."""
     ship(docs.sparkSession)
 
-    sent = docs.sparkSession.sparkContext.broadcast(index.packed())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index.unpacked(sent.value)
-        counter = TermCounter(index.terms)
-        for batch in parts(batches, 512):
-            results = index.score([counter.count(t) for t in batch.column(1).to_pylist()])
+        for batch in byte_parts(batches, "text"):
+            results, ids = fitted.score(batch.column("text").to_pylist()), index_of(fitted.folder).ids
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r[0] for r in results], pa.float64()),
-                 pa.array([[index.ids[i] for _, i in r[1][:3]] for r in results], pa.list_(batch.column(0).type))],
+                [batch.column("doc_id"), pa.array([r[0] for r in results], pa.float64()),
+                 pa.array([[ids[i] for _, i in r[1][:3]] for r in results], pa.list_(batch.column("doc_id").type))],
                 names=["doc_id", "score", "evidence"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -335,18 +420,13 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
     return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
-def without_toxic(docs: DataFrame, index: Index) -> DataFrame:
+def without_toxic(docs: DataFrame, fitted: Fitted) -> DataFrame:
     """The documents that are not predicted toxic, with the columns of `docs`; no shuffle."""
     ship(docs.sparkSession)
-    at = docs.columns.index("text")
-
-    sent = docs.sparkSession.sparkContext.broadcast(index.packed())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index.unpacked(sent.value)
-        counter = TermCounter(index.terms)
-        for batch in parts(batches, 512):
-            stays = [found < 0.5 for found, _ in index.score([counter.count(t) for t in batch.column(at).to_pylist()])]
+        for batch in byte_parts(batches, "text"):
+            stays = [found < 0.5 for found, _ in fitted.score(batch.column("text").to_pylist())]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

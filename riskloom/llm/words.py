@@ -65,6 +65,19 @@ def parts(batches: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def byte_parts(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Smaller batches of about `size` bytes in a text column; a text beyond that is alone in its batch."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at, n = 0, batch.num_rows
+        total = np.cumsum(sizes)
+        while at < n:
+            before = int(total[at - 1]) if at else 0
+            end = max(int(np.searchsorted(total, before + size, "right")), at + 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; a null text is empty."""
     return pc.fill_null(column, "").cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()
