@@ -44,7 +44,7 @@ from riskloom.sources.scratch import scratch_path, written
 #: Bounds of the fit for each class: rows, and bytes of text (a row beyond a sixteenth of them is no example).
 EXAMPLES, EXAMPLE_BYTES = 4000, 32_000_000
 SIGN = 10.0
-NEIGHBOURS, BLOCK, COMMON, PREFIXES, BINS = 15, 64, 8, (4, 5, 6), 50
+NEIGHBOURS, BLOCK, COMMON, PREFIXES, BINS = 15, 64, 12, (5,), 50
 #: Documents searched together; blocks read at first for each.
 QUERIES, FIRST = 64, 4
 FOLDS = 5
@@ -122,6 +122,19 @@ class TermCounter:
         text, term = np.divmod(key[first], width)
         return text, term, np.add.reduceat(times[order], first) if len(first) else first
 
+    def frequencies(self, texts: list[str | None]) -> np.ndarray:
+        """How many of the texts have each term."""
+        if len(self.words) > REMEMBERED:
+            self.clear()
+        found = [set(_WORD.findall((t or "").lower())) for t in texts]
+        self._learn(set().union(*found))
+        sizes = [len(f) for f in found]
+        word = np.fromiter(map(self.words.__getitem__, chain.from_iterable(found)), np.int64, sum(sizes))
+        size = self.starts[word + 1] - self.starts[word]
+        entry = np.repeat(self.starts[word] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        key = np.repeat(np.repeat(np.arange(len(texts)), sizes), size) * len(self.hashes) + self.pool[entry]
+        return np.bincount(np.unique(key) % max(len(self.hashes), 1), minlength=len(self.hashes))
+
     def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(terms, how often each) of each text."""
         text, term, times = self.count(texts)
@@ -139,14 +152,12 @@ class Index:
     labels: np.ndarray
     vectors: list[tuple[np.ndarray, np.ndarray]]
     folds: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    #: Terms and counts of the examples.
-    counted: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
 
     def build(self) -> Index:
         n, m = len(self.vectors), len(self.idf)
         self.blocks = max(1, -(-n // BLOCK))
         rows = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in self.vectors])
-        cols = np.concatenate([t for t, _ in self.vectors] or [np.empty(0)]).astype(np.int32)
+        cols = np.concatenate([t for t, _ in self.vectors] or [np.empty(0)], dtype=np.int32, casting="unsafe")
         weights = np.concatenate([w for _, w in self.vectors] or [np.empty(0)])
         common = np.bincount(cols, minlength=m) * COMMON > n
         self.place = np.where(common, np.cumsum(common) - 1, -1)
@@ -155,9 +166,10 @@ class Index:
         self.columns[rows[often], self.place[cols[often]]] = weights[often]
         self.greatest = self.columns.reshape(self.blocks, BLOCK, -1).max(1).T.copy()
         rows, cols, weights = rows[~often], cols[~often], weights[~often]
-        order = np.lexsort((rows, cols))
-        self.post_rows, self.post_weights = rows[order].astype(np.int64), weights[order]
-        self.starts = np.searchsorted(cols[order], np.arange(m + 1))
+        order = np.argsort(cols, kind="stable")
+        cols = cols[order]
+        self.post_rows, self.post_weights = rows[order], weights[order]
+        self.starts = np.searchsorted(cols, np.arange(m + 1))
         return self
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,15 +264,22 @@ def index_of(folder: str, without: int = -1) -> Index:
     spread = np.sqrt(np.maximum(t0 * t1 * both * (t0 + t1 - both), 1.0))
     phi = np.abs(toxic * (t0 - clean) - clean * (t1 - toxic)) / spread
     idf = (np.log((1 + total) / (1 + frequencies)) + 1) * (1 + SIGN * phi)
-    counted = [(np.searchsorted(hashes, np.frombuffer(t, np.uint64)), np.frombuffer(c, np.uint32).astype(np.int64))
-               for t, c in zip(examples["terms"], examples["counts"])]
     # like examples beside each other, so that blocks differ in their greatest weights: common terms first
-    rank = np.empty(len(hashes), np.int64)
-    rank[np.lexsort((hashes, -both))] = np.arange(len(hashes))
-    place = sorted(range(len(counted)), key=lambda i: (np.sort(rank[counted[i][0]]).astype(">i4").tobytes(), examples["doc_id"][i]))
-    index = Index(hashes, idf, [examples["doc_id"][i] for i in place], label[place], [], fold[place], [counted[i] for i in place])
-    index.vectors = [index.vector(*c) for c in index.counted]
-    return index.build()
+    rank = np.empty(len(hashes), np.int32)
+    rank[np.lexsort((hashes, -both))] = np.arange(len(hashes), dtype=np.int32)
+    vectors = []
+    for at, (t, c) in enumerate(zip(examples["terms"], examples["counts"])):
+        found = np.searchsorted(hashes, np.frombuffer(t, np.uint64)).astype(np.int32)
+        vectors.append((np.sort(rank[found]).astype(">i4").tobytes(), examples["doc_id"][at], at, found, np.frombuffer(c, np.uint32)))
+    vectors.sort(key=lambda v: v[:3])
+    place = [v[2] for v in vectors]
+    index = Index(hashes, idf, [examples["doc_id"][i] for i in place], label[place], [], fold[place])
+    index.vectors = [index.vector(found, counts) for _, _, _, found, counts in vectors]
+    del vectors, examples
+    index.build()
+    # only the examples that calibrate are looked up again
+    index.vectors = [v if f == without else None for v, f in zip(index.vectors, index.folds.tolist())]
+    return index
 
 
 @dataclass(frozen=True)
@@ -340,7 +359,7 @@ def _write_frequencies(docs: DataFrame, folder: str) -> None:
         seen = np.zeros(len(counter.hashes), np.int64)
         for batch in byte_parts(batches, "text"):
             n += batch.num_rows
-            seen += np.bincount(counter.count(batch.column("text").to_pylist())[1], minlength=len(seen))
+            seen += counter.frequencies(batch.column("text").to_pylist())
         there = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(counter.hashes[there].view(np.int64)), pa.array(seen[there])], names=["hash", "n"])
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64())], names=["hash", "n"])

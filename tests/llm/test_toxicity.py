@@ -92,7 +92,7 @@ def test_rare_words_and_near_copies_count(spark):
 
 def plain_terms(text):
     words = re.findall(r"[^\W\d_]+", (text or "").lower())
-    return Counter(t for w in words for t in [w + " ", *(w[:k] for k in (4, 5, 6) if len(w) > k)])
+    return Counter(t for w in words for t in [w + " ", *(w[:k] for k in toxicity.PREFIXES if len(w) > k)])
 
 
 def test_votes_scores_and_calibration_against_brute_force(spark):
