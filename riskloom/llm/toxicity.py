@@ -28,7 +28,6 @@ import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.words import REMEMBERED, byte_parts, mixed
+from riskloom.llm.words import byte_parts, mixed
 from riskloom.shipping import ship
 from riskloom.sources.scratch import scratch_path, written
 
@@ -46,7 +45,9 @@ EXAMPLES, EXAMPLE_BYTES = 4000, 32_000_000
 SIGN = 10.0
 NEIGHBOURS, BLOCK, COMMON, PREFIXES, BINS = 15, 64, 12, (5,), 50
 #: Documents searched together; blocks read at first for each.
-QUERIES, FIRST = 64, 4
+QUERIES, FIRST = 256, 4
+#: Beyond what rounding to 32 bits can do to a cosine of non-negative terms.
+MARGIN = 1e-4
 FOLDS = 5
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -56,90 +57,61 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def term_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of the terms, how many terms) of each word: the word itself and its beginnings of
-    PREFIXES letters. A hash is the mixed sum of a random number for each (place, letter)."""
-    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
+@functools.lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Whether a code point is a letter, for the first 65,536."""
+    return np.array([_WORD.match(chr(c)) is not None for c in range(1 << 16)])
+
+
+def term_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text) of each term: every word, a run of letters in lower case, and its beginnings of PREFIXES letters.
+
+    A hash is the mixed sum of a random number for each (place, letter). Works on the code points of
+    all texts at once; no word becomes an object."""
+    lowered = [(t or "").lower() for t in texts]
+    codes = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _letters()[np.minimum(codes, (1 << 16) - 1)]
+    for c in np.unique(codes[codes >= 1 << 16]).tolist():
+        letter |= (codes == c) & (_WORD.match(chr(c)) is not None)
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], letter, [False]]).astype(np.int8)))
+    begin, sizes = edges[::2], edges[1::2] - edges[::2]
+    text = np.searchsorted(np.cumsum([len(t) + 1 for t in lowered]), begin, "right")
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    place = (np.arange(len(codes)) - np.repeat(starts, sizes)).astype(np.uint64)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(codes + (place << np.uint64(21)) + np.uint64(1)))])
-    there = np.stack([np.ones(len(words), bool), *(sizes > k for k in PREFIXES)], axis=1)
+    place = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(starts, sizes)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(codes[letter] + (place.astype(np.uint64) << np.uint64(21)) + np.uint64(1)))])
+    there = np.stack([np.ones(len(sizes), bool), *(sizes > k for k in PREFIXES)], axis=1)
     upto = np.stack([sizes, *(np.minimum(sizes, k) for k in PREFIXES)], axis=1)
     sums = total[starts[:, None] + upto] - total[starts][:, None]
     whole = np.array([[1] + [0] * len(PREFIXES)], np.uint64)
-    return mixed(sums + (upto.astype(np.uint64) << np.uint64(1)) + whole)[there], there.sum(1)
-
-
-class TermCounter:
-    """Terms of texts by number: the place in the sorted `hashes`, or with None an own number for
-    each term that is met. Words are remembered."""
-
-    def __init__(self, hashes: np.ndarray | None = None):
-        self.hashes = hashes
-        self.own: dict[int, int] = {}
-        self.clear()
-
-    def clear(self) -> None:
-        self.words: dict[str, int] = {}
-        self.pool, self.starts = np.empty(0, np.int64), np.zeros(1, np.int64)
-
-    def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.words]
-        if not new:
-            return
-        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
-        flat, sizes = term_hashes(new)
-        if self.hashes is None:
-            numbers = np.array([self.own.setdefault(h, len(self.own)) for h in flat.tolist()], np.int64)
-        else:
-            place = np.searchsorted(self.hashes, flat)
-            known = place < len(self.hashes)
-            known[known] = self.hashes[place[known]] == flat[known]
-            numbers = place[known]
-            sizes = np.bincount(np.repeat(np.arange(len(new)), sizes)[known], minlength=len(new))
-        self.pool = np.concatenate([self.pool, numbers])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-
-    def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, how often), ordered; a null text has none."""
-        if len(self.words) > REMEMBERED:
-            self.clear()
-        found = [_WORD.findall((t or "").lower()) for t in texts]
-        self._learn(set(chain.from_iterable(found)))
-        sizes = [len(f) for f in found]
-        word = np.fromiter(map(self.words.__getitem__, chain.from_iterable(found)), np.int64, sum(sizes))
-        key, times = np.unique(np.repeat(np.arange(len(texts)), sizes) * max(len(self.words), 1) + word, return_counts=True)
-        text, word = np.divmod(key, max(len(self.words), 1))
-        begin, size = self.starts[word], self.starts[word + 1] - self.starts[word]
-        entry = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        width = max(len(self.own) if self.hashes is None else len(self.hashes), 1)
-        key, times = np.repeat(text, size) * width + self.pool[entry], np.repeat(times, size)
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-        text, term = np.divmod(key[first], width)
-        return text, term, np.add.reduceat(times[order], first) if len(first) else first
-
-    def frequencies(self, texts: list[str | None]) -> np.ndarray:
-        """How many of the texts have each term."""
-        if len(self.words) > REMEMBERED:
-            self.clear()
-        found = [set(_WORD.findall((t or "").lower())) for t in texts]
-        self._learn(set().union(*found))
-        sizes = [len(f) for f in found]
-        word = np.fromiter(map(self.words.__getitem__, chain.from_iterable(found)), np.int64, sum(sizes))
-        size = self.starts[word + 1] - self.starts[word]
-        entry = np.repeat(self.starts[word] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        key = np.repeat(np.repeat(np.arange(len(texts)), sizes), size) * len(self.hashes) + self.pool[entry]
-        return np.bincount(np.unique(key) % max(len(self.hashes), 1), minlength=len(self.hashes))
-
-    def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(terms, how often each) of each text."""
-        text, term, times = self.count(texts)
-        cut = np.searchsorted(text, np.arange(1, len(texts)))
-        return list(zip(np.split(term, cut), np.split(times, cut)))
+    return mixed(sums + (upto.astype(np.uint64) << np.uint64(1)) + whole)[there], np.repeat(text, there.sum(1))
+
+
+def count_terms(texts: list[str | None], hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, how often, the terms' hashes), ordered by text and term. Terms are numbered by their place in the
+    sorted `hashes`, others are left out; without `hashes` all are numbered. A null text has none."""
+    found, text = term_hashes(texts)
+    unique, term = np.unique(found, return_inverse=True)
+    if hashes is None:
+        hashes = unique
+    else:
+        place = np.searchsorted(hashes, unique)
+        known = place < len(hashes)
+        known[known] = hashes[place[known]] == unique[known]
+        term, known = place[term], known[term]
+        term, text = term[known], text[known]
+    key = text * max(len(hashes), 1) + term
+    key.sort()
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+    text, term = np.divmod(key[first], max(len(hashes), 1))
+    return text, term, np.diff(np.append(first, len(key))), hashes
+
+
+def term_vectors(texts: list[str | None], hashes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(terms, how often each) of each text."""
+    text, term, times, _ = count_terms(texts, hashes)
+    cut = np.searchsorted(text, np.arange(1, len(texts)))
+    return list(zip(np.split(term, cut), np.split(times, cut)))
 
 
 @dataclass
@@ -156,30 +128,38 @@ class Index:
     def build(self) -> Index:
         n, m = len(self.vectors), len(self.idf)
         self.blocks = max(1, -(-n // BLOCK))
-        rows = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in self.vectors])
-        cols = np.concatenate([t for t, _ in self.vectors] or [np.empty(0)], dtype=np.int32, casting="unsafe")
-        weights = np.concatenate([w for _, w in self.vectors] or [np.empty(0)])
-        common = np.bincount(cols, minlength=m) * COMMON > n
+        sizes = np.array([len(t) for t, _ in self.vectors], np.int64)
+        rows = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        self.terms = np.concatenate([t for t, _ in self.vectors] or [np.empty(0)], dtype=np.int32, casting="unsafe")
+        self.weights = np.concatenate([w for _, w in self.vectors] or [np.empty(0)], dtype=np.float32, casting="unsafe")
+        self.begin = np.concatenate([[0], np.cumsum(sizes)])
+        common = np.bincount(self.terms, minlength=m) * COMMON > n
         self.place = np.where(common, np.cumsum(common) - 1, -1)
-        often = common[cols]
-        self.columns = np.zeros((self.blocks * BLOCK, int(common.sum())))
-        self.columns[rows[often], self.place[cols[often]]] = weights[often]
+        often = common[self.terms]
+        self.columns = np.zeros((self.blocks * BLOCK, int(common.sum())), np.float32)
+        self.columns[rows[often], self.place[self.terms[often]]] = self.weights[often]
         self.greatest = self.columns.reshape(self.blocks, BLOCK, -1).max(1).T.copy()
-        rows, cols, weights = rows[~often], cols[~often], weights[~often]
+        cols = self.terms[~often]
         order = np.argsort(cols, kind="stable")
-        cols = cols[order]
-        self.post_rows, self.post_weights = rows[order], weights[order]
-        self.starts = np.searchsorted(cols, np.arange(m + 1))
+        self.post_rows, self.post_weights = rows[~often][order], self.weights[~often][order]
+        self.starts = np.searchsorted(cols[order], np.arange(m + 1))
         return self
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weights are 32-bit floats; cosines of them are exact to the 64-bit sum."""
         weights = (1 + np.log(counts)) * self.idf[terms]
-        return terms, weights / (np.linalg.norm(weights) or 1.0)
+        return terms, (weights / (np.linalg.norm(weights) or 1.0)).astype(np.float32)
+
+    def example(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.terms[self.begin[i] : self.begin[i + 1]], self.weights[self.begin[i] : self.begin[i + 1]]
 
     def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: np.ndarray | None = None) -> list[list[tuple[float, int]]]:
-        """For each query the k examples of the highest positive cosine, ties to the earlier example; those of `without` take no part."""
+        """For each query the k examples of the highest positive cosine, ties to the earlier example; those of `without` take no part.
+
+        Blocks are bounded and read in 32-bit floats with a margin for their rounding; what comes within it of the k-th best
+        is summed again in 64 bits."""
         n, width = len(queries), self.blocks * BLOCK
-        sums, common = np.empty((n, width)), np.zeros((n, self.columns.shape[1]))
+        sums, common = np.empty((n, width), np.float32), np.zeros((n, self.columns.shape[1]), np.float32)
         for i, (terms, weights) in enumerate(queries):
             place = self.place[terms]
             often = place >= 0
@@ -206,13 +186,18 @@ class Index:
         first = min(FIRST, self.blocks)
         np.put_along_axis(read, np.argpartition(-bounds, first - 1, axis=1)[:, :first], True, axis=1)
         read_blocks(read)
-        read_blocks(~read & (bounds >= least() - 1e-9))
-        sums = np.round(sums, 12)
-        found = []
-        for row, low in zip(sums, least()[:, 0].tolist()):
-            hit = np.flatnonzero((row >= low) & (row > 0))
-            top = hit[np.lexsort((hit, -row[hit]))[:k]]
-            found.append(list(zip(row[top].tolist(), top.tolist())))
+        read_blocks(~read & (bounds >= least() - MARGIN))
+        found, own = [], np.zeros(len(self.idf))
+        for (terms, weights), row, low in zip(queries, sums, least()[:, 0].tolist()):
+            hit = np.flatnonzero((row >= low - MARGIN) & (row > 0))
+            own[terms] = weights
+            size = self.begin[hit + 1] - self.begin[hit]
+            entry = np.repeat(self.begin[hit] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            gain = own[self.terms[entry]] * self.weights[entry]
+            own[terms] = 0.0
+            exact = np.round(np.add.reduceat(gain, np.cumsum(size) - size), 12) if len(hit) else np.empty(0)
+            top = np.lexsort((hit, -exact))[:k]
+            found.append(list(zip(exact[top].tolist(), hit[top].tolist())))
         return found
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
@@ -235,12 +220,6 @@ def known_hashes(folder: str) -> np.ndarray:
     return np.sort(_read(f"{folder}/terms").column("hash").to_numpy().view(np.uint64))
 
 
-@functools.lru_cache(maxsize=1)
-def counter_of(folder: str) -> TermCounter:
-    """A worker's own, kept from task to task."""
-    return TermCounter(known_hashes(folder))
-
-
 @functools.lru_cache(maxsize=1)
 def index_of(folder: str, without: int = -1) -> Index:
     """The index of a fit; with a fold, as if its labels were not known."""
@@ -276,9 +255,7 @@ def index_of(folder: str, without: int = -1) -> Index:
     index = Index(hashes, idf, [examples["doc_id"][i] for i in place], label[place], [], fold[place])
     index.vectors = [index.vector(found, counts) for _, _, _, found, counts in vectors]
     del vectors, examples
-    index.build()
-    # only the examples that calibrate are looked up again
-    index.vectors = [v if f == without else None for v, f in zip(index.vectors, index.folds.tolist())]
+    index.build().vectors = []
     return index
 
 
@@ -293,7 +270,8 @@ class Fitted:
 
     def score(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
         """(score, nearest examples) of each text; inside tasks."""
-        index, counted, out = index_of(self.folder), counter_of(self.folder).vectors(texts), []
+        index, out = index_of(self.folder), []
+        counted = term_vectors(texts, index.hashes)
         for at in range(0, len(counted), QUERIES):
             queries = [index.vector(*c) for c in counted[at : at + QUERIES]]
             for near in index.nearest_all(queries, NEIGHBOURS):
@@ -329,12 +307,11 @@ def _write_examples(texts: DataFrame, folder: str) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_parts(batches, "text"):
-            counter = TermCounter()
-            vectors = counter.vectors(batch.column("text").to_pylist())
-            hashes = np.fromiter(counter.own, np.uint64, len(counter.own))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "label", "fold")), pa.array([hashes[t].tobytes() for t, _ in vectors], pa.binary()),
-                 pa.array([c.astype(np.uint32).tobytes() for _, c in vectors], pa.binary())], names=["doc_id", "label", "fold", "terms", "counts"])
+            text, term, times, hashes = count_terms(batch.column("text").to_pylist())
+            cut = np.searchsorted(text, np.arange(1, batch.num_rows))
+            packed = [pa.array([x.tobytes() for x in np.split(column, cut)], pa.binary()) for column in (hashes[term], times.astype(np.uint32))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "label", "fold")), *packed],
+                                             names=["doc_id", "label", "fold", "terms", "counts"])
 
     found = texts.mapInArrow(run, f"doc_id {kind}, label int, fold int, terms binary, counts binary")
     found.write.parquet(f"{folder}/examples")
@@ -355,13 +332,13 @@ def _write_frequencies(docs: DataFrame, folder: str) -> None:
     """`frequencies`: over all documents, how many have each term; the null hash counts the documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, n = counter_of(folder), 0
-        seen = np.zeros(len(counter.hashes), np.int64)
+        hashes, n = known_hashes(folder), 0
+        seen = np.zeros(len(hashes), np.int64)
         for batch in byte_parts(batches, "text"):
             n += batch.num_rows
-            seen += counter.frequencies(batch.column("text").to_pylist())
+            seen += np.bincount(count_terms(batch.column("text").to_pylist(), hashes)[1], minlength=len(seen))
         there = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(counter.hashes[there].view(np.int64)), pa.array(seen[there])], names=["hash", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[there].view(np.int64)), pa.array(seen[there])], names=["hash", "n"])
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64())], names=["hash", "n"])
 
     found = docs.select("text").mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
@@ -379,7 +356,7 @@ def _votes(spark: SparkSession, folder: str) -> list:
                 own = np.flatnonzero(index.folds == fold)
                 levels = []
                 for at in range(0, len(own), QUERIES):
-                    near = index.nearest_all([index.vectors[i] for i in own[at : at + QUERIES]], NEIGHBOURS, own)
+                    near = index.nearest_all([index.example(i) for i in own[at : at + QUERIES]], NEIGHBOURS, own)
                     levels += [round(index.vote(found) * BINS) if found else None for found in near]
                 yield pa.RecordBatch.from_arrays([pa.array(levels, pa.int32()), pa.array(index.labels[own], pa.int32())], names=["level", "label"])
 

@@ -40,7 +40,7 @@ def test_search_is_exact():
     for _ in range(500):
         terms = np.sort(rng.choice(40, rng.integers(0, 8), replace=False))
         w = rng.integers(1, 4, len(terms)).astype(float)
-        vectors.append((terms, w / (np.linalg.norm(w) or 1)))
+        vectors.append((terms, (w / (np.linalg.norm(w) or 1)).astype(np.float32)))
     index = toxicity.Index(np.arange(40, dtype=np.uint64), np.ones(40), list(range(500)), rng.integers(0, 2, 500), vectors).build()
     dense = np.zeros((500, 40))
     for i, (t, w) in enumerate(vectors):
@@ -82,7 +82,7 @@ def test_rare_words_and_near_copies_count(spark):
     labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
     index = toxicity.fit(docs, labels)
     words_of_examples = {w for i, (t, _) in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 for w in t.split()}
-    assert set(toxicity.term_hashes(sorted(words_of_examples))[0].tolist()) <= set(toxicity.index_of(index.folder).hashes.tolist())
+    assert set(toxicity.term_hashes([' '.join(sorted(words_of_examples))])[0].tolist()) <= set(toxicity.index_of(index.folder).hashes.tolist())
     again = [(1000 + i, t.rsplit(" ", 2)[0] + " " + " ".join(words(2)), y) for i, (t, y) in enumerate(texts)]
     rows = toxicity.score(spark.createDataFrame([r[:2] for r in again], "doc_id long, text string"), index).collect()
     truth = {i: y for i, _, y in again}
