@@ -43,7 +43,7 @@ from riskloom.sources.scratch import scratch_path, written
 #: Bounds of the fit for each class: rows, and bytes of text (a row beyond a sixteenth of them is no example).
 EXAMPLES, EXAMPLE_BYTES = 4000, 32_000_000
 SIGN = 10.0
-NEIGHBOURS, BLOCK, COMMON, PREFIXES, BINS = 15, 64, 12, (5,), 50
+NEIGHBOURS, BLOCK, COMMON, PREFIXES, BINS = 15, 64, 24, (5,), 50
 #: Documents searched together; blocks read at first for each.
 QUERIES, FIRST = 256, 4
 #: Beyond what rounding to 32 bits can do to a cosine of non-negative terms.
@@ -122,16 +122,15 @@ class Index:
     idf: np.ndarray
     ids: list
     labels: np.ndarray
-    vectors: list[tuple[np.ndarray, np.ndarray]]
+    #: Terms and weights of all examples, one after the other, and how many each has.
+    vectors: tuple[np.ndarray, np.ndarray, np.ndarray]
     folds: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
 
     def build(self) -> Index:
-        n, m = len(self.vectors), len(self.idf)
+        self.terms, self.weights, sizes = self.vectors
+        n, m = len(sizes), len(self.idf)
         self.blocks = max(1, -(-n // BLOCK))
-        sizes = np.array([len(t) for t, _ in self.vectors], np.int64)
         rows = np.repeat(np.arange(n, dtype=np.int32), sizes)
-        self.terms = np.concatenate([t for t, _ in self.vectors] or [np.empty(0)], dtype=np.int32, casting="unsafe")
-        self.weights = np.concatenate([w for _, w in self.vectors] or [np.empty(0)], dtype=np.float32, casting="unsafe")
         self.begin = np.concatenate([[0], np.cumsum(sizes)])
         common = np.bincount(self.terms, minlength=m) * COMMON > n
         self.place = np.where(common, np.cumsum(common) - 1, -1)
@@ -220,9 +219,28 @@ def known_hashes(folder: str) -> np.ndarray:
     return np.sort(_read(f"{folder}/terms").column("hash").to_numpy().view(np.uint64))
 
 
-@functools.lru_cache(maxsize=1)
+_BUILT: dict[tuple[str, int], Index] = {}
+
+
 def index_of(folder: str, without: int = -1) -> Index:
-    """The index of a fit; with a fold, as if its labels were not known."""
+    """The index of a fit; with a fold, as if its labels were not known. A worker holds one at a time, from task to task."""
+    if (folder, without) not in _BUILT:
+        _BUILT.clear()
+        _BUILT[folder, without] = _index(folder, without)
+    return _BUILT[folder, without]
+
+
+def _flat(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of packed numbers, and how many each row has."""
+    rows = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.binary())
+    _, offsets, data = rows.buffers()
+    ends = np.frombuffer(offsets, np.int32)[rows.offset : rows.offset + len(rows) + 1] if len(rows) else np.zeros(1, np.int32)
+    width = np.dtype(kind).itemsize
+    values = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(kind) if data is not None else np.empty(0, kind)
+    return values, np.diff(ends).astype(np.int64) // width
+
+
+def _index(folder: str, without: int) -> Index:
     terms = _read(f"{folder}/terms")
     hashes = terms.column("hash").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
@@ -234,8 +252,8 @@ def index_of(folder: str, without: int = -1) -> Index:
     frequencies = np.zeros(len(hashes))
     frequencies[np.searchsorted(hashes, number.drop_null().to_numpy().view(np.uint64))] = n[there]
     total = float(n[~there].sum())
-    examples = _read(f"{folder}/examples").to_pydict()
-    fold, label = np.array(examples["fold"], np.int64), np.array(examples["label"], np.int64)
+    examples = _read(f"{folder}/examples")
+    fold, label = (examples.column(c).to_numpy().astype(np.int64) for c in ("fold", "label"))
     known = [f for f in range(FOLDS) if f != without]
     clean, toxic = (sum((terms.column(f"{c}{f}").to_numpy()[order].astype(float) for f in known), np.zeros(len(hashes))) for c in ("clean", "toxic"))
     t0, t1 = (float(((label == y) & (fold != without)).sum()) for y in (0, 1))
@@ -246,17 +264,19 @@ def index_of(folder: str, without: int = -1) -> Index:
     # like examples beside each other, so that blocks differ in their greatest weights: common terms first
     rank = np.empty(len(hashes), np.int32)
     rank[np.lexsort((hashes, -both))] = np.arange(len(hashes), dtype=np.int32)
-    vectors = []
-    for at, (t, c) in enumerate(zip(examples["terms"], examples["counts"])):
-        found = np.searchsorted(hashes, np.frombuffer(t, np.uint64)).astype(np.int32)
-        vectors.append((np.sort(rank[found]).astype(">i4").tobytes(), examples["doc_id"][at], at, found, np.frombuffer(c, np.uint32)))
-    vectors.sort(key=lambda v: v[:3])
-    place = [v[2] for v in vectors]
-    index = Index(hashes, idf, [examples["doc_id"][i] for i in place], label[place], [], fold[place])
-    index.vectors = [index.vector(found, counts) for _, _, _, found, counts in vectors]
-    del vectors, examples
-    index.build().vectors = []
-    return index
+    terms, sizes = _flat(examples.column("terms"), np.uint64)
+    terms = np.searchsorted(hashes, terms).astype(np.int32)
+    counts, _ = _flat(examples.column("counts"), np.uint32)
+    begin, ranks, ids = np.cumsum(sizes) - sizes, rank[terms].astype(">i4"), examples.column("doc_id").to_pylist()
+    place = sorted(range(len(ids)), key=lambda i: (np.sort(ranks[begin[i] : begin[i] + sizes[i]]).tobytes(), ids[i]))
+    del ranks
+    own = np.repeat(begin[place] - (np.cumsum(sizes[place]) - sizes[place]), sizes[place]) + np.arange(len(terms))
+    terms, counts, sizes = terms[own], counts[own], sizes[place]
+    del own
+    weights = (1 + np.log(counts)) * idf[terms]
+    norms = np.sqrt(np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=weights * weights, minlength=len(sizes)))
+    weights = (weights / np.repeat(norms, sizes)).astype(np.float32)
+    return Index(hashes, idf, [ids[i] for i in place], label[place], (terms, weights, sizes), fold[place]).build()
 
 
 @dataclass(frozen=True)

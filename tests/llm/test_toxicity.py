@@ -41,7 +41,8 @@ def test_search_is_exact():
         terms = np.sort(rng.choice(40, rng.integers(0, 8), replace=False))
         w = rng.integers(1, 4, len(terms)).astype(float)
         vectors.append((terms, (w / (np.linalg.norm(w) or 1)).astype(np.float32)))
-    index = toxicity.Index(np.arange(40, dtype=np.uint64), np.ones(40), list(range(500)), rng.integers(0, 2, 500), vectors).build()
+    flat = (*(np.concatenate([v[k] for v in vectors], dtype=kind, casting='unsafe') for k, kind in ((0, np.int32), (1, np.float32))), np.array([len(t) for t, _ in vectors]))
+    index = toxicity.Index(np.arange(40, dtype=np.uint64), np.ones(40), list(range(500)), rng.integers(0, 2, 500), flat).build()
     dense = np.zeros((500, 40))
     for i, (t, w) in enumerate(vectors):
         dense[i, t] = w
