@@ -67,4 +67,71 @@ LEFT JOIN wide l ON l.level = 'language' AND l.lang IS NOT DISTINCT FROM b.lang
 LEFT JOIN wide a ON a.level = 'all'
 """
 
-SQL = {"op1_mix_sources": MIX_SQL, "op4_quality_rules": QUALITY_SQL, "op6_top_k": TOPK_SQL, "op8_chat_calls": CHAT_SQL}
+#: CRC-32 of a text's UTF-8 bytes: a table of 256 rests, then one look-up a byte.
+CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS rests
+  FROM range(256) AS byte(i))"""
+
+
+def crc32(text: str) -> str:
+    """The SQL of a text's CRC-32, where `rests` is in reach."""
+    code = f"hex(encode({text}))"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode({text}))), "
+            f"lambda i: ('0x' || substr({code}, 2 * i + 1, 2))::BIGINT)), "
+            "lambda c, b: xor(c >> 8, rests[xor(c & 255, b) + 1])), 4294967295)")
+
+
+def _merkle_levels(name: str, group: str, levels: int) -> str:
+    """Tables {name}1..: runs of 8 hashed level by level; {name}_side: what stands left and right of a node in its run."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}{k + 1} AS (
+  SELECT {group}, i // 8 AS i, CASE WHEN n = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h, (n + 7) // 8 AS n
+  FROM {name}{k} GROUP BY {group}, i // 8, n)""")
+        out.append(f"""{name}{k}_side AS (
+  SELECT {group}, i, n > 1 AS open, coalesce(string_agg(h, '') OVER (PARTITION BY {group}, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER (PARTITION BY {group}, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+    return ",\n".join(out)
+
+
+def merkle_sql(levels: int = 7, language_levels: int = 2) -> str:
+    """Trees of up to 8 ** levels leaves."""
+    def field(c):
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps, previous = [], "placed"
+    for name, here, count in (("t", "i", levels), ("s", "tree", language_levels)):
+        for k in range(count):
+            keys = f"x.lang IS NOT DISTINCT FROM d.lang AND x.i = d.{here} // {8 ** k}" if name == "t" else f"x.one = 0 AND x.i = d.{here} // {8 ** k}"
+            steps.append(f"""{name}{k}_step AS (
+  SELECT d.* EXCLUDE (folded, proof), CASE WHEN open THEN sha256(l || folded || r) ELSE folded END AS folded,
+    CASE WHEN open THEN proof || l || r ELSE proof END AS proof
+  FROM {previous} d JOIN {name}{k}_side x ON {keys})""")
+            previous = f"{name}{k}_step"
+    return f"""
+WITH {CRC_TABLE},
+leaves AS (
+  SELECT doc_id, lang, sha256({head} || {field('text')}) AS leaf,
+    CASE WHEN {crc32("coalesce(doc_id::VARCHAR, '')")} % 3 = 0 THEN sha256({head} || {field(lower)}) END AS changed
+  FROM documents, crc_table),
+ordered AS (
+  SELECT doc_id, lang, leaf, coalesce(changed, leaf) AS changed, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+t0 AS (SELECT lang, i, leaf AS h, n FROM ordered),
+{_merkle_levels("t", "lang", levels)},
+s0 AS (
+  SELECT 0 AS one, lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, h, count(*) OVER () AS n FROM t{levels}),
+{_merkle_levels("s", "one", language_levels)},
+placed AS (
+  SELECT o.doc_id, o.lang, o.i, s0.i AS tree, o.leaf, s0.h AS subroot, o.changed AS folded, '' AS proof
+  FROM ordered o JOIN s0 ON s0.lang IS NOT DISTINCT FROM o.lang),
+{", ".join(steps)}
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h AS verified
+FROM {previous}, s{language_levels}
+"""
+
+
+SQL = {"op11_merkle_manifest": merkle_sql(), "op1_mix_sources": MIX_SQL, "op4_quality_rules": QUALITY_SQL, "op6_top_k": TOPK_SQL, "op8_chat_calls": CHAT_SQL}
