@@ -134,4 +134,34 @@ FROM {previous}, s{language_levels}
 """
 
 
-SQL = {"op11_merkle_manifest": merkle_sql(), "op1_mix_sources": MIX_SQL, "op4_quality_rules": QUALITY_SQL, "op6_top_k": TOPK_SQL, "op8_chat_calls": CHAT_SQL}
+SPELLING_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)),
+hashed AS (SELECT run, {crc32("doc || ':' || run")} AS h, n FROM (SELECT doc, run, count(*) AS n FROM runs GROUP BY ALL), crc_table),
+slipped AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+less AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT l.word, w.word AS other FROM less l JOIN words w ON w.word = l.rest
+  UNION SELECT w.word, l.word FROM less l JOIN words w ON w.word = l.rest
+  UNION SELECT a.word, b.word FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word),
+ranked AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS place
+  FROM near JOIN words o ON o.word = near.other),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+    CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1),
+chain AS (
+  SELECT word, word AS stop, form AS further FROM formed
+  UNION ALL SELECT c.word, c.further, f.form FROM chain c JOIN formed f ON f.word = c.further)
+SELECT f.word, form, stop AS root, n, n_near, form_n FROM formed f JOIN chain c ON c.word = f.word AND c.further IS NULL
+"""
+
+SQL = {"op12_spelling_groups": SPELLING_SQL, "op11_merkle_manifest": merkle_sql(), "op1_mix_sources": MIX_SQL, "op4_quality_rules": QUALITY_SQL, "op6_top_k": TOPK_SQL, "op8_chat_calls": CHAT_SQL}
