@@ -2,9 +2,9 @@
 
 Letters are hashed to SYMBOLS symbols. All strings within one edit of a reduced word (each symbol deleted,
 replaced by each symbol, each symbol put in at each place, and the word itself) are looked up among
-the reduced words. An edit at the third letter or later leaves the first END letters as they are, an earlier one the
-last END: these letters, unreduced, are part of what is looked up, so that short reduced words do not bring
-together all words of a language. What is found is verified on the words themselves.
+the reduced words. An edit in one half of a word leaves the other half's letters as they are: these, unreduced, are part
+of what is looked up, so that short reduced words do not bring together all words of a language. What is found is
+verified on the words themselves.
 
 A reduced word's hash is a polynomial, so that the hash of each of its neighbours is a sum of a beginning and
 an end; equal strings have equal hashes, so none is missed. Words under a key with more than HOT words are looked
@@ -26,7 +26,7 @@ from riskloom.llm.words import byte_parts, mixed, signed
 from riskloom.shipping import ship
 from riskloom.sources.scratch import written
 
-SYMBOLS, END, HOT = 4, 2, 64
+SYMBOLS, HOT = 3, 256
 #: Words a task counts before it hands them on; neighbours it makes at a time; words of a task that makes them.
 HELD, MADE, TASK_WORDS = 200_000, 1 << 20, 20_000
 _RUN = re.compile("[a-zÀ-ÿ]+")
@@ -75,54 +75,58 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _BASE)]))
 
 
-def _ends(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A number for the first END letters of each word, and for the last."""
-    place = np.arange(END, dtype=np.uint64) << np.uint64(32)
-    first = mixed(codes[:, :END] + place).sum(1, dtype=np.uint64)
-    last = mixed(codes[:, -END:] + place + np.uint64(1 << 40)).sum(1, dtype=np.uint64)
-    return first, last
-
-
 def _reduced(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(code of each letter's symbol, code of each symbol)."""
     symbols = mixed(np.arange(1, SYMBOLS + 1, dtype=np.uint64))
     return symbols[(mixed(codes) % np.uint64(SYMBOLS)).astype(np.int64)], symbols
 
 
-def _key(hashes: np.ndarray, length: int, end: np.ndarray) -> np.ndarray:
-    return mixed(mixed(hashes + np.uint64(length)) + end)
+def _key(hashes: np.ndarray, length: int, half: np.ndarray) -> np.ndarray:
+    return mixed(mixed(hashes + np.uint64(length)) + half)
+
+
+def _halves(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers for the letters that words of `length` have in their first half, and in the rest, if these ends are of such a word."""
+    before, after = length // 2, length - length // 2
+    powers = _powers(max(before, after))
+    first = (mixed(codes[:, :before]) * powers[:before]).sum(1, dtype=np.uint64)
+    last = (mixed(codes[:, codes.shape[1] - after :]) * powers[:after]).sum(1, dtype=np.uint64) if after <= codes.shape[1] else np.zeros(len(codes), np.uint64)
+    return mixed(first + np.uint64(1)), mixed(last + np.uint64(2))
 
 
 def own_keys(codes: np.ndarray) -> np.ndarray:
     """The two keys of each word of one length: its reduced form with its first letters, and with its last."""
     reduced, _ = _reduced(codes)
     hashes = (reduced * _powers(codes.shape[1])[:-1]).sum(1, dtype=np.uint64)
-    return np.stack([_key(hashes, codes.shape[1], end) for end in _ends(codes)], axis=1)
+    return np.stack([_key(hashes, codes.shape[1], half) for half in _halves(codes, codes.shape[1])], axis=1)
 
 
 def neighbour_keys(codes: np.ndarray) -> np.ndarray:
-    """The keys of everything within one edit of the reduced form of each word; of the same key all but one are 0 at the row's start."""
+    """The keys of everything within one edit of the reduced form of each word; of equal keys all but one are 0."""
     n, length = codes.shape
     reduced, symbols = _reduced(codes)
     powers = _powers(length + 1)
     total = np.concatenate([np.zeros((n, 1), np.uint64), np.cumsum(reduced * powers[:length], axis=1, dtype=np.uint64)], axis=1)
-    first, last = _ends(codes)
-    whole, places = total[:, -1:], np.arange(length + 1)
-    end = np.where(places >= END, first[:, None], last[:, None])
-    rest = whole - total  # of a place and what follows
+    whole = total[:, -1:]
+
+    def keys(hashes: np.ndarray, size: int) -> np.ndarray:
+        """Of edits at each place that give words of `size`: an edit in the first half leaves the other letters alone."""
+        first, last = _halves(codes, size)
+        half = np.where(np.arange(hashes.shape[1]) >= size // 2, first[:, None], last[:, None])
+        return _key(hashes, size, half if hashes.ndim == 2 else half[:, :, None]).reshape(n, -1)
+
     deleted = total[:, :-1] + (whole - total[:, 1:]) * _INVERSE
     replaced = (whole - reduced * powers[:length])[:, :, None] + (powers[:length, None] * symbols)[None]
-    put_in = (total + rest * _BASE)[:, :, None] + (powers[: length + 1, None] * symbols)[None]
-    keys = [_key(deleted, length - 1, end[:, :-1]), _key(replaced, length, end[:, :-1, None]).reshape(n, -1),
-            _key(put_in, length + 1, end[:, :, None]).reshape(n, -1), own_keys(codes)]
-    keys = np.sort(np.concatenate(keys, axis=1), axis=1)
-    keys[:, :-1][keys[:, 1:] == keys[:, :-1]] = 0
-    return keys
+    put_in = (total + (whole - total) * _BASE)[:, :, None] + (powers[: length + 1, None] * symbols)[None]
+    found = [keys(deleted, length - 1), keys(replaced, length), keys(put_in, length + 1)]
+    found = np.sort(np.concatenate(found, axis=1), axis=1)
+    found[:, :-1][found[:, 1:] == found[:, :-1]] = 0
+    return found
 
 
 def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, code points) of the words of one length, so many that their neighbours stay bounded."""
-    ids, words = batch.column("id").to_numpy(), batch.column("word").to_pylist()
+    """(rows, code points) of the words of one length, so many that their neighbours stay bounded."""
+    words = batch.column("word").to_pylist()
     sizes = np.array([len(w) for w in words], np.int64)
     for size in np.unique(sizes).tolist():
         rows = np.flatnonzero(sizes == size)
@@ -130,58 +134,65 @@ def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]
         for at in range(0, len(rows), step):
             part = rows[at : at + step]
             codes = np.frombuffer("".join(words[i] for i in part).encode("utf-32-le"), np.uint32).reshape(len(part), size)
-            yield ids[part], codes.astype(np.uint64)
+            yield part, codes.astype(np.uint64)
 
 
 def _keys(batches: Iterator[pa.RecordBatch], make) -> Iterator[pa.RecordBatch]:
+    """(key, side, and the columns of the words): one row for each key, `side` being its column."""
     for batch in batches:
-        for ids, codes in _by_length(batch):
+        for rows, codes in _by_length(batch):
             keys = make(codes)
-            row, column = np.nonzero(keys)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(keys[row, column])), pa.array(ids[row])], names=["key", "id"])
+            row, side = np.nonzero(keys)
+            own = batch.take(pa.array(rows[row]))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(keys[row, side])), pa.array(side.astype(np.int32)), *own.columns],
+                                             names=["key", "side", *batch.schema.names])
 
 
-def _variants(words: DataFrame) -> DataFrame:
+def _variants(words: DataFrame, column: str) -> DataFrame:
     """Each word whole and with each letter left out once."""
-    left_out = F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.concat(
-        F.substring(F.col("word"), F.lit(1), i - 1), F.substring(F.col("word"), i + 1, F.length("word"))))
-    return words.select("*", F.explode(F.array_distinct(F.concat(F.array("word"), left_out))).alias("variant"))
+    word = F.col(column)
+    left_out = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(
+        F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))))
+    return words.select("*", F.explode(F.array_distinct(F.concat(F.array(word), left_out))).alias("variant"))
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """(id, near) of every word of (id, word, n) with a word one edit away; `near` holds (n, word, id) of each, once."""
-    spark = ship(words.sparkSession)
-    dealt = words.select("id", "word").repartition(max(1, words.count() // TASK_WORDS), "id")
-    own = written(words.select("id", "word").mapInArrow(lambda b: _keys(b, own_keys), "key bigint, id bigint"), "spelling-keys")
+    """(word, n_near, best) of every word of (word, n) with a word one edit away: how many there are, and (-n, word) of the one
+    with the greatest count, the first of those in code-point order."""
+    ship(words.sparkSession)
+    made = words.select("word").repartition(max(1, words.count() // TASK_WORDS), "word")
+    made = made.mapInArrow(lambda b: _keys(b, neighbour_keys), "key bigint, side int, word string").drop("side")
+    own = written(words.mapInArrow(lambda b: _keys(b, own_keys), "key bigint, side int, word string, n bigint"), "spelling-keys")
     crowded = own.groupBy("key").agg(F.count(F.lit(1)).alias("words")).filter(F.col("words") > HOT)
-    hot = written(own.join(crowded, "key", "left_semi").select("id").distinct(), "spelling-hot")
+    hot = written(own.join(crowded, "key", "left_semi").select("word").distinct(), "spelling-hot")
     any_hot = not hot.isEmpty()
-    targets = own.join(hot, "id", "left_anti") if any_hot else own
-    # the reduced vocabulary is the smaller side by far: two rows a word
-    made = dealt.mapInArrow(lambda b: _keys(b, neighbour_keys), "key bigint, id bigint")
-    pairs = made.join(targets.withColumnRenamed("id", "near_id").hint("shuffle_hash"), "key").select("id", "near_id")
+    targets = (own.join(hot, "word", "left_anti") if any_hot else own).select("key", "side", F.col("word").alias("near_word"), F.col("n").alias("near_n"))
+    # the reduced vocabulary, two rows a word, is the smaller side by far. A pair that agrees in the whole first half is
+    # found by its first letters, any other by its last: so once
+    begins = F.expr("substring(word, 1, length(near_word) div 2)") == F.expr("substring(near_word, 1, length(near_word) div 2)")
+    once = (F.col("side") == 0) == begins
+    pairs = made.join(targets.hint("shuffle_hash"), "key").filter((F.levenshtein("word", "near_word", 1) == 1) & once)
+    pairs = pairs.select("word", "near_word", "near_n")
     if any_hot:
-        kept = words.join(hot, "id", "left_semi")
-        side = _variants(kept.select(F.col("id").alias("near_id"), "word")).select("near_id", "variant")
-        pairs = pairs.unionByName(_variants(words.select("id", "word")).join(side, "variant").select("id", "near_id"))
-    pairs = pairs.filter(F.col("id") != F.col("near_id"))
-    other = words.select(F.col("id").alias("near_id"), F.col("word").alias("near_word"), F.col("n").alias("near_n"))
-    both = pairs.join(other, "near_id").join(words.select("id", "word"), "id").filter(F.levenshtein("word", "near_word", 1) == 1)
-    # a word has at most so many neighbours as there are edits of it
-    return both.groupBy("id").agg(F.collect_set(F.struct((-F.col("near_n")).alias("less"), F.col("near_word").alias("word"), F.col("near_id").alias("id"))).alias("near"))
+        side = _variants(words.join(hot, "word", "left_semi").select(F.col("word").alias("near_word"), "n"), "near_word")
+        side = side.select("variant", "near_word", F.col("n").alias("near_n"))
+        more = _variants(words.select("word"), "word").join(side, "variant").filter(F.levenshtein("word", "near_word", 1) == 1)
+        pairs = pairs.unionByName(more.select("word", "near_word", "near_n").distinct())
+    best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near_word").alias("word")))
+    return pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
-    """(id, root_id): where the chain of (id, form_id) ends. Each round doubles what a pointer spans; a chain is
+    """(word, root): where the chain of (word, form) ends. Each round doubles what a pointer spans; a chain is
     short, as counts at least double with each step."""
-    pointers = written(forms.select("id", F.col("form_id").alias("root_id")), "spelling-roots")
+    pointers = written(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
-        ahead = pointers.select(F.col("id").alias("via"), F.col("root_id").alias("further"))
-        pointers = written(pointers.join(ahead, F.col("root_id") == F.col("via"), "left").select(
-            "id", F.coalesce("further", "root_id").alias("root_id"), F.col("further").isNotNull().alias("moved")), "spelling-roots")
+        ahead = pointers.select(F.col("word").alias("via"), F.col("root").alias("further"))
+        pointers = written(pointers.join(ahead, F.col("root") == F.col("via"), "left").select(
+            "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "spelling-roots")
         if pointers.filter("moved").isEmpty():
-            return pointers.select("id", "root_id")
-        pointers = pointers.select("id", "root_id")
+            return pointers.select("word", "root")
+        pointers = pointers.select("word", "root")
 
 
 def spelling_groups(docs: DataFrame, slip: int = 97, shortest: int = 5, least: int = 3, ratio: int = 2) -> DataFrame:
@@ -190,13 +201,11 @@ def spelling_groups(docs: DataFrame, slip: int = 97, shortest: int = 5, least: i
     Two words are near if one letter is put in, left out or replaced. A word's form is its near word of the greatest
     count (ties: the first in code-point order) if that is `ratio` times its own or more, else null; its root is where its forms lead to,
     the word itself without a form. No rows or only null texts give no rows."""
-    words = written(counted_words(docs, slip, shortest, least).select(F.monotonically_increasing_id().alias("id"), "word", "n"), "spelling-words")
-    near = written(near_words(words).select("id", F.size("near").cast("bigint").alias("n_near"), F.array_min("near").alias("best")), "spelling-near")
-    judged = words.join(near, "id", "left").withColumn("has", F.coalesce(-F.col("best.less") >= ratio * F.col("n"), F.lit(False)))
+    words = written(counted_words(docs, slip, shortest, least), "spelling-words")
+    near = written(near_words(words), "spelling-near")
+    judged = words.join(near, "word", "left").withColumn("has", F.coalesce(-F.col("best.less") >= ratio * F.col("n"), F.lit(False)))
     judged = written(judged.select(
-        "id", "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), *(F.when(F.col("has"), value).alias(name) for name, value in (
-            ("form", F.col("best.word")), ("form_n", -F.col("best.less")), ("form_id", F.col("best.id"))))), "spelling-forms")
-    ends = roots(judged.filter(F.col("form_id").isNotNull()))
-    names = words.select(F.col("id").alias("end_id"), F.col("word").alias("end"))
-    named = ends.join(names, F.col("root_id") == F.col("end_id")).select("id", F.col("end").alias("root"))
-    return judged.join(named, "id", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+        "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(F.col("has"), F.col("best.word")).alias("form"),
+        F.when(F.col("has"), -F.col("best.less")).alias("form_n")), "spelling-forms")
+    ends = roots(judged.filter(F.col("form").isNotNull()))
+    return judged.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
