@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, merkle, mixing, ngram_join, quality, spelling, suffix_dedup, token_counts, token_files, topk, toxicity, unigram
+from riskloom.llm import chat, language, merkle, mixing, ngram_join, quality, spelling, suffix_dedup, token_counts, token_files, topk, toxicity, unigram
 from riskloom.llm.oracles import SQL
 
 
@@ -70,5 +70,11 @@ def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts, op6_top_k, op7_sentence_pieces, op8_chat_calls, op9_suffix_dedup, op10_toxicity, op11_merkle_manifest, op12_spelling_groups)}
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_ngram_join, op4_quality_rules, op5_token_counts, op6_top_k, op7_sentence_pieces, op8_chat_calls, op9_suffix_dedup, op10_toxicity, op11_merkle_manifest, op12_spelling_groups, op13_language_id)}
 ORACLES = {name: sql for name, sql in SQL.items() if name in QUERIES}

@@ -31,11 +31,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
-import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskloom.llm.shared import read_table
 from riskloom.llm.words import byte_parts, mixed
 from riskloom.shipping import ship
 from riskloom.sources.scratch import scratch_path, written
@@ -208,15 +207,10 @@ class Index:
         return sum(s * self.labels[i] for s, i in near) / sum(s for s, _ in near)
 
 
-def _read(path: str) -> pa.Table:
-    fs, base = pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-    return pq.read_table(base, filesystem=fs)
-
-
 @functools.lru_cache(maxsize=1)
 def known_hashes(folder: str) -> np.ndarray:
     """The sorted hashes of the examples' terms."""
-    return np.sort(_read(f"{folder}/terms").column("hash").to_numpy().view(np.uint64))
+    return np.sort(read_table(f"{folder}/terms").column("hash").to_numpy().view(np.uint64))
 
 
 _BUILT: dict[tuple[str, int], Index] = {}
@@ -241,18 +235,18 @@ def _flat(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _index(folder: str, without: int) -> Index:
-    terms = _read(f"{folder}/terms")
+    terms = read_table(f"{folder}/terms")
     hashes = terms.column("hash").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     hashes = hashes[order]
     # documents with each term over all documents; a null hash counts the documents
-    seen = _read(f"{folder}/frequencies")
+    seen = read_table(f"{folder}/frequencies")
     number, n = seen.column("hash"), seen.column("n").to_numpy()
     there = np.asarray(number.is_valid())
     frequencies = np.zeros(len(hashes))
     frequencies[np.searchsorted(hashes, number.drop_null().to_numpy().view(np.uint64))] = n[there]
     total = float(n[~there].sum())
-    examples = _read(f"{folder}/examples")
+    examples = read_table(f"{folder}/examples")
     fold, label = (examples.column(c).to_numpy().astype(np.int64) for c in ("fold", "label"))
     known = [f for f in range(FOLDS) if f != without]
     clean, toxic = (sum((terms.column(f"{c}{f}").to_numpy()[order].astype(float) for f in known), np.zeros(len(hashes))) for c in ("clean", "toxic"))
