@@ -160,12 +160,14 @@ def _sample(docs: DataFrame, text: str, label: str) -> DataFrame:
     known = docs.select(F.col("doc_id").alias("key"), F.col(text).alias("text"), F.col(label).cast("string").alias("label"))
     known = known.filter(F.col("label").isNotNull() & (F.octet_length("text") <= EXAMPLE_BYTES) & F.rlike("text", F.lit(r"\p{L}")) & ~held_out(F.col("key")))
     known = known.select("label", "text", F.xxhash64("text").alias("hash"))
-    # hashes alone are ranked; what is beyond the bound stays in its map task
+    # a sketch of each language's distinct texts gives a cut of the hashes that leaves a little more than EXAMPLES; only these
+    # are ranked. One row a language, as in the model
+    share = F.least(F.lit(1.0), F.lit(1.2 * EXAMPLES) / F.approx_count_distinct("hash", 0.02))
+    cuts = known.groupBy("label").agg(share.alias("share")).withColumnRenamed("label", "of")
+    below = (F.col("hash").cast("double") + 2.0**63) / 2.0**64 <= F.col("share")
+    chosen = known.join(F.broadcast(cuts), (F.col("label") == F.col("of")) & below).groupBy("label", "hash").agg(F.min("text").alias("text"))
     place = F.row_number().over(Window.partitionBy("label").orderBy("hash"))
-    least = known.select("label", "hash").distinct().withColumn("place", place).filter(F.col("place") <= EXAMPLES)
-    least = least.groupBy("label").agg(F.max("hash").alias("upto")).withColumnRenamed("label", "of")
-    chosen = known.join(least, (F.col("label") == F.col("of")) & (F.col("hash") <= F.col("upto")))
-    return written(chosen.groupBy("label", "hash").agg(F.min("text").alias("text")), "language-examples")
+    return written(chosen.withColumn("place", place).filter(F.col("place") <= EXAMPLES).drop("place"), "language-examples")
 
 
 def _write_frequencies(docs: DataFrame, text: str, folder: str) -> None:
