@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import inputs
 from checks.fragments import FRAGMENTS
 from checks.registry import check
-from riskloom.config import EngineConfig
+from riskloom.config import SENTIMENT_LABELS, EngineConfig
 from riskloom.functions import scalars
 from riskloom.operators import anomaly, churn, preparation, text
 from riskloom.operators.series import build_features
@@ -150,13 +150,27 @@ def q_score_sentiment(spark, d):
     return text.score_sentiment(rows, model)
 
 
+@check("label mass:f2", """
+  SELECT l.label, n / 3.0 AS mass FROM (SELECT unnest(['negative', 'neutral', 'positive']) AS label) l,
+    (SELECT count(*) AS n FROM reviews WHERE sentiment_label IN ('negative', 'neutral', 'positive')) r""")
+def q_sentiment_mass(spark, d):
+    """At the optimum a free intercept gives each class the probability that its balanced weights ask for."""
+    rows = warehouse.reviews(spark, d)
+    model = text.train_sentiment(rows)
+    weights = preparation.class_weights(rows.where(F.col("sentiment_label").isin(SENTIMENT_LABELS)), "sentiment_label")
+    scored = text.sentiment_probabilities(rows.join(F.broadcast(weights.select("sentiment_label", "weight")), "sentiment_label"), model)
+    p = F.col("__probability")
+    shares = F.array(*[F.struct(F.lit(c).alias("label"), p[i].alias("p")) for i, c in enumerate(SENTIMENT_LABELS)])
+    return scored.select("weight", F.explode(shares).alias("s")).groupBy(F.col("s.label").alias("label")).agg(
+        F.sum(F.col("weight") * F.col("s.p")).alias("mass"))
+
+
 @check("customer_id:i plan_type slots:i", f"""
   SELECT customer_id, plan_type, (SELECT count(DISTINCT plan_type) FROM customers) + {len(churn.NUMERIC_FEATURES)} AS slots FROM customers""")
 def q_feature_preprocessor(spark, d):
     rows = inputs.features(spark, d)
     stages, names = churn.feature_preprocessor(rows)
-    from pyspark.ml.functions import vector_to_array
-
+    
     return stages.transform(rows).withColumn("slots", F.size(vector_to_array("features")))
 
 

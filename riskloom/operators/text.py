@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, pairwise
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import (
-    CountVectorizerModel, Normalizer, VectorAssembler, VectorSizeHint,
-)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructType
 from pyspark.sql.window import Window
 
 from riskloom.config import SENTIMENT_LABELS
 from riskloom.functions.scalars import clean_text, clip01
 from riskloom.operators.joins import alias_lookup
+from riskloom.operators.logistic import fit_multinomial, logits_of, softmax
 from riskloom.operators.preparation import class_weights
+from riskloom.shipping import ship
+from riskloom.sources.scratch import written
 
 WORD = "[a-z0-9]{2,}"
-MAX_ITERATIONS = 1000
 ANY_WORD = r"[\p{L}\p{N}_]{2,}"
 # A small default; callers with a fuller list pass their own.
 STOP_WORDS = [
@@ -83,23 +87,31 @@ def build_vocabulary(docs: DataFrame, text: str, max_features: int = 5000, min_d
 
 
 def tfidf(docs: DataFrame, vocabulary: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Long form `(id, term, tf, weight)`, L2-normalised per document.
-
-    The vocabulary is bounded by `max_features`, so it broadcasts. Texts are dealt out by id
-    once; counts and norms need no further shuffle."""
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    weights = vocabulary.crossJoin(F.broadcast(n_docs)).select(
-        "term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf")
-    )
-    tf = (
-        tokenize_ngrams(docs.select(id_column, text).repartition(id_column), id_column, text)
-        .join(F.broadcast(weights), "term")
-        .groupBy(id_column, "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"))
-        .withColumn("raw", (1 + F.log("tf")) * F.col("idf"))
-    )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_column)))
-    return tf.select(id_column, "term", "tf", (F.col("raw") / norm).alias("weight"))
+    """Long form `(id, term, tf, weight)`, L2-normalised per row of `docs`.
+
+    Words are extracted where the row is read; counts, weights and norm follow in the same task, so nothing is
+    shuffled. The vocabulary is bounded by `max_features` and goes along with the function."""
+    n_docs = ship(docs.sparkSession) and docs.count()
+    idf = {r.term: math.log((1 + n_docs) / (1 + r.df)) + 1 for r in vocabulary.select("term", "df").collect()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, terms, counts, weights = [], [], [], []
+            for row, words in enumerate(batch.column(1).to_pylist()):
+                words = words or []
+                found = Counter(t for t in chain(words, map(" ".join, pairwise(words))) if t in idf)
+                raw = [(1 + math.log(n)) * idf[t] for t, n in found.items()]
+                norm = math.sqrt(sum(w * w for w in raw))
+                rows += [row] * len(raw)
+                terms += found.keys()
+                counts += found.values()
+                weights += [w / norm for w in raw]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(terms, pa.string()), pa.array(counts, pa.int64()), pa.array(weights, pa.float64())],
+                names=[id_column, "term", "tf", "weight"])
+
+    kind = docs.schema[id_column].dataType.simpleString()
+    return docs.select(id_column, _words(text).alias("words")).mapInArrow(run, f"`{id_column}` {kind}, term string, tf bigint, weight double")
 
 
 def top_terms_by_class(docs: DataFrame, id_column: str, text: str, label: str, features: int = 20,
@@ -142,53 +154,70 @@ def top_terms_by_class(docs: DataFrame, id_column: str, text: str, label: str, f
 
 @dataclass
 class SentimentModel:
-    """A fitted vocabulary `(term_no, term, idf)` and a three-class linear model."""
+    """A fitted vocabulary `(term_no, term, df, n_docs, idf)` and a three-class linear model: one row of
+    coefficients for each term, and the intercepts."""
 
     vocabulary: DataFrame
     terms: list[str]
-    classifier: LogisticRegressionModel
+    idf: np.ndarray
+    coefficients: np.ndarray
 
     def save(self, path: str) -> None:
         self.vocabulary.coalesce(1).write.mode("overwrite").parquet(f"{path}/vocabulary")
-        self.classifier.write().overwrite().save(f"{path}/classifier")
+        spark = self.vocabulary.sparkSession
+        rows = [(i, *map(float, row)) for i, row in enumerate(self.coefficients)]
+        spark.createDataFrame(rows, _COEFFICIENTS).coalesce(1).write.mode("overwrite").parquet(f"{path}/classifier")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "SentimentModel":
         vocabulary = spark.read.parquet(f"{path}/vocabulary")
-        terms = [r.term for r in vocabulary.orderBy("term_no").select("term").collect()]
-        return SentimentModel(
-            vocabulary, terms, LogisticRegressionModel.load(f"{path}/classifier")
-        )
+        found = vocabulary.orderBy("term_no").select("term", "idf").collect()
+        rows = spark.read.schema(_COEFFICIENTS).parquet(f"{path}/classifier").orderBy("slot").collect()
+        return SentimentModel(vocabulary, [r.term for r in found], np.array([r.idf for r in found]), np.array([r[1:] for r in rows]))
 
 
-def _vectors(docs: DataFrame, text: str, terms: list[str], vocabulary: DataFrame) -> DataFrame:
-    """Sparse normalised TF-IDF vectors, row by row inside the JVM: nothing is shuffled.
+_COEFFICIENTS = "slot int, " + ", ".join(f"{c} double" for c in SENTIMENT_LABELS)
 
-    The vocabulary is bounded by `max_features`; its idf values travel as one row."""
-    counter = CountVectorizerModel.from_vocabulary(terms, inputCol="__terms", outputCol="__tf")
-    idf = vocabulary.agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("term_no", "idf"))), lambda s: s["idf"]
-        ).alias("__idf")
-    )
-    counted = counter.transform(with_terms(docs, text, "__terms"))
-    weighted = counted.crossJoin(F.broadcast(idf)).withColumn(
-        "__dense",
-        array_to_vector(F.zip_with(
-            vector_to_array("__tf"), F.col("__idf"),
-            lambda tf, w: F.when(tf > 0, (1 + F.log(tf)) * w).otherwise(0.0),
-        )),
-    )
-    # the known length spares the assembler a look at the first row
-    sized = VectorSizeHint(inputCol="__dense", size=len(terms), handleInvalid="optimistic").transform(weighted)
-    packed = VectorAssembler(inputCols=["__dense"], outputCol="__sparse").transform(sized)
-    out = Normalizer(inputCol="__sparse", outputCol="__features", p=2.0).transform(packed)
-    return out.drop("__terms", "__tf", "__idf", "__dense", "__sparse")
+
+def _weigh(words: list[list[str] | None], number: dict[str, int], idf: np.ndarray) -> tuple[list[list[int]], list[np.ndarray]]:
+    """(slots, weights) of each row's known terms, normalised TF-IDF."""
+    slots, weights = [], []
+    for own in words:
+        own = own or []
+        found = Counter(number[t] for t in chain(own, map(" ".join, pairwise(own))) if t in number)
+        slot, count = list(found), np.fromiter(found.values(), float, len(found))
+        raw = (1 + np.log(count)) * idf[slot] if slot else count
+        slots.append(slot)
+        weights.append(raw / (np.linalg.norm(raw) or 1.0))
+    return slots, weights
+
+
+def _words(text: str) -> Column:
+    return F.regexp_extract_all(clean_text(F.col(text)), F.lit(WORD), F.lit(0))
+
+
+def _vectors(docs: DataFrame, text: str, terms: list[str], idf: np.ndarray) -> DataFrame:
+    """`docs` with sparse normalised TF-IDF as `slots` and `values`; row by row, nothing is shuffled.
+
+    The vocabulary is bounded by `max_features` and goes along with the function."""
+    number = {t: i for i, t in enumerate(ship(docs.sparkSession) and terms)}
+    kept = [c for c in docs.columns if c != text]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots, values = _weigh(batch.column(batch.num_columns - 1).to_pylist(), number, idf)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(slots, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64()))],
+                names=[*kept, "slots", "values"])
+
+    schema = docs.select(*kept).schema.add("slots", ArrayType(IntegerType())).add("values", ArrayType(DoubleType()))
+    return docs.select(*kept, _words(text).alias("__words")).mapInArrow(run, schema)
 
 
 def train_sentiment(reviews: DataFrame, text: str = "review_text", label: str = "sentiment_label",
                     max_features: int = 5000, min_df: int = 2) -> SentimentModel:
-    """Balanced multinomial logistic regression on TF-IDF of words and word pairs."""
+    """Balanced multinomial logistic regression on TF-IDF of words and word pairs: the summed weighted
+    log loss plus half the squared raw coefficients, with free intercepts."""
     labelled = reviews.where(F.col(label).isin(SENTIMENT_LABELS))
     vocab = build_vocabulary(labelled, text, max_features, min_df)
     found = vocab.select("term", "df").collect()  # at most max_features rows
@@ -199,22 +228,35 @@ def train_sentiment(reviews: DataFrame, text: str = "review_text", label: str =
         "term_no int, term string, df bigint, n_docs bigint",
     ).withColumn("idf", F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1)
     terms = [r.term for r in found]
+    idf = np.array([math.log((1 + n_docs) / (1 + r.df)) + 1 for r in found])
     weights = {r[label]: r.weight for r in class_weights(labelled, label).collect()}
     missing = [c for c in SENTIMENT_LABELS if c not in weights]
     if missing:
         raise ValueError(f"model is missing sentiment classes: {missing}")
     index = {c: float(i) for i, c in enumerate(SENTIMENT_LABELS)}
-    rows = _vectors(labelled.select(text, label), text, terms, vocabulary).select(
-        "__features", alias_lookup(F.col(label), index).alias("__label"),
-        alias_lookup(F.col(label), weights).alias("__weight"),
+    rows = _vectors(labelled.select(F.col(text).alias("text"), F.col(label).alias("name")), "text", terms, idf).select(
+        "slots", "values", alias_lookup(F.col("name"), index).cast("int").alias("label"),
+        alias_lookup(F.col("name"), weights).alias("weight"),
     )
-    classifier = LogisticRegression(
-        featuresCol="__features", labelCol="__label", weightCol="__weight",
-        family="multinomial", regParam=1.0 / n_docs, elasticNetParam=0.0,
-        standardization=False, maxIter=MAX_ITERATIONS, tol=1e-4, probabilityCol="__probability",
-        rawPredictionCol="__raw", predictionCol="__prediction",
-    )
-    return SentimentModel(vocabulary, terms, classifier.fit(rows))
+    # every step of the fit reads the vectors
+    rows = written(rows, "sentiment-vectors")
+    return SentimentModel(vocabulary, terms, idf, fit_multinomial(rows, len(terms), len(SENTIMENT_LABELS), 1.0 / n_docs))
+
+
+def sentiment_probabilities(reviews: DataFrame, model: SentimentModel, text: str = "review_text") -> DataFrame:
+    """`reviews` with `__probability`, an array in label order. Rows stay where they are read."""
+    number, idf, theta = {t: i for i, t in enumerate(model.terms)}, model.idf, model.coefficients
+    names, words = ship(reviews.sparkSession) and reviews.columns, _words(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots, values = _weigh(batch.column(batch.num_columns - 1).to_pylist(), number, idf)
+            row = np.repeat(np.arange(batch.num_rows), [len(s) for s in slots])
+            slot = np.fromiter(chain.from_iterable(slots), np.int64, len(row))
+            p = softmax(logits_of(row, slot, np.concatenate([*values, np.empty(0)]), batch.num_rows, theta) + theta[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(list(p), pa.list_(pa.float64()))], names=[*names, "__probability"])
+
+    return reviews.select("*", words.alias("__words")).mapInArrow(run, StructType([*reviews.schema.fields]).add("__probability", ArrayType(DoubleType())))
 
 
 def positivity(probabilities: Column) -> Column:
@@ -228,12 +270,13 @@ def score_sentiment(reviews: DataFrame, model: SentimentModel | None, text: str
     if model is None:
         label = F.col("sentiment_label") if "sentiment_label" in reviews.columns else F.lit("unknown")
         return reviews.withColumn("label", label).withColumn("score", F.lit(None).cast("double"))
-    scored = model.classifier.transform(_vectors(reviews, text, model.terms, model.vocabulary))
+    p = F.col("__probability")
     names = F.array(*[F.lit(c) for c in SENTIMENT_LABELS])
     return (
-        scored.withColumn("label", F.get(names, F.col("__prediction").cast("int")))
-        .withColumn("score", positivity(vector_to_array("__probability")))
-        .drop("__features", "__raw", "__probability", "__prediction")
+        sentiment_probabilities(reviews, model, text)
+        .withColumn("label", F.get(names, F.array_position(p, F.array_max(p)).cast("int") - 1))
+        .withColumn("score", positivity(p))
+        .drop("__probability")
     )
 
 

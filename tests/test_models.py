@@ -108,6 +108,58 @@ def review_rows(n=90):
     return rows
 
 
+def softmax(logits):
+    p = np.exp(logits - logits.max(1, keepdims=True))
+    return p / p.sum(1, keepdims=True)
+
+
+def newton(x, y, weights, penalty, free):
+    """The minimum of the weighted log loss plus half the squared coefficients; columns in `free` are not penalised."""
+    n, m = x.shape
+    k = y.shape[1]
+    theta, ridge = np.zeros((m, k)), np.where(np.arange(m) >= free, 1e-12, penalty)
+
+    def objective(t):
+        p = softmax(x @ t)
+        return -(weights * np.log((p * y).sum(1))).sum() + 0.5 * (ridge[:, None] * t * t).sum()
+
+    for _ in range(60):
+        p = softmax(x @ theta)
+        g = (x.T @ (weights[:, None] * (p - y)) + ridge[:, None] * theta).T.ravel()
+        h = np.zeros((m * k, m * k))
+        for a in range(k):
+            for b in range(k):
+                h[a * m : a * m + m, b * m : b * m + m] = x.T @ ((weights * (p[:, a] * (a == b) - p[:, a] * p[:, b]))[:, None] * x)
+        h += np.diag(np.tile(ridge, k)) + 1e-10 * np.eye(m * k)
+        step = np.linalg.solve(h, g).reshape(k, m).T
+        rate = 1.0
+        while objective(theta - rate * step) > objective(theta) and rate > 1e-6:
+            rate /= 2
+        theta = theta - rate * step
+    return objective(theta), theta
+
+
+def test_sentiment_reaches_the_optimum(spark):
+    """The objective is that of a full Newton solver, and the probabilities are the same."""
+    labels = ["negative", "neutral", "positive"]
+    noisy = [(c, i, t + f" word{i % 7} other{i % 5}", labels[(labels.index(y) + (i % 11 == 0)) % 3]) for c, i, t, y in review_rows()]
+    rows = spark.createDataFrame(noisy[:70], "company_id string, review_id bigint, review_text string, sentiment_label string")
+    model = text.train_sentiment(rows)
+    found = text._vectors(rows, "review_text", model.terms, model.idf).orderBy("review_id").collect()
+    x = np.zeros((len(found), len(model.terms) + 1))
+    for i, r in enumerate(found):
+        x[i, r.slots] = r["values"]
+    x[:, -1] = 1.0
+    y = np.array([[r.sentiment_label == c for c in labels] for r in found], float)
+    weights = (y @ (len(y) / (3 * y.sum(0))))
+    theta = model.coefficients
+    p = softmax(x @ theta)
+    reached = -(weights * np.log((p * y).sum(1))).sum() + 0.5 * (theta[:-1] ** 2).sum()
+    best, exact = newton(x, y, weights, 1.0, x.shape[1] - 1)
+    assert abs(reached - best) / len(y) < 1e-6
+    assert np.abs(p - softmax(x @ exact)).max() < 1e-4
+
+
 def test_sentiment_model(spark, tmp_path):
     rows = spark.createDataFrame(review_rows(), "company_id string, review_id bigint, review_text string, sentiment_label string")
     model = text.train_sentiment(rows)
