@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -207,11 +208,28 @@ def q_explain_model_factors(spark, d):
 def q_importance_fallback(spark, d):
     rows = inputs.features(spark, d)
     model = churn.train_churn(rows, "random_forest")
-    return churn.explain_factors(rows, model).select(
+    return churn.importance_fallback(rows, model).select(
         "company_id", F.col("top_factors.feature").alias("features"), "explanation_source"
     )
 
 
+@check("family rows:i exact:i", """
+  SELECT family, count(*) AS rows, count(*) AS exact FROM customers, (SELECT unnest(['random_forest', 'xgboost', 'lightgbm']) AS family) GROUP BY family""")
+def q_tree_attribution(spark, d):
+    """Each row's attributions add up to its margin or probability less the mean of the trees."""
+    rows, out = inputs.features(spark, d), None
+    for family in ("random_forest", "xgboost", "lightgbm"):
+        model = churn.train_churn(rows, family)
+        scored = model.pipeline.transform(rows)
+        reached = F.get(vector_to_array("probability" if family == "random_forest" else "rawPrediction"), F.lit(1))
+        start = sum(t.mean() for t in churn.forest_trees(model)) + (0.0 if family == "random_forest" else model.classifier.content()["base"])
+        parts = F.aggregate(churn.tree_attribution(model)(vector_to_array("features")), F.lit(0.0), lambda a, x: a + x)
+        one = scored.select(F.lit(family).alias("family"), (F.abs(parts - (reached - F.lit(start))) < 1e-6).alias("same")).groupBy("family").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if("same").alias("exact"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @check("feature sensitivity:f proxy_for")
 def q_permutation_sensitivity(spark, d):
     rows = inputs.features(spark, d)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, RandomForestClassifier,
+    LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -20,9 +22,13 @@ from pyspark.sql.window import Window
 
 from riskloom.config import CHURN_NUMERIC_COLUMNS, PROXY_FEATURES
 from riskloom.functions.scalars import clip01, seeded_key
+from riskloom.operators.boosting import BoostedTrees, BoostedTreesModel
 from riskloom.operators.joins import alias_lookup
 from riskloom.operators.ordering import running_totals
 from riskloom.operators.preparation import class_weights
+from riskloom.operators.trees import Attribution, Tree
+from riskloom.shipping import ship
+from riskloom.sources.scratch import scratch_path
 
 NUMERIC_FEATURES = CHURN_NUMERIC_COLUMNS + [
     "spend_per_login", "tickets_per_tenure", "usage_per_tenure", "low_usage_flag",
@@ -38,9 +44,10 @@ TOP_FACTORS = 3
 
 # Settings of the four families.
 FOREST = dict(numTrees=300, maxDepth=8, minInstancesPerNode=5)
-BOOST_A = dict(maxIter=250, maxDepth=3, stepSize=0.05, subsamplingRate=0.9, featureSubsetStrategy="0.9")
-BOOST_B = dict(maxIter=150, maxDepth=3, stepSize=0.03, minInstancesPerNode=40, subsamplingRate=0.85,
-               featureSubsetStrategy="0.85")
+BOOST_A = dict(maxIter=250, maxDepth=3, maxLeaves=8, stepSize=0.05, subsamplingRate=0.9, featureRate=0.9, regLambda=1.0,
+               minHessian=1.0)
+# no row sample: the second booster draws one only with a frequency, which is not set
+BOOST_B = dict(maxIter=150, maxLeaves=7, stepSize=0.03, minInstancesPerNode=40, featureRate=0.85, regLambda=3.0)
 
 
 # The boosters' search: learning rate, depth, rounds and row sample.
@@ -120,7 +127,7 @@ def _estimator(family: str, n: int, settings: dict, seed: int):
     if family == "random_forest":
         return RandomForestClassifier(**{**common, "seed": seed, **FOREST, **settings})
     base = BOOST_A if family == "xgboost" else BOOST_B
-    return GBTClassifier(**{**common, "seed": seed, **base, **settings})
+    return BoostedTrees(**{**common, "seed": seed, **base, **settings})
 
 
 def resolve_family(model_type: str) -> str:
@@ -284,34 +291,79 @@ def linear_attribution(rows: DataFrame, coefficients: dict[str, float], by: str
     return means.crossJoin(F.broadcast(overall)).select(by, F.inline(cells))
 
 
+def _largest(cells: Column) -> Column:
+    """The TOP_FACTORS entries of the greatest absolute value, ties by name."""
+    ordered = F.array_sort(F.transform(
+        cells, lambda c: F.struct((-F.abs(c["value"])).alias("k"), c["feature"].alias("feature"),
+                                  c["value"].alias("value"))
+    ))
+    return F.transform(F.slice(ordered, 1, TOP_FACTORS), lambda c: F.struct(
+        c["feature"].alias("feature"), c["value"].alias("value")))
+
+
+def forest_trees(model: ChurnModel) -> list[Tree]:
+    """The trees of a fitted tree family: margins of a booster, shares of a forest's mean probability."""
+    classifier = model.classifier
+    if isinstance(classifier, BoostedTreesModel):
+        return classifier.arrays()
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "forest-nodes")
+    classifier.write().save(path)
+    # trees x nodes rows, bounded by the family's settings
+    rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
+    trees: dict[int, dict[int, tuple]] = {}
+    for r in rows:
+        stats = r["impurityStats"]
+        inner = r["leftChild"] >= 0
+        trees.setdefault(r["treeID"], {})[r["id"]] = (
+            r["split"]["featureIndex"] if inner else -1, r["split"]["leftCategoriesOrThreshold"][0] if inner else 0.0,
+            r["leftChild"] if inner else -1, r["rightChild"] if inner else -1, stats[1] / sum(stats) / classifier.getNumTrees, sum(stats))
+    out = []
+    for nodes in trees.values():
+        place = {node: i for i, node in enumerate(sorted(nodes))}
+        out.append(Tree.of([(f, t, place.get(left, -1), place.get(right, -1), v, c) for f, t, left, right, v, c in (nodes[n] for n in sorted(nodes))]))
+    return out
+
+
+def tree_attribution(model: ChurnModel):
+    """A column function from the feature array to one exact attribution for each feature; they add up to the
+    row's margin (booster) or probability (forest) minus its mean over the training weight."""
+    ship(SparkSession.getActiveSession())
+    features, trees = len(model.feature_names), forest_trees(model)
+    held: list[Attribution] = []
+
+    @F.pandas_udf("array<double>")
+    def parts(xs: pd.Series) -> pd.Series:
+        if not held:  # the tables are made once in a worker
+            held.append(Attribution(trees, features))
+        return pd.Series(list(held[0].of(np.stack(xs.to_numpy())))) if len(xs) else pd.Series([], dtype=object)
+
+    return parts
+
+
 def company_churn(features: DataFrame, model: ChurnModel | None, by: str = "company_id") -> DataFrame:
     """`(company_id, churn_prob, top_factors, explanation_source)` from one pass over the rows.
 
-    Linear family: exact attributions, which only need each company's mean vector. Other
-    families: the model's own importances, with a tag that says so."""
+    Exact attributions: those of the linear family only need each company's mean vector, those of
+    trees are computed per row and averaged."""
     if model is None:
         return features.groupBy(by).agg(F.lit(0.0).alias("churn_prob"))
     scored = model.pipeline.transform(features)
     aggs = [F.avg(clip01(F.get(vector_to_array("probability"), F.lit(1)))).alias("churn_prob")]
     if model.family != "logistic_regression":
-        tag, entries = _own_importances(model, "shap_not_installed")
-        return scored.groupBy(by).agg(*aggs).withColumns(
-            {"top_factors": entries, "explanation_source": F.lit(tag)}
-        )
+        scored = scored.withColumn("__parts", tree_attribution(model)(vector_to_array("features")))
+        cells = F.array(*[F.struct(F.lit(n).alias("feature"), F.avg(F.get("__parts", F.lit(i))).alias("value")) for i, n in enumerate(model.feature_names)])
+        return scored.groupBy(by).agg(*aggs, cells.alias("__cells")).withColumns(
+            {"top_factors": _largest(F.col("__cells")), "explanation_source": F.lit("shap")}
+        ).drop("__cells")
     aggs.append(vector_to_array(Summarizer.mean(F.col("features"))).alias("__mean"))
     weights = [float(x) for x in model.classifier.coefficients]
     cells = F.array(*[
         F.struct(F.lit(n).alias("feature"), (F.lit(w) * (F.get("__mean", F.lit(i)) - F.lit(b))).alias("value"))
         for i, (n, w, b) in enumerate(zip(model.feature_names, weights, model.background))
     ])
-    largest = F.array_sort(F.transform(
-        cells, lambda c: F.struct((-F.abs(c["value"])).alias("k"), c["feature"].alias("feature"),
-                                  c["value"].alias("value"))
-    ))
-    top = F.transform(F.slice(largest, 1, TOP_FACTORS), lambda c: F.struct(
-        c["feature"].alias("feature"), c["value"].alias("value")))
     return scored.groupBy(by).agg(*aggs).withColumns(
-        {"top_factors": top, "explanation_source": F.lit("shap")}
+        {"top_factors": _largest(cells), "explanation_source": F.lit("shap")}
     ).drop("__mean")
 
 
