@@ -313,11 +313,14 @@ def forest_trees(model: ChurnModel) -> list[Tree]:
     rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
     trees: dict[int, dict[int, tuple]] = {}
     for r in rows:
-        stats = r["impurityStats"]
-        inner = r["leftChild"] >= 0
+        stats, cut, left, right = r["impurityStats"], r["split"]["leftCategoriesOrThreshold"], r["leftChild"], r["rightChild"]
+        if r["split"]["numCategories"] >= 0:  # a 0/1 slot: the list has the values that go left
+            left, right = (left, right) if 0.0 in cut else (right, left)
+            cut = [0.5]
+        inner = left >= 0
         trees.setdefault(r["treeID"], {})[r["id"]] = (
-            r["split"]["featureIndex"] if inner else -1, r["split"]["leftCategoriesOrThreshold"][0] if inner else 0.0,
-            r["leftChild"] if inner else -1, r["rightChild"] if inner else -1, stats[1] / sum(stats) / classifier.getNumTrees, sum(stats))
+            r["split"]["featureIndex"] if inner else -1, cut[0] if inner else 0.0, left if inner else -1, right if inner else -1,
+            stats[1] / sum(stats) / classifier.getNumTrees, sum(stats))
     out = []
     for nodes in trees.values():
         place = {node: i for i, node in enumerate(sorted(nodes))}
