@@ -121,11 +121,20 @@ class Encoder:
         for word, core, tail in ended:
             known[word] = known[core] + known[tail]
 
+    @staticmethod
+    def _words(text: bytes) -> list[bytes]:
+        """Words in lower case as the tokenizer does it; letters beyond ASCII are left to it, and so are words that may
+        hold a special token, which is matched as it is written."""
+        if not text.isascii():
+            return text.split()
+        if b"<" not in text:
+            return text.lower().split()
+        return [w if b"<" in w else w.lower() for w in text.split()]
+
     def encode(self, text: bytes) -> bytes:
         if not self.by_word:
             return self._bytes(self._ids(text.decode()))
-        # as the tokenizer does; letters beyond ASCII are left to it
-        words = text.lower().split() if text.isascii() else text.split()
+        words = self._words(text)
         known = self.known
         try:
             return b"".join(map(known.__getitem__, words))
@@ -142,7 +151,7 @@ class Encoder:
                 self.known.clear()
             new: set[bytes] = set()
             for text in texts:
-                new.update(text.lower().split() if text.isascii() else text.split())
+                new.update(self._words(text))
             self._learn(new.difference(self.known))
 
 
@@ -157,7 +166,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
 
     Whole texts are encoded, a null text as an empty one, and each document ends with `end_id`.
     Uses doc_id and text; other columns are ignored. Rows with the same id keep each its place,
-    ordered by their text. An empty table gives an empty manifest."""
+    ordered by their text: one id, even if a third of all rows have it, may fill several shards, and in each of them
+    its rows are counted anew. An empty table gives an empty manifest."""
     spark = ship(docs.sparkSession)
     folder = folder or scratch_path(spark, "token-files")
 
@@ -209,7 +219,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
             "n_docs": pa.array([len(ids)], pa.int64()), "n_ids": pa.array([int(counts.sum())], pa.int64())})
 
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
-    ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # an id is dealt out by how its texts begin, and equal rows by where they came from
+    begin = slim.withColumn("begins", F.substring("text", 1, 64)).withColumn("came", F.monotonically_increasing_id())
+    ordered = begin.repartitionByRange("doc_id", "begins", "came").sortWithinPartitions("doc_id", "text").select("doc_id", "text")
     return written(ordered.mapInArrow(run, _MANIFEST), "token-manifest")
 
 

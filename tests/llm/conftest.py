@@ -8,7 +8,7 @@ DOCS = T.StructType([
 ODD_TEXTS = [
     None, "", " ", "a", "one two", "one two three four", "  lead and   trail  ", "tab\tand\nline\r\nend", "▁mark ▁", "<|endoftext|> x<|endoftext|>y",
     "Été naïve \U0001f600 你好  nbsp\x85 \x1c z", "é H̱ Σας Σ", "same text here for all of us", "same text here for all of us",
-    "long " * 3000, "x" * 5000, "<s> </s> <unk> [CLS]", "it's we'll DON'T I'm 123 4,5.6 #$%^",
+    "long " * 3000, "x" * 5000, "<s> </s> <unk> [CLS]", "<|ENDOFTEXT|> A<|EndOfText|>B <|startoftext|>C<D", "it's we'll DON'T I'm 123 4,5.6 #$%^",
 ]
 
 

@@ -67,7 +67,7 @@ def test_encoder_on_random_texts(name):
     encoder = Encoder(public_tokenizers.path(name))
     assert encoder.by_word == (name == "word_bpe_49k.json")
     random = np.random.default_rng(2)
-    letters = list("aZ'st  \n\té<|>.9\x1ć̱H \x85") + ["<|endoftext|>", "你", "İ", "Σ"]
+    letters = list("aZ'st  \n\té<|>.9\x1ć̱H \x85") + ["<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|startoftext|>", "你", "İ", "Σ"]
     for _ in range(2000):
         text = "".join(random.choice(letters, random.integers(0, 30)))
         assert np.frombuffer(encoder.encode(text.encode()), encoder.dtype).tolist() == encoder._ids(text), repr(text)
@@ -96,3 +96,19 @@ def test_queries(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     assert queries.op2_token_files(spark, SF).count() == n
     assert queries.op5_token_counts(spark, SF).count() == n
+
+
+def test_a_hot_id_fills_several_shards(spark):
+    from tokenizers import Tokenizer
+
+    rows = [(None if i % 2 else i, f"{chr(97 + i % 26)} text {i} <|ENDOFTEXT|>" if i % 6 else "the same text") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = write_token_files(docs, WORDS, end_id=2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = read_token_files(manifest).collect()
+    library = Tokenizer.from_file(WORDS)
+    assert Counter((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got) == expected_files(docs.collect(), library)
+    assert max(r.n_docs for r in manifest.collect()) < 1000  # 1500 rows have no id
