@@ -37,7 +37,7 @@ long AS (
       {measure: 'length', value: word_chars * 1000000 // n_words}]) AS m
     FROM based WHERE NOT base_failed AND n_words > 0)),
 edges AS (
-  SELECT lang, source, measure, (value >> greatest(length(bin(value)) - 5, 0)) << greatest(length(bin(value)) - 5, 0) AS edge
+  SELECT lang, source, measure, (value >> greatest(length(bin(value)) - 8, 0)) << greatest(length(bin(value)) - 8, 0) AS edge
   FROM long),
 levels AS (
   SELECT 'own' AS level, lang, source, measure, edge FROM edges
@@ -45,11 +45,11 @@ levels AS (
   UNION ALL SELECT 'all', NULL, NULL, measure, edge FROM edges),
 cuts AS (
   SELECT level, lang, source, measure, count(*) AS n_rows,
-    quantile_disc(edge, 0.25) AS q25, quantile_disc(edge, 0.75) AS q75
+    quantile_disc(edge, 0.75) AS q75, quantile_disc(edge, 0.9) AS q90
   FROM levels GROUP BY ALL),
 fences AS (
-  SELECT level, lang, source, measure, greatest(CASE measure WHEN 'symbols' THEN 50000 WHEN 'repeats' THEN 350000
-    WHEN 'lines' THEN 50000 ELSE 10000000 END, q75 + 8 * (q75 - q25)) AS fence
+  SELECT level, lang, source, measure, CASE WHEN q90 > q75 THEN q90 + 12 * (q90 - q75) ELSE greatest(q90, CASE measure
+    WHEN 'symbols' THEN 50000 WHEN 'repeats' THEN 350000 WHEN 'lines' THEN 50000 ELSE 10000000 END) END AS fence
   FROM cuts WHERE n_rows >= 100 OR level = 'all'),
 wide AS (
   SELECT level, lang, source, max(fence) FILTER (WHERE measure = 'symbols') AS symbols, max(fence) FILTER (WHERE measure = 'repeats') AS repeats,
@@ -57,10 +57,10 @@ wide AS (
   FROM fences GROUP BY ALL)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   CASE WHEN base_failed THEN false ELSE NOT (
-    n_symbols * 1000000 // word_chars > coalesce(o.symbols, l.symbols, a.symbols)
-    OR n_repeat_words * 1000000 // n_words > coalesce(o.repeats, l.repeats, a.repeats)
-    OR n_dup_lines * 1000000 // n_words > coalesce(o.lines, l.lines, a.lines)
-    OR word_chars * 1000000 // n_words > coalesce(o.length, l.length, a.length)) END AS kept
+    n_symbols * 1000000 // word_chars > coalesce(least(o.symbols, l.symbols), a.symbols)
+    OR n_repeat_words * 1000000 // n_words > coalesce(least(o.repeats, l.repeats), a.repeats)
+    OR n_dup_lines * 1000000 // n_words > coalesce(least(o.lines, l.lines), a.lines)
+    OR word_chars * 1000000 // n_words > coalesce(least(o.length, l.length), a.length)) END AS kept
 FROM based b
 LEFT JOIN wide o ON o.level = 'own' AND o.lang IS NOT DISTINCT FROM b.lang AND o.source IS NOT DISTINCT FROM b.source
 LEFT JOIN wide l ON l.level = 'language' AND l.lang IS NOT DISTINCT FROM b.lang

@@ -2,11 +2,13 @@
 
 1. Whole-text measures per document, in Arrow tasks.
 2. Per (language, source) and measure a mergeable quantile sketch: counts of log-linear buckets
-   (a ratio in parts per million keeps its five leading bits, so a quantile is off by at most
-   1/16 of itself). Two sketches merge by adding counts, so Spark sums them map-side; the size of
+   (a ratio in parts per million keeps its eight leading bits, so a quantile is off by at most
+   1/128 of itself). Two sketches merge by adding counts, so Spark sums them map-side; the size of
    a sketch is fixed, whatever the number of rows.
-3. From each sketch a fence: `q75 + SPREAD * (q75 - q25)`, never below the measure's floor.
-4. The fences join back to the documents, and rows beyond one are rejected.
+3. From each sketch a fence: `q90 + SPREAD * (q90 - q75)`. A measure that is the same up to its ninth decile has no
+   spread to go by: then the measure's floor is the fence, or the ninth decile if that is above it.
+4. The fences join back to the documents, and rows beyond one are rejected. A source's fence may be lower
+   than that of its language, not higher, so that a source full of junk does not raise its own.
 
 Groups with fewer than MIN_GROUP measured rows use the language's fences, and if that is as small
 those of all rows. Documents with no word fail the base rules, and are not measured."""
@@ -35,7 +37,7 @@ MEASURES = {
     "lines": ("n_dup_lines", "n_words", 50_000),
     "length": ("word_chars", "n_words", 10_000_000),
 }
-SPREAD, MIN_GROUP = 8, 100
+SPREAD, MIN_GROUP, BITS = 12, 100, 8
 _NEW_LINE = "\n"
 
 
@@ -85,8 +87,8 @@ def base_measures(docs: DataFrame) -> DataFrame:
 
 
 def bucket(value: Column) -> Column:
-    """The lower edge of a value's bucket: its five leading bits."""
-    drop = F.greatest(F.length(F.bin(value)) - 5, F.lit(0)).cast("int")
+    """The lower edge of a value's bucket: its leading BITS."""
+    drop = F.greatest(F.length(F.bin(value)) - BITS, F.lit(0)).cast("int")
     return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
 
 
@@ -96,7 +98,7 @@ def sketches(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, measure, n_rows, fence) from merged sketches; a sketch has a few hundred buckets."""
+    """(keys, measure, n_rows, fence) from merged sketches; a sketch has at most a few thousand buckets."""
     from pyspark.sql import Window
 
     per = Window.partitionBy(*keys, "measure")
@@ -106,10 +108,11 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
         return F.min(F.when(F.col("upto") * 100 >= F.col("total") * percent, F.col("edge")))
 
     cut = placed.groupBy(*keys, "measure").agg(
-        F.max("total").alias("n_rows"), quantile(25).alias("q25"), quantile(75).alias("q75"))
+        F.max("total").alias("n_rows"), quantile(75).alias("q75"), quantile(90).alias("q90"))
     floor = F.create_map(*[F.lit(x) for name, (_, _, least) in MEASURES.items() for x in (name, least)])
-    return cut.select(*keys, "measure", "n_rows", F.greatest(
-        floor[F.col("measure")], F.col("q75") + SPREAD * (F.col("q75") - F.col("q25"))).cast("bigint").alias("fence"))
+    spread = F.col("q90") - F.col("q75")
+    fence = F.when(spread > 0, F.col("q90") + SPREAD * spread).otherwise(F.greatest(floor[F.col("measure")], F.col("q90")))
+    return cut.select(*keys, "measure", "n_rows", fence.cast("bigint").alias("fence"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -145,7 +148,7 @@ def judge(docs: DataFrame) -> DataFrame:
             Column.__and__, [rows[k].eqNullSafe(table[f"{tag}_{k}"]) for k in keys]), "left")
     joined = joined.join(F.broadcast(tables[2]), F.lit(True), "left")  # one row
     beyond = functools.reduce(Column.__or__, [
-        F.coalesce(parts[m] > F.coalesce(F.col(f"own_{m}"), F.col(f"language_{m}"), F.col(f"all_{m}")), F.lit(False))
+        F.coalesce(parts[m] > F.coalesce(F.least(f"own_{m}", f"language_{m}"), F.col(f"all_{m}")), F.lit(False))
         for m in MEASURES])
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
