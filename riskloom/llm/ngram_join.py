@@ -110,7 +110,7 @@ def block_keys(grams: np.ndarray, bands: Bands, frequent: np.ndarray) -> np.ndar
 
 
 def _scan(docs: DataFrame, width: int) -> DataFrame:
-    """A row per document (doc_id, class, n_grams), and a row per n-gram that is frequent in a batch
+    """A row per document (doc_id, text_hash, class, n_grams), and a row per n-gram that is frequent in a batch
     (gram, n), told apart by `gram`."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -129,12 +129,13 @@ def _scan(docs: DataFrame, width: int) -> DataFrame:
             n, m = batch.num_rows, len(grams)
             yield pa.RecordBatch.from_arrays([
                 pa.concat_arrays([batch.column(0), pa.nulls(m, batch.column(0).type)]),
+                pa.concat_arrays([batch.column(2), pa.nulls(m, pa.int64())]),
                 pa.array(names + [None] * m, pa.int64()), pa.array(sizes + [0] * m, pa.int64()),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(signed(grams), pa.int64())]),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(counts, pa.int64())])],
-                names=["doc_id", "class", "n_grams", "gram", "n"])
+                names=["doc_id", "text_hash", "class", "n_grams", "gram", "n"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, class bigint, n_grams bigint, gram bigint, n bigint")
+    return docs.mapInArrow(run, f"doc_id {kind}, text_hash bigint, class bigint, n_grams bigint, gram bigint, n bigint")
 
 
 def _ties(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -226,15 +227,19 @@ def spanning_links(sets: list[np.ndarray], bands: Bands) -> list[tuple[int, int]
 
 
 def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b): a spanning forest of each tile's links. members: (doc_id, class, n_grams, cluster)."""
+    """(a, b): a spanning forest of each tile's links. members: (class, n_grams, rep_id, rep_hash, cluster), the id and text hash of
+    one row of the class; docs: (doc_id, text, text_hash)."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
+        hashes, last = word_hashes(), None
         for batch in parts(batches):
-            names, sets = batch.column(1).to_pylist(), []
-            for text in text_bytes(batch.column(0)):
-                sets.append(gram_set(text, width, hashes))
-            right = pa.array([set_name(s) == n for s, n in zip(sets, names)], pa.bool_())
+            names, sets, first = batch.column(1).to_pylist(), [], []
+            for name, text in zip(names, text_bytes(batch.column(0))):
+                # repeated rows come one after the other: one of them is enough
+                sets.append(gram_set(text, width, hashes) if name != last else np.empty(0, np.uint64))
+                first.append(name != last and set_name(sets[-1]) == name)
+                last = name if first[-1] else last
+            right = pa.array(first, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k).filter(right) for k in range(1, 4)), pa.array([s.tobytes() for s in sets], pa.binary()).filter(right)],
                 names=["class", "cluster", "tiles", "grams"])
@@ -270,11 +275,11 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
     tiled = tiled.withColumn("block", F.when(F.col("total") <= TILE, F.lit(0)).otherwise(block).cast("bigint"))
     other = F.when(F.col("total") <= TILE, F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(F.col("from"), F.col("to") - 1))
     tiled = tiled.withColumn("other", F.explode(other)).select(
-        F.col("doc_id").alias("member_id"), "class", "cluster",
+        "rep_id", "rep_hash", "class", "cluster",
         F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    tiled = tiled.groupBy("member_id", "class", "cluster").agg(F.collect_set(F.struct("x", "y")).alias("tiles"))
+    tiled = tiled.groupBy("rep_id", "rep_hash", "class", "cluster").agg(F.collect_set(F.struct("x", "y")).alias("tiles"))
     # a merge join at every size: the plan does not turn on how many members there are
-    rows = docs.select("doc_id", "text").join(tiled.hint("merge"), F.col("doc_id").eqNullSafe(F.col("member_id")))
+    rows = docs.join(tiled.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash")))
     sets = rows.select("text", "class", "cluster", "tiles").mapInArrow(
         fetch, "class bigint, cluster bigint, tiles array<struct<x: bigint, y: bigint>>, grams binary")
     fetched = sets.select("class", "cluster", F.inline("tiles"), "grams")
@@ -288,14 +293,17 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     set, is linked with nothing and is its own component. Repeated rows and equal texts share a
     component; a component's id is its least non-null doc_id. No rows give no rows."""
     spark = ship(docs.sparkSession)
-    slim = docs.select("doc_id", "text")
+    # rows of one id, or without any, are told apart by their texts
+    slim = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     scan = written(_scan(slim, width), "gram-scan")
     often = scan.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n"))
     top = often.orderBy(F.desc("n"), "gram").limit(FREQUENT_MOST).select("gram").toPandas()["gram"].to_numpy(np.int64)
     frequent = np.sort(top.view(np.uint64))
-    documents = scan.filter("gram IS NULL").select("doc_id", "class", "n_grams")
-    classes = written(documents.filter("class IS NOT NULL").groupBy("class", "n_grams").agg(F.min("doc_id").alias("doc_id")), "gram-classes")
-    ties = written(_ties(slim, width, percent, frequent), "gram-ties")
+    documents = scan.filter("gram IS NULL").select("doc_id", "class", "n_grams", "text_hash")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    classes = documents.filter("class IS NOT NULL").groupBy("class", "n_grams").agg(F.min("doc_id").alias("doc_id"), one.alias("one"))
+    classes = written(classes.select("class", "n_grams", "doc_id", F.col("one.doc_id").alias("rep_id"), F.col("one.text_hash").alias("rep_hash")), "gram-classes")
+    ties = written(_ties(slim.select("text"), width, percent, frequent), "gram-ties")
     release(spark)
     clusters = components(ties)
     members = written(classes.join(clusters.withColumnRenamed("node", "class").withColumnRenamed("component", "cluster"), "class"), "gram-members")

@@ -4,6 +4,8 @@ import random
 
 import pytest
 
+import numpy as np
+from pyspark.sql import functions as F
 from riskloom.llm import ngram_join, queries
 from riskloom.llm.graph import components
 
@@ -112,3 +114,23 @@ def test_components(spark):
 def test_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert got(queries.op3_ngram_join(spark, SF)) == brute_force(docs.collect(), 3, 90)
+
+
+def test_different_texts_without_ids(spark):
+    """Near copies under null ids, and one repeated row: each class fetches its own text once."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(2000):
+        text = list(words[(i % 4) * 100 : (i % 4) * 100 + 100])
+        text[int(rng.integers(100))] = f"own{i}"
+        rows.append((None if i % 3 else i, " ".join(text)))
+    rows += [(None, "the same row again and again and again")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.similar_groups(docs, width=3, percent=90)
+    assert got.count() == len(rows)
+    assert {r["component_id"] for r in got.filter("n_shingles > 50").select("component_id").distinct().collect()} == {0, 3, 6, 9}
+    plan = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    keys = plan.select("doc_id", "text_hash").distinct()
+    assert plan.join(keys.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")),
+                     F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).count() == len(rows)
