@@ -16,7 +16,7 @@ def brute_force(rows, every, k):
     out = []
     for q, v in vectors.items():
         if q % every == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in vectors.items() if i != q and len(w) == len(v))[:k]
+            best = sorted((-min(max(sum(a * b for a, b in zip(v, w)), -(1 << 63)), (1 << 63) - 1), i) for i, w in vectors.items() if i != q and len(w) == len(v))[:k]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
     return sorted(out)
 
@@ -24,7 +24,6 @@ def brute_force(rows, every, k):
 @pytest.mark.parametrize("block", [8192, 7])
 def test_exact(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "ROWS", block)
-    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(0, 0.2, 6).tolist()) for i in range(150)]
     rows += [(1000 + i, rows[i][1]) for i in range(40)]  # ties
@@ -38,3 +37,24 @@ def test_exact(spark, monkeypatch, block):
 def test_empty(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(frame, F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_large_components(spark, monkeypatch):
+    """Finite components of any size: exact scores, those beyond a long at its ends."""
+    monkeypatch.setattr(topk, "ROWS", 16)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(0, 1, 4).tolist()) for i in range(60)]
+    rows += [(100, [1e19, 0.0, 0.0, 1.0]), (110, [-1e19, 1.0, 0.0, 0.0]), (111, [3e38, 0.0, 0.0, 0.0]), (120, [1e9, 2.0, 0.0, 0.0]), (121, [1e9, 2.0, 0.0, 0.5])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    assert sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 10 == 0, 5).collect())) == brute_force(rows, 10, 5)
+
+
+def test_queries_go_where_their_bounds_reach(spark, monkeypatch):
+    """Far clusters: a query is sent to few blocks, and the result is that of all scores."""
+    monkeypatch.setattr(topk, "ROWS", 40)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 4, (8, 6))
+    rows = [(i, (centres[i % 8] * 2 + rng.normal(0, 0.05, 6)).tolist()) for i in range(800)]
+    rows += [(1000 + i, [0.25] * 6) for i in range(300)]  # equal vectors
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    assert sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 20 == 0, 5).collect())) == brute_force(rows, 20, 5)
