@@ -32,6 +32,8 @@ from riskloom.sources.scratch import written
 
 #: Characters of a chunk; a step that outweighs any number of pieces in a word; no way.
 CHUNK, STEP, NONE = 32_768, 1 << 16, -(1 << 60)
+#: Chunks of a giant text that are handed on at a time.
+CUT = 32
 _WORD = re.compile(" +[^ ]*|^[^ ]+")
 
 
@@ -276,18 +278,32 @@ def encode(docs: DataFrame, model: str, check: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["h", "k", "ids"])
 
     longest = pieces_of(model).longest
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each text once through: the cost is its length, not its length times its chunks."""
+        for batch in batches:
+            for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                marked = " " + text
+                for at in range(0, len(marked), CHUNK * CUT):
+                    places = range(at, min(at + CHUNK * CUT, len(marked)), CHUNK)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([h] * len(places), pa.int64()), pa.array([p // CHUNK for p in places], pa.int64()),
+                         pa.array([marked[p : p + CHUNK + longest] for p in places], pa.string())], names=["h", "k", "part"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["h"]):
+            starts, found = group_starts(table, ["h"]).tolist(), table.column("ids").to_pylist()
+            ends = [*starts[1:], table.num_rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(table.column("h").to_numpy()[starts]), pa.array([b"".join(found[s:e]) for s, e in zip(starts, ends)], pa.binary())], names=["h", "ids"])
+
     giants = rows.filter(long).select("doc_id", "text", F.xxhash64("text").alias("h"))
-    marked = F.concat(F.lit(" "), F.col("text"))
-    last = F.floor((F.length(marked) - 1) / CHUNK)
-    split = giants.select("h", "text").dropDuplicates(["h"]).select(
-        "h", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("k"), marked.alias("text"))
-    split = split.select("h", "k", F.substring("text", (F.col("k") * CHUNK + 1).cast("int"), F.lit(CHUNK + longest)).alias("part"))
+    split = giants.select("h", "text").dropDuplicates(["h"]).mapInArrow(cut, "h bigint, k bigint, part string")
     chunks = written(split.repartition("h", "k"), "unigram-chunks")
     matrices = chunks.mapInArrow(transfer, "h bigint, k bigint, matrix binary")
     cuts = matrices.repartition("h").sortWithinPartitions("h", "k").mapInArrow(scan, "h bigint, k bigint, begin int, end int")
     traced = chunks.join(cuts, ["h", "k"]).select("h", "k", "part", "begin", "end").mapInArrow(trace, "h bigint, k bigint, ids binary")
-    whole = traced.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts")).select(
-        "h", F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["ids"])).alias("ids"))
+    whole = traced.repartition("h").sortWithinPartitions("h", "k").mapInArrow(joined, "h bigint, ids binary")
     done = f"doc_id {kind}, ids binary, decoded boolean"
     plain = rows.filter(~long).mapInArrow(short, done)
     pairs = giants.join(whole, "h")
