@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
+from riskloom.llm.shared import let_go
 from riskloom.llm.whole_groups import group_starts, whole_groups
 from riskloom.llm.words import WordHashes, mixed, parts, shingles, signed, text_bytes, word_hashes
 from riskloom.shipping import ship
@@ -115,6 +116,7 @@ def _scan(docs: DataFrame, width: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hashes = word_hashes()
         for batch in parts(batches):
             names, sizes, distinct = [], [], {}
@@ -142,6 +144,7 @@ def _ties(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> Da
     """(a, b): classes that share a key, each tied to the least class of the key."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hashes, bands = word_hashes(), Bands(percent)
         for batch in parts(batches):
             found: dict[int, np.ndarray] = {}

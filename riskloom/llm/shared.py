@@ -1,7 +1,12 @@
-"""Tables in the shared folder, read whole inside tasks; for tables of a bounded size."""
+"""Tables in the shared folder, read whole inside tasks, and what a worker holds of them from task to task; for
+tables of a bounded size."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Hashable
+
 import pyarrow as pa
 import pyarrow.fs
 import pyarrow.parquet as pq
@@ -11,3 +16,31 @@ def read_table(path: str) -> pa.Table:
     """All rows of a folder that Spark has written."""
     fs, base = pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
     return pq.read_table(base, filesystem=fs)
+
+
+_HELD: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], object]):
+    """A worker's large object, made once; it holds one at a time."""
+    if key not in _HELD:
+        let_go()
+        _HELD[key] = make()
+        _trim()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Give back what another operator's tasks have left in this worker: workers outlive their stages."""
+    if _HELD:
+        _HELD.clear()
+        _trim()
+
+
+def _trim() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass

@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.shared import let_go
 from riskloom.llm.suffix_sort import PrefixHashes, _agree, sorted_suffixes
 from riskloom.llm.whole_groups import whole_groups
 from riskloom.llm.words import mixed, parts, signed, text_bytes
@@ -114,6 +115,7 @@ def _earliest(keys: tuple[np.ndarray, ...], ids: np.ndarray, ties: np.ndarray, a
 
 
 def _find_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in parts(batches):
         texts = text_bytes(batch.column(2))
         data, begin = _flat(texts)
@@ -210,6 +212,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut_blocks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """(key, id, tie, at, upto, block): blocks of anchors; single windows of hot ones, by their digest."""
+    let_go()
     for batch in parts(batches):
         keys, ids, ties, places, blocks = [], [], [], [], []
         hot: dict[bytes, tuple[int, int, int]] = {}

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.shared import read_table
+from riskloom.llm.shared import held, let_go, read_table
 from riskloom.llm.words import byte_parts, mixed
 from riskloom.shipping import ship
 from riskloom.sources.scratch import scratch_path, written
@@ -48,6 +48,8 @@ QUERIES, FIRST = 256, 4
 #: Beyond what rounding to 32 bits can do to a cosine of non-negative terms.
 MARGIN = 1e-4
 FOLDS = 5
+#: Bytes of text whose terms are hashed together.
+PART = 1 << 18
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -213,15 +215,9 @@ def known_hashes(folder: str) -> np.ndarray:
     return np.sort(read_table(f"{folder}/terms").column("hash").to_numpy().view(np.uint64))
 
 
-_BUILT: dict[tuple[str, int], Index] = {}
-
-
 def index_of(folder: str, without: int = -1) -> Index:
-    """The index of a fit; with a fold, as if its labels were not known. A worker holds one at a time, from task to task."""
-    if (folder, without) not in _BUILT:
-        _BUILT.clear()
-        _BUILT[folder, without] = _index(folder, without)
-    return _BUILT[folder, without]
+    """The index of a fit; with a fold, as if its labels were not known."""
+    return held((folder, without), lambda: _index(folder, without))
 
 
 def _flat(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
@@ -260,16 +256,21 @@ def _index(folder: str, without: int) -> Index:
     rank[np.lexsort((hashes, -both))] = np.arange(len(hashes), dtype=np.int32)
     terms, sizes = _flat(examples.column("terms"), np.uint64)
     terms = np.searchsorted(hashes, terms).astype(np.int32)
-    counts, _ = _flat(examples.column("counts"), np.uint32)
     begin, ranks, ids = np.cumsum(sizes) - sizes, rank[terms].astype(">i4"), examples.column("doc_id").to_pylist()
     place = sorted(range(len(ids)), key=lambda i: (np.sort(ranks[begin[i] : begin[i] + sizes[i]]).tobytes(), ids[i]))
     del ranks
-    own = np.repeat(begin[place] - (np.cumsum(sizes[place]) - sizes[place]), sizes[place]) + np.arange(len(terms))
+    own = np.repeat((begin[place] - (np.cumsum(sizes[place]) - sizes[place])).astype(np.int32), sizes[place])
+    own += np.arange(len(terms), dtype=np.int32)
+    counts, _ = _flat(examples.column("counts"), np.uint32)
     terms, counts, sizes = terms[own], counts[own], sizes[place]
-    del own
+    del own, examples
     weights = (1 + np.log(counts)) * idf[terms]
-    norms = np.sqrt(np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=weights * weights, minlength=len(sizes)))
-    weights = (weights / np.repeat(norms, sizes)).astype(np.float32)
+    del counts
+    rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    norms = np.sqrt(np.bincount(rows, weights=weights * weights, minlength=len(sizes)))
+    weights /= norms[rows]
+    del rows
+    weights = weights.astype(np.float32)
     return Index(hashes, idf, [ids[i] for i in place], label[place], (terms, weights, sizes), fold[place]).build()
 
 
@@ -320,7 +321,7 @@ def _write_examples(texts: DataFrame, folder: str) -> None:
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_parts(batches, "text"):
+        for batch in byte_parts(batches, "text", PART):
             text, term, times, hashes = count_terms(batch.column("text").to_pylist())
             cut = np.searchsorted(text, np.arange(1, batch.num_rows))
             packed = [pa.array([x.tobytes() for x in np.split(column, cut)], pa.binary()) for column in (hashes[term], times.astype(np.uint32))]
@@ -346,9 +347,10 @@ def _write_frequencies(docs: DataFrame, folder: str) -> None:
     """`frequencies`: over all documents, how many have each term; the null hash counts the documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hashes, n = known_hashes(folder), 0
         seen = np.zeros(len(hashes), np.int64)
-        for batch in byte_parts(batches, "text"):
+        for batch in byte_parts(batches, "text", PART):
             n += batch.num_rows
             seen += np.bincount(count_terms(batch.column("text").to_pylist(), hashes)[1], minlength=len(seen))
         there = np.flatnonzero(seen)
@@ -418,7 +420,7 @@ def score(docs: DataFrame, fitted: Fitted) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_parts(batches, "text"):
+        for batch in byte_parts(batches, "text", PART):
             results, ids = fitted.score(batch.column("text").to_pylist()), index_of(fitted.folder).ids
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([r[0] for r in results], pa.float64()),
@@ -435,7 +437,7 @@ def without_toxic(docs: DataFrame, fitted: Fitted) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_parts(batches, "text"):
+        for batch in byte_parts(batches, "text", PART):
             stays = [found < 0.5 for found, _ in fitted.score(batch.column("text").to_pylist())]
             yield batch.filter(pa.array(stays, pa.bool_()))
 

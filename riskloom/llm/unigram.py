@@ -15,7 +15,6 @@ first such boundary, the words between, which are looked up, and the part after
 
 from __future__ import annotations
 
-import functools
 import re
 from array import array
 from collections.abc import Iterator
@@ -25,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.shared import held
 from riskloom.llm.whole_groups import group_starts, whole_groups
 from riskloom.llm.words import REMEMBERED, parts
 from riskloom.shipping import ship
@@ -221,10 +221,9 @@ def states(matrices: list[np.ndarray]) -> list[int]:
     return out
 
 
-@functools.lru_cache(maxsize=1)
 def pieces_of(model: str) -> Pieces:
     """A worker reads the model once and remembers words from task to task."""
-    return Pieces(model)
+    return held(("pieces", model), lambda: Pieces(model))
 
 
 def encode(docs: DataFrame, model: str, check: bool = False) -> DataFrame:
