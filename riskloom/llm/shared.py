@@ -12,10 +12,10 @@ import pyarrow.fs
 import pyarrow.parquet as pq
 
 
-def read_table(path: str) -> pa.Table:
-    """All rows of a folder that Spark has written."""
+def read_table(path: str, columns: list[str] | None = None) -> pa.Table:
+    """All rows of a folder that Spark has written; columns that are read one by one have the same order."""
     fs, base = pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-    return pq.read_table(base, filesystem=fs)
+    return pq.read_table(base, columns=columns, filesystem=fs)
 
 
 _HELD: dict[Hashable, object] = {}
@@ -26,7 +26,8 @@ def held(key: Hashable, make: Callable[[], object]):
     if key not in _HELD:
         let_go()
         _HELD[key] = make()
-        _trim()
+        gc.collect()
+        trim()
     return _HELD[key]
 
 
@@ -34,11 +35,12 @@ def let_go() -> None:
     """Give back what another operator's tasks have left in this worker: workers outlive their stages."""
     if _HELD:
         _HELD.clear()
-        _trim()
+        gc.collect()
+        trim()
 
 
-def _trim() -> None:
-    gc.collect()
+def trim() -> None:
+    """Give freed memory back to the system: idle workers stay for a while."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -137,12 +137,17 @@ class Index:
         self.place = np.where(common, np.cumsum(common) - 1, -1)
         often = common[self.terms]
         self.columns = np.zeros((self.blocks * BLOCK, int(common.sum())), np.float32)
-        self.columns[rows[often], self.place[self.terms[often]]] = self.weights[often]
+        for at in range(0, len(rows), 1 << 18):
+            step = slice(at, at + (1 << 18))
+            here = often[step]
+            self.columns[rows[step][here], self.place[self.terms[step][here]]] = self.weights[step][here]
         self.greatest = self.columns.reshape(self.blocks, BLOCK, -1).max(1).T.copy()
-        cols = self.terms[~often]
-        order = np.argsort(cols, kind="stable")
-        self.post_rows, self.post_weights = rows[~often][order], self.weights[~often][order]
-        self.starts = np.searchsorted(cols[order], np.arange(m + 1))
+        cols, often = self.terms[~often], ~often
+        order = np.argsort(cols, kind="stable").astype(np.int32)
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(cols, minlength=m))])
+        del cols
+        self.post_rows, self.post_weights = rows[often][order], self.weights[often][order]
+        self.vectors = ()
         return self
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,7 +247,7 @@ def _index(folder: str, without: int) -> Index:
     frequencies = np.zeros(len(hashes))
     frequencies[np.searchsorted(hashes, number.drop_null().to_numpy().view(np.uint64))] = n[there]
     total = float(n[~there].sum())
-    examples = read_table(f"{folder}/examples")
+    examples = read_table(f"{folder}/examples", ["doc_id", "label", "fold"])
     fold, label = (examples.column(c).to_numpy().astype(np.int64) for c in ("fold", "label"))
     known = [f for f in range(FOLDS) if f != without]
     clean, toxic = (sum((terms.column(f"{c}{f}").to_numpy()[order].astype(float) for f in known), np.zeros(len(hashes))) for c in ("clean", "toxic"))
@@ -254,23 +259,28 @@ def _index(folder: str, without: int) -> Index:
     # like examples beside each other, so that blocks differ in their greatest weights: common terms first
     rank = np.empty(len(hashes), np.int32)
     rank[np.lexsort((hashes, -both))] = np.arange(len(hashes), dtype=np.int32)
-    terms, sizes = _flat(examples.column("terms"), np.uint64)
-    terms = np.searchsorted(hashes, terms).astype(np.int32)
-    begin, ranks, ids = np.cumsum(sizes) - sizes, rank[terms].astype(">i4"), examples.column("doc_id").to_pylist()
-    place = sorted(range(len(ids)), key=lambda i: (np.sort(ranks[begin[i] : begin[i] + sizes[i]]).tobytes(), ids[i]))
-    del ranks
+    names, sizes = _flat(read_table(f"{folder}/examples", ["terms"]).column("terms"), np.uint64)
+    # in steps, so that little more than the result is held
+    steps = [slice(at, at + (1 << 18)) for at in range(0, len(names), 1 << 18)]
+    terms = np.empty(len(names), np.int32)
+    for step in steps:
+        terms[step] = np.searchsorted(hashes, names[step])
+    del names, clean, toxic, spread, phi, seen, frequencies
+    begin, ids = np.cumsum(sizes) - sizes, examples.column("doc_id").to_pylist()
+    place = sorted(range(len(ids)), key=lambda i: (np.sort(rank[terms[begin[i] : begin[i] + sizes[i]]]).astype(">i4").tobytes(), ids[i]))
     own = np.repeat((begin[place] - (np.cumsum(sizes[place]) - sizes[place])).astype(np.int32), sizes[place])
     own += np.arange(len(terms), dtype=np.int32)
-    counts, _ = _flat(examples.column("counts"), np.uint32)
-    terms, counts, sizes = terms[own], counts[own], sizes[place]
-    del own, examples
-    weights = (1 + np.log(counts)) * idf[terms]
-    del counts
-    rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-    norms = np.sqrt(np.bincount(rows, weights=weights * weights, minlength=len(sizes)))
-    weights /= norms[rows]
-    del rows
-    weights = weights.astype(np.float32)
+    sizes, terms = sizes[place], terms[own]
+    counts = _flat(read_table(f"{folder}/examples", ["counts"]).column("counts"), np.uint32)[0][own]
+    del own
+    rows, norms, weights = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), np.zeros(len(sizes)), np.empty(len(terms), np.float32)
+    for step in steps:
+        weight = (1 + np.log(counts[step])) * idf[terms[step]]
+        norms += np.bincount(rows[step], weights=weight * weight, minlength=len(sizes))
+    norms = np.sqrt(norms)
+    for step in steps:
+        weights[step] = (1 + np.log(counts[step])) * idf[terms[step]] / norms[rows[step]]
+    del counts, rows, rank
     return Index(hashes, idf, [ids[i] for i in place], label[place], (terms, weights, sizes), fold[place]).build()
 
 

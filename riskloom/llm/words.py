@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from riskloom.llm.shared import trim
+
 #: How many distinct words a worker remembers before it starts anew.
 REMEMBERED = 100_000
 
@@ -63,6 +65,7 @@ def parts(batches: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterator[pa.Re
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    trim()
 
 
 def byte_parts(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -76,6 +79,7 @@ def byte_parts(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 <<
             end = max(int(np.searchsorted(total, before + size, "right")), at + 1)
             yield batch.slice(at, end - at)
             at = end
+    trim()
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:
