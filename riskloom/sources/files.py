@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import half_even, normalize_na, parse_number
+from riskloom.sources.delimited import PIECE_BYTES, column_names, file_headers, multi_line_records
+from riskloom.sources.scratch import written
 
 CUSTOMER_SCHEMA = {
     "company_id": "string", "customer_id": "string", "tenure": "int", "monthly_spend": "double",
@@ -22,48 +24,56 @@ DAILY_SCHEMA = {
 }
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False,
+                 piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """Uploads as text columns, placeholders as NULL; files are matched by column name, and a
     column that a file lacks is NULL there.
 
-    `multi_line` allows newlines in quoted cells; such a file is read by one task, others are
-    split. Files with the same header are read in one scan."""
+    Headers are read from the first bytes of each file; files with the same names in the same order
+    are one scan. `multi_line` allows newlines in quoted cells; such files are cut into pieces
+    of `piece_bytes` as well, and their records are written once to the shared folder."""
     paths = [path] if isinstance(path, str) else list(path)
-    first_lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"),
-                                                F.col("_metadata.file_block_start").alias("at"))
-    # one row per file: the line that its first split begins with
-    first_lines = first_lines.withColumn("no", F.monotonically_increasing_id()).where("at = 0")
-    headers = first_lines.groupBy("file").agg(F.min_by("value", "no").alias("header")).groupBy("header").agg(
-        F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    frames = []
-    for row in headers:
-        raw = spark.read.csv(row["files"], header=True, multiLine=multi_line, escape='"', inferSchema=False)
-        frames.append(raw.select([normalize_na(F.col(f"`{c}`")).alias(c) for c in raw.columns]))
-    if not frames:
+    files = file_headers(spark, paths)
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for row in files.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        alike.setdefault(tuple(column_names(row["header"])), []).extend(row["files"])
+    if not alike:
         raise ValueError(f"no file with a header at {path}")
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
+    records = written(multi_line_records(files, piece_bytes), "csv-records") if multi_line else None
+    out = None
+    for names, own in alike.items():
+        if records is None:
+            raw = spark.read.csv(own, schema=_ddl(names), header=True, escape='"', enforceSchema=True)
+        else:
+            mine = records if len(alike) == 1 else records.join(
+                spark.createDataFrame([(f,) for f in own], "file string"), "file", "left_semi")
+            raw = mine.select(F.from_csv("record", _ddl(names), {"escape": '"'}).alias("r")).select("r.*")
+        frame = raw.select([normalize_na(F.col("`" + c.replace("`", "``") + "`")).alias(c) for c in names])
+        out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
     return out
 
 
-def typed(raw: DataFrame, schema: dict[str, str]) -> DataFrame:
+def _ddl(names: tuple[str, ...]) -> str:
+    return ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+
+
+def typed(raw: DataFrame, schema: dict[str, str], fractions: list[str] | None = None) -> DataFrame:
     """Cast the known columns, keep the others; a cell that does not parse becomes NULL. A column
-    of whole numbers that holds fractions stays a double.
+    of whole numbers that holds fractions stays a double: `fractions` names such columns; None looks
+    for them in a scan of the whole-number columns alone.
 
     Run the validators on the raw frame first: they report such cells."""
     whole = [c for c in raw.columns if schema.get(c) in ("int", "bigint")]
-    fractions = {}
-    if whole:
+    if fractions is None and whole:
         number = {c: parse_number(F.col(f"`{c}`")) for c in whole}
         found = raw.agg(*[F.max(number[c] != F.floor(number[c])).alias(f"f{i}") for i, c in enumerate(whole)]).first()
-        fractions = {c: found[f"f{i}"] for i, c in enumerate(whole)}
+        fractions = [c for i, c in enumerate(whole) if found[f"f{i}"]]
     out = []
     for name in raw.columns:
         column = F.col(f"`{name}`")
         kind = schema.get(name)
         if kind in ("int", "bigint"):
-            column = parse_number(column) if fractions[name] else parse_number(column).try_cast(kind)
+            column = parse_number(column) if name in fractions else parse_number(column).try_cast(kind)
         elif kind == "double":
             column = parse_number(column)
         elif kind is not None:
@@ -72,18 +82,18 @@ def typed(raw: DataFrame, schema: dict[str, str]) -> DataFrame:
     return raw.select(out)
 
 
-def read_customers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return typed(read_raw_csv(spark, path), CUSTOMER_SCHEMA)
+def read_customers(spark: SparkSession, path: str | list[str], fractions: list[str] | None = None) -> DataFrame:
+    return typed(read_raw_csv(spark, path), CUSTOMER_SCHEMA, fractions)
 
 
-def read_reviews(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_reviews(spark: SparkSession, path: str | list[str], fractions: list[str] | None = None) -> DataFrame:
     """Review texts may hold newlines."""
-    return typed(read_raw_csv(spark, path, multi_line=True), REVIEW_SCHEMA)
+    return typed(read_raw_csv(spark, path, multi_line=True), REVIEW_SCHEMA, fractions)
 
 
-def read_daily_metrics(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All files of a glob such as `raw/timeseries_*.csv` in one scan."""
-    frame = typed(read_raw_csv(spark, path), DAILY_SCHEMA)
+def read_daily_metrics(spark: SparkSession, path: str | list[str], fractions: list[str] | None = None) -> DataFrame:
+    """All files of a glob such as `raw/timeseries_*.csv`; one scan for each order of columns."""
+    frame = typed(read_raw_csv(spark, path), DAILY_SCHEMA, fractions)
     if "company_id" not in frame.columns and "company_name" in frame.columns:
         frame = frame.withColumn("company_id", F.col("company_name"))
     return frame

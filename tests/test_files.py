@@ -50,3 +50,67 @@ def test_placeholders_are_exact(spark):
     row = spark.createDataFrame([("NA", " NA ", "5d")], "a string, b string, c string").select(
         normalize_na(F.col("a")).alias("a"), normalize_na(F.col("b")).alias("b"), finite_or(F.col("c"), -1).alias("c")).first()
     assert (row.a, row.b, row.c) == (None, " NA ", -1.0)
+
+
+def _tricky(n: int) -> list[tuple[str, str, str]]:
+    import random
+
+    rng = random.Random(5)
+    parts = ["plain", "with, comma", "two\nlines", 'a "quoted" word', "\n\n", '"', '""', 'ends in "', "a,\n\"b\",\nc", "é€", "x" * 90]
+    return [(str(i), "".join(rng.choices(parts, k=rng.randint(0, 4))) or "-", rng.choice(parts)) for i in range(n)]
+
+
+def test_records_do_not_depend_on_the_cuts(spark, tmp_path):
+    import csv
+
+    rows = _tricky(300)
+    for name, end, part in (("a", "\n", rows[:150]), ("b", "\r\n", rows[150:])):
+        with open(tmp_path / f"{name}.csv", "w", newline="", encoding="utf-8") as out:
+            writer = csv.writer(out, lineterminator=end)
+            writer.writerow(["review_id", "review text", "note"])
+            writer.writerows(part)
+    for size in (61, 1_000, 1 << 20):
+        found = files.read_raw_csv(spark, f"{tmp_path}/*.csv", multi_line=True, piece_bytes=size).collect()
+        assert sorted((r[0], r[1], r[2]) for r in found) == sorted(rows), size
+
+
+def test_stray_quotes_and_odd_files(spark, tmp_path):
+    import gzip
+
+    text = '\ufeffid,size\n\n1,5" wide\n2,"6"" wide"\n3,"a\nb"c\n4,"never closed\n5,x'
+    (tmp_path / "stray.csv").write_text(text, encoding="utf-8")
+    with gzip.open(tmp_path / "packed.csv.gz", "wt") as out:
+        out.write('size,id\n"p\nq",6\nr,7\n')
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header.csv").write_text("id,size")
+    expected = None
+    for size in (1, 3, 10, 1 << 20):
+        got = {r["id"]: r["size"] for r in files.read_raw_csv(spark, f"{tmp_path}/*", multi_line=True, piece_bytes=size).collect()}
+        assert got["1"] == '5" wide' and got["2"] == '6" wide' and got["6"] == "p\nq" and got["7"] == "r", size
+        assert set(got) == {"1", "2", "3", "4", "6", "7"}
+        expected = expected or got
+        assert got == expected, size
+
+
+def test_pieces_share_out_a_file(spark, tmp_path):
+    from riskloom.sources import delimited
+
+    (tmp_path / "a.csv").write_text("id,text\n" + "".join(f'{i},"x\n{i}"\n' for i in range(500)))
+    headers = delimited.file_headers(spark, [str(tmp_path)])
+    cut = delimited.pieces(headers, 100).orderBy("begin").collect()
+    assert len(cut) > 30 and cut[0].begin == 0 and all(a.stop == b.begin for a, b in zip(cut, cut[1:]))
+    assert any(p.quoted for p in cut)
+    assert delimited.multi_line_records(headers, 100).count() == 500
+
+
+def test_headers_with_empty_and_repeated_names():
+    from riskloom.sources.delimited import column_names
+
+    assert column_names('a,,"b, c",A') == ["a0", "_c1", "b, c", "A3"]
+
+
+def test_stated_fractions_need_no_look(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("company_id,customer_id,tenure,usage_frequency\nA,1,2.5,3\n")
+    frame = files.read_customers(spark, str(tmp_path / "c.csv"), fractions=["tenure"])
+    assert dict(frame.dtypes)["tenure"] == "double" and dict(frame.dtypes)["usage_frequency"] == "int"
+    assert frame.first().tenure == 2.5
