@@ -236,11 +236,21 @@ def q_permutation_sensitivity(spark, d):
     return churn.permutation_sensitivity(rows, churn.train_churn(rows, "logistic_regression"))
 
 
-@check("setting roc_auc:f")
+@check("rung:i settings:i kept:i all_rows:i", """
+  SELECT rung, settings, kept, CASE WHEN rung = 3 THEN (SELECT count(*) FROM customers WHERE churn_label IN (0, 1)) END AS all_rows
+  FROM (VALUES (0, 8, 4), (1, 4, 2), (2, 2, 1), (3, 1, 1)) AS plan(rung, settings, kept)""")
+def q_tuning_rungs(spark, d):
+    """Eight settings of the linear family: half of them go on from each rung, the last is fitted on all rows."""
+    grid = {"regParam": [0.0005, 0.005, 0.05, 0.5], "elasticNetParam": [0.0, 0.5]}
+    return churn.tune_churn(inputs.features(spark, d), "logistic", grid).groupBy("rung").agg(
+        F.count(F.lit(1)).alias("settings"), F.count_if("kept").alias("kept"),
+        F.max(F.when(F.col("rung") == 3, F.col("n_rows"))).alias("all_rows"))
+
+
+@check("rung:i setting n_rows:i roc_auc:f kept")
 def q_tune_churn(spark, d):
-    return churn.tune_churn(
-        inputs.features(spark, d), "logistic", {"regParam": [0.0005, 0.05], "elasticNetParam": [0.0]}
-    )
+    """The whole grid of the boosters over whole tables."""
+    return churn.tune_churn(inputs.features(spark, d), "xgboost")
 
 
 @check("group_id tree:i sample_size:i nodes:i")

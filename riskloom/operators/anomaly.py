@@ -133,8 +133,8 @@ def train_isolation_forest(features: DataFrame, id_columns: list[str], contamina
     """Forest table, one row per (group, tree); `group=None` grows one global forest.
 
     With a group (one company's calendar, one row a day) each block of trees gets the calendar and
-    draws from it. For the global forest every row draws a seeded number per tree and goes to the
-    trees where it is low. The rate aims above the sample size, and each tree keeps exactly its lowest draws, so a tree sees
+    draws from it. For the global forest every row draws, by its hash, the gap to the first tree that takes it; only rows that
+    some tree takes draw a number for each later tree as well. The rate aims above the sample size, and each tree keeps exactly its lowest draws, so a tree sees
     `sample` rows or the whole group if that is smaller."""
     if not 0 < contamination < 0.5:
         raise ValueError("contamination must be between 0 and 0.5")
@@ -154,16 +154,17 @@ def train_isolation_forest(features: DataFrame, id_columns: list[str], contamina
     rated = data.join(F.broadcast(sizes), "group_id").withColumn(
         "rate", F.least(F.lit(1.0), F.lit(sample * OVERSAMPLE + 64.0) / F.col("n_rows"))
     )
-    uniform = lambda h: F.pmod(h, F.lit(1 << 30)) / float(1 << 30)
-    trees = F.filter(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(n_trees - 1)),
-            lambda t: F.struct(
-                t.alias("tree"), uniform(F.xxhash64(F.col("row_hash"), t)).alias("draw")
-            ),
-        ),
-        lambda s: s["draw"] < F.col("rate"),
-    )
+    uniform = lambda h: (F.pmod(h, F.lit(1 << 53)) + 1) / float(1 << 53)
+    # the first tree that takes a row comes after a geometric gap: one draw settles most rows of a large table
+    gap = F.floor(F.log(uniform(F.xxhash64("row_hash", F.lit("first")))) / F.log1p(-F.col("rate")))
+    rated = rated.withColumn("first", F.when(F.col("rate") >= 1, F.lit(0)).otherwise(F.least(gap, F.lit(n_trees))).cast("int"))
+    rated = rated.where(F.col("first") < n_trees)
+    drawn = lambda t: uniform(F.xxhash64(F.col("row_hash"), t))
+    later = F.when(F.col("first") < n_trees - 1, F.filter(
+        F.transform(F.sequence(F.col("first") + 1, F.lit(n_trees - 1)), lambda t: F.struct(t.alias("tree"), drawn(t).alias("draw"))),
+        lambda s: s["draw"] <= F.col("rate")))
+    own = F.struct(F.col("first").alias("tree"), (drawn(F.col("first")) * F.col("rate")).alias("draw"))
+    trees = F.concat(F.array(own), F.coalesce(later, F.array().cast("array<struct<tree:int,draw:double>>")))
     placed = rated.select("group_id", *columns, F.explode(trees).alias("s")).select(
         "group_id", F.col("s.tree").alias("tree"), F.col("s.draw").alias("draw"), *columns,
         F.floor(F.col("s.tree") / TREES_PER_BLOCK).alias("block"),

@@ -65,6 +65,46 @@ def test_unknown_family(features):
         churn.train_churn(features, "perceptron")
 
 
+def test_rungs_grow_to_all_rows():
+    assert churn.rungs(16) == [(16, 0.125), (8, 0.25), (4, 0.5), (2, 1.0)]
+    assert churn.rungs(9, 3, 0.2) == [(9, 1 / 9), (3, 1 / 3), (1, 1.0)]
+    assert churn.rungs(1, 2, 1.0) == [(1, 1.0)]
+
+
+def test_halving_finds_the_grid_search_winner(spark):
+    rows = preparation.engineer_features(spark.createDataFrame(customers(2000), CUSTOMER_SCHEMA))
+    # the strongest penalties leave a constant score, so four settings are clearly worse
+    grid = {"regParam": [50.0, 0.001, 20.0, 0.01], "elasticNetParam": [1.0, 0.5]}
+    out = churn.tune_churn(rows, "logistic", grid, least_rows=300).collect()
+    by_rung = {n: [r for r in out if r.rung == n] for n in range(4)}
+    assert [len(by_rung[n]) for n in range(4)] == [8, 4, 2, 1]
+    assert [sum(r.kept for r in by_rung[n]) for n in range(4)] == [4, 2, 1, 1]
+    sizes = [by_rung[n][0].n_rows for n in range(4)]
+    assert sizes == sorted(sizes) and sizes[0] < 450 and sizes[-1] == 2000
+    plain = churn.tune_churn(rows, "logistic", grid, rate=1).collect()
+    assert len(plain) == 8 and {r.n_rows for r in plain} == {2000} and sum(r.kept for r in plain) == 1
+    best = max(r.roc_auc for r in plain)
+    winner = next(r for r in by_rung[3])
+    assert winner.roc_auc > best - 0.005 and winner.roc_auc > 0.8
+    assert next(r for r in plain if r.setting == winner.setting).roc_auc == pytest.approx(winner.roc_auc, abs=1e-9)
+    assert out == churn.tune_churn(rows, "logistic", grid, least_rows=300).collect()
+
+
+def test_tuning_of_one_class_has_no_auc(spark):
+    rows = preparation.engineer_features(spark.createDataFrame([(*r[:7], 1) for r in customers(30)], CUSTOMER_SCHEMA))
+    out = churn.tune_churn(rows, "xgboost", {"maxIter": [2, 3]}).collect()
+    assert {r.roc_auc for r in out} == {None} and [r.setting for r in out if r.kept][-1] == '{"maxIter": 2}'
+
+
+def test_global_forest_draws_the_same_rate_for_every_tree(spark):
+    n, trees, sample = 40_000, 40, 64
+    rows = spark.range(n).select(F.col("id").alias("key"), (F.hash("id") % 1000).cast("double").alias("x"))
+    forest = anomaly.train_isolation_forest(rows, ["key"], n_trees=trees, sample=sample, columns=["x"]).collect()
+    assert sorted(r.tree for r in forest) == list(range(trees)) and {r.sample_size for r in forest} == {sample}
+    small = anomaly.train_isolation_forest(rows.limit(20), ["key"], n_trees=trees, sample=sample, columns=["x"]).collect()
+    assert len(small) == trees and {r.sample_size for r in small} == {20}
+
+
 def test_unseen_plans_and_reload(spark, features, tmp_path):
     model = churn.train_churn(features, "logistic")
     odd = features.limit(20).withColumn("plan_type", F.lit("unobtainium"))
