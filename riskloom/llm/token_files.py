@@ -32,6 +32,8 @@ from riskloom.sources.scratch import scratch_path, written
 
 #: A character that is a word and a token of its own; words in a call; texts whose words are learnt at once.
 _MARK, _GROUP, _LEARN = b"\x7f", 20_000, 1024
+#: Ids that are read from a file at once.
+_READ = 1 << 20
 #: Signs that may end a word; "<" may begin a special token.
 _STOPS = b"!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
 _MANIFEST = "shard int, path string, width int, n_docs bigint, n_ids bigint"
@@ -194,9 +196,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
             for at in range(0, len(texts), _LEARN):
                 encoder.learn(texts[at : at + _LEARN])
                 for text in texts[at : at + _LEARN]:
-                    payload = encoder.encode(text) + end
-                    out.write(payload)
-                    lengths.append(len(payload) // width)
+                    payload = encoder.encode(text)
+                    out.write(payload + end)
+                    lengths.append(len(payload) // width + 1)
         if encoder is None:
             return
         out.close()
@@ -251,6 +253,22 @@ class Shard:
         return np.frombuffer(self.payload.read_at(length * width, offset * width), self.dtype)
 
 
+def checksums(shard: Shard, offsets: list[int], lengths: list[int]) -> list[int]:
+    """CRC32 of each stretch of ids as 32-bit numbers; stretches that follow each other are read together, `_READ` ids at a time."""
+    out, at = [], 0
+    while at < len(offsets):
+        first, stop = offsets[at], offsets[at] + lengths[at]
+        end = at + 1
+        while end < len(offsets) and offsets[end] == stop and stop + lengths[end] - first <= _READ:
+            stop += lengths[end]
+            end += 1
+        block = memoryview(shard.read(first, stop - first).astype("<u4")).cast("B")
+        for o, n in zip(offsets[at:end], lengths[at:end]):
+            out.append(zlib.crc32(block[4 * (o - first) : 4 * (o - first + n)]))
+        at = end
+    return out
+
+
 def read_token_files(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, looked up by key in the files.
 
@@ -267,7 +285,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     raise ValueError(f"{row['path']}: a key of the shard is not found by its index")
                 for at in range(0, len(ids), 10_000):
                     part = slice(at, at + 10_000)
-                    crc = [zlib.crc32(shard.read(o, n).astype("<u4").tobytes()) for o, n in zip(offsets[part].tolist(), lengths[part].tolist())]
+                    crc = checksums(shard, offsets[part].tolist(), lengths[part].tolist())
                     yield pa.RecordBatch.from_pydict({
                         "shard": pa.array([row["shard"]] * len(crc), pa.int32()),
                         "doc_id": pa.array(ids[part], pa.int64(), mask=absent[part]),
