@@ -264,8 +264,8 @@ def tune_churn(features: DataFrame, model_type: str = "lightgbm", grid: dict[str
     """Search of a grid by successive halving: a row for each setting and rung.
 
     A rung fits its settings on a sample and passes the best 1 / `rate` of them on to the next, whose sample is `rate` times as
-    large; the last rung takes all rows. Samples are nested and drawn by a hash of the row, folds by another, so
-    reruns agree; a sample has `least_rows` rows at least, or all. `roc_auc` is the mean over the folds (NULL if no fold
+    large; the last rung takes all rows. Samples are nested and drawn by a hash of the row, folds by another: reruns take
+    the same rows (sums of doubles may differ in their last digits). A sample has `least_rows` rows at least, or all. `roc_auc` is the mean over the folds (NULL if no fold
     has both classes), ties go to the setting that comes first in the grid. `kept`: it went on to the next rung, or won
     the last one. `rate=1` with `least_share=1` is the plain grid search.
 
