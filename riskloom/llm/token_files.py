@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.perfect_hash import PerfectHash, fingerprint, key_hash
-from riskloom.llm.words import REMEMBERED, text_bytes
+from riskloom.llm.words import text_bytes
 from riskloom.shipping import ship
 from riskloom.sources.scratch import scratch_path, written
 
 #: A character that is a word and a token of its own; words in a call; texts whose words are learnt at once.
 _MARK, _GROUP, _LEARN = b"\x7f", 20_000, 1024
-#: Ids that are read from a file at once.
-_READ = 1 << 20
+#: Ids that are read from a file at once; words a worker remembers, about 200 bytes each.
+_READ, _KNOWN = 1 << 20, 300_000
 #: Signs that may end a word; "<" may begin a special token.
 _STOPS = b"!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
 _MANIFEST = "shard int, path string, width int, n_docs bigint, n_ids bigint"
@@ -141,7 +141,7 @@ class Encoder:
         try:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
-            if len(known) > REMEMBERED:
+            if len(known) > _KNOWN:
                 known.clear()
             self._learn({w for w in words if w not in known})
             return b"".join(map(known.__getitem__, words))
@@ -149,7 +149,7 @@ class Encoder:
     def learn(self, texts: list[bytes]) -> None:
         """Look up the new words of many texts at once."""
         if self.by_word:
-            if len(self.known) > REMEMBERED:
+            if len(self.known) > _KNOWN:
                 self.known.clear()
             new: set[bytes] = set()
             for text in texts:
