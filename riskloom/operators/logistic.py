@@ -1,13 +1,15 @@
 """Multinomial logistic regression with a penalty on raw coefficients and a free intercept.
 
-The minimiser is a limited-memory quasi-Newton method. Each evaluation is one Spark job: every task sums loss and
-gradient of its rows, sums are added up again in a second step if there are many, and the driver gets a bounded number of
-vectors of the size of the coefficients."""
+The minimiser is a limited-memory quasi-Newton method. Few rows are fitted in one task. Otherwise each evaluation is one Spark
+job: every task sums loss and gradient of its rows, sums are added up again in a second step if there are many, and the driver
+gets a bounded number of vectors of the size of the coefficients."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.shipping import ship
+from riskloom.sources.scratch import written
 
 MEMORY, MAX_STEPS, GRADIENT = 12, 500, 1e-8
 #: Partial sums that may go to the driver.
 SUMS = 64
+#: Values of sparse rows that one task fits (12 bytes each).
+HELD_VALUES = 6_000_000
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -26,14 +31,6 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def sparse_rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, slot, value) of the list columns `slots` and `values`."""
-    slots = batch.column(batch.schema.get_field_index("slots"))
-    values = batch.column(batch.schema.get_field_index("values"))
-    sizes = np.diff(np.asarray(slots.offsets))
-    return np.repeat(np.arange(batch.num_rows), sizes), np.asarray(slots.flatten()), np.asarray(values.flatten())
-
-
 def logits_of(row: np.ndarray, slot: np.ndarray, value: np.ndarray, n: int, theta: np.ndarray) -> np.ndarray:
     """Products of sparse rows with slots x classes coefficients; a row without slots has zeros."""
     return np.stack([np.bincount(row, weights=theta[slot, k] * value, minlength=n) for k in range(theta.shape[1])], axis=1)
@@ -74,31 +71,93 @@ def minimise(evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]], start:
     return x
 
 
-def fit_multinomial(rows: DataFrame, slots: int, classes: int, penalty: float) -> np.ndarray:
+@dataclass
+class Rows:
+    """Sparse rows of one batch: sizes, slots and values of the rows, their labels and weights."""
+
+    sizes: np.ndarray
+    slot: np.ndarray
+    value: np.ndarray
+    label: np.ndarray
+    weight: np.ndarray
+
+    @staticmethod
+    def unpacked(batch: pa.RecordBatch) -> Iterator[Rows]:
+        kinds = (np.int32, np.int32, float, np.int32, float)
+        for parts in zip(*(batch.column(i).to_pylist() for i in range(len(kinds)))):
+            yield Rows(*(np.frombuffer(part, kind) for part, kind in zip(parts, kinds)))
+
+    def add_to(self, sums: np.ndarray, theta: np.ndarray) -> None:
+        """Adds the gradient, and last the loss, of these rows."""
+        n, each = len(self.sizes), np.arange(len(self.sizes))
+        row = np.repeat(each, self.sizes)
+        p = softmax(logits_of(row, self.slot, self.value, n, theta) + theta[-1])
+        sums[-1] -= float(self.weight @ np.log(np.maximum(p[each, self.label], 1e-300)))
+        p[each, self.label] -= 1.0
+        p *= self.weight[:, None]
+        grad = np.stack([np.bincount(self.slot, weights=self.value * p[row, k], minlength=len(theta) - 1) for k in range(theta.shape[1])], axis=1)
+        sums[:-1] += np.concatenate([grad, p.sum(0)[None]]).ravel()
+
+
+def _sums_of(batches: Iterable[Rows], theta: np.ndarray) -> np.ndarray:
+    sums = np.zeros(theta.size + 1)
+    for rows in batches:
+        rows.add_to(sums, theta)
+    return sums
+
+
+def _objective(sums: np.ndarray, theta: np.ndarray, penalty: float) -> tuple[float, np.ndarray]:
+    free = theta.copy()
+    free[-1] = 0.0
+    return float(sums[-1] + 0.5 * penalty * (free * free).sum()), sums[:-1].reshape(theta.shape) + penalty * free
+
+
+_PACKED = "sizes binary, slots binary, values binary, labels binary, weights binary, total double, n_values bigint"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of plain bytes for each batch: later steps read it without a conversion of every value."""
+    for batch in batches:
+        slots, values, label, weight = (batch.column(i) for i in range(4))
+        weights = np.asarray(weight, float)
+        parts = (np.diff(np.asarray(slots.offsets)).astype(np.int32), np.asarray(slots.flatten(), np.int32), np.asarray(values.flatten(), float),
+                 np.asarray(label, np.int32), weights)
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.array([part.tobytes()], pa.binary()) for part in parts), pa.array([float(weights.sum())]), pa.array([len(parts[1])], pa.int64())],
+            names=[c.split()[0] for c in _PACKED.split(", ")])
+
+
+def fit_multinomial(rows: DataFrame, slots: int, classes: int, penalty: float, held_values: int = HELD_VALUES) -> np.ndarray:
     """Coefficients (slots + 1) x classes of rows `(slots array<int>, values array<double>, label int, weight double)`.
 
     Minimises the weighted mean log loss plus half the penalty times the squared coefficients; the last row
-    holds the intercepts, which are free."""
+    holds the intercepts, which are free. Up to `held_values` values are fitted in one task."""
     ship(rows.sparkSession)
-    total = float(rows.agg(F.sum("weight")).first()[0])
+    packed = written(rows.select("slots", "values", "label", "weight").mapInArrow(_pack, _PACKED), "packed-rows")
+    total, values = packed.agg(F.sum("total"), F.sum("n_values")).first()
+    start = np.zeros((slots + 1, classes))
+    if values > held_values:
+        return minimise(_by_jobs(packed, total, penalty), start)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [one for batch in batches for one in Rows.unpacked(batch)]
+        found = minimise(lambda theta: _objective(_sums_of(held, theta) / total, theta, penalty), start)
+        yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], names=["found"])
+
+    found = packed.drop("total", "n_values").coalesce(1).mapInArrow(run, "found binary").collect()  # one row
+    return np.frombuffer(found[0]["found"]).reshape(start.shape).copy()
+
+
+def _by_jobs(rows: DataFrame, total: float, penalty: float) -> Callable[[np.ndarray], tuple[float, np.ndarray]]:
+    """Value and gradient by one Spark job over packed rows for each step."""
     n_parts = rows.rdd.getNumPartitions()
 
     def evaluate(theta: np.ndarray) -> tuple[float, np.ndarray]:
         sent = rows.sparkSession.sparkContext.broadcast(theta)  # bounded by slots x classes
+        theta_size = theta.size
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            theta, sums = sent.value, np.zeros(theta_size + 1)
-            for batch in batches:
-                row, slot, value = sparse_rows(batch)
-                label = np.asarray(batch.column(batch.schema.get_field_index("label")))
-                weight = np.asarray(batch.column(batch.schema.get_field_index("weight")))
-                n = batch.num_rows
-                p = softmax(logits_of(row, slot, value, n, theta) + theta[-1])
-                sums[-1] -= float(weight @ np.log(np.maximum(p[np.arange(n), label], 1e-300)))
-                p[np.arange(n), label] -= 1.0
-                p *= weight[:, None]
-                grad = np.stack([np.bincount(slot, weights=value * p[row, k], minlength=slots) for k in range(classes)], axis=1)
-                sums[:-1] += np.concatenate([grad, p.sum(0)[None]]).ravel()
+            sums = _sums_of(chain.from_iterable(map(Rows.unpacked, batches)), sent.value)
             yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
 
         def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,14 +167,11 @@ def fit_multinomial(rows: DataFrame, slots: int, classes: int, penalty: float) -
                     sums += np.frombuffer(part)
             yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
 
-        theta_size = theta.size
-        found = rows.select("slots", "values", "label", "weight").mapInArrow(partial, "sums binary")
+        found = rows.drop("total", "n_values").mapInArrow(partial, "sums binary")
         if n_parts > SUMS:
             found = found.repartition(math.isqrt(n_parts)).mapInArrow(added, "sums binary")
         sums = sum(np.frombuffer(r["sums"]) for r in found.collect()) / total
         sent.destroy()
-        free = theta.copy()
-        free[-1] = 0.0
-        return float(sums[-1] + 0.5 * penalty * (free * free).sum()), sums[:-1].reshape(theta.shape) + penalty * free
+        return _objective(sums, theta, penalty)
 
-    return minimise(evaluate, np.zeros((slots + 1, classes)))
+    return evaluate
