@@ -54,7 +54,7 @@ def q_tokenize_ngrams(spark, d):
     terms = text.with_terms(documents(spark, d), "text").where(F.size("terms") > 0)
     return terms.select(
         "doc_id", F.size("terms").alias("terms"), F.size(F.array_distinct("terms")).alias("distinct_terms"),
-        F.md5(F.array_join(F.array_sort("terms"), "|")).alias("digest"),
+        F.md5(F.array_join(F.sort_array("terms"), "|")).alias("digest"),
     )
 
 

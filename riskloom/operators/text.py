@@ -3,28 +3,31 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, pairwise
+from itertools import batched, chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructType
 from pyspark.sql.window import Window
 
 from riskloom.config import SENTIMENT_LABELS
 from riskloom.functions.scalars import clean_text, clip01
 from riskloom.operators.joins import alias_lookup
+from riskloom.operators.layout import dealt
 from riskloom.operators.logistic import fit_multinomial, logits_of, softmax
 from riskloom.operators.preparation import class_weights
 from riskloom.shipping import ship
-from riskloom.sources.scratch import written
 
 WORD = "[a-z0-9]{2,}"
 ANY_WORD = r"[\p{L}\p{N}_]{2,}"
+#: Terms that a task counts before it passes the counts on, and rows of a batch then.
+HELD_TERMS, FLUSHED_ROWS = 400_000, 20_000
+SLICE_ROWS = 256
 # A small default; callers with a fuller list pass their own.
 STOP_WORDS = [
     "a", "about", "after", "all", "also", "am", "an", "and", "any", "are", "as", "at", "be",
@@ -37,25 +40,24 @@ STOP_WORDS = [
 ]
 
 
-def _with_bigrams(tokens: Column) -> Column:
-    n = F.greatest(F.size(tokens) - 1, F.lit(0))
-    pairs = F.zip_with(
-        F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n),
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
-    return F.concat(tokens, pairs)
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of few rows: a list of words takes several times its text in Python."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
 
 
 def with_terms(docs: DataFrame, text: str, out: str = "terms") -> DataFrame:
-    """Words of two or more characters of the cleaned text, then their adjacent pairs.
+    """Words of two or more characters of the cleaned text, then their adjacent pairs. Rows are dealt evenly over the tasks."""
+    kept = [c for c in (ship(docs.sparkSession) and docs.columns) if c != out]
 
-    The words are a column of their own so that they are extracted once per row."""
-    words = F.regexp_extract_all(clean_text(F.col(text)), F.lit(WORD), F.lit(0))
-    return (
-        docs.withColumn("__words", words)
-        .withColumn(out, _with_bigrams(F.col("__words")))
-        .drop("__words")
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small(batches):
+            terms = [[*own, *map(" ".join, pairwise(own))] for own in batch.column(len(kept)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(terms, pa.list_(pa.string()))], names=[*kept, out])
+
+    schema = StructType([docs.schema[c] for c in kept]).add(out, ArrayType(StringType()))
+    return dealt(docs).select(*kept, _words(text).alias("__words")).mapInArrow(run, schema)
 
 
 def tokenize_ngrams(docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -64,23 +66,47 @@ def tokenize_ngrams(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     )
 
 
-def _term_counts(terms: DataFrame, by: list[str]) -> DataFrame:
-    """Corpus and document frequency from an array column `terms`.
+def _term_counts(docs: DataFrame, by: list[str], words: Column) -> DataFrame:
+    """Corpus and document frequency of the words and their adjacent pairs in the array column `words`.
 
-    Both are counted from one pass and combined before the shuffle, so a word in every
-    document costs one row per task."""
-    # sorted inside the row, so that a document's first use of a term is marked
-    ordered = terms.select(*by, F.array_sort("terms").alias("o"))
-    seen = F.transform("o", lambda t, i: F.struct(
-        t.alias("term"), F.when((i > 0) & (F.get("o", i - 1) == t), 0).otherwise(1).alias("first")))
-    return ordered.select(*by, F.explode(seen).alias("s")).groupBy(*by, F.col("s.term").alias("term")).agg(
-        F.count(F.lit(1)).alias("total"), F.sum("s.first").alias("df")
-    )
+    A task adds up the counts of its own rows and passes them on when it holds `HELD_TERMS` terms, so a word in
+    every document costs a few rows per task."""
+    ship(docs.sparkSession)
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in by]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, found, types = defaultdict(Counter), defaultdict(Counter), []
+        for batch in _small(batches):
+            types = [batch.schema.field(i).type for i in range(len(by))]
+            groups = zip(*(batch.column(i).to_pylist() for i in range(len(by)))) if by else repeat(())
+            for group, own in zip(groups, batch.column(len(by)).to_pylist()):
+                counts = Counter(own or ())
+                counts.update(map(" ".join, pairwise(own or ())))
+                total, df = totals[group], found[group]
+                for term, n in counts.items():
+                    total[term] += n
+                df.update(counts.keys())
+            if sum(map(len, totals.values())) > HELD_TERMS:
+                yield from flushed(totals, found, types)
+                totals.clear(), found.clear()
+        yield from flushed(totals, found, types)
+
+    def flushed(totals: dict, found: dict, types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+        for group, total in totals.items():
+            for terms in batched(total, FLUSHED_ROWS):
+                df, keys = found[group], [pa.array([value] * len(terms), kind) for value, kind in zip(group, types)]
+                yield pa.RecordBatch.from_arrays(
+                    [*keys, pa.array(terms, pa.string()), pa.array([total[t] for t in terms], pa.int64()), pa.array([df[t] for t in terms], pa.int64())],
+                    names=[*by, "term", "total", "df"])
+
+    schema = ", ".join([*kinds, "term string, total bigint, df bigint"])
+    return docs.select(*by, words.alias("__words")).mapInArrow(run, schema).groupBy(*by, "term").agg(
+        F.sum("total").alias("total"), F.sum("df").alias("df"))
 
 
 def build_vocabulary(docs: DataFrame, text: str, max_features: int = 5000, min_df: int = 2) -> DataFrame:
     """The most frequent terms found in at least `min_df` documents, ties by term."""
-    counts = _term_counts(with_terms(docs.select(text), text), [])
+    counts = _term_counts(dealt(docs.select(text)), [], _words(text))
     return counts.where(F.col("df") >= min_df).orderBy(F.col("total").desc(), "term").limit(
         max_features
     )
@@ -89,8 +115,7 @@ def build_vocabulary(docs: DataFrame, text: str, max_features: int = 5000, min_d
 def tfidf(docs: DataFrame, vocabulary: DataFrame, id_column: str, text: str) -> DataFrame:
     """Long form `(id, term, tf, weight)`, L2-normalised per row of `docs`.
 
-    Words are extracted where the row is read; counts, weights and norm follow in the same task, so nothing is
-    shuffled. The vocabulary is bounded by `max_features` and goes along with the function."""
+    Texts are dealt evenly over the tasks; words, counts, weights and norm follow in the same task. The vocabulary is bounded by `max_features` and goes along with the function."""
     n_docs = ship(docs.sparkSession) and docs.count()
     idf = {r.term: math.log((1 + n_docs) / (1 + r.df)) + 1 for r in vocabulary.select("term", "df").collect()}
 
@@ -111,7 +136,7 @@ def tfidf(docs: DataFrame, vocabulary: DataFrame, id_column: str, text: str) ->
                 names=[id_column, "term", "tf", "weight"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, _words(text).alias("words")).mapInArrow(run, f"`{id_column}` {kind}, term string, tf bigint, weight double")
+    return dealt(docs.select(id_column, text)).select(id_column, _words(text).alias("words")).mapInArrow(run, f"`{id_column}` {kind}, term string, tf bigint, weight double")
 
 
 def top_terms_by_class(docs: DataFrame, id_column: str, text: str, label: str, features: int = 20,
@@ -119,13 +144,9 @@ def top_terms_by_class(docs: DataFrame, id_column: str, text: str, label: str, f
     """Per class the terms with the highest mean TF-IDF among its most frequent ones."""
     words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(ANY_WORD), F.lit(0))
     kept = F.filter(words, lambda w: ~w.isin(stop_words)) if stop_words else words
-    prepared = (
-        docs.select(id_column, label, kept.alias("__words"))
-        .withColumn("terms", _with_bigrams(F.col("__words")))
-        .drop("__words")
-    )
+    prepared = dealt(docs.select(id_column, label, text))
     window = Window.partitionBy(label).orderBy(F.col("total").desc(), "term")
-    vocabulary = _term_counts(prepared, [label]).withColumn(
+    vocabulary = _term_counts(prepared, [label], kept).withColumn(
         "r", F.row_number().over(window)
     ).where(F.col("r") <= features)
     sizes = docs.groupBy(label).agg(F.count(F.lit(1)).alias("n_docs"))
@@ -134,12 +155,34 @@ def top_terms_by_class(docs: DataFrame, id_column: str, text: str, label: str, f
         label, "term", "n_docs",
         (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf"),
     )
+    found = weights.collect()
+    known = {r[0]: {} for r in found}
+    for r in found:
+        known[r[0]][r.term] = (r.idf, r.n_docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small(batches):
+            rows, hits = [], []
+            for row, (group, own) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                facts, own = known.get(group, {}), own or ()
+                for term, n in Counter(t for t in chain(own, map(" ".join, pairwise(own))) if t in facts).items():
+                    rows.append(row)
+                    hits.append((term, n, *facts[term]))
+            at = pa.array(rows, pa.int64())
+            columns = list(zip(*hits)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()),
+                 pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.int64())],
+                names=[id_column, label, "term", "tf", "idf", "n_docs"])
+
+    schema = StructType([docs.schema[id_column], docs.schema[label]])
+    for name, kind in (("term", StringType()), ("tf", LongType()), ("idf", DoubleType()), ("n_docs", LongType())):
+        schema = schema.add(name, kind)
+    # rows of one id count as one text
     tf = (
-        prepared.repartition(id_column).select(id_column, label, F.explode("terms").alias("term"))
-        .join(F.broadcast(weights), [label, "term"])
+        prepared.select(id_column, label, kept.alias("__words")).mapInArrow(run, schema)
         .groupBy(id_column, label, "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"),
-             F.first("n_docs").alias("n_docs"))
+        .agg(F.sum("tf").alias("tf"), F.first("idf").alias("idf"), F.first("n_docs").alias("n_docs"))
         .withColumn("raw", F.col("tf") * F.col("idf"))
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_column)))
@@ -234,17 +277,15 @@ def train_sentiment(reviews: DataFrame, text: str = "review_text", label: str =
     if missing:
         raise ValueError(f"model is missing sentiment classes: {missing}")
     index = {c: float(i) for i, c in enumerate(SENTIMENT_LABELS)}
-    rows = _vectors(labelled.select(F.col(text).alias("text"), F.col(label).alias("name")), "text", terms, idf).select(
+    rows = _vectors(dealt(labelled.select(F.col(text).alias("text"), F.col(label).alias("name"))), "text", terms, idf).select(
         "slots", "values", alias_lookup(F.col("name"), index).cast("int").alias("label"),
         alias_lookup(F.col("name"), weights).alias("weight"),
     )
-    # every step of the fit reads the vectors
-    rows = written(rows, "sentiment-vectors")
     return SentimentModel(vocabulary, terms, idf, fit_multinomial(rows, len(terms), len(SENTIMENT_LABELS), 1.0 / n_docs))
 
 
 def sentiment_probabilities(reviews: DataFrame, model: SentimentModel, text: str = "review_text") -> DataFrame:
-    """`reviews` with `__probability`, an array in label order. Rows stay where they are read."""
+    """`reviews` with `__probability`, an array in label order. Rows are dealt evenly over the tasks."""
     number, idf, theta = {t: i for i, t in enumerate(model.terms)}, model.idf, model.coefficients
     names, words = ship(reviews.sparkSession) and reviews.columns, _words(text)
 
@@ -256,7 +297,7 @@ def sentiment_probabilities(reviews: DataFrame, model: SentimentModel, text: str
             p = softmax(logits_of(row, slot, np.concatenate([*values, np.empty(0)]), batch.num_rows, theta) + theta[-1])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(list(p), pa.list_(pa.float64()))], names=[*names, "__probability"])
 
-    return reviews.select("*", words.alias("__words")).mapInArrow(run, StructType([*reviews.schema.fields]).add("__probability", ArrayType(DoubleType())))
+    return dealt(reviews).select("*", words.alias("__words")).mapInArrow(run, StructType([*reviews.schema.fields]).add("__probability", ArrayType(DoubleType())))
 
 
 def positivity(probabilities: Column) -> Column:

@@ -346,3 +346,29 @@ def test_files_round_trip(spark, tmp_path):
         f.write("company_name,date,revenue,active_users,signups\nA,2025-01-01,1.5,2,N/A\nA,2025-01-02,null,3,4\n")
     got = sorted(files.read_daily_metrics(spark, str(tmp_path / "timeseries_*.csv")).collect())
     assert [(r.revenue, r.active_users, r.signups) for r in got] == [(1.5, 2, None), (None, 3, 4)]
+
+
+def test_texts_are_dealt_over_the_tasks(spark):
+    """One file of one row group does not make one task of all texts."""
+    rows = spark.createDataFrame([(i, "alpha beta alpha beta") for i in range(400)], "doc_id long, body string").coalesce(1)
+    parts = text.with_terms(rows, "body").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(p["count"] for p in parts) < 150
+
+
+def test_term_counts_by_group_pass_on_what_they_hold(spark, monkeypatch):
+    rows = spark.createDataFrame([(None, "aa bb aa"), ("x", "aa aa"), ("x", "bb"), ("x", None)], "label string, body string")
+    want = {(None, "aa", 2, 1), (None, "bb", 1, 1), (None, "aa bb", 1, 1), (None, "bb aa", 1, 1),
+            ("x", "aa", 2, 1), ("x", "aa aa", 1, 1), ("x", "bb", 1, 1)}
+    for held in (0, 1000):
+        monkeypatch.setattr(text, "HELD_TERMS", held)
+        assert {tuple(r) for r in text._term_counts(rows, ["label"], text._words("body")).collect()} == want
+
+
+def test_fit_of_held_rows_and_by_jobs_agree(spark):
+    from riskloom.operators.logistic import fit_multinomial
+
+    rows = [([i % 7, 7 + i % 3], [0.6, 0.8], (i // 2) % 3, 1.0 + i % 2) for i in range(200)] + [([], [], 1, 1.0)]
+    frame = spark.createDataFrame(rows, "slots array<int>, values array<double>, label int, weight double")
+    held, jobs = (fit_multinomial(frame, 10, 3, 1e-2, n) for n in (10_000, 1))
+    assert abs(held - jobs).max() < 1e-5 and abs(held).max() > 0.01
