@@ -60,6 +60,7 @@ CUSTOMER_FIELDS = [
 SAFE_DEFAULTS = {"support_tickets": 0, "usage_frequency": 0}
 MIN_CONTAINED_ALIAS = 4
 DAYS_PER_MONTH = 30.44
+PART_ROWS = 250_000
 
 # Conversions of the raw SaaS churn table.
 LOGIN_FREQUENCY = {"Daily": 30, "Weekly": 4, "Monthly": 1, "Rarely": 0}
@@ -72,10 +73,16 @@ SOURCE_CHURN_COLUMNS = [
 ]
 
 
+def _by_export(catalog: DataFrame) -> DataFrame:
+    """The rows of an export together, in parts of about `PART_ROWS` rows: what a task sorts does not grow with the catalog."""
+    n = max(int(catalog.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-catalog.count() // PART_ROWS))
+    return catalog.repartition(n, "company_id")
+
+
 def unique_columns(catalog: DataFrame) -> DataFrame:
     """One row per (company, normalised name): the last spelling, the first position."""
     return (
-        catalog.withColumn("norm", normalize_name(F.col("column_name")))
+        _by_export(catalog).withColumn("norm", normalize_name(F.col("column_name")))
         .groupBy("company_id", "norm")
         .agg(
             F.max_by("column_name", "position").alias("column_name"),
@@ -258,11 +265,14 @@ def unmapped_fields(mapping: DataFrame, signup: DataFrame) -> DataFrame:
 
 
 def missing_fields(catalog: DataFrame, required: list[str]) -> DataFrame:
-    """Required column names an export does not have, one row each."""
-    wanted = F.explode(F.array(*[F.lit(c) for c in required])).alias("column_name")
-    exports = catalog.select("company_id").distinct().select("company_id", wanted)
-    return exports.join(catalog.select("company_id", "column_name"), ["company_id", "column_name"],
-                        "left_anti")
+    """Required column names an export does not have, one row each. Rows without an export's name count as an export without columns."""
+    if not required:
+        return catalog.select("company_id", "column_name").limit(0)
+    # one row of flags for each export
+    exports = _by_export(catalog.select("company_id", "column_name")).groupBy("company_id").agg(
+        *[F.coalesce(F.bool_or(F.col("column_name") == c), F.lit(False)).alias(f"__has_{i}") for i, c in enumerate(required)])
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__has_{i}").alias("has")) for i, c in enumerate(required)])
+    return exports.select("company_id", F.inline(cells)).where(~F.col("has") | F.col("company_id").isNull()).drop("has")
 
 
 def standardize_source_churn(raw: DataFrame) -> DataFrame:

@@ -153,3 +153,19 @@ def test_readiness(spark, n, expected):
     row = validation.forecast_readiness(daily_rows(spark, n)).first()
     assert (row.can_forecast, row.holdout_days) == expected
     assert ("need at least 30" in row.forecast_note) == (n < 30)
+
+
+def test_exports_are_grouped_in_small_parts(spark, monkeypatch):
+    """What a task sorts does not grow with the catalog, and no export is split."""
+    monkeypatch.setattr(ingest, "PART_ROWS", 20)
+    catalog = spark.range(400).selectExpr("cast(id div 4 as string) company_id", "cast(id % 4 as int) position", "concat('Plan', id % 4) column_name").coalesce(1)
+    parts = ingest._by_export(catalog).selectExpr("spark_partition_id() p", "company_id").distinct().collect()
+    assert len({r.p for r in parts}) > 10 and len(parts) == 100
+    assert ingest.unique_columns(catalog).count() == 400
+
+
+def test_missing_fields_without_name(spark):
+    catalog = spark.createDataFrame([("a", "x"), ("a", None), (None, "x"), ("b", "y"), ("b", "y")], "company_id string, column_name string")
+    found = sorted(map(tuple, ingest.missing_fields(catalog, ["x", "y"]).collect()), key=str)
+    assert found == [("a", "y"), ("b", "x"), (None, "x"), (None, "y")]
+    assert ingest.missing_fields(catalog, []).count() == 0
