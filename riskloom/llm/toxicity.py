@@ -7,15 +7,16 @@ with a term are counted over all documents. A term's weight is its IDF times `1
 correlation of term and class over the examples; no term weighs nothing. Terms that stand in no
 example add nothing to any cosine with one.
 
-Examples, terms and frequencies are tables in the shared folder, written by tasks. Every task that
-searches reads them and builds the same inverted index, cut into blocks of examples; the driver
-holds neither terms nor vectors. Terms in more than one of COMMON examples are held as columns, with the
-greatest weight of each in each block; the others as lists of examples.
+Examples, terms and frequencies are tables in the shared folder, written by tasks. From them a task builds
+the inverted index, cut into blocks of examples, and writes it as one file; the driver holds neither
+terms nor vectors. Tasks that search map that file, so that the workers of a machine share its pages.
+Terms in more than one of COMMON examples are held as columns, with the greatest weight of each in each
+block; the others as lists of examples.
 
 Scoring, over all documents in Arrow tasks: the lists give each example's exact sum over the rare
 terms. A block's bound is its best such sum plus the query's common weights times the block's greatest.
-The blocks of the highest bounds are read first, then those whose bound reaches the k-th best sum,
-so the k nearest are exact. Their labels vote, weighted by cosine.
+The blocks of the highest bounds are read first, then those whose bound reaches the k-th best sum of
+these, so the k nearest are exact. Their labels vote, weighted by cosine.
 
 Calibration, in tasks too: the examples of a fold vote under the index of the other folds, whose phi
 has not seen their labels. Votes are turned into probabilities by the shares of toxic examples among equal
@@ -24,6 +25,7 @@ the terms have no neighbour and get the share of toxic rows among such examples.
 
 from __future__ import annotations
 
+import ast
 import functools
 import re
 from collections.abc import Iterator
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.shared import held, let_go, read_table
+from riskloom.llm.shared import held, let_go, read_batches, read_mapped, read_table, trim, write_mapped
 from riskloom.llm.words import byte_parts, mixed
 from riskloom.shipping import ship
 from riskloom.sources.scratch import scratch_path, written
@@ -42,14 +44,16 @@ from riskloom.sources.scratch import scratch_path, written
 #: Bounds of the fit for each class: rows, and bytes of text (a row beyond a sixteenth of them is no example).
 EXAMPLES, EXAMPLE_BYTES = 4000, 32_000_000
 SIGN = 10.0
-NEIGHBOURS, BLOCK, COMMON, PREFIXES, BINS = 15, 64, 24, (5,), 50
+NEIGHBOURS, BLOCK, COMMON, PREFIXES, BINS = 15, 64, 16, (5,), 50
 #: Documents searched together; blocks read at first for each.
-QUERIES, FIRST = 256, 4
+QUERIES, FIRST = 128, 4
 #: Beyond what rounding to 32 bits can do to a cosine of non-negative terms.
 MARGIN = 1e-4
 FOLDS = 5
-#: Bytes of text whose terms are hashed together.
-PART = 1 << 18
+#: Bytes of text whose terms are hashed together, and of text scored together.
+PART, SCORED = 1 << 18, 1 << 20
+#: An entry of a term's list: example and weight.
+POST = np.dtype([("row", np.int32), ("weight", np.float32)])
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -123,7 +127,7 @@ class Index:
     idf: np.ndarray
     ids: list
     labels: np.ndarray
-    #: Terms and weights of all examples, one after the other, and how many each has.
+    #: Terms and weights of all examples, one after the other, and how many each has; empty in an index that was read.
     vectors: tuple[np.ndarray, np.ndarray, np.ndarray]
     folds: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
 
@@ -133,23 +137,50 @@ class Index:
         self.blocks = max(1, -(-n // BLOCK))
         rows = np.repeat(np.arange(n, dtype=np.int32), sizes)
         self.begin = np.concatenate([[0], np.cumsum(sizes)])
-        common = np.bincount(self.terms, minlength=m) * COMMON > n
-        self.place = np.where(common, np.cumsum(common) - 1, -1)
+        steps = [slice(at, at + (1 << 18)) for at in range(0, len(rows), 1 << 18)]
+        common = sum((np.bincount(self.terms[step], minlength=m) for step in steps), np.zeros(m, np.int64)) * COMMON > n
+        self.place = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
         often = common[self.terms]
+        cols = self.terms[~often]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(cols, minlength=m))])
+        order = np.argsort(cols, kind="stable").astype(np.int32)
+        del cols
+        self.posts = np.empty(len(order), POST)
+        self.posts["row"] = rows[~often][order]
+        self.posts["weight"] = self.weights[~often][order]
+        del order
         self.columns = np.zeros((self.blocks * BLOCK, int(common.sum())), np.float32)
-        for at in range(0, len(rows), 1 << 18):
-            step = slice(at, at + (1 << 18))
+        for step in steps:
             here = often[step]
             self.columns[rows[step][here], self.place[self.terms[step][here]]] = self.weights[step][here]
         self.greatest = self.columns.reshape(self.blocks, BLOCK, -1).max(1).T.copy()
-        cols, often = self.terms[~often], ~often
-        order = np.argsort(cols, kind="stable").astype(np.int32)
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(cols, minlength=m))])
-        del cols
-        self.post_rows, self.post_weights = rows[often][order], self.weights[often][order]
         self.vectors = ()
         return self
 
+    def save(self, path: str, kind: pa.DataType) -> None:
+        """All that a search needs, each array a column of one row."""
+        fields, columns = [pa.field("ids", pa.list_(kind))], [pa.array([self.ids], pa.list_(kind))]
+        for name in _SAVED:
+            x = np.ascontiguousarray(getattr(self, name))
+            about = {"dtype": repr(x.dtype.descr if x.dtype.names else x.dtype.str), "shape": repr(x.shape)}
+            fields.append(pa.field(name, pa.large_binary(), metadata=about))
+            parts = [None, pa.py_buffer(np.array([0, x.nbytes], np.int64)), pa.py_buffer(x.reshape(-1).view(np.uint8))]
+            columns.append(pa.Array.from_buffers(pa.large_binary(), 1, parts))
+        write_mapped(path, pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields)))
+
+    @staticmethod
+    def read(path: str) -> Index:
+        batch, found = read_mapped(path), {}
+        for name in _SAVED:
+            about, value = batch.schema.field(name).metadata, batch.column(name).buffers()[2]
+            dtype, shape = (ast.literal_eval(about[key].decode()) for key in (b"dtype", b"shape"))
+            found[name] = np.frombuffer(value, np.uint8).view(np.dtype(dtype)).reshape(shape)
+        index = Index(found.pop("hashes"), found.pop("idf"), batch.column("ids")[0].as_py(), found.pop("labels"), ())
+        for name, value in found.items():
+            setattr(index, name, value)
+        index.blocks = len(index.columns) // BLOCK
+        return index
+
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Weights are 32-bit floats; cosines of them are exact to the 64-bit sum."""
         weights = (1 + np.log(counts)) * self.idf[terms]
@@ -164,43 +195,47 @@ class Index:
         Blocks are bounded and read in 32-bit floats with a margin for their rounding; what comes within it of the k-th best
         is summed again in 64 bits."""
         n, width = len(queries), self.blocks * BLOCK
-        sums, common = np.empty((n, width), np.float32), np.zeros((n, self.columns.shape[1]), np.float32)
+        rare, common = np.empty((n, width)), np.zeros((n, self.columns.shape[1]), np.float32)
         for i, (terms, weights) in enumerate(queries):
             place = self.place[terms]
             often = place >= 0
             common[i, place[often]] = weights[often]
-            rare = terms[~often]
-            begin, size = self.starts[rare], self.starts[rare + 1] - self.starts[rare]
-            entry = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            gain = np.repeat(weights[~often], size) * self.post_weights[entry]
-            sums[i] = np.bincount(self.post_rows[entry], weights=gain, minlength=width)
+            terms, weights = terms[~often], weights[~often].astype(float)
+            begin = self.starts[terms]
+            size = self.starts[terms + 1] - begin
+            entry = np.repeat(begin - (np.cumsum(size) - size), size)
+            entry += np.arange(len(entry))
+            posts = self.posts.take(entry)
+            rare[i] = np.bincount(posts["row"], weights=np.repeat(weights, size) * posts["weight"], minlength=width)
+        sums = rare.astype(np.float32)
         if without is not None:
             sums[:, without] = -np.inf
-        bounds = sums.reshape(n, self.blocks, BLOCK).max(2) + common @ self.greatest
+        by_block = sums.reshape(n, self.blocks, BLOCK)
+        bounds = by_block.max(2) + common @ self.greatest
         read = np.zeros(bounds.shape, bool)
 
-        def least() -> np.ndarray:
-            """The k-th best of sums that are whole or, as no weight is negative, too low."""
-            return np.partition(sums, max(width - k, 0), axis=1)[:, max(width - k, 0), None]
-
         def read_blocks(chosen: np.ndarray) -> None:
             for block in np.flatnonzero(chosen.any(0)).tolist():
                 rows, part = np.flatnonzero(chosen[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
                 sums[rows, part] += common[rows] @ self.columns[part].T
 
-        first = min(FIRST, self.blocks)
-        np.put_along_axis(read, np.argpartition(-bounds, first - 1, axis=1)[:, :first], True, axis=1)
+        first = min(max(FIRST, -(-k // BLOCK)), self.blocks)
+        best = np.argpartition(-bounds, first - 1, axis=1)[:, :first]
+        np.put_along_axis(read, best, True, axis=1)
         read_blocks(read)
-        read_blocks(~read & (bounds >= least() - MARGIN))
-        found, own = [], np.zeros(len(self.idf))
-        for (terms, weights), row, low in zip(queries, sums, least()[:, 0].tolist()):
-            hit = np.flatnonzero((row >= low - MARGIN) & (row > 0))
-            own[terms] = weights
-            size = self.begin[hit + 1] - self.begin[hit]
-            entry = np.repeat(self.begin[hit] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            gain = own[self.terms[entry]] * self.weights[entry]
-            own[terms] = 0.0
-            exact = np.round(np.add.reduceat(gain, np.cumsum(size) - size), 12) if len(hit) else np.empty(0)
+        # the k-th best of whole sums; where there are fewer, all of them count
+        whole = np.take_along_axis(by_block, best[:, :, None], axis=1).reshape(n, -1)
+        low = np.partition(whole, max(whole.shape[1] - k, 0), axis=1)[:, max(whole.shape[1] - k, 0), None] - MARGIN
+        read_blocks(~read & (bounds >= low))
+        found = []
+        for i, least in enumerate(low[:, 0].tolist()):
+            row = sums[i]
+            hit = np.flatnonzero(row >= least) if least > 0 else np.flatnonzero(row > 0)
+            if len(hit) > k:
+                hit = hit[row[hit] >= np.partition(row[hit], len(hit) - k)[len(hit) - k] - MARGIN]
+            place = np.flatnonzero(common[i])
+            exact = rare[i, hit] + (self.columns[hit[:, None], place] * common[i, place].astype(float)).sum(1)
+            exact = np.round(exact, 12)
             top = np.lexsort((hit, -exact))[:k]
             found.append(list(zip(exact[top].tolist(), hit[top].tolist())))
         return found
@@ -220,37 +255,45 @@ def known_hashes(folder: str) -> np.ndarray:
     return np.sort(read_table(f"{folder}/terms").column("hash").to_numpy().view(np.uint64))
 
 
+#: What a search reads of an index.
+_SAVED = ("hashes", "folds", "idf", "labels", "place", "starts", "posts", "columns", "greatest")
+
+
 def index_of(folder: str, without: int = -1) -> Index:
-    """The index of a fit; with a fold, as if its labels were not known."""
-    return held((folder, without), lambda: _index(folder, without))
+    """The index of a fit, from its file; with a fold, built as if its labels were not known."""
+    return held((folder, without), lambda: Index.read(f"{folder}/index.arrow") if without < 0 else _index(folder, without))
 
 
-def _flat(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of a column of packed numbers, and how many each row has."""
-    rows = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.binary())
-    _, offsets, data = rows.buffers()
-    ends = np.frombuffer(offsets, np.int32)[rows.offset : rows.offset + len(rows) + 1] if len(rows) else np.zeros(1, np.int32)
-    width = np.dtype(kind).itemsize
-    values = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(kind) if data is not None else np.empty(0, kind)
-    return values, np.diff(ends).astype(np.int64) // width
+def _packed(folder: str, column: str, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of the examples in turn: all numbers of a column of packed numbers, and how many each row has."""
+    for batch in read_batches(f"{folder}/examples", [column]):
+        _, offsets, data = batch.column(0).buffers()
+        at = batch.column(0).offset
+        ends = np.frombuffer(offsets, np.int32)[at : at + batch.num_rows + 1]
+        values = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(kind) if data is not None else np.empty(0, kind)
+        yield values, np.diff(ends).astype(np.int64) // np.dtype(kind).itemsize
 
 
-def _index(folder: str, without: int) -> Index:
-    terms = read_table(f"{folder}/terms")
-    hashes = terms.column("hash").to_numpy().view(np.uint64)
+def _index(folder: str, without: int = -1) -> Index:
+    """Built from the tables of a fit; with a fold, as if its labels were not known. Tables are read in parts, so that
+    little more than the result is held."""
+    hashes = read_table(f"{folder}/terms", ["hash"]).column("hash").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     hashes = hashes[order]
     # documents with each term over all documents; a null hash counts the documents
-    seen = read_table(f"{folder}/frequencies")
-    number, n = seen.column("hash"), seen.column("n").to_numpy()
-    there = np.asarray(number.is_valid())
-    frequencies = np.zeros(len(hashes))
-    frequencies[np.searchsorted(hashes, number.drop_null().to_numpy().view(np.uint64))] = n[there]
-    total = float(n[~there].sum())
+    frequencies, total = np.zeros(len(hashes)), 0.0
+    for seen in read_batches(f"{folder}/frequencies", rows=1 << 16):
+        number, n = seen.column("hash"), seen.column("n").to_numpy()
+        there = np.asarray(number.is_valid())
+        frequencies[np.searchsorted(hashes, number.drop_null().to_numpy().view(np.uint64))] = n[there]
+        total += float(n[~there].sum())
     examples = read_table(f"{folder}/examples", ["doc_id", "label", "fold"])
     fold, label = (examples.column(c).to_numpy().astype(np.int64) for c in ("fold", "label"))
-    known = [f for f in range(FOLDS) if f != without]
-    clean, toxic = (sum((terms.column(f"{c}{f}").to_numpy()[order].astype(float) for f in known), np.zeros(len(hashes))) for c in ("clean", "toxic"))
+    clean, toxic = np.zeros(len(hashes)), np.zeros(len(hashes))
+    for into, c in ((clean, "clean"), (toxic, "toxic")):
+        for f in range(FOLDS):
+            if f != without:
+                into += read_table(f"{folder}/terms", [f"{c}{f}"]).column(0).to_numpy()[order]
     t0, t1 = (float(((label == y) & (fold != without)).sum()) for y in (0, 1))
     both = clean + toxic
     spread = np.sqrt(np.maximum(t0 * t1 * both * (t0 + t1 - both), 1.0))
@@ -259,28 +302,32 @@ def _index(folder: str, without: int) -> Index:
     # like examples beside each other, so that blocks differ in their greatest weights: common terms first
     rank = np.empty(len(hashes), np.int32)
     rank[np.lexsort((hashes, -both))] = np.arange(len(hashes), dtype=np.int32)
-    names, sizes = _flat(read_table(f"{folder}/examples", ["terms"]).column("terms"), np.uint64)
-    # in steps, so that little more than the result is held
-    steps = [slice(at, at + (1 << 18)) for at in range(0, len(names), 1 << 18)]
-    terms = np.empty(len(names), np.int32)
-    for step in steps:
-        terms[step] = np.searchsorted(hashes, names[step])
-    del names, clean, toxic, spread, phi, seen, frequencies
+    del clean, toxic, both, spread, phi, frequencies, order
+    trim()
+    parts, sizes = [], [np.empty(0, np.int64)]
+    for names, n in _packed(folder, "terms", np.uint64):
+        parts.append(np.searchsorted(hashes, names).astype(np.int32))
+        sizes.append(n)
+    terms, sizes = np.concatenate([np.empty(0, np.int32), *parts]), np.concatenate(sizes)
+    del parts
     begin, ids = np.cumsum(sizes) - sizes, examples.column("doc_id").to_pylist()
     place = sorted(range(len(ids)), key=lambda i: (np.sort(rank[terms[begin[i] : begin[i] + sizes[i]]]).astype(">i4").tobytes(), ids[i]))
+    del rank
     own = np.repeat((begin[place] - (np.cumsum(sizes[place]) - sizes[place])).astype(np.int32), sizes[place])
     own += np.arange(len(terms), dtype=np.int32)
     sizes, terms = sizes[place], terms[own]
-    counts = _flat(read_table(f"{folder}/examples", ["counts"]).column("counts"), np.uint32)[0][own]
+    counts = np.concatenate([np.empty(0, np.uint32), *(values for values, _ in _packed(folder, "counts", np.uint32))])[own]
     del own
     rows, norms, weights = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), np.zeros(len(sizes)), np.empty(len(terms), np.float32)
+    steps = [slice(at, at + (1 << 18)) for at in range(0, len(terms), 1 << 18)]
     for step in steps:
         weight = (1 + np.log(counts[step])) * idf[terms[step]]
         norms += np.bincount(rows[step], weights=weight * weight, minlength=len(sizes))
     norms = np.sqrt(norms)
     for step in steps:
         weights[step] = (1 + np.log(counts[step])) * idf[terms[step]] / norms[rows[step]]
-    del counts, rows, rank
+    del counts, rows
+    trim()
     return Index(hashes, idf, [ids[i] for i in place], label[place], (terms, weights, sizes), fold[place]).build()
 
 
@@ -295,8 +342,12 @@ class Fitted:
 
     def score(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
         """(score, nearest examples) of each text; inside tasks."""
-        index, out = index_of(self.folder), []
-        counted = term_vectors(texts, index.hashes)
+        index, out, counted, begun, size = index_of(self.folder), [], [], 0, 0
+        for i, text in enumerate(texts):
+            size += len(text or "")
+            if size >= PART or i + 1 == len(texts):
+                counted += term_vectors(texts[begun : i + 1], index.hashes)
+                begun, size = i + 1, 0
         for at in range(0, len(counted), QUERIES):
             queries = [index.vector(*c) for c in counted[at : at + QUERIES]]
             for near in index.nearest_all(queries, NEIGHBOURS):
@@ -373,20 +424,29 @@ def _write_frequencies(docs: DataFrame, folder: str) -> None:
 
 def _votes(spark: SparkSession, folder: str) -> list:
     """(level of the vote or null without a neighbour, label, examples) over all examples, each under
-    the index of the other folds."""
+    the index of the other folds. One task more writes the index of all folds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for fold in batch.column(0).to_pylist():
-                index = index_of(folder, fold)
+                index = None
+                trim()
+                index = _index(folder, fold if fold < FOLDS else -1)
+                if fold == FOLDS:
+                    index.save(f"{folder}/index.arrow", read_table(f"{folder}/examples", ["doc_id"]).schema.field(0).type)
+                    continue
                 own = np.flatnonzero(index.folds == fold)
                 levels = []
                 for at in range(0, len(own), QUERIES):
                     near = index.nearest_all([index.example(i) for i in own[at : at + QUERIES]], NEIGHBOURS, own)
                     levels += [round(index.vote(found) * BINS) if found else None for found in near]
                 yield pa.RecordBatch.from_arrays([pa.array(levels, pa.int32()), pa.array(index.labels[own], pa.int32())], names=["level", "label"])
+        index = None
+        trim()
 
-    voted = spark.range(0, FOLDS, 1, FOLDS).mapInArrow(run, "level int, label int")
+    # few tasks, as each holds an index of its own
+    voted = spark.range(0, FOLDS + 1, 1, (FOLDS + 1) // 2).mapInArrow(run, "level int, label int")
     return voted.groupBy("level", "label").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 2 * (BINS + 2) rows
 
 
@@ -430,7 +490,7 @@ def score(docs: DataFrame, fitted: Fitted) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_parts(batches, "text", PART):
+        for batch in byte_parts(batches, "text", SCORED):
             results, ids = fitted.score(batch.column("text").to_pylist()), index_of(fitted.folder).ids
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([r[0] for r in results], pa.float64()),
@@ -447,7 +507,7 @@ def without_toxic(docs: DataFrame, fitted: Fitted) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_parts(batches, "text", PART):
+        for batch in byte_parts(batches, "text", SCORED):
             stays = [found < 0.5 for found, _ in fitted.score(batch.column("text").to_pylist())]
             yield batch.filter(pa.array(stays, pa.bool_()))
 

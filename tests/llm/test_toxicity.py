@@ -176,3 +176,20 @@ def test_calibration_is_monotone():
     assert rates == sorted(rates) and edges == sorted(edges) and len(edges) == 3 and abs(alone - 0.5 / 31) < 1e-12
     pooled = ((10.5 / 14) * 14 + (2.5 / 12) * 12) / 26
     assert abs(rates[1] - pooled) < 1e-12
+
+
+def test_index_is_mapped_from_its_file(spark, tmp_path):
+    """What is read gives the same neighbours as what was built, without a copy in the worker."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(200)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    fitted = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int"))
+    built, found = toxicity._index(fitted.folder), toxicity.Index.read(f"{fitted.folder}/index.arrow")
+    for name in toxicity._SAVED:
+        assert np.array_equal(getattr(built, name), getattr(found, name)) and not getattr(found, name).flags.owndata
+    assert built.ids == found.ids and built.blocks == found.blocks
+    queries = [built.vector(*v) for v in toxicity.term_vectors(texts, built.hashes)]
+    assert built.nearest_all(queries, 15) == found.nearest_all(queries, 15)
+    maps = open("/proc/self/maps").read()
+    assert f"{fitted.folder.removeprefix('file:')}/index.arrow" in maps
