@@ -1,11 +1,12 @@
 import datetime as dt
+import threading
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.config import EngineConfig
-from riskloom.operators import anomaly, churn, forecast, preparation, text
+from riskloom.operators import anomaly, boosting, churn, forecast, preparation, text
 from riskloom.operators.series import build_features
 from riskloom.plans import scoring, training
 from riskloom.sources import files
@@ -89,6 +90,44 @@ def test_halving_finds_the_grid_search_winner(spark):
     assert next(r for r in plain if r.setting == winner.setting).roc_auc == pytest.approx(winner.roc_auc, abs=1e-4)
 
 
+def test_folds_of_a_setting_are_fitted_side_by_side(spark, monkeypatch):
+    """One setting and three folds: all three fits are begun before one ends."""
+    rows = preparation.engineer_features(spark.createDataFrame(customers(300), CUSTOMER_SCHEMA))
+    begun, fitted = threading.Barrier(3, timeout=120), churn.LogisticRegression._fit
+
+    def fit(self, dataset):
+        begun.wait()
+        return fitted(self, dataset)
+
+    monkeypatch.setattr(churn.LogisticRegression, "_fit", fit)
+    out = churn.tune_churn(rows, "logistic", {"regParam": [0.01]}, rate=1).collect()
+    assert len(out) == 1 and out[0].kept and 0.5 < out[0].roc_auc <= 1.0
+
+
+def test_rows_of_a_tree_get_the_value_of_its_leaf():
+    """Growth with and without a row sample moves every margin as a walk down the tree does."""
+    rng = np.random.default_rng(2)
+    bins, label = rng.integers(0, 8, (3, 4000)).astype(np.uint8), (rng.random(4000) < 0.4).astype(float)
+    cuts, keys = [[i + 0.5 for i in range(7)]] * 3, rng.integers(0, 1 << 62, 4000).astype(np.uint64)
+    for share in (1.0, 0.7):
+        growth = boosting.Growth(4, 0.3, 6, 0, 5, 1.0, 1.0, share, 1.0, 9)
+        margin = np.zeros(4000)
+        for number, nodes in boosting.grow(bins, keys, label, np.ones(4000), cuts, 0.0, growth, lambda own: own):
+            tree, p = boosting.Tree.of([n[:6] for n in nodes]), 1.0 / (1.0 + np.exp(-margin))
+            rows = boosting.sampled(keys, growth, number)
+            leaf = boosting._leaf(tree, bins, cuts)
+            for at in np.unique(leaf[rows]).tolist():
+                own = rows[leaf[rows] == at]
+                value = -growth.rate * (p - label)[own].sum() / ((p * (1 - p))[own].sum() + growth.penalty)
+                assert tree.value[at] == pytest.approx(value, abs=1e-9)
+            margin += tree.value[leaf]
+
+
+def test_millions_of_rows_need_no_meeting():
+    assert boosting.tasks_for(0, 12) == 1 and boosting.tasks_for(3_600_000, 12) == 1
+    assert boosting.tasks_for(9_000_000, 12) == 3 and boosting.tasks_for(10**9, 12) == 12
+
+
 def test_tuning_of_one_class_has_no_auc(spark):
     rows = preparation.engineer_features(spark.createDataFrame([(*r[:7], 1) for r in customers(30)], CUSTOMER_SCHEMA))
     out = churn.tune_churn(rows, "xgboost", {"maxIter": [2, 3]}).collect()
