@@ -12,10 +12,12 @@ links form, exactly: no link is estimated, and none between different sets is le
    passage from tying documents together. A class of which too few segments are left gives the keys
    of its full set as well, and where even those are too few, the empty ones.
 3. Classes that share a key are tied; tied classes form clusters (connected components).
-4. A cluster is a matrix, in tiles of at most TILE rows a side; tiles of bands that cannot link are
-   never made. In a tile the incidence product is taken row by row: overlap counts add up over
-   the columns of a row, and pairs below the size-derived bound go. Rows that are already in the
-   row's group are skipped, so a tile returns a spanning forest and not all pairs.
+4. A cluster is a matrix, in blocks of rows; tiles of bands that cannot link are never made. In a
+   tile the incidence product is taken row by row: overlap counts add up over the columns of a row,
+   and pairs below the size-derived bound go. Rows that are already in the row's group are skipped,
+   so a tile returns a spanning forest and not all pairs. Sets are shuffled once, to their block;
+   blocks of a cluster above TILE rows are files that tiles read, and a tile whose rows are joined
+   already is not made.
 5. Links form the groups; classes pass them to their documents.
 
 Within a map task keys that meet there already send one row on, so a key that a third of all rows
@@ -32,14 +34,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
-from riskloom.llm.shared import let_go
+from riskloom.llm.shared import let_go, read_mapped, write_mapped
 from riskloom.llm.whole_groups import group_starts, whole_groups
 from riskloom.llm.words import WordHashes, mixed, parts, shingles, signed, text_bytes, word_hashes
+from riskloom.operators.layout import spread
 from riskloom.shipping import ship
-from riskloom.sources.scratch import release, written
+from riskloom.sources.scratch import release, scratch_path, written
 
-#: Rows of a tile's side; columns times rows that are gathered at once.
-TILE, GATHER = 1024, 2_000_000
+#: Classes of a cluster that is one block; columns times rows that are gathered at once; n-grams of a block.
+TILE, GATHER, BLOCK_GRAMS = 1024, 2_000_000, 1 << 20
 #: Frequent n-grams: in so many documents of a batch at least, and no more than so many.
 FREQUENT_IN_BATCH, FREQUENT_MOST = 8, 65_536
 
@@ -192,46 +195,85 @@ def _ties(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> Da
     return raw.repartition("key").sortWithinPartitions("key", "a").mapInArrow(meet, "a bigint, b bigint").distinct()
 
 
-def spanning_links(sets: list[np.ndarray], bands: Bands) -> list[tuple[int, int]]:
-    """A spanning forest of the links in a tile, by rows of the incidence product."""
+def spanning_links(sets: list[np.ndarray], bands: Bands, labels: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links in a tile, by rows of the incidence product.
+
+    Rows of one label are joined already: only links between labels are looked for, and rows of the label that most
+    rows have are found by the others."""
     m = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
-    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(m), sizes)
+    root = np.arange(m) if labels is None else np.unique(labels, return_inverse=True)[1].ravel()
+    anchor = int(np.flatnonzero(root == np.bincount(root).argmax())[0]) if m else 0
+    if not m or (root == root[anchor]).all():
+        return []
+    row, grams = np.repeat(np.arange(m), sizes), np.concatenate(sets)
+    if labels is None:
+        _, column, held = np.unique(grams, return_inverse=True, return_counts=True)
+    else:
+        wanted = np.unique(grams[(root != root[anchor])[row]])
+        column = np.minimum(np.searchsorted(wanted, grams), len(wanted) - 1)
+        known = wanted[column] == grams
+        column, row = column[known], row[known]
+        held = np.bincount(column, minlength=len(wanted))
     shared = held[column] > 1
     column, row = column[shared], row[shared]
     by_column = row[np.argsort(column, kind="stable")]
     ends = np.cumsum(np.bincount(column, minlength=len(held)))
     starts = ends - np.bincount(column, minlength=len(held))
     bounds = np.searchsorted(row, np.arange(m + 1))
-    open_, found = np.ones(m, bool), []
-    for seed in range(m):
-        if not open_[seed]:
+    found = []
+    for x in range(m):
+        if root[x] == root[anchor]:
             continue
-        open_[seed] = False
-        todo = [seed]
-        while todo:
-            x = todo.pop()
-            mine = column[bounds[x] : bounds[x + 1]]
-            overlap = np.zeros(m, np.int64)
-            step = max(1, GATHER // m)
-            for at in range(0, len(mine), step):
-                part = mine[at : at + step]
-                length = ends[part] - starts[part]
-                begin = np.repeat(starts[part] - (np.cumsum(length) - length), length)
-                overlap += np.bincount(by_column[begin + np.arange(len(begin))], minlength=m)
-            hit = np.flatnonzero(open_ & bands.linked(overlap, sizes, sizes[x]))
-            open_[hit] = False
-            found += [(x, int(y)) for y in hit]
-            todo += hit.tolist()
-            if not open_.any():
-                return found
+        mine = column[bounds[x] : bounds[x + 1]]
+        overlap = np.zeros(m, np.int64)
+        step = max(1, GATHER // m)
+        for at in range(0, len(mine), step):
+            part = mine[at : at + step]
+            length = ends[part] - starts[part]
+            begin = np.repeat(starts[part] - (np.cumsum(length) - length), length)
+            overlap += np.bincount(by_column[begin + np.arange(len(begin))], minlength=m)
+        hit = np.flatnonzero((root != root[x]) & bands.linked(overlap, sizes, sizes[x]))
+        if len(hit):
+            joined, first = np.unique(root[hit], return_index=True)
+            found += [(x, int(y)) for y in hit[first]]
+            root[np.isin(root, joined)] = root[x]
     return found
 
 
+def _placed(members: DataFrame, percent: int) -> DataFrame:
+    """`members` with band, block and `large`, one row each: a cluster of up to TILE classes is one block, a larger one
+    has some for each band."""
+    bands = Bands(percent)
+    bands.of(int(members.agg(F.max("n_grams")).first()[0] or 0))
+    starts = F.array(*[F.lit(s) for s in bands.starts])
+    placed = members.withColumn("band", F.array_size(F.filter(starts, lambda s: s <= F.col("n_grams"))) - 1)
+    most = F.least(F.lit(4 * TILE), F.greatest(F.lit(max(1, TILE // 16)), F.floor(BLOCK_GRAMS / F.get(starts, F.col("band")))))
+    whole = Window.partitionBy("cluster")
+    sizes = placed.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("large", F.sum("n").over(whole) > TILE).withColumn("blocks", F.ceil(F.col("n") / most))
+    sizes = sizes.withColumn("first", F.sum("blocks").over(whole.orderBy("band")) - F.col("blocks")).drop("n")
+    block = F.when(F.col("large"), F.col("first") + F.pmod(F.xxhash64("class"), F.col("blocks"))).otherwise(0).cast("bigint")
+    return placed.join(sizes, ["cluster", "band"]).select("rep_id", "rep_hash", "class", "cluster", "band", block.alias("block"), "large")
+
+
+_PAIRS = "a bigint, b bigint"
+
+
+def _pairs(names: np.ndarray, found: list[tuple[int, int]]) -> pa.RecordBatch:
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(names[pairs[:, 0]]), pa.array(names[pairs[:, 1]])], names=["a", "b"])
+
+
 def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b): a spanning forest of each tile's links. members: (class, n_grams, rep_id, rep_hash, cluster), the id and text hash of
-    one row of the class; docs: (doc_id, text, text_hash)."""
+    """(a, b): links that join the classes of each cluster as all its links do. members: (class, n_grams, rep_id, rep_hash,
+    cluster), the id and text hash of one row of the class; docs: (doc_id, text, text_hash).
+
+    Each set is shuffled once, to its block. Blocks of large clusters are kept as files, which tiles read: first those of the
+    first block of each band, then, with what is joined by then as labels, those that hold more than one label."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "gram-sets")
+    placed = written(_placed(members, percent), "gram-blocks")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last = word_hashes(), None
@@ -244,49 +286,86 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
                 last = name if first[-1] else last
             right = pa.array(first, pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k).filter(right) for k in range(1, 4)), pa.array([s.tobytes() for s in sets], pa.binary()).filter(right)],
-                names=["class", "cluster", "tiles", "grams"])
+                [*(batch.column(k).filter(right) for k in range(1, 5)), pa.array([s.tobytes() for s in sets], pa.binary()).filter(right)],
+                names=["class", "cluster", "block", "large", "grams"])
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
-        for table in whole_groups(batches, ["cluster", "x", "y"]):
+        bands, keys = Bands(percent), ["cluster", "block"]
+        for table in whole_groups(batches, keys):
             names, found = table.column("class").to_numpy(), []
             sets = [np.frombuffer(s, np.uint64) for s in table.column("grams").to_pylist()]
-            starts = group_starts(table, ["cluster", "x", "y"]).tolist()
+            starts = group_starts(table, keys).tolist()
             for start, end in zip(starts, [*starts[1:], table.num_rows]):
                 found += [(start + a, start + b) for a, b in spanning_links(sets[start:end], bands)]
-            pairs = np.array(found, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(names[pairs[:, 0]]), pa.array(names[pairs[:, 1]])], names=["a", "b"])
+                if table.column("large")[start].as_py():
+                    cluster, block = (table.column(k)[start].as_py() for k in keys)
+                    own = table.slice(start, end - start).select(["class", "grams"]).combine_chunks()
+                    write_mapped(f"{path}/sets-{cluster}-{block}", own.to_batches()[0])
+            yield _pairs(names, found)
 
-    # blocks: a small cluster is one, a large one has some for each band
-    bands = Bands(percent)
-    largest = members.agg(F.max("n_grams")).first()[0] or 0
-    bands.of(int(largest))
-    band = F.array_size(F.filter(F.array(*[F.lit(s) for s in bands.starts]), lambda s: s <= F.col("n_grams"))) - 1
-    placed = members.withColumn("band", band)
-    sizes = placed.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy("cluster")
-    sizes = sizes.withColumn("total", F.sum("n").over(whole)).withColumn("blocks", F.ceil(F.col("n") / TILE))
-    sizes = sizes.withColumn("first", F.sum("blocks").over(whole.orderBy("band")) - F.col("blocks"))
-    ordered = whole.orderBy("band")
-    # blocks of this band and of the next and the one before, if there are rows in it
-    beside = sizes.withColumn("from", F.when(F.lag("band").over(ordered) == F.col("band") - 1, F.lag("first").over(ordered)).otherwise(F.col("first")))
-    beside = beside.withColumn("to", F.when(F.lead("band").over(ordered) == F.col("band") + 1,
-                                            F.lead("first").over(ordered) + F.lead("blocks").over(ordered)).otherwise(F.col("first") + F.col("blocks")))
-    tiled = placed.join(beside, ["cluster", "band"])
-    block = F.col("first") + F.pmod(F.xxhash64("class"), F.col("blocks"))
-    tiled = tiled.withColumn("block", F.when(F.col("total") <= TILE, F.lit(0)).otherwise(block).cast("bigint"))
-    other = F.when(F.col("total") <= TILE, F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(F.col("from"), F.col("to") - 1))
-    tiled = tiled.withColumn("other", F.explode(other)).select(
-        "rep_id", "rep_hash", "class", "cluster",
-        F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    tiled = tiled.groupBy("rep_id", "rep_hash", "class", "cluster").agg(F.collect_set(F.struct("x", "y")).alias("tiles"))
     # a merge join at every size: the plan does not turn on how many members there are
-    rows = docs.join(tiled.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash")))
-    sets = rows.select("text", "class", "cluster", "tiles").mapInArrow(
-        fetch, "class bigint, cluster bigint, tiles array<struct<x: bigint, y: bigint>>, grams binary")
-    fetched = sets.select("class", "cluster", F.inline("tiles"), "grams")
-    return fetched.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y").mapInArrow(multiply, "a bigint, b bigint")
+    own = placed.drop("band").hint("merge")
+    rows = docs.join(own, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash")))
+    sets = rows.select("text", "class", "cluster", "block", "large").mapInArrow(
+        fetch, "class bigint, cluster bigint, block bigint, large boolean, grams binary")
+    within = written(sets.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "class").mapInArrow(multiply, _PAIRS), "gram-links")
+    blocks = written(placed.filter("large").select("cluster", "band", "block").distinct(), "gram-block-names")
+    if blocks.isEmpty():
+        return within
+    release(spark)
+    left = blocks.withColumn("first", F.min("block").over(Window.partitionBy("cluster", "band")) == F.col("block"))
+    left = left.select("cluster", F.col("band").alias("x_band"), F.col("block").alias("x"), "first")
+    right = blocks.select("cluster", F.col("band").alias("y_band"), F.col("block").alias("y"))
+    beside = ((F.col("y_band") == F.col("x_band")) & (F.col("y") > F.col("x"))) | (F.col("y_band") == F.col("x_band") + 1)
+    tiles = left.join(right, "cluster").filter(beside)
+
+    def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, at, held = Bands(percent), None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if at != (row["cluster"], row["x"]):
+                    at = row["cluster"], row["x"]
+                    held = _read_block(path, *at, row["labels"])
+                other = _read_block(path, row["cluster"], row["y"], row["labels"])
+                names = np.concatenate([held[0], other[0]])
+                labels = np.concatenate([held[2], other[2]]) if row["labels"] else None
+                yield _pairs(names, spanning_links(held[1] + other[1], bands, labels))
+
+    def compared(some: DataFrame, labels: bool) -> DataFrame:
+        dealt_out = spread(some.select("cluster", "x", "y", F.lit(labels).alias("labels")), "cluster", "x", "y")
+        return written(dealt_out.sortWithinPartitions("cluster", "x", "y").mapInArrow(tile, _PAIRS), "gram-links")
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["cluster", "block"]):
+            starts = group_starts(table, ["cluster", "block"]).tolist()
+            for start, end in zip(starts, [*starts[1:], table.num_rows]):
+                own = table.slice(start, end - start).combine_chunks()
+                cluster, block = own.column("cluster")[0].as_py(), own.column("block")[0].as_py()
+                found = own.column("label").to_numpy()
+                write_mapped(f"{path}/labels-{cluster}-{block}", own.select(["class", "label"]).to_batches()[0])
+                only = int(found[0]) if (found == found[0]).all() else None
+                yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (cluster, block, only)], names=["cluster", "block", "only"])
+
+    joined = within.union(compared(tiles.filter("first"), False))
+    named = placed.filter("large").join(components(joined).withColumnRenamed("node", "class"), "class", "left")
+    named = named.select("class", "cluster", "block", F.coalesce("component", "class").alias("label"))
+    only = written(named.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "class").mapInArrow(
+        label, "cluster bigint, block bigint, only bigint"), "gram-labels")
+    rest = tiles.filter("not first").join(only.select("cluster", F.col("block").alias("x"), F.col("only").alias("x_only")), ["cluster", "x"])
+    rest = rest.join(only.select("cluster", F.col("block").alias("y"), F.col("only").alias("y_only")), ["cluster", "y"])
+    rest = rest.filter(F.col("x_only").isNull() | F.col("y_only").isNull() | (F.col("x_only") != F.col("y_only")))
+    return joined.union(compared(rest, True))
+
+
+def _read_block(path: str, cluster: int, block: int, labels: bool) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(classes, sets, labels) of a block of a large cluster."""
+    batch = read_mapped(f"{path}/sets-{cluster}-{block}")
+    names = batch.column("class").to_numpy()
+    found = np.empty(0, np.int64)
+    if labels:
+        known = read_mapped(f"{path}/labels-{cluster}-{block}")
+        found = known.column("label").to_numpy()[np.searchsorted(known.column("class").to_numpy(), names)]
+    return names, [np.frombuffer(s, np.uint64) for s in batch.column("grams").to_pylist()], found
 
 
 def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

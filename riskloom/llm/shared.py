@@ -36,6 +36,7 @@ def write_mapped(path: str, batch: pa.RecordBatch) -> None:
     fs, base = _located(path)
     if fs.get_file_info(base).type == pyarrow.fs.FileType.NotFound:
         own = f"{base}.{uuid.uuid4().hex}"
+        fs.create_dir(base.rpartition("/")[0], recursive=True)
         with fs.open_output_stream(own) as sink, pa.ipc.new_file(sink, batch.schema) as out:
             out.write_batch(batch)
         fs.move(own, base)

@@ -84,6 +84,28 @@ def test_large_clusters_are_tiled(spark, near_copies, monkeypatch):
     assert got(ngram_join.similar_groups(near_copies, 5, 80)) == brute_force(near_copies.collect(), 5, 80)
 
 
+def test_a_set_is_sent_to_one_block_and_tiles_look_for_links_between_labels(spark, near_copies, monkeypatch):
+    """A class costs one row, however many tiles its cluster has; some rows of a large cluster are joined to no other."""
+    monkeypatch.setattr(ngram_join, "TILE", 4)
+    rows = [(i, 20 + i % 30, i, i, 7) for i in range(500)]
+    members = spark.createDataFrame(rows, "class long, n_grams long, rep_id long, rep_hash long, cluster long")
+    placed = ngram_join._placed(members, 80).collect()
+    assert sorted(r["class"] for r in placed) == list(range(500)) and all(r["large"] for r in placed)
+    assert len({r["block"] for r in placed}) > 30 and len({(r["block"], r["band"]) for r in placed}) == len({r["block"] for r in placed})
+
+    rng, bands = np.random.default_rng(4), ngram_join.Bands(80)
+    bases = [rng.choice(10_000, 100, replace=False) for _ in range(3)]
+    sets = [np.unique(np.concatenate([bases[i % 3][: 100 - i % 5], 20_000 + rng.choice(10_000, i % 7)])).astype(np.uint64) for i in range(60)]
+    for labels in (None, np.where(np.arange(60) % 3 == 0, -1, np.arange(60)), np.arange(60) % 3, np.zeros(60, int)):
+        up = list(range(60)) if labels is None else [int(np.flatnonzero(labels == v)[0]) for v in labels]
+        links = ngram_join.spanning_links(sets, bands, labels)
+        assert len(links) == len(set(up)) - (1 if labels is not None and not labels.any() else 3)
+        for a, b in links:
+            both = len(np.intersect1d(sets[a], sets[b]))
+            assert up[a] != up[b] and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)
+            up = [up[a] if u == up[b] else u for u in up]
+
+
 def test_frequent_grams_may_be_left_out(near_copies, monkeypatch):
     monkeypatch.setattr(ngram_join, "FREQUENT_IN_BATCH", 2)
     assert got(ngram_join.similar_groups(near_copies, 3, 90)) == brute_force(near_copies.collect(), 3, 90)
