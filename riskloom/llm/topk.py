@@ -7,8 +7,9 @@ their score, as score = (|q|^2 + |x|^2 - d(q, x)^2) / 2.
 
 First every query searches its own block; the k-th best score found is a score it has to beat. Then it is sent to
 those other blocks that may hold one: the least and greatest distances of a block to each pivot bound all its
-scores. Candidates never move again. In a block they are evaluated in the order of their bounds, until the next
-bound is below the k-th best score: then no other can be among the k, ties included."""
+scores. Candidates never move again. In a block short vectors are scored as a matrix product with many queries
+at a time. Long ones are evaluated in the order of their bounds, until the next bound is below the k-th best score:
+then no other can be among the k, ties included."""
 
 from __future__ import annotations
 
@@ -19,11 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.operators.layout import spread
 from riskloom.shipping import ship
 from riskloom.sources.scratch import written
 
 #: Rows of a block; pivots; candidates evaluated at a time; blocks of a length whose bounds one task compares at a time.
 ROWS, PIVOTS, STEP, BOUNDS = 8192, 24, 64, 4096
+#: Up to so many dimensions a block's scores cost less than its bounds; scores that are held at a time.
+SHORT, CELLS = 512, 1 << 20
 #: Components up to this size keep all sums exact in a double for 2^12 dimensions.
 EXACT = float(1 << 20)
 #: Scores beyond a long are given as its ends.
@@ -84,6 +88,31 @@ class Block:
             at, step = at + step, step * 2
         return best
 
+    def search_all(self, own: np.ndarray, q: np.ndarray, k: int, beat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query's place, ids, scores) of the k best of each query among those that score `beat` or more, its own id left
+        out. Neither queries nor candidates are huge, so all sums are exact."""
+        found = [(np.empty(0, np.int64),) * 3]
+        order = np.argsort(self.ids)
+        step = max(1, CELLS // max(1, len(self.ids)))
+        for at in range(0, len(q) if len(self.ids) else 0, step):
+            scores = q[at : at + step] @ self.v.T
+            place = order[np.minimum(np.searchsorted(self.ids, own[at : at + step], sorter=order), len(order) - 1)]
+            here = np.flatnonzero(self.ids[place] == own[at : at + step])
+            scores[here, place[here]] = -np.inf
+            least = beat[at : at + step].copy()
+            hits = (scores >= least[:, None]) & (scores > -np.inf)
+            many = np.flatnonzero(hits.sum(1) > k)
+            if len(many):
+                least[many] = np.partition(scores[many], -k, axis=1)[:, -k]
+                hits[many] &= scores[many] >= least[many, None]
+            row, column = np.nonzero(hits)
+            score, name = scores[row, column], self.ids[column]
+            best = np.lexsort((name, -score, row))
+            row, score, name = row[best], score[best], name[best]
+            top = np.arange(len(row)) - np.searchsorted(row, row) < k
+            found.append((row[top] + at, name[top], score[top].astype(np.int64)))
+        return tuple(np.concatenate(parts) for parts in zip(*found))
+
 
 _FOUND = "query_id bigint, vec_id bigint, score bigint"
 
@@ -106,8 +135,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_co
     vectors = written(vectors.select("vec_id", "s.*"), "topk-vectors")
     # PIVOTS rows of each length, whatever the size of the table
     usual = F.forall("v", lambda c: F.abs(c) <= EXACT)
-    spread = Window.partitionBy("dims").orderBy(F.xxhash64("vec_id"), "vec_id")
-    chosen = vectors.filter(usual).withColumn("r", F.row_number().over(spread)).filter(F.col("r") <= PIVOTS).collect()
+    mixed = Window.partitionBy("dims").orderBy(F.xxhash64("vec_id"), "vec_id")
+    chosen = vectors.filter(usual).withColumn("r", F.row_number().over(mixed)).filter(F.col("r") <= PIVOTS).collect()
     pivots: dict[int, np.ndarray] = {}
     for dims in {r["dims"] for r in chosen}:
         own = [r["v"] for r in chosen if r["dims"] == dims]
@@ -141,10 +170,15 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_co
 
         def asked(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             v, far = _matrix(batch.column("v"), at[0]), _matrix(batch.column("far"), len(pivots.get(at[0], ())))
+            ids = batch.column("vec_id").to_numpy()
+            beat = batch.column("beat").fill_null(-np.inf).to_numpy(zero_copy_only=False)
+            usual = np.abs(v).max(axis=1, initial=0) <= EXACT if at[0] <= SHORT and not block.huge else np.zeros(len(v), bool)
+            place, names, scores = block.search_all(ids[usual], v[usual], k, beat[usual])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids[usual][place], names, scores)], names=["query_id", "vec_id", "score"])
             out = []
-            for i, q, to, beat in zip(batch.column("vec_id").to_pylist(), v, far, batch.column("beat").to_pylist()):
-                found = block.search(i, q, to, k, -np.inf if beat is None else beat)
-                out += [(i, j, -s) for s, j in found]
+            for n in np.flatnonzero(~usual).tolist():
+                found = block.search(int(ids[n]), v[n], far[n], k, float(beat[n]))
+                out += [(int(ids[n]), j, -s) for s, j in found]
             yield _found(out)
 
         for batch in batches:
@@ -169,7 +203,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_co
     asking = placed.filter("query").select(*deals, F.lit(True).alias("asks"), "vec_id", "v", "far", F.lit(None).cast("double").alias("beat"))
 
     def search(queries: DataFrame) -> DataFrame:
-        work = slim.unionByName(queries).repartition(*deals).sortWithinPartitions(*deals, "asks")
+        work = spread(slim.unionByName(queries), *deals).sortWithinPartitions(*deals, "asks")
         return written(work.mapInArrow(searched, _FOUND), "topk-found")
 
     own = search(asking)

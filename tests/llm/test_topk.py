@@ -58,3 +58,19 @@ def test_queries_go_where_their_bounds_reach(spark, monkeypatch):
     rows += [(1000 + i, [0.25] * 6) for i in range(300)]  # equal vectors
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
     assert sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 20 == 0, 5).collect())) == brute_force(rows, 20, 5)
+
+
+def test_queries_of_a_block_are_scored_together():
+    """Few short vectors tie at the k-th place, a query may be one of the block, and a score to beat leaves few."""
+    rng = np.random.default_rng(5)
+    v = rng.integers(-3, 4, (300, 8)).astype(float)
+    ids = rng.permutation(1000)[:300]
+    block = topk.Block(ids, v, np.zeros((300, 0)))
+    q, own = v[:40], np.where(np.arange(40) % 2, ids[:40], 5000 + np.arange(40))
+    beat = np.where(np.arange(40) % 3, -np.inf, 25.0)
+    place, names, scores = block.search_all(own, q, 5, beat)
+    for i in range(40):
+        every = sorted((-int(s), int(n)) for s, n in zip(v @ q[i], ids) if n != own[i] and s >= beat[i])[:5]
+        assert [(-s, n) for n, s in zip(names[place == i].tolist(), scores[place == i].tolist())] == every
+        assert block.search(int(own[i]), q[i], np.empty(0), 5, -np.inf)[: len(every)] == every
+    assert all(len(part) == 0 for part in topk.Block(np.empty(0, np.int64), np.zeros((0, 8)), np.zeros((0, 0))).search_all(own, q, 5, beat))
