@@ -5,50 +5,28 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import uuid
 from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
-import pyarrow.fs
 import pyarrow.parquet as pq
 
-
-def _located(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+from riskloom.sources.mapped import located, read_mapped, write_mapped  # noqa: F401
 
 
 def read_table(path: str, columns: list[str] | None = None) -> pa.Table:
     """All rows of a folder that Spark has written; columns that are read one by one have the same order."""
-    fs, base = _located(path)
+    fs, base = located(path)
     return pq.read_table(base, columns=columns, filesystem=fs)
 
 
 def read_batches(path: str, columns: list[str] | None = None, rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The rows of `read_table` in its order, a few at a time."""
-    fs, base = _located(path)
+    fs, base = located(path)
     for file in sorted(pq.ParquetDataset(base, filesystem=fs).files):
         with fs.open_input_file(file) as source:
             yield from pq.ParquetFile(source).iter_batches(rows, columns=columns)
 
 
-def write_mapped(path: str, batch: pa.RecordBatch) -> None:
-    """One file for `read_mapped`, there whole or not at all; one that is there is kept."""
-    fs, base = _located(path)
-    if fs.get_file_info(base).type == pyarrow.fs.FileType.NotFound:
-        own = f"{base}.{uuid.uuid4().hex}"
-        fs.create_dir(base.rpartition("/")[0], recursive=True)
-        with fs.open_output_stream(own) as sink, pa.ipc.new_file(sink, batch.schema) as out:
-            out.write_batch(batch)
-        fs.move(own, base)
-
-
-def read_mapped(path: str) -> pa.RecordBatch:
-    """What `write_mapped` has written. A local file is mapped: its pages are shared by all workers of the machine."""
-    fs, base = _located(path)
-    source = pa.memory_map(base) if isinstance(fs, pyarrow.fs.LocalFileSystem) else fs.open_input_file(base)
-    return pa.ipc.open_file(source).get_batch(0)
-
-
 _HELD: dict[Hashable, object] = {}
 
 

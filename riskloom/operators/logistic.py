@@ -1,29 +1,29 @@
 """Multinomial logistic regression with a penalty on raw coefficients and a free intercept.
 
-The minimiser is a limited-memory quasi-Newton method. Few rows are fitted in one task. Otherwise each evaluation is one Spark
-job: every task sums loss and gradient of its rows, sums are added up again in a second step if there are many, and the driver
-gets a bounded number of vectors of the size of the coefficients."""
+The minimiser is a limited-memory quasi-Newton method, scaled by the curvature of each coefficient. Rows are packed into files of
+the shared folder, which tasks map. Few rows are fitted in one task. Otherwise each evaluation is one Spark job: every task sums
+loss and gradient of its files, many sums are added up in steps, and the driver gets a bounded number of vectors of the
+size of the coefficients."""
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.shipping import ship
-from riskloom.sources.scratch import written
+from riskloom.sources.mapped import read_mapped, write_mapped
+from riskloom.sources.scratch import scratch_path
 
-MEMORY, MAX_STEPS, GRADIENT = 12, 500, 1e-8
-#: Partial sums that may go to the driver.
+MEMORY, MAX_STEPS, GRADIENT = 100, 500, 1e-8
+#: Partial sums that may be added up at once.
 SUMS = 64
-#: Values of sparse rows that one task fits (12 bytes each).
-HELD_VALUES = 6_000_000
+#: Values of sparse rows that one task fits, and those of a file (24 bytes each).
+HELD_VALUES, FILE_VALUES = 4_000_000, 250_000
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -36,9 +36,10 @@ def logits_of(row: np.ndarray, slot: np.ndarray, value: np.ndarray, n: int, thet
     return np.stack([np.bincount(row, weights=theta[slot, k] * value, minlength=n) for k in range(theta.shape[1])], axis=1)
 
 
-def minimise(evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray) -> np.ndarray:
-    """The minimum of a smooth convex function given as (value, gradient)."""
+def minimise(evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray, curvature: np.ndarray) -> np.ndarray:
+    """The minimum of a smooth convex function given as (value, gradient); `curvature`: about its second derivatives."""
     x, (f, g) = start, evaluate(start)
+    scale = curvature.ravel() ** -0.5  # half way: whole, the rare slots would lead the steps
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(MAX_STEPS):
         if np.abs(g).max() <= GRADIENT * max(1.0, abs(f)):
@@ -50,9 +51,9 @@ def minimise(evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]], start:
             q -= a * y
         if pairs:
             s, y = pairs[-1]
-            q *= s @ y / (y @ y)
+            q *= s @ y / (y @ (scale * y)) * scale
         else:
-            q /= max(1.0, float(np.linalg.norm(q)))
+            q *= scale
         for (s, y), a in zip(pairs, reversed(kept)):
             q += (a - y @ q / (y @ s)) * s
         step, slope, rate = -q.reshape(x.shape), -float(q @ g.ravel()), 1.0
@@ -73,30 +74,68 @@ def minimise(evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]], start:
 
 @dataclass
 class Rows:
-    """Sparse rows of one batch: sizes, slots and values of the rows, their labels and weights."""
+    """Some sparse rows: their sizes, slots and values, their labels and weights; then by slot: the slots that occur, where
+    each begins, and its rows and values."""
 
     sizes: np.ndarray
     slot: np.ndarray
     value: np.ndarray
     label: np.ndarray
     weight: np.ndarray
+    used: np.ndarray
+    begins: np.ndarray
+    rows: np.ndarray
+    values: np.ndarray
+
+    KINDS = (np.int32, np.int32, float, np.int32, float, np.int64, np.int64, np.int32, float)
+
+    @staticmethod
+    def of(batches: list[pa.RecordBatch]) -> Rows:
+        """From `(slots, values, label, weight)`."""
+        table = pa.Table.from_batches(batches).combine_chunks()
+        slots, values, label, weight = (table.column(i).combine_chunks() for i in range(4))
+        slot, value = np.asarray(slots.flatten(), np.int32), np.asarray(values.flatten(), float)
+        sizes, order = np.diff(np.asarray(slots.offsets)).astype(np.int32), np.argsort(slot, kind="stable")
+        used, begins = np.unique(slot[order], return_index=True)
+        row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        return Rows(sizes, slot, value, np.asarray(label, np.int32), np.asarray(weight, float), used.astype(np.int64), begins.astype(np.int64), row[order], value[order])
+
+    def write(self, path: str) -> None:
+        parts = (self.sizes, self.slot, self.value, self.label, self.weight, self.used, self.begins, self.rows, self.values)
+        write_mapped(path, pa.RecordBatch.from_arrays([pa.array([part.tobytes()], pa.large_binary()) for part in parts], names=[f"c{i}" for i in range(len(parts))]))
 
     @staticmethod
-    def unpacked(batch: pa.RecordBatch) -> Iterator[Rows]:
-        kinds = (np.int32, np.int32, float, np.int32, float)
-        for parts in zip(*(batch.column(i).to_pylist() for i in range(len(kinds)))):
-            yield Rows(*(np.frombuffer(part, kind) for part, kind in zip(parts, kinds)))
+    def read(path: str) -> Rows:
+        batch = read_mapped(path)
+        return Rows(*(np.frombuffer(batch.column(i)[0].as_buffer(), kind) for i, kind in enumerate(Rows.KINDS)))
 
     def add_to(self, sums: np.ndarray, theta: np.ndarray) -> None:
         """Adds the gradient, and last the loss, of these rows."""
-        n, each = len(self.sizes), np.arange(len(self.sizes))
-        row = np.repeat(each, self.sizes)
-        p = softmax(logits_of(row, self.slot, self.value, n, theta) + theta[-1])
-        sums[-1] -= float(self.weight @ np.log(np.maximum(p[each, self.label], 1e-300)))
-        p[each, self.label] -= 1.0
-        p *= self.weight[:, None]
-        grad = np.stack([np.bincount(self.slot, weights=self.value * p[row, k], minlength=len(theta) - 1) for k in range(theta.shape[1])], axis=1)
-        sums[:-1] += np.concatenate([grad, p.sum(0)[None]]).ravel()
+        classes, each = theta.shape[1], np.arange(len(self.sizes))
+        filled = np.flatnonzero(self.sizes)
+        starts = (np.cumsum(self.sizes) - self.sizes)[filled]
+        logits = np.repeat(theta[-1][:, None], len(each), axis=1)
+        for k in range(classes if len(filled) else 0):
+            products = np.ascontiguousarray(theta[:, k]).take(self.slot)
+            products *= self.value
+            logits[k, filled] += np.add.reduceat(products, starts)
+        p = np.ascontiguousarray(softmax(logits.T).T)
+        sums[-1] -= float(self.weight @ np.log(np.maximum(p[self.label, each], 1e-300)))
+        p[self.label, each] -= 1.0
+        p *= self.weight
+        gradient = sums[:-1].reshape(theta.shape)
+        gradient[-1] += p.sum(1)
+        for k in range(classes if len(filled) else 0):
+            products = p[k].take(self.rows)
+            products *= self.values
+            gradient[self.used, k] += np.add.reduceat(products, self.begins)
+
+    def squares(self, slots: int) -> np.ndarray:
+        """Sums of the weighted squares of each slot."""
+        out = np.zeros(slots)
+        if len(self.used):
+            out[self.used] = np.add.reduceat(self.values**2 * self.weight[self.rows], self.begins)
+        return out
 
 
 def _sums_of(batches: Iterable[Rows], theta: np.ndarray) -> np.ndarray:
@@ -112,19 +151,16 @@ def _objective(sums: np.ndarray, theta: np.ndarray, penalty: float) -> tuple[flo
     return float(sums[-1] + 0.5 * penalty * (free * free).sum()), sums[:-1].reshape(theta.shape) + penalty * free
 
 
-_PACKED = "sizes binary, slots binary, values binary, labels binary, weights binary, total double, n_values bigint"
+def _curvature(squares: np.ndarray, total: float, classes: int, penalty: float) -> np.ndarray:
+    """Second derivatives where all classes are as likely."""
+    shares = (classes - 1) / classes**2
+    return np.repeat(np.append(shares * squares / total + penalty, shares)[:, None], classes, axis=1)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row of plain bytes for each batch: later steps read it without a conversion of every value."""
-    for batch in batches:
-        slots, values, label, weight = (batch.column(i) for i in range(4))
-        weights = np.asarray(weight, float)
-        parts = (np.diff(np.asarray(slots.offsets)).astype(np.int32), np.asarray(slots.flatten(), np.int32), np.asarray(values.flatten(), float),
-                 np.asarray(label, np.int32), weights)
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array([part.tobytes()], pa.binary()) for part in parts), pa.array([float(weights.sum())]), pa.array([len(parts[1])], pa.int64())],
-            names=[c.split()[0] for c in _PACKED.split(", ")])
+def _fit_files(files: list[str], total: float, shape: tuple[int, int], penalty: float) -> np.ndarray:
+    held = [Rows.read(file) for file in files]
+    squares = sum(rows.squares(shape[0] - 1) for rows in held)
+    return minimise(lambda theta: _objective(_sums_of(held, theta) / total, theta, penalty), np.zeros(shape), _curvature(squares, total, shape[1], penalty))
 
 
 def fit_multinomial(rows: DataFrame, slots: int, classes: int, penalty: float, held_values: int = HELD_VALUES) -> np.ndarray:
@@ -132,46 +168,50 @@ def fit_multinomial(rows: DataFrame, slots: int, classes: int, penalty: float, h
 
     Minimises the weighted mean log loss plus half the penalty times the squared coefficients; the last row
     holds the intercepts, which are free. Up to `held_values` values are fitted in one task."""
-    ship(rows.sparkSession)
-    packed = written(rows.select("slots", "values", "label", "weight").mapInArrow(_pack, _PACKED), "packed-rows")
-    total, values = packed.agg(F.sum("total"), F.sum("n_values")).first()
-    start = np.zeros((slots + 1, classes))
+    spark, shape = ship(rows.sparkSession), (slots + 1, classes)
+    path = scratch_path(spark, "packed-rows")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+
+        def put() -> pa.RecordBatch:
+            own, file = Rows.of(held), f"{path}/{uuid.uuid4().hex}"
+            own.write(file)
+            return pa.RecordBatch.from_arrays([pa.array([file]), pa.array([float(own.weight.sum())]), pa.array([len(own.slot)], pa.int64())],
+                                              names=["file", "total", "n_values"])
+
+        for batch in batches:
+            held.append(batch)
+            count += len(batch.column(0).flatten())
+            if count >= FILE_VALUES:
+                yield put()
+                held, count = [], 0
+        if held:
+            yield put()
+
+    # a row for each quarter million values
+    files = rows.select("slots", "values", "label", "weight").mapInArrow(pack, "file string, total double, n_values bigint").collect()
+    total, values = sum(f["total"] for f in files), sum(f["n_values"] for f in files)
+    names = [f["file"] for f in files]
     if values > held_values:
-        return minimise(_by_jobs(packed, total, penalty), start)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [one for batch in batches for one in Rows.unpacked(batch)]
-        found = minimise(lambda theta: _objective(_sums_of(held, theta) / total, theta, penalty), start)
-        yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], names=["found"])
+        return _by_jobs(spark, names, total, shape, penalty)
+    return spark.sparkContext.parallelize([names], 1).map(lambda own: _fit_files(own, total, shape, penalty)).collect()[0]
 
-    found = packed.drop("total", "n_values").coalesce(1).mapInArrow(run, "found binary").collect()  # one row
-    return np.frombuffer(found[0]["found"]).reshape(start.shape).copy()
 
+def _by_jobs(spark: SparkSession, files: list[str], total: float, shape: tuple[int, int], penalty: float) -> np.ndarray:
+    """The minimum, with value and gradient by one Spark job over the files for each step."""
+    context = spark.sparkContext
+    placed = context.parallelize(files, max(1, min(len(files), 4 * context.defaultParallelism)))
 
-def _by_jobs(rows: DataFrame, total: float, penalty: float) -> Callable[[np.ndarray], tuple[float, np.ndarray]]:
-    """Value and gradient by one Spark job over packed rows for each step."""
-    n_parts = rows.rdd.getNumPartitions()
+    def summed(part: Callable[[Iterator[str]], np.ndarray]) -> np.ndarray:
+        sums = placed.mapPartitions(lambda own: [part(own)])
+        return sums.treeReduce(np.add, 2) if placed.getNumPartitions() > SUMS else sum(sums.collect())
 
     def evaluate(theta: np.ndarray) -> tuple[float, np.ndarray]:
-        sent = rows.sparkSession.sparkContext.broadcast(theta)  # bounded by slots x classes
-        theta_size = theta.size
-
-        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = _sums_of(chain.from_iterable(map(Rows.unpacked, batches)), sent.value)
-            yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
-
-        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(theta_size + 1)
-            for batch in batches:
-                for part in batch.column(0).to_pylist():
-                    sums += np.frombuffer(part)
-            yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
-
-        found = rows.drop("total", "n_values").mapInArrow(partial, "sums binary")
-        if n_parts > SUMS:
-            found = found.repartition(math.isqrt(n_parts)).mapInArrow(added, "sums binary")
-        sums = sum(np.frombuffer(r["sums"]) for r in found.collect()) / total
+        sent = context.broadcast(theta)  # bounded by slots x classes
+        sums = summed(lambda own: _sums_of(map(Rows.read, own), sent.value)) / total
         sent.destroy()
         return _objective(sums, theta, penalty)
 
-    return evaluate
+    squares = summed(lambda own: sum((Rows.read(file).squares(shape[0] - 1) for file in own), np.zeros(shape[0] - 1)))
+    return minimise(evaluate, np.zeros(shape), _curvature(squares, total, shape[1], penalty))

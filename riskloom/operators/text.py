@@ -6,10 +6,11 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import batched, chain, pairwise, repeat
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructType
@@ -26,8 +27,8 @@ from riskloom.shipping import ship
 WORD = "[a-z0-9]{2,}"
 ANY_WORD = r"[\p{L}\p{N}_]{2,}"
 #: Terms that a task counts before it passes the counts on, and rows of a batch then.
-HELD_TERMS, FLUSHED_ROWS = 400_000, 20_000
-SLICE_ROWS = 256
+HELD_TERMS, FLUSHED_ROWS = 1_000_000, 20_000
+SLICE_ROWS, VECTOR_ROWS = 256, 1_000
 # A small default; callers with a fuller list pass their own.
 STOP_WORDS = [
     "a", "about", "after", "all", "also", "am", "an", "and", "any", "are", "as", "at", "be",
@@ -40,11 +41,11 @@ STOP_WORDS = [
 ]
 
 
-def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _small(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Slices of few rows: a list of words takes several times its text in Python."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(at, SLICE_ROWS)
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def with_terms(docs: DataFrame, text: str, out: str = "terms") -> DataFrame:
@@ -66,6 +67,74 @@ def tokenize_ngrams(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     )
 
 
+@dataclass
+class _Words:
+    """The words of some rows as numbers: `row` and `code` of each word, and the words that codes stand for."""
+
+    row: np.ndarray
+    code: np.ndarray
+    known: pa.Array
+
+    @staticmethod
+    def of(joined: pa.Array) -> _Words:
+        """From words with a space in between; no row and an empty one have none."""
+        lists = pc.split_pattern(pc.fill_null(joined, ""), " ")
+        flat = lists.flatten()
+        row = np.repeat(np.arange(len(joined)), np.diff(np.asarray(lists.offsets)))
+        found = flat.dictionary_encode()
+        code, known = np.asarray(found.indices), found.dictionary
+        real = np.asarray(pc.not_equal(known, ""))[code]
+        return _Words(row[real], code[real], known)
+
+    def pairs(self) -> np.ndarray:
+        """Places of words that another one of their row follows."""
+        return np.flatnonzero(self.row[1:] == self.row[:-1])
+
+
+class _Counts:
+    """Corpus and document frequency of terms: a word's key is its number, a pair's has the first word's, plus one, in its upper half."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, words: _Words) -> None:
+        number = np.fromiter((self.numbers.setdefault(w, len(self.numbers)) for w in words.known.to_pylist()), np.int64, len(words.known))[words.code]
+        at = words.pairs()
+        keys = np.concatenate([number, (number[at] + 1) << 32 | number[at + 1]])
+        rows = np.concatenate([words.row, words.row[at]])
+        known, place, total = np.unique(keys, return_inverse=True, return_counts=True)
+        df = np.bincount(np.unique(rows * len(known) + place) % max(1, len(known)), minlength=len(known))
+        self.parts.append((known, total, df))
+        self.held += len(known)
+
+    def compact(self) -> None:
+        self.parts = [self.merged()]
+        self.held = len(self.parts[0][0])
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, total, df = (np.concatenate([np.empty(0, np.int64), *column]) for column in zip(*self.parts or [((),) * 3]))
+        known, place = np.unique(keys, return_inverse=True)
+        return known, *(np.bincount(place, weights=c, minlength=len(known)).astype(np.int64) for c in (total, df))
+
+    def taken(self) -> Iterator[list[pa.Array]]:
+        """[terms, totals, document frequencies], after which nothing is held."""
+        keys, total, df = self.merged()
+        words = pa.array(self.numbers, pa.string())
+        for at in range(0, len(keys), FLUSHED_ROWS):
+            some, own = keys[at : at + FLUSHED_ROWS], slice(at, at + FLUSHED_ROWS)
+            last, first = words.take(pa.array(some & 0xFFFFFFFF)), (some >> 32) - 1
+            both = pc.binary_join_element_wise(words.take(pa.array(np.maximum(first, 0))), last, " ")
+            yield [pc.if_else(pa.array(first >= 0), both, last), pa.array(total[own]), pa.array(df[own])]
+        self.__init__()
+
+
+def _joined(words: Column) -> Column:
+    """Words as one text: lists of texts cost much more on their way to Python."""
+    return F.array_join(words, " ")
+
+
 def _term_counts(docs: DataFrame, by: list[str], words: Column) -> DataFrame:
     """Corpus and document frequency of the words and their adjacent pairs in the array column `words`.
 
@@ -75,32 +144,29 @@ def _term_counts(docs: DataFrame, by: list[str], words: Column) -> DataFrame:
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in by]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, found, types = defaultdict(Counter), defaultdict(Counter), []
+        counts, types = defaultdict(_Counts), []
         for batch in _small(batches):
             types = [batch.schema.field(i).type for i in range(len(by))]
-            groups = zip(*(batch.column(i).to_pylist() for i in range(len(by)))) if by else repeat(())
-            for group, own in zip(groups, batch.column(len(by)).to_pylist()):
-                counts = Counter(own or ())
-                counts.update(map(" ".join, pairwise(own or ())))
-                total, df = totals[group], found[group]
-                for term, n in counts.items():
-                    total[term] += n
-                df.update(counts.keys())
-            if sum(map(len, totals.values())) > HELD_TERMS:
-                yield from flushed(totals, found, types)
-                totals.clear(), found.clear()
-        yield from flushed(totals, found, types)
-
-    def flushed(totals: dict, found: dict, types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
-        for group, total in totals.items():
-            for terms in batched(total, FLUSHED_ROWS):
-                df, keys = found[group], [pa.array([value] * len(terms), kind) for value, kind in zip(group, types)]
-                yield pa.RecordBatch.from_arrays(
-                    [*keys, pa.array(terms, pa.string()), pa.array([total[t] for t in terms], pa.int64()), pa.array([df[t] for t in terms], pa.int64())],
-                    names=[*by, "term", "total", "df"])
+            groups = list(zip(*(batch.column(i).to_pylist() for i in range(len(by))))) if by else [()] * batch.num_rows
+            for group in dict.fromkeys(groups):
+                own = batch.column(len(by)) if len(by) == 0 else batch.column(len(by)).filter(pa.array([g == group for g in groups]))
+                counts[group].add(_Words.of(own))
+            if sum(one.held for one in counts.values()) > 2 * HELD_TERMS:
+                for one in counts.values():
+                    one.compact()
+                if sum(one.held for one in counts.values()) > HELD_TERMS:
+                    yield from flushed(counts, types)
+        yield from flushed(counts, types)
+
+    def flushed(counts: dict, types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+        for group, one in counts.items():
+            for columns in one.taken():
+                keys = [pa.array([value] * len(columns[0]), kind) for value, kind in zip(group, types)]
+                yield pa.RecordBatch.from_arrays([*keys, *columns], names=[*by, "term", "total", "df"])
+        counts.clear()
 
     schema = ", ".join([*kinds, "term string, total bigint, df bigint"])
-    return docs.select(*by, words.alias("__words")).mapInArrow(run, schema).groupBy(*by, "term").agg(
+    return docs.select(*by, _joined(words).alias("__words")).mapInArrow(run, schema).repartition(*by, "term").groupBy(*by, "term").agg(
         F.sum("total").alias("total"), F.sum("df").alias("df"))
 
 
@@ -222,17 +288,36 @@ class SentimentModel:
 _COEFFICIENTS = "slot int, " + ", ".join(f"{c} double" for c in SENTIMENT_LABELS)
 
 
-def _weigh(words: list[list[str] | None], number: dict[str, int], idf: np.ndarray) -> tuple[list[list[int]], list[np.ndarray]]:
-    """(slots, weights) of each row's known terms, normalised TF-IDF."""
-    slots, weights = [], []
-    for own in words:
-        own = own or []
-        found = Counter(number[t] for t in chain(own, map(" ".join, pairwise(own))) if t in number)
-        slot, count = list(found), np.fromiter(found.values(), float, len(found))
-        raw = (1 + np.log(count)) * idf[slot] if slot else count
-        slots.append(slot)
-        weights.append(raw / (np.linalg.norm(raw) or 1.0))
-    return slots, weights
+class _Vocabulary:
+    """Terms by number: words, and pairs of words as sorted keys."""
+
+    def __init__(self, terms: list[str], idf: np.ndarray):
+        self.idf = np.asarray(idf, float)
+        split = [t.split(" ") for t in terms]
+        self.words = {own[0]: i for i, own in enumerate(split) if len(own) == 1}
+        self.members = {w: n for n, w in enumerate(dict.fromkeys(w for own in split if len(own) == 2 for w in own))}
+        keys = np.array([self.members[own[0]] * len(self.members) + self.members[own[1]] for own in split if len(own) == 2], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.numbers = keys[order], np.array([i for i, own in enumerate(split) if len(own) == 2], np.int64)[order]
+
+    def weigh(self, joined: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sizes, slots, weights) of the known terms of rows of words, normalised TF-IDF."""
+        found, known = _Words.of(joined), len(self.idf)
+        names = found.known.to_pylist()
+        word = np.fromiter((self.words.get(w, -1) for w in names), np.int64, len(names))[found.code]
+        member = np.fromiter((self.members.get(w, -1) for w in names), np.int64, len(names))[found.code]
+        at = found.pairs()
+        at = at[(member[at] >= 0) & (member[at + 1] >= 0)]
+        keys = member[at] * len(self.members) + member[at + 1]
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[place] == keys) if len(self.keys) else np.empty(0, np.int64)
+        own = np.flatnonzero(word >= 0)
+        cells = np.concatenate([found.row[own] * known + word[own], found.row[at[hit]] * known + (self.numbers[place[hit]] if len(hit) else hit)])
+        cells, count = np.unique(cells, return_counts=True)
+        row, slot = np.divmod(cells, max(1, known))
+        raw = (1 + np.log(count)) * self.idf[slot]
+        norm = np.sqrt(np.bincount(row, weights=raw * raw, minlength=len(joined)))
+        return np.bincount(row, minlength=len(joined)), slot, raw / np.where(norm, norm, 1.0)[row]
 
 
 def _words(text: str) -> Column:
@@ -243,18 +328,19 @@ def _vectors(docs: DataFrame, text: str, terms: list[str], idf: np.ndarray) -> D
     """`docs` with sparse normalised TF-IDF as `slots` and `values`; row by row, nothing is shuffled.
 
     The vocabulary is bounded by `max_features` and goes along with the function."""
-    number = {t: i for i, t in enumerate(ship(docs.sparkSession) and terms)}
+    vocabulary = _Vocabulary(ship(docs.sparkSession) and terms, idf)
     kept = [c for c in docs.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slots, values = _weigh(batch.column(batch.num_columns - 1).to_pylist(), number, idf)
+        for batch in _small(batches, VECTOR_ROWS):
+            sizes, slots, values = vocabulary.weigh(batch.column(batch.num_columns - 1))
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(slots, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64()))],
+                [*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(slots, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(values))],
                 names=[*kept, "slots", "values"])
 
     schema = docs.select(*kept).schema.add("slots", ArrayType(IntegerType())).add("values", ArrayType(DoubleType()))
-    return docs.select(*kept, _words(text).alias("__words")).mapInArrow(run, schema)
+    return docs.select(*kept, _joined(_words(text)).alias("__words")).mapInArrow(run, schema)
 
 
 def train_sentiment(reviews: DataFrame, text: str = "review_text", label: str = "sentiment_label",
@@ -286,15 +372,14 @@ def train_sentiment(reviews: DataFrame, text: str = "review_text", label: str =
 
 def sentiment_probabilities(reviews: DataFrame, model: SentimentModel, text: str = "review_text") -> DataFrame:
     """`reviews` with `__probability`, an array in label order. Rows are dealt evenly over the tasks."""
-    number, idf, theta = {t: i for i, t in enumerate(model.terms)}, model.idf, model.coefficients
-    names, words = ship(reviews.sparkSession) and reviews.columns, _words(text)
+    vocabulary, theta = _Vocabulary(model.terms, model.idf), model.coefficients
+    names, words = ship(reviews.sparkSession) and reviews.columns, _joined(_words(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slots, values = _weigh(batch.column(batch.num_columns - 1).to_pylist(), number, idf)
-            row = np.repeat(np.arange(batch.num_rows), [len(s) for s in slots])
-            slot = np.fromiter(chain.from_iterable(slots), np.int64, len(row))
-            p = softmax(logits_of(row, slot, np.concatenate([*values, np.empty(0)]), batch.num_rows, theta) + theta[-1])
+        for batch in _small(batches, VECTOR_ROWS):
+            sizes, slot, values = vocabulary.weigh(batch.column(batch.num_columns - 1))
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            p = softmax(logits_of(row, slot, values, batch.num_rows, theta) + theta[-1])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(list(p), pa.list_(pa.float64()))], names=[*names, "__probability"])
 
     return dealt(reviews).select("*", words.alias("__words")).mapInArrow(run, StructType([*reviews.schema.fields]).add("__probability", ArrayType(DoubleType())))

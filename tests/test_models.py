@@ -411,3 +411,30 @@ def test_fit_of_held_rows_and_by_jobs_agree(spark):
     frame = spark.createDataFrame(rows, "slots array<int>, values array<double>, label int, weight double")
     held, jobs = (fit_multinomial(frame, 10, 3, 1e-2, n) for n in (10_000, 1))
     assert abs(held - jobs).max() < 1e-5 and abs(held).max() > 0.01
+
+
+def test_a_fit_of_common_and_rare_slots_takes_few_evaluations():
+    """Slots from in most rows to in few, as terms are: the steps are scaled by curvatures."""
+    import pyarrow as pa
+
+    from riskloom.operators import logistic
+
+    rng, n, slots = np.random.default_rng(7), 1500, 400
+    held = [np.flatnonzero(rng.random(slots) < 0.6 / (1 + np.arange(slots)) ** 0.7) for _ in range(n)]
+    values = [np.full(len(own), 1.0 / np.sqrt(max(1, len(own)))) for own in held]
+    truth = rng.normal(0, 3, (slots, 3))
+    label = [int((truth[own].sum(0) + rng.gumbel(size=3)).argmax()) for own in held]
+    batch = pa.RecordBatch.from_arrays([pa.array([o.tolist() for o in held], pa.list_(pa.int32())), pa.array([v.tolist() for v in values], pa.list_(pa.float64())),
+                                        pa.array(label, pa.int32()), pa.array(np.ones(n))], names=["slots", "values", "label", "weight"])
+    rows, calls, penalty = logistic.Rows.of([batch]), [], 1.0 / n
+
+    def evaluate(theta):
+        calls.append(1)
+        return logistic._objective(logistic._sums_of([rows], theta) / n, theta, penalty)
+
+    theta = rng.normal(0, 0.1, (slots + 1, 3))
+    (f, g), move = evaluate(theta), rng.normal(0, 1e-6, theta.shape)
+    assert abs(evaluate(theta + move)[0] - f - (g * move).sum()) < 1e-9
+    calls.clear()
+    found = logistic.minimise(evaluate, np.zeros_like(theta), logistic._curvature(rows.squares(slots), n, 3, penalty))
+    assert len(calls) < 100 and abs(evaluate(found)[1]).max() < 1e-7
