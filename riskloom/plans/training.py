@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,16 +49,20 @@ def train_all(customers: DataFrame, reviews: DataFrame, daily: DataFrame,
               settings=None) -> Trained:
     """Fit churn, sentiment, anomaly and forecast models; metrics come as DataFrames. Fitted
     tables are written to the shared folder."""
-    ship(customers.sparkSession)
-    best_model, candidates, churn_metrics, best = train_churn_models(customers, config, families, settings)
+    spark = ship(customers.sparkSession)
 
-    split = split_stratified(reviews, "review_id", "sentiment_label", config.test_size, config.seed)
-    sentiment = text.train_sentiment(
-        split.where("not is_test"), max_features=config.max_features, min_df=config.min_df
-    )
-    sentiment_metrics = text.evaluate_sentiment(
-        text.score_sentiment(split.where("is_test"), sentiment)
-    )
+    def reviewed() -> tuple[text.SentimentModel, DataFrame]:
+        split = split_stratified(reviews, "review_id", "sentiment_label", config.test_size, config.seed)
+        model = text.train_sentiment(
+            split.where("not is_test"), max_features=config.max_features, min_df=config.min_df
+        )
+        return model, text.evaluate_sentiment(text.score_sentiment(split.where("is_test"), model))
+
+    # both have steps of few tasks: they run side by side
+    with ThreadPool(1) as pool:
+        waiting = pool.apply_async(inheritable_thread_target(spark)(reviewed))
+        best_model, candidates, churn_metrics, best = train_churn_models(customers, config, families, settings)
+        sentiment, sentiment_metrics = waiting.get()
 
     features = build_features(daily).persist()
     forest = written(anomaly.train_isolation_forest(
