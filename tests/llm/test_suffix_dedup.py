@@ -106,7 +106,7 @@ def test_odd_documents(odd_docs, no_docs):
     found = got_by_id(suffix_dedup.without_repeats(odd_docs))
     assert found[0] == [(0, 0)] and found[None] == [(7, 0)] and found[1] == [(0, 0)]
     assert found[15] == [(5000, 4999)] and found[14] == [(15000, 14995)]  # runs of one letter and of one word
-    assert len(set(found[17])) == 1 and len(found[17]) == 2  # a repeated row is the same document
+    assert len(set(found[18])) == 1 and len(found[18]) == 2  # a repeated row is the same document
     assert suffix_dedup.without_repeats(no_docs).count() == 0
     assert suffix_dedup.deduplicated(odd_docs).columns == odd_docs.columns
 
